@@ -22,7 +22,7 @@ from grovekit.operators.kernels import KernelMap, apply_kernel_map, fit_kernel_m
 from grovekit.operators.metrics import class_counts
 from grovekit.operators.sampling import bags, subspaces
 from grovekit.operators.splits import best_split, class_table, needs_spread, threshold_gains
-from grovekit.session import BROADCAST_LIMIT_BYTES, materialize
+from grovekit.session import BROADCAST_LIMIT_BYTES, local_table, materialize
 
 NODE_SCHEMA = (
     "tree_id int, node_id bigint, kind string, feature int, w array<double>, th double, "
@@ -71,7 +71,7 @@ class Forest:
     kernel_map: KernelMap | None = None
 
     def nodes(self) -> DataFrame:
-        return self.spark.createDataFrame(self.rows, NODE_SCHEMA)
+        return local_table(self.spark, self.rows, NODE_SCHEMA)
 
 
 def _small(df: DataFrame, rows: int, bytes_per_row: int) -> DataFrame:
@@ -91,7 +91,8 @@ def _projection(oblique_nodes: bool, prefix: str = "") -> Column:
 def _level_table(spark: SparkSession, nodes: Sequence[tuple], depth: int) -> tuple[DataFrame, bool, int, int]:
     """Inner nodes of one depth as ``tree_id, node_id, _kind, _feature, _w, _th``."""
     inner = [n for n in nodes if n[2] != "leaf" and n[1].bit_length() - 1 == depth]
-    table = spark.createDataFrame(
+    table = local_table(
+        spark,
         [n[:6] for n in inner],
         "tree_id int, node_id bigint, _kind string, _feature int, _w array<double>, _th double",
     )
@@ -167,7 +168,8 @@ def grow(
         here = drawn.withColumn("node_id", F.lit(1).cast("bigint"))
         for above in range(depth):
             here = _descend(here, nodes, above, keep_leaves=False)
-        totals = spark.createDataFrame(
+        totals = local_table(
+            spark,
             [(*key, *c) for key, c in active.items()],
             "tree_id int, node_id bigint, " + ", ".join(f"n{i} bigint" for i in range(k)),
         )
@@ -200,7 +202,8 @@ def grow(
 
 
 def _tree_columns(spark: SparkSession, spaces: dict[int, list[int]], trees: int) -> DataFrame:
-    table = spark.createDataFrame(
+    table = local_table(
+        spark,
         [(t, list(cols)) for t, cols in spaces.items()], "tree_id int, cols array<int>"
     )
     width = max((len(c) for c in spaces.values()), default=0)
@@ -226,7 +229,8 @@ def _split_level(here, totals, columns, work, bases, classes, params, spread, n_
 
     working = here.join(columns, "tree_id").withColumn("work", work)
     if params.lda is not None:
-        maps = spark.createDataFrame(
+        maps = local_table(
+            spark,
             [(t, b.maps.tolist()) for t, b in bases.items() if b.maps is not None],
             "tree_id int, maps array<array<double>>",
         )
@@ -237,7 +241,7 @@ def _split_level(here, totals, columns, work, bases, classes, params, spread, n_
     working = working.select(*group, "label", "weight", "work")
     if params.split == "orthogonal":
         rows = [(t, a, w) for t, b in bases.items() for a, w in enumerate(b.own_axes())]
-        directions = spark.createDataFrame(rows, "tree_id int, axis int, w array<double>")
+        directions = local_table(spark, rows, "tree_id int, axis int, w array<double>")
         on, count = ["tree_id"], len(rows)
     else:
         if params.split == "PCA":
@@ -247,7 +251,7 @@ def _split_level(here, totals, columns, work, bases, classes, params, spread, n_
             per_node = max(1, 2 ** (len(classes) - 1) - 1)
         # One vector per node and axis: collected once, used by the scan and the model.
         found = [tuple(r) for r in directions.collect()]
-        directions = spark.createDataFrame(found, oblique.DIRECTIONS)
+        directions = local_table(spark, found, oblique.DIRECTIONS)
         on, count = group, n_active * per_node
     width = next(iter(bases.values())).n_features
     directions = _small(directions, count, 32 + 8 * width)
@@ -324,8 +328,8 @@ def tree_predictions(forest: Forest, rows: DataFrame, key: str) -> DataFrame:
     for depth in range(forest.depth):
         at = _descend(at, forest.rows, depth, keep_leaves=True)
     leaves = [(n[0], n[1], n[7], n[8]) for n in forest.rows if n[2] == "leaf"]
-    table = forest.spark.createDataFrame(
-        leaves, "tree_id int, node_id bigint, predicted int, class_counts array<bigint>"
+    table = local_table(
+        forest.spark, leaves, "tree_id int, node_id bigint, predicted int, class_counts array<bigint>"
     )
     joined = at.join(_small(table, len(leaves), 32 + 8 * len(forest.classes)), ["tree_id", "node_id"])
     return joined.select(key, "tree_id", "node_id", "predicted", "class_counts")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovekit.operators.moments import moments, symmetric
+from grovekit.session import local_table
 
 DIRECTIONS = "tree_id int, node_id bigint, axis int, w array<double>"
 RANK_TOLERANCE = 1e-10
@@ -217,7 +218,7 @@ def svm_directions(
     for _ in range(max_iter):
         if live.empty:
             break
-        model = spark.createDataFrame(live, state_schema)
+        model = local_table(spark, list(live.itertuples(index=False, name=None)), state_schema)
         inside = problems.join(F.broadcast(model), keys).withColumn(
             "z", F.concat(F.array(F.lit(1.0)), "work")
         )
@@ -241,4 +242,4 @@ def svm_directions(
         for r in done.itertuples()
         if np.abs(np.array(r.a[1:])).max() > 0
     ]
-    return spark.createDataFrame(directions, DIRECTIONS)
+    return local_table(spark, directions, DIRECTIONS)

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # A table is broadcast by hint only when its measured size stays below this.
 BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
@@ -53,3 +57,12 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/grovekit/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """Driver-held rows (models, parameters) as a local relation with exact statistics."""
+    struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = to_arrow_schema(struct)
+    columns = list(zip(*rows)) if rows else [()] * len(fields)
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, fields)]
+    return spark.createDataFrame(pa.table(arrays, schema=fields), struct)
