@@ -45,10 +45,8 @@ def bipartition_table(labels: DataFrame, label: str = "label") -> DataFrame:
     row; the masks are expanded by Spark.
     """
     classes = labels.agg(F.array_sort(F.collect_set(label)).alias("classes"))
-    k = F.size("classes")
-    last = F.shiftleft(F.lit(1).cast("bigint"), k - 1) - 1
-    masks = classes.filter(k > 1).select(
-        "classes", F.explode(F.sequence(F.lit(1).cast("bigint"), last)).alias("mask")
+    masks = classes.filter(F.size("classes") > 1).select(
+        "classes", F.expr("explode(sequence(1L, shiftleft(1L, size(classes) - 1) - 1))").alias("mask")
     )
     members = F.expr("filter(classes, (c, i) -> (mask & shiftleft(1L, i)) != 0)")
     return masks.select("mask", members.alias("members"))

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovekit.operators.sampling import holdout
-from grovekit.sources.records import ITEM, image_listing, missing_images, read_jsonl, write_jsonl
+from grovekit.sources.records import image_listing, missing_images, read_jsonl, write_jsonl
+from grovekit.sources.schemas import ITEM
 
 
 def image_path(folder: str, index: Column) -> Column:

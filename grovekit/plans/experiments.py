@@ -17,12 +17,8 @@ from grovekit.functions.answers import COUNT, OUTPUT, with_clean_answer
 from grovekit.operators.ranking import last_per_key
 from grovekit.operators.sampling import stratified_sample
 from grovekit.plans import evaluation
-from grovekit.sources.records import PREDICTION
 from grovekit.sources.results import write_submission
-
-RUN_SCHEMA = T.StructType(
-    [*PREDICTION.fields, *T.StructType.fromDDL("batch_id bigint, seq bigint").fields]
-)
+from grovekit.sources.schemas import PREDICTION, RUN
 
 # The constant answers that the majority baseline is compared with.
 DUMMY = {OUTPUT: "True", COUNT: "1"}
@@ -223,11 +219,11 @@ def strategies(majority: DataFrame, backend=None) -> dict[str, Callable[[DataFra
 def open_run(spark: SparkSession, path: str) -> DataFrame:
     """All records of a run table; empty when nothing was written yet."""
     try:
-        return spark.read.schema(RUN_SCHEMA).parquet(path)
+        return spark.read.schema(RUN).parquet(path)
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        return spark.createDataFrame([], RUN_SCHEMA)
+        return spark.createDataFrame([], RUN)
 
 
 def pending(items: DataFrame, done: DataFrame) -> DataFrame:
@@ -238,7 +234,7 @@ def pending(items: DataFrame, done: DataFrame) -> DataFrame:
 def _aligned(df: DataFrame, backend: str | None) -> DataFrame:
     have = set(df.columns)
     fields = []
-    for f in RUN_SCHEMA:
+    for f in RUN:
         if f.name in have:
             value = F.col(f.name)
             if f.name == "backend" and backend is not None:

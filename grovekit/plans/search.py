@@ -17,7 +17,8 @@ from grovekit.operators.sampling import (
     stratified_holdout,
 )
 from grovekit.session import local_table, materialize
-from grovekit.sources.results import RESULT, append_results, done_keys
+from grovekit.sources.results import append_results, done_keys
+from grovekit.sources.schemas import RESULT
 
 SPLIT = "struct<type: string, c: int, penalty: double, kernel: string>"
 

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from grovekit.functions.answers import question_kind
 from grovekit.plans.experiments import run_predictions
-from grovekit.sources.records import ITEM
+from grovekit.sources.schemas import ITEM
 
 
 def item_stream(spark: SparkSession, folder: str, max_files: int = 100) -> DataFrame:
