@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +16,7 @@ from grovekit.functions.answers import COUNT, OUTPUT, with_clean_answer
 from grovekit.operators.ranking import last_per_key
 from grovekit.operators.sampling import stratified_sample
 from grovekit.plans import evaluation
+from grovekit.sources.records import read_or_empty
 from grovekit.sources.results import write_submission
 from grovekit.sources.schemas import PREDICTION, RUN
 
@@ -218,12 +218,7 @@ def strategies(majority: DataFrame, backend=None) -> dict[str, Callable[[DataFra
 
 def open_run(spark: SparkSession, path: str) -> DataFrame:
     """All records of a run table; empty when nothing was written yet."""
-    try:
-        return spark.read.schema(RUN).parquet(path)
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return spark.createDataFrame([], RUN)
+    return read_or_empty(spark, path, RUN)
 
 
 def pending(items: DataFrame, done: DataFrame) -> DataFrame:

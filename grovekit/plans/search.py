@@ -17,7 +17,7 @@ from grovekit.operators.sampling import (
     stratified_holdout,
 )
 from grovekit.session import local_table, materialize
-from grovekit.sources.results import append_results, done_keys
+from grovekit.sources.results import append_results, done_keys, read_results
 from grovekit.sources.schemas import RESULT
 
 SPLIT = "struct<type: string, c: int, penalty: double, kernel: string>"
@@ -292,7 +292,6 @@ def run_search(
     n_features: int,
     space: DataFrame,
     path: str,
-    results: DataFrame | None = None,
     mode: str = "random",
     max_trials: int = 25,
     k: int = 3,
@@ -301,7 +300,7 @@ def run_search(
     objective: Callable[..., list[dict]] = evaluate_config,
     callback: Callable[[dict], None] | None = None,
 ) -> DataFrame:
-    """Evaluate pending configurations one after another; append a row for each.
+    """Evaluate the configurations that ``path`` lacks; append a row for each.
 
     The driver only holds the list of configurations.  Each evaluation is a
     set of Spark jobs over the whole table.  A failing one leaves a row whose
@@ -309,7 +308,7 @@ def run_search(
     """
     spark = rows.sparkSession
     chosen = select_configs(space, mode, max_trials, seed)
-    todo = pending_configs(chosen, results) if results is not None else chosen
+    todo = pending_configs(chosen, read_results(spark, path))
     labelled = todo.withColumn("_label", split_label(F.col("split"))).orderBy("config_key")
     started = time.perf_counter()
     for config in labelled.collect():  # parameters only
@@ -328,7 +327,7 @@ def run_search(
         append_results(stamped, path)
         if callback:
             callback(row)
-    return spark.read.schema(RESULT).parquet(path)
+    return read_results(spark, path)
 
 
 def run_pruned(
