@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import sys
 import unicodedata
-from functools import lru_cache
+from collections.abc import Sequence
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +107,17 @@ def _last_token(text: Column, alternatives: str) -> Column:
     return F.nullif(hit, F.lit(""))
 
 
+def _last_word(text: Column, words: Sequence[str]) -> Column:
+    """Like ``_last_token``; a plain search first spares most texts the pattern."""
+    upper = F.upper(text)
+    present = reduce(lambda a, b: a | b, [F.contains(upper, F.lit(w.upper())) for w in words])
+    return F.when(present, _last_token(text, "|".join(words)))
+
+
+def _last_number(text: Column, alternatives: str) -> Column:
+    return F.when(text.rlike(r"\p{Nd}"), _last_token(text, alternatives))
+
+
 def extract_bool(text: Column) -> Column:
     """Last true/false, else last lone 0/1, else last yes/no, as True/False."""
 
@@ -116,18 +128,18 @@ def extract_bool(text: Column) -> Column:
         )
 
     return F.coalesce(
-        canonical(_last_token(text, "true|false"), "true"),
-        canonical(_last_token(text, "[01]"), "1"),
-        canonical(_last_token(text, "yes|no"), "yes"),
+        canonical(_last_word(text, ("true", "false")), "true"),
+        canonical(_last_number(text, "[01]"), "1"),
+        canonical(_last_word(text, ("yes", "no")), "yes"),
     )
 
 
 def extract_count(text: Column) -> Column:
     """Last lone run of digits without leading zeros, else last number word."""
     foreign, ascii_digits = _decimal_digits()
-    digits = F.translate(_last_token(text, r"\p{Nd}+"), foreign, ascii_digits)
+    digits = F.translate(_last_number(text, r"\p{Nd}+"), foreign, ascii_digits)
     digits = F.regexp_replace(digits, r"^0+([0-9])", "$1")
-    word = F.lower(_last_token(text, "|".join(NUMBER_WORDS)))
+    word = F.lower(_last_word(text, tuple(NUMBER_WORDS)))
     value = F.lit(None).cast("string")
     for name, digit in NUMBER_WORDS.items():
         value = F.when(word == name, F.lit(digit)).otherwise(value)

@@ -21,7 +21,13 @@ from grovekit.operators import oblique
 from grovekit.operators.kernels import KernelMap, apply_kernel_map, fit_kernel_map
 from grovekit.operators.metrics import class_counts
 from grovekit.operators.sampling import bags, subspaces
-from grovekit.operators.splits import best_split, class_table, needs_spread, threshold_gains
+from grovekit.operators.splits import (
+    VALUES_PER_TASK,
+    best_split,
+    class_table,
+    needs_spread,
+    threshold_gains,
+)
 from grovekit.session import BROADCAST_LIMIT_BYTES, local_table, materialize
 
 NODE_SCHEMA = (
@@ -145,11 +151,6 @@ def grow(
         for tree, maps in oblique.lda_maps(root, params.lda).items():
             bases[tree].maps = maps
 
-    spread = False
-    if params.split == "orthogonal" and params.lda is None:
-        spread = needs_spread(
-            rows.select(F.posexplode("features").alias("feature", "value")), ["feature"]
-        )
     nodes: list[tuple] = []
 
     def leaf(tree: int, node: int, c: list[int]) -> None:
@@ -176,7 +177,7 @@ def grow(
         alive = _small(totals, len(active), 16 + 8 * k)
         here = here.join(alive.select("tree_id", "node_id"), ["tree_id", "node_id"])
         best, as_axis = _split_level(
-            here, alive, columns, work, bases, classes, params, spread, len(active)
+            here, alive, columns, work, bases, classes, params, active
         )
         found = {(r["tree_id"], r["node_id"]): r for r in best.collect()}  # one row per node
         following = {}
@@ -210,10 +211,13 @@ def _tree_columns(spark: SparkSession, spaces: dict[int, list[int]], trees: int)
     return _small(table, trees, 16 + 4 * width)
 
 
-def _split_level(here, totals, columns, work, bases, classes, params, spread, n_active):
+def _split_level(here, totals, columns, work, bases, classes, params, active):
     """Best split per active node, and whether its axis is a raw feature."""
     group = ["tree_id", "node_id"]
     spark = here.sparkSession
+    # A node's row count bounds the distinct values of its projections, so most
+    # levels need no look at the data to know that a task can sort them.
+    large = max(sum(c) for c in active.values()) > VALUES_PER_TASK
     if params.split == "orthogonal" and params.lda is None:
         projected = (
             here.join(columns, "tree_id")
@@ -221,6 +225,7 @@ def _split_level(here, totals, columns, work, bases, classes, params, spread, n_
             .withColumn("value", F.get("features", F.col("axis")))
             .drop("features")
         )
+        spread = large and needs_spread(projected, [*group, "axis"])
         table = class_table(projected, [*group, "axis"], classes, "weight")
         gains = threshold_gains(
             table, [*group, "axis"], len(classes), params.gain, params.candidates, spread, totals, group
@@ -252,13 +257,13 @@ def _split_level(here, totals, columns, work, bases, classes, params, spread, n_
         # One vector per node and axis: collected once, used by the scan and the model.
         found = [tuple(r) for r in directions.collect()]
         directions = local_table(spark, found, oblique.DIRECTIONS)
-        on, count = group, n_active * per_node
+        on, count = group, len(active) * per_node
     width = next(iter(bases.values())).n_features
     directions = _small(directions, count, 32 + 8 * width)
     projected = here.join(directions, on).select(
         *group, "label", "weight", "axis", dot(F.col("features"), F.col("w")).alias("value")
     )
-    spread = needs_spread(projected, [*group, "axis"])
+    spread = large and needs_spread(projected, [*group, "axis"])
     table = class_table(projected, [*group, "axis"], classes, "weight")
     gains = threshold_gains(
         table, [*group, "axis"], len(classes), params.gain, params.candidates, spread, totals, group

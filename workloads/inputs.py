@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from grovekit.functions.answers import COUNT, OUTPUT
 from grovekit.functions.hashing import draw
 from grovekit.operators.sampling import holdout
+from grovekit.sources.tables import read_table
 
 FEATURE_NAMES = ("l_quantity", "l_discount", "l_tax", "price_k")
 CLASSES = (0, 1, 2)
@@ -19,7 +20,7 @@ GATES = ("and", "or", "nand", "nor", "xor", "xnor")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return read_table(spark, f"{sf}/{name}.parquet")
 
 
 # lineitem ------------------------------------------------------------------
