@@ -38,6 +38,11 @@ NUMBER_WORDS = {
     "ten": "10",
 }
 
+# Words that stand for a truth value.  The pattern ignores case,
+# and with it takes a long s; only the plain spelling of yes is affirmative.
+TRUTH_WORDS = {"true": "True", "false": "False", "fal\u017fe": "False"}
+YES_WORDS = {"yes": "True", "no": "False", "ye\u017f": "False"}
+
 WORD = r"\p{L}\p{N}_"
 SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 LINE_END = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
@@ -47,7 +52,7 @@ NOT_BEFORE_WORD = rf"(?![{WORD}])"
 ASSIGNMENT = (
     rf"(?iu){NOT_AFTER_WORD}x\p{{Nd}}+{SPACE}*={SPACE}*(?:true|false){NOT_BEFORE_WORD}"
 )
-UP_TO_LAST_MARKER = rf"(?isu)^.*final{SPACE}*answer{SPACE}*[:\-–]?"
+AFTER_LAST_MARKER = rf"(?isu)^.*final{SPACE}*answer{SPACE}*[:\-–]?(.*)$"
 FIRST_LINE = rf"^[^{LINE_END}]*"
 
 
@@ -101,57 +106,57 @@ def strip_artifacts(text: Column, question: Column | None = None) -> Column:
 
 
 def _last_token(text: Column, alternatives: str) -> Column:
-    hit = F.regexp_extract(
+    return F.regexp_extract(
         text, rf"(?isu)^.*{NOT_AFTER_WORD}({alternatives}){NOT_BEFORE_WORD}", 1
     )
-    return F.nullif(hit, F.lit(""))
 
 
-def _last_word(text: Column, words: Sequence[str]) -> Column:
-    """Like ``_last_token``; a plain search first spares most texts the pattern."""
-    upper = F.upper(text)
+def _last_word(text: Column, values: dict[str, str], upper: Column | None) -> Column:
+    """Value of the last of some words; NULL when there is none.
+
+    ``upper`` is the text in capitals, if at hand: a plain search in it spares
+    most long texts the pattern.  The lookup evaluates the pattern once.
+    """
+    lookup = F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+    words = [w for w in values if w.isascii()]
+    found = F.try_element_at(lookup, F.lower(_last_token(text, "|".join(words))))
+    if upper is None:
+        return found
     present = reduce(lambda a, b: a | b, [F.contains(upper, F.lit(w.upper())) for w in words])
-    return F.when(present, _last_token(text, "|".join(words)))
+    return F.when(present, found)
 
 
 def _last_number(text: Column, alternatives: str) -> Column:
-    return F.when(text.rlike(r"\p{Nd}"), _last_token(text, alternatives))
+    hit = F.nullif(_last_token(text, alternatives), F.lit(""))
+    return F.when(text.rlike(r"\p{Nd}"), hit)
 
 
-def extract_bool(text: Column) -> Column:
+def extract_bool(text: Column, upper: Column | None = None) -> Column:
     """Last true/false, else last lone 0/1, else last yes/no, as True/False."""
-
-    def canonical(token: Column, positive: str) -> Column:
-        return F.when(
-            token.isNotNull(),
-            F.when(F.lower(token) == positive, F.lit("True")).otherwise(F.lit("False")),
-        )
-
+    digits = F.create_map(F.lit("1"), F.lit("True"), F.lit("0"), F.lit("False"))
     return F.coalesce(
-        canonical(_last_word(text, ("true", "false")), "true"),
-        canonical(_last_number(text, "[01]"), "1"),
-        canonical(_last_word(text, ("yes", "no")), "yes"),
+        _last_word(text, TRUTH_WORDS, upper),
+        F.try_element_at(digits, _last_number(text, "[01]")),
+        _last_word(text, YES_WORDS, upper),
     )
 
 
-def extract_count(text: Column) -> Column:
+def extract_count(text: Column, upper: Column | None = None) -> Column:
     """Last lone run of digits without leading zeros, else last number word."""
     foreign, ascii_digits = _decimal_digits()
     digits = F.translate(_last_number(text, r"\p{Nd}+"), foreign, ascii_digits)
-    digits = F.regexp_replace(digits, r"^0+([0-9])", "$1")
-    word = F.lower(_last_word(text, tuple(NUMBER_WORDS)))
-    value = F.lit(None).cast("string")
-    for name, digit in NUMBER_WORDS.items():
-        value = F.when(word == name, F.lit(digit)).otherwise(value)
-    return F.coalesce(digits, value)
+    return F.coalesce(
+        F.regexp_replace(digits, r"^0+([0-9])", "$1"), _last_word(text, NUMBER_WORDS, upper)
+    )
 
 
-def extract(text: Column, kind: Column) -> Column:
+def extract(text: Column, kind: Column, upper: Column | None = None) -> Column:
     """By kind; a NULL or unknown kind tries booleans first, then counts."""
+    as_bool, as_count = extract_bool(text, upper), extract_count(text, upper)
     return (
-        F.when(kind == COUNT, extract_count(text))
-        .when(kind == OUTPUT, extract_bool(text))
-        .otherwise(F.coalesce(extract_bool(text), extract_count(text)))
+        F.when(kind == COUNT, as_count)
+        .when(kind == OUTPUT, as_bool)
+        .otherwise(F.coalesce(as_bool, as_count))
     )
 
 
@@ -171,20 +176,16 @@ def with_clean_answer(
     """
     if kind is None:
         kind = question_kind(question) if question is not None else F.lit(None).cast("string")
-    nothing = F.lit(None).cast("string")
-    staged = df.withColumns(
-        {"_cleaned": strip_artifacts(F.col(text), question), "_kind": kind}
-    ).withColumn(
-        "_tail",
-        F.when(
-            F.col("_cleaned").rlike(UP_TO_LAST_MARKER),
-            F.regexp_replace("_cleaned", UP_TO_LAST_MARKER, ""),
-        ),
+    marked = F.contains(F.col("_upper"), F.lit("FINAL"))
+    staged = (
+        df.withColumns({"_cleaned": strip_artifacts(F.col(text), question), "_kind": kind})
+        .withColumn("_upper", F.upper("_cleaned"))
+        .withColumn("_tail", F.when(marked, F.regexp_extract("_cleaned", AFTER_LAST_MARKER, 1)))
     )
     answer = F.coalesce(
         extract(F.regexp_extract("_tail", FIRST_LINE, 0), F.col("_kind")),
         extract(F.col("_tail"), F.col("_kind")),
-        extract(F.col("_cleaned"), F.col("_kind")),
-        default if default is not None else nothing,
+        extract(F.col("_cleaned"), F.col("_kind"), F.col("_upper")),
+        default if default is not None else F.lit(None).cast("string"),
     )
-    return staged.withColumn(out, answer).drop("_cleaned", "_kind", "_tail")
+    return staged.withColumn(out, answer).drop("_cleaned", "_kind", "_upper", "_tail")

@@ -10,11 +10,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from grovekit.operators.moments import collect_moments, moments
+from grovekit.operators.moments import collect_moments, dense, moments
 from grovekit.operators.sampling import random_subset
 
 KERNELS = ("rbf", "poly", "sigmoid")
@@ -78,13 +78,13 @@ def apply_kernel_map(rows: DataFrame, mapping: KernelMap, features: str = "featu
         ]
     )
 
-    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if not batch.empty:
-                x = np.stack(batch[features].to_numpy()).astype(float)
-                yield batch.assign(**{features: list(mapping(x))})
-
-    return rows.mapInPandas(convert, schema)
+    at = schema.fieldNames().index(features)
 
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                phi = pa.array(list(mapping(dense(batch.column(features)))), pa.list_(pa.float64()))
+                columns = [phi if i == at else c for i, c in enumerate(batch.columns)]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-__all__ = ["KERNELS", "KernelMap", "apply_kernel_map", "fit_kernel_map", "kernel"]
+    return rows.mapInArrow(convert, schema)

@@ -11,14 +11,31 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # Partial sums a task may hold before it emits them and starts anew.
 FLUSH_DOUBLES = 4_000_000
 
 
+def dense(column: pa.ListArray) -> np.ndarray:
+    """The rows of an array column of equal lengths as one matrix."""
+    values = column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
+    return values.reshape(len(column), -1)
+
+
+def _groups(batch: pa.RecordBatch, keys: Sequence[str]) -> list[tuple[tuple, object]]:
+    """Keys that occur in a batch with the rows of each."""
+    if not keys:
+        return [((), slice(None))]
+    table = pd.DataFrame({k: batch.column(k).to_pandas() for k in keys})
+    found = table.groupby(list(keys), sort=False).indices
+    return [(k if isinstance(k, tuple) else (k,), at) for k, at in found.items()]
+
+
 def moments(
     df: DataFrame, keys: Sequence[str] = (), features: str = "features", weight: str | None = None
 ) -> DataFrame:
@@ -33,30 +50,32 @@ def moments(
         [*key_fields, T.StructField("partial", T.ArrayType(T.DoubleType()))]
     )
 
-    def reduce_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow_schema = to_arrow_schema(schema)
+
+    def reduce_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, np.ndarray] = {}
 
-        def emit() -> pd.DataFrame:
-            rows = [(*k, m[np.triu_indices(len(m))]) for k, m in held.items()]
-            return pd.DataFrame(rows, columns=[*keys, "partial"])
+        def emit() -> pa.RecordBatch:
+            upper = [m[np.triu_indices(len(m))] for m in held.values()]
+            columns = [[k[i] for k in held] for i in range(len(keys))] + [upper]
+            arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow_schema)]
+            return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema)
 
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            groups = batch.groupby(list(keys), sort=False) if keys else [((), batch)]
-            for key, rows in groups:
-                key = key if isinstance(key, tuple) else (key,)
-                x = np.stack(rows[features].to_numpy()).astype(float)
-                z = np.column_stack([np.ones(len(x)), x])
-                zw = z * rows[weight].to_numpy(dtype=float)[:, None] if weight else z
-                held[key] = held.get(key, 0.0) + zw.T @ z
+            x = dense(batch.column(features))
+            z = np.column_stack([np.ones(len(x)), x])
+            zw = z * batch.column(weight).to_numpy()[:, None] if weight else z
+            for key, at in _groups(batch, keys):
+                held[key] = held.get(key, 0.0) + zw[at].T @ z[at]
             if sum(m.size for m in held.values()) > FLUSH_DOUBLES:
                 yield emit()
                 held.clear()
         if held:
             yield emit()
 
-    partials = source.mapInPandas(reduce_task, schema)
+    partials = source.mapInArrow(reduce_task, schema)
     # Position p of the flattened upper triangle back to (i, j): rows have
     # size, size - 1, … entries, so i counts the row starts that p has passed.
     size = ((F.sqrt(8.0 * F.size("partial") + 1) - 1) / 2).cast("int")

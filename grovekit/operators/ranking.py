@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from grovekit.session import materialize
+from grovekit.session import local_table, materialize
 
 
 def hash_rank(
@@ -16,7 +17,7 @@ def hash_rank(
     groups: Sequence[str] = (),
     out: str = "rank",
     tie: Sequence[str] = (),
-    prefix: int = 3,
+    prefix: int = 4,
 ) -> DataFrame:
     """1-based rank by a hex digest column, per group, as one global order.
 
@@ -50,6 +51,74 @@ def hash_rank(
     ).drop("_slice", "_below")
 
 
+def hash_cuts(
+    df: DataFrame,
+    order: str,
+    groups: Sequence[str],
+    quotas: Callable[[Column, Column], Sequence[Column]],
+    prefix: int = 4,
+) -> list[tuple]:
+    """Digests at which a group's hash order reaches given counts.
+
+    ``quotas(n_group, n_total)`` gives the counts; the result has one tuple
+    ``(*group, [digest, …])`` per group, with None for a count of zero.  Two
+    jobs: slice counts find the slice that holds each cut, then only those
+    slices are ranked.  No row is shuffled but theirs, and what comes back is
+    one digest per group and cut.
+    """
+    groups = list(groups)
+    sliced = df.select(*groups, F.col(order).alias("_d"), F.substring(order, 1, prefix).alias("_slice"))
+    counts = sliced.groupBy(*groups, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    per_group = Window.partitionBy(*(groups or [F.lit(0)]))
+    below = per_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sized = counts.select(
+        *groups,
+        "_slice",
+        "_n",
+        F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_below"),
+        F.sum("_n").over(per_group).alias("_group"),
+        F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"),
+    )
+    wanted = [q.cast("bigint") for q in quotas(F.col("_group"), F.col("_total"))]
+    cuts = sized.select("*", F.posexplode(F.array(*wanted)).alias("_cut", "_quota"))
+    held = (F.col("_quota") > F.col("_below")) & (F.col("_quota") <= F.col("_below") + F.col("_n"))
+    found = cuts.filter(held | ((F.col("_quota") <= 0) & (F.col("_below") == 0)))
+    spark = df.sparkSession
+    rows = found.select(*groups, "_slice", "_cut", (F.col("_quota") - F.col("_below")).alias("_rank")).collect()
+    fields = [df.schema[g] for g in groups]
+    schema = StructType(
+        [
+            *fields,
+            StructField("_slice", StringType()),
+            StructField("_cut", IntegerType()),
+            StructField("_rank", LongType()),
+        ]
+    )
+    table = F.broadcast(local_table(spark, [tuple(r) for r in rows], schema))
+    renamed = table.withColumnsRenamed({c: f"_c{i}" for i, c in enumerate([*groups, "_slice"])})
+    on = F.lit(True)
+    for i, c in enumerate([*groups, "_slice"]):
+        on = on & sliced[c].eqNullSafe(renamed[f"_c{i}"])
+    within = Window.partitionBy(*groups, "_cut").orderBy("_d")
+    ranked = sliced.join(renamed, on).withColumn("_at", F.row_number().over(within))
+    hits = ranked.filter(F.col("_at") == F.col("_rank")).select(*groups, "_cut", "_d").collect()
+    out = {tuple(r[g] for g in groups): [None] * len(wanted) for r in rows}
+    for r in hits:
+        out[tuple(r[g] for g in groups)][r["_cut"]] = r["_d"]
+    return [(*g, d) for g, d in out.items()]
+
+
+def with_cuts(df: DataFrame, groups: Sequence[str], cuts: list[tuple], out: str = "_cuts") -> DataFrame:
+    """Adds the digests of ``hash_cuts`` to the rows of each group; no shuffle."""
+    fields = [StructField(f"_g{i}", df.schema[g].dataType) for i, g in enumerate(groups)]
+    schema = StructType([*fields, StructField(out, ArrayType(StringType()))])
+    table = F.broadcast(local_table(df.sparkSession, cuts, schema))
+    on = F.lit(True)
+    for i, g in enumerate(groups):
+        on = on & df[g].eqNullSafe(table[f"_g{i}"])
+    return df.join(table, on).drop(*[f.name for f in fields])
+
+
 def positions(df: DataFrame, order: Sequence[str], out: str = "position") -> DataFrame:
     """1-based position in the total order of ``order`` (a range sort).
 

@@ -12,87 +12,82 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grovekit.functions.hashing import digest, draw
-from grovekit.operators.ranking import hash_rank
+from grovekit.operators.ranking import hash_cuts, hash_rank, with_cuts
 
 
-def _shuffled(df: DataFrame, key: str, seed, groups: Sequence[str], prefix: int) -> DataFrame:
+def shuffle_rank(df: DataFrame, key: str, seed, groups: Sequence[str] = (), prefix: int = 4) -> DataFrame:
+    """Adds ``rank``: the 1-based place of a row in a seeded shuffle (per group)."""
     keyed = df.withColumn("_order", digest(seed, F.col(key)))
     return hash_rank(keyed, "_order", groups, "rank", tie=[key], prefix=prefix).drop("_order")
 
 
-def shuffle_rank(df: DataFrame, key: str, seed, groups: Sequence[str] = (), prefix: int = 3) -> DataFrame:
-    """Adds ``rank``: the 1-based place of a row in a seeded shuffle (per group)."""
-    return _shuffled(df, key, seed, groups, prefix)
+def _cut(df: DataFrame, key: str, seed, groups: Sequence[str], quotas, prefix: int) -> DataFrame:
+    """Adds ``_order`` and ``_cuts``, the digests where the shuffle reaches each quota.
+
+    Rows are then assigned by comparing digests, without a shuffle.  ``key``
+    must be unique.
+    """
+    keyed = df.withColumn("_order", digest(seed, F.col(key)))
+    return with_cuts(keyed, groups, hash_cuts(keyed, "_order", groups, quotas, prefix))
 
 
-def _with_sizes(df: DataFrame, groups: Sequence[str], name: str) -> DataFrame:
-    sizes = df.groupBy(*groups).agg(F.count(F.lit(1)).alias(name))
-    if not groups:
-        return df.join(F.broadcast(sizes), F.lit(True))  # one row
-    on = F.lit(True)
-    renamed = sizes.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], name)
-    for i, g in enumerate(groups):
-        on = on & df[g].eqNullSafe(renamed[f"_g{i}"])
-    return df.join(renamed, on).drop(*[f"_g{i}" for i in range(len(groups))])
+def _before(cut: int) -> Column:
+    """True for rows inside the first quota; a quota of zero has none."""
+    return F.coalesce(F.col("_order") <= F.get("_cuts", F.lit(cut)), F.lit(False))
 
 
-def holdout(df: DataFrame, key: str, fraction: float, seed=42, prefix: int = 3) -> DataFrame:
+def _named(df: DataFrame, first: str, rest: str) -> DataFrame:
+    split = F.when(_before(0), F.lit(first)).otherwise(F.lit(rest))
+    return df.withColumn("split", split).drop("_order", "_cuts")
+
+
+def holdout(df: DataFrame, key: str, fraction: float, seed=42, prefix: int = 4) -> DataFrame:
     """Adds ``split``: the first int(n * fraction) rows of a shuffle are ``val``."""
-    ranked = _with_sizes(shuffle_rank(df, key, seed, prefix=prefix), [], "_n")
-    quota = F.floor(F.col("_n") * F.lit(float(fraction)))
-    return ranked.withColumn(
-        "split", F.when(F.col("rank") <= quota, F.lit("val")).otherwise(F.lit("train"))
-    ).drop("_n", "rank")
+    quota = lambda n, _: [F.floor(n * F.lit(float(fraction)))]
+    return _named(_cut(df, key, seed, [], quota, prefix), "val", "train")
 
 
 def stratified_holdout(
-    df: DataFrame, key: str, fraction: float = 0.25, label: str = "label", seed=42, prefix: int = 3
+    df: DataFrame, key: str, fraction: float = 0.25, label: str = "label", seed=42, prefix: int = 4
 ) -> DataFrame:
     """Adds ``split``: round(n_label * fraction) shuffled rows per label are ``test``."""
-    ranked = _with_sizes(shuffle_rank(df, key, seed, [label], prefix), [label], "_n")
-    quota = F.bround(F.col("_n") * F.lit(float(fraction)))
-    return ranked.withColumn(
-        "split", F.when(F.col("rank") <= quota, F.lit("test")).otherwise(F.lit("train"))
-    ).drop("_n", "rank")
+    quota = lambda n, _: [F.bround(n * F.lit(float(fraction)))]
+    return _named(_cut(df, key, seed, [label], quota, prefix), "test", "train")
 
 
 def tail_holdout(df: DataFrame, position: str, fraction: float = 0.25) -> DataFrame:
     """Unshuffled holdout: the last ceil(n * fraction) rows by 1-based ``position``."""
-    sized = _with_sizes(df, [], "_n")
+    size = df.agg(F.count(F.lit(1)).alias("_n"))
     cut = F.col("_n") - F.ceil(F.col("_n") * F.lit(float(fraction)))
-    return sized.withColumn(
-        "split", F.when(F.col(position) > cut, F.lit("test")).otherwise(F.lit("train"))
-    ).drop("_n")
+    split = F.when(F.col(position) > cut, F.lit("test")).otherwise(F.lit("train"))
+    return df.join(F.broadcast(size), F.lit(True)).withColumn("split", split).drop("_n")
 
 
 def stratified_folds(
-    df: DataFrame, key: str, k: int = 3, label: str = "label", seed=42, prefix: int = 3
+    df: DataFrame, key: str, k: int = 3, label: str = "label", seed=42, prefix: int = 4
 ) -> DataFrame:
     """Adds ``fold`` in 0..k-1, dealt out per label in shuffled order."""
     ranked = shuffle_rank(df, key, seed, [label], prefix)
     return ranked.withColumn("fold", ((F.col("rank") - 1) % k).cast("int")).drop("rank")
 
 
-def plain_folds(df: DataFrame, key: str, k: int = 5, seed=42, prefix: int = 3) -> DataFrame:
+def plain_folds(df: DataFrame, key: str, k: int = 5, seed=42, prefix: int = 4) -> DataFrame:
     """Adds ``fold`` in 0..k-1: k even runs of a shuffle, the first ones one longer."""
-    ranked = _with_sizes(shuffle_rank(df, key, seed, prefix=prefix), [], "_n")
-    p, n = F.col("rank") - 1, F.col("_n")
-    small = F.floor(n / k).cast("bigint")
-    long_rows = (n % k) * (small + 1)
-    fold = F.when(p < long_rows, F.floor(p / (small + 1))).otherwise(
-        n % k + F.floor(F.try_divide(p - long_rows, small))
-    )
-    return ranked.withColumn("fold", fold.cast("int")).drop("_n", "rank")
+
+    def quotas(n: Column, _: Column) -> list[Column]:
+        return [F.floor(n / k) * i + F.least(F.lit(i), n % k) for i in range(1, k)]
+
+    cut = _cut(df, key, seed, [], quotas, prefix)
+    fold = sum(((~_before(i)).cast("int") for i in range(k - 1)), F.lit(0))
+    return cut.withColumn("fold", fold).drop("_order", "_cuts")
 
 
 def stratified_sample(
-    df: DataFrame, key: str, n: int, label: str, seed=42, prefix: int = 3
+    df: DataFrame, key: str, n: int, label: str, seed=42, prefix: int = 4
 ) -> DataFrame:
     """About n rows with every label's share kept: min(round(n * n_l / N), n_l) each."""
-    ranked = _with_sizes(shuffle_rank(df, key, seed, [label], prefix), [label], "_nl")
-    ranked = _with_sizes(ranked, [], "_n")
-    share = F.bround(F.lit(float(n)) * F.col("_nl") / F.col("_n"))
-    return ranked.filter(F.col("rank") <= F.least(share, F.col("_nl"))).drop("_nl", "_n", "rank")
+    quota = lambda n_l, total: [F.least(F.bround(F.lit(float(n)) * n_l / total), n_l)]
+    return _cut(df, key, seed, [label], quota, prefix).filter(_before(0)).drop("_order", "_cuts")
 
 
 def random_subset(df: DataFrame, key: str, n: int, seed=42) -> DataFrame:
@@ -100,7 +95,7 @@ def random_subset(df: DataFrame, key: str, n: int, seed=42) -> DataFrame:
     return df.withColumn("_order", digest(seed, F.col(key))).orderBy("_order", key).limit(n).drop("_order")
 
 
-def dense_rows(df: DataFrame, key: str, seed, prefix: int = 3) -> DataFrame:
+def dense_rows(df: DataFrame, key: str, seed, prefix: int = 4) -> DataFrame:
     """Adds ``position`` 1..n in a seeded shuffle: the address space of draws."""
     return shuffle_rank(df, key, seed, prefix=prefix).withColumnRenamed("rank", "position")
 
@@ -115,7 +110,7 @@ def bag_draws(spark, trees: int, samples: int, n: int, seed) -> DataFrame:
 
 
 def bags(
-    rows: DataFrame, key: str, trees: int, samples: int, n: int, replace: bool, seed, prefix: int = 3
+    rows: DataFrame, key: str, trees: int, samples: int, n: int, replace: bool, seed, prefix: int = 4
 ) -> DataFrame:
     """Adds ``bag ARRAY<STRUCT<tree_id, weight>>``: how often each tree drew the row.
 
@@ -132,7 +127,9 @@ def bags(
             .groupBy("position")
             .agg(F.array_sort(F.collect_list(F.struct("tree_id", "weight"))).alias("bag"))
         )
-        return dense_rows(rows, key, seed, prefix).join(drawn, "position").drop("position")
+        # Only keys are ranked; the rows themselves move once.
+        placed = dense_rows(rows.select(key), key, seed, prefix).join(drawn, "position")
+        return rows.join(placed.drop("position"), key)
     member = [
         F.struct(F.lit(t).alias("tree_id"), digest(f"{seed}|{t}", F.col(key)).alias("order"))
         for t in range(trees)

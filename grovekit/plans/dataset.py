@@ -30,7 +30,7 @@ def require_images(records: DataFrame, listing: DataFrame) -> DataFrame:
     return records
 
 
-def split_records(records: DataFrame, val_fraction: float = 0.1, seed=42, prefix: int = 3) -> DataFrame:
+def split_records(records: DataFrame, val_fraction: float = 0.1, seed=42, prefix: int = 4) -> DataFrame:
     """Adds ``split``: the first int(n * fraction) shuffled rows are ``val``."""
     return holdout(records, "index", val_fraction, seed, prefix)
 

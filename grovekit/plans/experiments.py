@@ -131,23 +131,18 @@ def self_consistency(
 ) -> DataFrame:
     """Several generations per item and the vote of those that parse.
 
-    The vote gathers ``samples`` rows per item, a fixed small number.
+    The samples of an item are columns of its row, so voting shuffles nothing.
     """
-    q = F.col("question")
-    asked = items.withColumn("sample", F.explode(F.sequence(F.lit(1), F.lit(samples)))).withColumn(
-        "_user", prompts.stepwise_prompt(q)
-    )
-    made = backend.generate(
-        asked, "_user", "raw", "new_tokens", prompts.DOMAIN_SYSTEM, prompts.LONG_TOKENS, "sample"
-    )
-    parsed = with_clean_answer(made, "raw", F.col("kind"), q, None, "vote")
-    base = ["index", "image", "question", "kind"]
-    ordered = F.array_sort(F.collect_list(F.struct("sample", "raw", "vote")))
-    gathered = parsed.groupBy(*base).agg(
-        ordered.alias("_o"), F.sum("new_tokens").cast("int").alias("new_tokens")
-    )
-    votes = F.filter(F.col("_o.vote"), lambda v: v.isNotNull())
-    # Few votes per item, so the winner is found inside the row.
+    q, numbers = F.col("question"), range(1, samples + 1)
+    made = items.withColumn("_user", prompts.stepwise_prompt(q))
+    for k in numbers:
+        made = backend.generate(
+            made.withColumn("_sample", F.lit(k)), "_user", f"_raw{k}", f"_tokens{k}",
+            prompts.DOMAIN_SYSTEM, prompts.LONG_TOKENS, "_sample",
+        )
+        made = with_clean_answer(made, f"_raw{k}", F.col("kind"), q, None, f"_vote{k}")
+    raws = F.array(*[f"_raw{k}" for k in numbers])
+    votes = F.filter(F.array(*[f"_vote{k}" for k in numbers]), lambda v: v.isNotNull())
     times = F.transform(
         F.array_distinct("votes"),
         lambda v: F.struct(
@@ -156,20 +151,15 @@ def self_consistency(
             v.alias("answer"),
         ),
     )
-    best = F.array_min(times)
-    return (
-        evaluation.with_majority(gathered, majority)
-        .withColumn("votes", votes)
-        .withColumn("_best", best)
-        .select(
-            *base,
-            F.get("_o.raw", F.lit(0)).alias("raw"),
-            F.col("_o.raw").alias("raws"),
-            "votes",
-            F.coalesce(-F.col("_best.n"), F.lit(0)).alias("agreement"),
-            F.coalesce("_best.answer", "majority").alias("answer"),
-            "new_tokens",
-        )
+    voted = made.withColumn("votes", votes).withColumn("_best", F.array_min(times))
+    return evaluation.with_majority(voted, majority).select(
+        *[c for c in items.columns if c not in ("answer", "raw")],
+        F.col("_raw1").alias("raw"),
+        raws.alias("raws"),
+        "votes",
+        F.coalesce(-F.col("_best.n"), F.lit(0)).alias("agreement"),
+        F.coalesce("_best.answer", "majority").alias("answer"),
+        sum((F.col(f"_tokens{k}") for k in numbers), F.lit(0)).alias("new_tokens"),
     )
 
 

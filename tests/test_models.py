@@ -118,6 +118,7 @@ def test_splits_at_zero_gain(spark):
         dict(split="orthogonal", lda=2, max_depth=3),
         dict(split="SVM", lda=1, max_depth=2),
         dict(split="SVM", kernel="rbf", max_depth=1, landmarks=12),
+        dict(split="PCA", c=2, max_depth=3, candidates="value"),
     ],
 )
 def test_training_partition_is_reproduced(spark, params):
@@ -127,7 +128,10 @@ def test_training_partition_is_reproduced(spark, params):
     counts = {(r["tree_id"], r["node_id"]): r["n"] for r in at.groupBy("tree_id", "node_id").agg(F.count("*").alias("n")).collect()}
     leaves = {(n[0], n[1]): sum(n[8]) for n in model.rows if n[2] == "leaf"}
     assert counts == leaves
-    voted = rows.withColumnRenamed("label", "actual").join(fo.predict_forest(model, rows, "row_key"), "row_key")
+    quick = fo.predict_forest(model, rows, "row_key")
+    joined = fo.vote(at, "row_key", model.classes)
+    assert sorted(quick.collect()) == sorted(joined.collect())
+    voted = rows.withColumnRenamed("label", "actual").join(quick, "row_key")
     assert metrics.accuracy(voted).first()["accuracy"] > 0.6
 
 
