@@ -37,10 +37,27 @@ def impurity(counts: Sequence[Column], method: str) -> Column:
     return entropy(counts) if method == "entropy" else gini(counts)
 
 
-def gain(left: Sequence[Column], right: Sequence[Column], method: str) -> Column:
-    """Parent impurity minus the children's, weighted by the left share."""
-    parent = [a + b for a, b in zip(left, right)]
-    nu = F.try_divide(total(left).cast("double"), total(parent))
-    return impurity(parent, method) - (
-        nu * impurity(left, method) + (F.lit(1.0) - nu) * impurity(right, method)
-    )
+def _scaled(counts: Sequence[Column], n: Column, method: str) -> Column:
+    """Group size times impurity, from whole counts; an empty class adds nothing."""
+    if method == "gini":
+        return n - total([c.cast("double") * c for c in counts]) / n
+
+    def xlogx(c: Column) -> Column:
+        return F.when(c > 0, c * F.log2(c)).otherwise(F.lit(0.0))
+
+    return xlogx(n) - total([xlogx(c) for c in counts])
+
+
+def gain(
+    left: Sequence[Column], right: Sequence[Column], parent: Sequence[Column],
+    n_left: Column, n_right: Column, n: Column, method: str,
+) -> Column:
+    """Parent impurity minus the children's, weighted by their shares of rows.
+
+    Takes counts and their sums as columns of their own, so that the
+    expression stays small enough to be compiled.
+    """
+    if method not in GAIN_METHODS:
+        raise ValueError(f"unknown gain method {method!r}")
+    children = _scaled(left, n_left, method) + _scaled(right, n_right, method)
+    return (_scaled(parent, n, method) - children) / n

@@ -233,7 +233,7 @@ def _split_level(here, totals, columns, work, bases, classes, params, active):
         gains = threshold_gains(
             table, [*group, "axis"], len(classes), params.gain, params.candidates, spread, totals, group
         )
-        return best_split(gains, group, "axis", len(classes)), True
+        return best_split(gains, [*group, "axis"], group, len(classes)), True
 
     working = here.join(columns, "tree_id").withColumn("work", work)
     if params.lda is not None:
@@ -271,7 +271,7 @@ def _split_level(here, totals, columns, work, bases, classes, params, active):
     gains = threshold_gains(
         table, [*group, "axis"], len(classes), params.gain, params.candidates, spread, totals, group
     )
-    best = best_split(gains, group, "axis", len(classes))
+    best = best_split(gains, [*group, "axis"], group, len(classes))
     return best.join(directions, [*on, "axis"]), False
 
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from grovekit.functions.impurity import gain as gain_of
+from grovekit.functions.impurity import total
 from grovekit.operators.ranking import running_totals
 
 # Distinct values of one projection that a single task sorts; above it the
@@ -46,7 +47,7 @@ def threshold_gains(
     totals: DataFrame | None = None,
     totals_on: Sequence[str] = (),
 ) -> DataFrame:
-    """``keys…, th, gain, l0…, n0…`` for every valid candidate threshold.
+    """``keys…, value, th, gain, l0…, n0…`` for every valid candidate threshold.
 
     l* are the class counts at or below the threshold, n* those of the whole
     group.  The largest value is no candidate, since nothing lies above it.
@@ -69,34 +70,42 @@ def threshold_gains(
         summed = summed.join(totals, list(totals_on))
     else:
         summed = summed.withColumnsRenamed({f"n_l{i}": f"n{i}" for i in ids})
-    left = [F.col(f"l{i}") for i in ids]
-    right = [F.col(f"n{i}") - F.col(f"l{i}") for i in ids]
+    left, right, whole = ([F.col(f"{p}{i}") for i in ids] for p in ("l", "_r", "n"))
+    staged = summed.withColumns(
+        {f"_r{i}": F.col(f"n{i}") - F.col(f"l{i}") for i in ids}
+        | {"_nl": total(left), "_n": total(whole)}
+    ).withColumn("_nr", F.col("_n") - F.col("_nl"))
+    measured = gain_of(left, right, whole, F.col("_nl"), F.col("_nr"), F.col("_n"), gain)
     th = F.col("value") if candidates == "value" else (F.col("value") + F.col("_next")) / 2.0
-    return summed.select(
+    return staged.select(
         *keys,
+        "value",
         th.alias("th"),
-        gain_of(left, right, gain).alias("gain"),
+        measured.alias("gain"),
         *[f"l{i}" for i in ids],
         *[f"n{i}" for i in ids],
     )
 
 
-def best_split(gains: DataFrame, group: Sequence[str], axis: str, n_classes: int) -> DataFrame:
+def best_split(gains: DataFrame, keys: Sequence[str], group: Sequence[str], n_classes: int) -> DataFrame:
     """First maximum per group: greatest gain, then lowest axis, then lowest threshold.
 
-    Reduced first per axis, where the candidates already lie together and in
-    order, so that only one row per axis is shuffled.
+    ``keys`` are those of the candidates: ``group`` and, perhaps, an axis.  The
+    candidates of a key already lie together and in order, so a running maximum
+    leaves a handful of them; only these are compared and shuffled.
     """
+    axis = [k for k in keys if k not in group]
+    before = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    # Whole units of the last place: decimal rounding of every candidate costs
+    # more than the rest of the search.
+    rounded = gains.withColumn("_g", F.floor(F.col("gain") * 10.0**GAIN_PLACES + 0.5))
+    rising = rounded.withColumn("_top", F.max("_g").over(before)).filter(
+        F.col("_top").isNull() | (F.col("_g") > F.col("_top"))
+    )
     counts = [f"{p}{i}" for i in range(n_classes) for p in "ln"]
-
-    def first(df: DataFrame, by: list[str]) -> DataFrame:
-        order = F.struct(-F.round("gain", GAIN_PLACES), F.col(axis), F.col("th"))
-        kept = [c for c in dict.fromkeys([axis, "th", "gain", *counts]) if c not in by]
-        return df.groupBy(*by).agg(F.min_by(F.struct(*kept), order).alias("_b")).select(*by, "_b.*")
-
-    if axis != "th":
-        gains = first(gains, [*group, axis])
-    return first(gains, list(group))
+    order = F.struct(-F.col("_g"), *[F.col(a) for a in axis], F.col("th"))
+    kept = F.struct(*axis, "th", "gain", *counts)
+    return rising.groupBy(*group).agg(F.min_by(kept, order).alias("_b")).select(*group, "_b.*")
 
 
 def needs_spread(projected: DataFrame, keys: Sequence[str]) -> bool:
@@ -126,7 +135,7 @@ def root_split(
         spread = needs_spread(long, ["feature"])
     table = class_table(long, ["feature"], classes)
     gains = threshold_gains(table, ["feature"], len(classes), gain, candidates, spread)
-    best = best_split(gains, ["feature"], "th", len(classes))
+    best = best_split(gains, ["feature"], ["feature"], len(classes))
     n_left = reduce(lambda a, b: a + b, [F.col(f"l{i}") for i in range(len(classes))])
     n_all = reduce(lambda a, b: a + b, [F.col(f"n{i}") for i in range(len(classes))])
     return best.select(
