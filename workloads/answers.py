@@ -474,12 +474,22 @@ def submission_report(spark, sf):
     WHERE status = 'written' AND "index" IN (SELECT "index" FROM test)""",
 )
 def submission_rows(spark, sf):
-    """Checked rows written as CSV and read back."""
+    """Checked rows of all complete runs written as CSV, one folder per run, and read back."""
+    path = _path(spark, "submissions")
+    results.write_submissions(_report(spark, sf)[1], path)
+    back = spark.read.schema("index bigint, answer string, file string").option("header", True).csv(path)
+    return back.select("file", "index", "answer")
+
+
+@query(
+    "ordered_submission",
+    f"""WITH {POOL} SELECT "index", answer FROM items""",
+)
+def ordered_submission(spark, sf):
+    """Rows without blanks written in index order with a header and read back."""
     path = _path(spark, "submission") + ".csv"
-    rows = _report(spark, sf)[1]
-    results.write_submission(rows, path)
-    file = rows.select("file").distinct()
-    return records.read_predictions(spark, path).join(F.broadcast(file), F.lit(True)).select("file", "index", "answer")
+    results.write_submission(items(spark, sf), path)
+    return records.read_predictions(spark, path)
 
 
 @query(

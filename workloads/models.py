@@ -165,17 +165,35 @@ def kernel_svm_forest(spark, sf):
     return _accuracy(spark, sf, params)
 
 
-@query("class_probabilities")
+@query(
+    "class_probabilities",
+    f"""WITH {LI}, {ALL_ROWS}, {forest_ctes(2, 'gini')},
+    p AS (SELECT unnest([0, 1, 2])::INT AS label, unnest([c0, c1, c2]) AS c, c0 + c1 + c2 AS n FROM nodes WHERE kind = 'leaf')
+    SELECT label, round(c / n, 6) AS probability, sum(n)::BIGINT AS n FROM p GROUP BY ALL""",
+)
 def class_probabilities(spark, sf):
     rows = lineitem_rows(spark, sf)
     model = fo.fit_forest(rows, "row_key", M, fo.ForestParams(max_depth=2, bagging=False))
     p = fo.class_probabilities(model, rows, "row_key")
-    return p.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("probability"), 6).alias("mean_probability")
-    )
+    return p.groupBy("label", F.round("probability", 6).alias("probability")).agg(F.count(F.lit(1)).alias("n"))
+
 
+PLANE = f"""{LI.replace('li AS', 'full_li AS', 1)},
+li AS (SELECT row_key, label, f0 / 10 AS f0, f3 / 20 AS f1, 0.0 AS f2, 0.0 AS f3 FROM full_li),
+bag AS (SELECT 0 AS tree_id, row_key, 1::BIGINT AS weight FROM li),
+sub AS (SELECT 0 AS tree_id, unnest([0, 1])::INT AS feature),
+box AS (SELECT min(f0) - 1.0 AS x0, max(f0) + 1.0 AS x1, min(f1) - 1.0 AS y0, max(f1) + 1.0 AS y1 FROM li),
+steps AS (SELECT *, unnest(range(floor((x1 - x0) / 0.05)::BIGINT + 1)) AS i FROM box),
+cells AS (SELECT *, unnest(range(floor((y1 - y0) / 0.05)::BIGINT + 1)) AS j FROM steps),
+src AS (SELECT 0 AS tree_id, i || ':' || j AS row_key, x0 + i * 0.05::DOUBLE AS f0, y0 + j * 0.05::DOUBLE AS f1,
+  0.0 AS f2, 0.0 AS f3 FROM cells)"""
 
-@query("decision_grid")
+
+@query(
+    "decision_grid",
+    f"""WITH {PLANE}, {forest_ctes(3, 'entropy')}, {walk('src', 3)}
+    SELECT predicted, count(*) AS cells FROM leafs GROUP BY predicted""",
+)
 def decision_grid(spark, sf):
     """Predicted class over the plane of two features, margins included."""
     rows = lineitem_rows(spark, sf).withColumn(

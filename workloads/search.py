@@ -15,6 +15,7 @@ from grovekit.sources.schemas import RESULT, TRIAL
 from workloads.features import _rank
 from workloads.inputs import EMB, FOLDS, LI, RESULTS, embedding_rows, lineitem_rows, results, trial_folds
 from workloads.registry import query
+from workloads.sqltext import forest_ctes, walk
 
 
 def _results(spark, sf):
@@ -275,13 +276,22 @@ def pruned_search(spark, sf):
     return search.run_pruned(rows, "row_key", 4, configs, k=2, startup=1)
 
 
-@query("depth_sweep")
+def _holdout_accuracy(depth: int) -> str:
+    """Accuracy of a tree grown on the training part, on the test part."""
+    return f"""SELECT '{depth}' AS value, (WITH {LI}, part AS (SELECT row_key, CASE WHEN {_rank(42, 'row_key', 'label')}
+        <= round_even(count(*) OVER (PARTITION BY label) * 0.25, 0) THEN 'test' ELSE 'train' END AS split FROM li),
+      bag AS (SELECT 0 AS tree_id, row_key, 1::BIGINT AS weight FROM part WHERE split = 'train'),
+      sub AS (SELECT 0 AS tree_id, unnest([0, 1, 2, 3])::INT AS feature),
+      {forest_ctes(depth, 'gini')}, src AS (SELECT 0 AS tree_id, li.* FROM li JOIN part USING (row_key) WHERE split = 'test'),
+      {walk('src', depth)} SELECT round(avg((predicted = label)::INT), 6) FROM leafs JOIN li USING (row_key)) AS acc"""
+
+
+@query("depth_sweep", " UNION ALL ".join(_holdout_accuracy(d) for d in (1, 2)))
 def depth_sweep(spark, sf):
     rows = lineitem_rows(spark, sf)
     base = {
         "split": {"type": "orthogonal", "c": None, "penalty": None, "kernel": None}, "gain": "gini", "max_depth": 1,
         "lda": None, "tree_count": 1, "features_per_tree": 4, "samples_fraction": 1.0, "repeated_sampling": False,
     }
-    return search.run_sweep(rows, "row_key", 4, base, "max_depth", (1, 2)).select("value", "acc")
-
-
+    swept = search.run_sweep(rows, "row_key", 4, base, "max_depth", (1, 2))
+    return swept.select("value", F.round("acc", 6).alias("acc"))
