@@ -115,7 +115,7 @@ def collect_moments(table: DataFrame) -> np.ndarray:
 def covariance(df: DataFrame, features: str = "features") -> DataFrame:
     """``i, j, gram, cov``: centered X'X and population covariance, i <= j."""
     m = moments(df, features=features)
-    total = F.broadcast(m.filter("i = 0 AND j = 0").select(F.col("s").alias("_n")))
+    n = m.filter("i = 0 AND j = 0").select("s").scalar()
     first = m.filter("i = 0 AND j > 0")
     left = first.select(F.col("j").alias("i"), F.col("s").alias("_si"))
     right = first.select("j", F.col("s").alias("_sj"))
@@ -124,7 +124,7 @@ def covariance(df: DataFrame, features: str = "features") -> DataFrame:
         m.filter("i > 0")
         .join(left, "i")
         .join(right, "j")
-        .join(total, F.lit(True))
+        .withColumn("_n", n)
         .select(
             (F.col("i") - 1).alias("i"),
             (F.col("j") - 1).alias("j"),

@@ -57,10 +57,10 @@ def stratified_holdout(
 
 def tail_holdout(df: DataFrame, position: str, fraction: float = 0.25) -> DataFrame:
     """Unshuffled holdout: the last ceil(n * fraction) rows by 1-based ``position``."""
-    size = df.agg(F.count(F.lit(1)).alias("_n"))
-    cut = F.col("_n") - F.ceil(F.col("_n") * F.lit(float(fraction)))
+    n = F.count(F.lit(1))
+    cut = df.agg((n - F.ceil(n * F.lit(float(fraction)))).alias("cut")).scalar()
     split = F.when(F.col(position) > cut, F.lit("test")).otherwise(F.lit("train"))
-    return df.join(F.broadcast(size), F.lit(True)).withColumn("split", split).drop("_n")
+    return df.withColumn("split", split)
 
 
 def stratified_folds(
@@ -130,24 +130,21 @@ def bags(
         # Only keys are ranked; the rows themselves move once.
         placed = dense_rows(rows.select(key), key, seed, prefix).join(drawn, "position")
         return rows.join(placed.drop("position"), key)
-    member = [
-        F.struct(F.lit(t).alias("tree_id"), digest(f"{seed}|{t}", F.col(key)).alias("order"))
-        for t in range(trees)
-    ]
-    keyed = rows.select(key, F.explode(F.array(*member)).alias("_m")).select(
-        key, "_m.tree_id", "_m.order"
+    # Each tree's digest of rank ``samples`` is found; a row then knows its trees.
+    orders = [(t, digest(f"{seed}|{t}", F.col(key))) for t in range(trees)]
+    member = F.array(*[F.struct(F.lit(t).alias("tree_id"), o.alias("order")) for t, o in orders])
+    keyed = rows.select(F.explode(member).alias("_m")).select("_m.tree_id", "_m.order")
+    cuts = {t: d[0] for t, d in hash_cuts(keyed, "order", ["tree_id"], lambda *_: [F.lit(samples)], prefix)}
+    one = F.lit(1).cast("bigint")
+    drawn = F.array(
+        *[
+            F.when(o <= F.lit(cuts[t]), F.struct(F.lit(t).alias("tree_id"), one.alias("weight")))
+            for t, o in orders
+            if cuts.get(t) is not None
+        ]
     )
-    ranked = hash_rank(keyed, "order", ["tree_id"], "rank", tie=[key], prefix=prefix)
-    chosen = (
-        ranked.filter(F.col("rank") <= samples)
-        .groupBy(key)
-        .agg(
-            F.array_sort(
-                F.collect_list(F.struct("tree_id", F.lit(1).cast("bigint").alias("weight")))
-            ).alias("bag")
-        )
-    )
-    return rows.join(chosen, key)
+    bagged = rows.withColumn("bag", F.filter(drawn, lambda b: b.isNotNull()))
+    return bagged.filter(F.size("bag") > 0)
 
 
 def subspaces(spark, trees: int, n_features: int, per_tree: int, seed) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Features up to which a scaling is written out term by term.
+UNROLLED = 128
+
 
 def to_long(df: DataFrame, *keep: str, features: str = "features") -> DataFrame:
     """One row per (row, feature): ``keep…, feature INT, value DOUBLE``."""
@@ -29,53 +32,36 @@ def feature_stats(df: DataFrame, features: str = "features") -> DataFrame:
     )
 
 
-def stats_row(stats: DataFrame) -> DataFrame:
-    """The statistics as one row of arrays ordered by feature.
+def _scaled(df: DataFrame, stats: DataFrame, names: tuple[str, str], make, features: str) -> DataFrame:
+    """Map every feature with two of its statistics.
 
-    One group, but of m rows only: m is the number of features.
+    Runs a job that returns one row per feature.  Vectors of usual width are
+    written out term by term, which keeps them in compiled code.
     """
-    ordered = F.array_sort(F.collect_list(F.struct("feature", "mean", "std", "min", "max")))
-    names = ("mean", "std", "min", "max")
-    return stats.agg(ordered.alias("_s")).select(
-        *[F.col("_s").getField(n).alias(f"_{n}") for n in names]
-    )
-
-
-def _apply(df: DataFrame, stats: DataFrame, make, features: str) -> DataFrame:
-    one = F.broadcast(stats_row(stats))  # always a single row of 4 x m doubles
-    joined = df.join(one, F.lit(True))
-    return joined.withColumn(features, make(F.col(features))).drop("_mean", "_std", "_min", "_max")
+    known = sorted((r["feature"], r[names[0]], r[names[1]]) for r in stats.collect())
+    x = F.col(features)
+    if len(known) <= UNROLLED:
+        out = F.array(*[make(F.get(x, F.lit(i)), F.lit(a), F.lit(b)) for i, a, b in known])
+    else:
+        first, second = (F.lit([k[p] for k in known]) for p in (1, 2))
+        out = F.transform(x, lambda v, i: make(v, F.get(first, i), F.get(second, i)))
+    return df.withColumn(features, out)
 
 
 def zscore(df: DataFrame, stats: DataFrame, features: str = "features") -> DataFrame:
     """(x - mean) / std with the given statistics; a constant feature gives NULL."""
-
-    def scaled(x: Column) -> Column:
-        return F.transform(
-            x,
-            lambda v, i: F.try_divide(v - F.get(F.col("_mean"), i), F.get(F.col("_std"), i)),
-        )
-
-    return _apply(df, stats, scaled, features)
+    return _scaled(
+        df, stats, ("mean", "std"), lambda v, mean, std: F.try_divide(v - mean, std), features
+    )
 
 
 def minmax(df: DataFrame, stats: DataFrame, features: str = "features") -> DataFrame:
     """(x - min) / (max - min); unseen rows may leave [0, 1]."""
-
-    def scaled(x: Column) -> Column:
-        low, high = F.col("_min"), F.col("_max")
-        return F.transform(
-            x, lambda v, i: F.try_divide(v - F.get(low, i), F.get(high, i) - F.get(low, i))
-        )
-
-    return _apply(df, stats, scaled, features)
+    return _scaled(
+        df, stats, ("min", "max"), lambda v, low, high: F.try_divide(v - low, high - low), features
+    )
 
 
 def center(df: DataFrame, stats: DataFrame, features: str = "features") -> DataFrame:
     """x - mean."""
-    return _apply(
-        df,
-        stats,
-        lambda x: F.transform(x, lambda v, i: v - F.get(F.col("_mean"), i)),
-        features,
-    )
+    return _scaled(df, stats, ("mean", "std"), lambda v, mean, _: v - mean, features)

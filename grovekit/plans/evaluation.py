@@ -285,7 +285,7 @@ def submission_report(
         fixed = joined.withColumn("original", F.col("answer"))
     inside = F.col("_in").isNotNull()
     blank = F.col("answer").isNull() | (F.col("answer") == "")
-    total = expected.agg(F.count(F.lit(1)).alias("_expected"))
+    total = expected.agg(F.count(F.lit(1)).alias("n")).scalar()
     report = (
         fixed.groupBy("experiment")
         .agg(
@@ -295,7 +295,7 @@ def submission_report(
             F.sum((inside & blank).cast("bigint")).alias("blank"),
             F.size(F.collect_set(F.coalesce("backend", F.lit("None")))).alias("backends"),
         )
-        .join(F.broadcast(total), F.lit(True))
+        .withColumn("_expected", total)
         .select(
             "experiment",
             submission_name(F.col("experiment")).alias("file"),

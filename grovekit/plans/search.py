@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from grovekit.functions.labels import config_key, lda_from_text, split_from_label, split_label
 from grovekit.operators.forest import ForestParams, fit_forest, predict_forest
 from grovekit.operators.metrics import accuracy
+from grovekit.operators.ranking import running_totals
 from grovekit.operators.sampling import (
     random_subset,
     stratified_folds,
@@ -138,6 +139,25 @@ def running_mean(steps: DataFrame, trial: str = "number", step: str = "step", ac
     return steps.withColumn("running_mean", F.avg(acc).over(w))
 
 
+def exact_median(df: DataFrame, group: str, value: str, spread: bool = False) -> DataFrame:
+    """``group, n, median`` from counts per distinct value, so equal values meet early.
+
+    ``spread`` sorts groups of any size across tasks instead of one task each.
+    """
+    counts = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("c"))
+    run = running_totals(counts, [group], value, {"upto": F.col("c")}, grand="all_", spread=spread)
+    n, last = F.col("all_upto"), F.col("upto")
+
+    def holds(position: Column) -> Column:
+        return (position > last - F.col("c")) & (position <= last)
+
+    low, high = holds(F.floor((n + 1) / 2)), holds(F.floor((n + 2) / 2))
+    return run.groupBy(group).agg(
+        F.max(n).alias("n"),
+        ((F.max(F.when(low, F.col(value))) + F.max(F.when(high, F.col(value)))) / 2).alias("median"),
+    )
+
+
 def median_pruned(
     steps: DataFrame, startup: int = 10, warmup: int = 0, trial: str = "number", step: str = "step"
 ) -> DataFrame:
@@ -150,9 +170,7 @@ def median_pruned(
     w = Window.partitionBy(trial).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
     best = steps.withColumn("best_so_far", F.max("running_mean").over(w))
     complete = steps.filter(F.col("state") == "COMPLETE")
-    medians = complete.groupBy(step).agg(
-        F.percentile("running_mean", F.lit(0.5)).alias("median"), F.count(F.lit(1)).alias("_n")
-    )
+    medians = exact_median(complete, step, "running_mean").withColumnRenamed("n", "_n")
     cut = (
         (F.col("_n") >= startup)
         & (F.col(step) > warmup)

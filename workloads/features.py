@@ -171,9 +171,9 @@ def class_bipartitions(spark, sf):
 )
 def distance_to_centroid(spark, sf):
     rows = embedding_rows(spark, sf)
-    centre = stats.stats_row(stats.feature_stats(rows)).select("_mean")
-    d = vectors.euclidean(F.col("features"), F.col("_mean"))
-    return rows.join(F.broadcast(centre), F.lit(True)).select("vec_id", F.round(d, 6).alias("distance"))
+    means = stats.feature_stats(rows).orderBy("feature").select("mean").collect()
+    d = vectors.euclidean(F.col("features"), F.lit([r["mean"] for r in means]))
+    return rows.select("vec_id", F.round(d, 6).alias("distance"))
 
 
 @query(
@@ -288,7 +288,7 @@ def _rank(seed, key, partition=""):
       <= round_even(count(*) OVER (PARTITION BY label) * 0.25, 0) THEN 'test' ELSE 'train' END AS split FROM li""",
 )
 def stratified_holdout(spark, sf):
-    return sampling.stratified_holdout(lineitem_rows(spark, sf), "row_key").select("row_key", "label", "split")
+    return sampling.stratified_holdout(lineitem_rows(spark, sf, busy=True), "row_key").select("row_key", "label", "split")
 
 
 @query(
@@ -296,7 +296,7 @@ def stratified_holdout(spark, sf):
     f"WITH {LI} SELECT row_key, label, (({_rank(42, 'row_key', 'label')} - 1) % 3)::INT AS fold FROM li",
 )
 def stratified_folds(spark, sf):
-    return sampling.stratified_folds(lineitem_rows(spark, sf), "row_key").select("row_key", "label", "fold")
+    return sampling.stratified_folds(lineitem_rows(spark, sf, busy=True), "row_key").select("row_key", "label", "fold")
 
 
 @query(
@@ -304,7 +304,7 @@ def stratified_folds(spark, sf):
     f"WITH {LI} SELECT row_key, (ntile(5) OVER (ORDER BY md5('42|' || row_key), row_key) - 1)::INT AS fold FROM li",
 )
 def plain_folds(spark, sf):
-    return sampling.plain_folds(lineitem_rows(spark, sf), "row_key").select("row_key", "fold")
+    return sampling.plain_folds(lineitem_rows(spark, sf, busy=True), "row_key").select("row_key", "fold")
 
 
 @query(
@@ -347,7 +347,7 @@ bag AS (SELECT tree_id, row_key, count(*) AS weight FROM draws JOIN pos USING (p
 
 @query("bag_rows", f"WITH {LI}, {BAG} SELECT row_key, tree_id, weight FROM bag")
 def bag_rows(spark, sf):
-    rows = lineitem_rows(spark, sf)
+    rows = lineitem_rows(spark, sf, busy=True)
     n = rows.count()
     bagged = sampling.bags(rows, "row_key", 3, n // 2, n, True, "bag")
     return bagged.select("row_key", F.explode("bag").alias("b")).select("row_key", "b.*")
@@ -361,7 +361,7 @@ def bag_rows(spark, sf):
       PARTITION BY tree_id ORDER BY md5('bag|' || tree_id || '|' || row_key), row_key) <= n // 2""",
 )
 def bag_rows_once(spark, sf):
-    rows = lineitem_rows(spark, sf)
+    rows = lineitem_rows(spark, sf, busy=True)
     n = rows.count()
     bagged = sampling.bags(rows, "row_key", 3, n // 2, n, False, "bag")
     return bagged.select("row_key", F.explode("bag").alias("b")).select("row_key", "b.*")

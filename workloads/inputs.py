@@ -20,15 +20,20 @@ GATES = ("and", "or", "nand", "nor", "xor", "xnor")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def busy_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """For work that is heavy per row: a table of few splits is dealt out to all cores."""
     return read_table(spark, f"{sf}/{name}.parquet")
 
 
 # lineitem ------------------------------------------------------------------
 
 
-def lineitem_rows(spark: SparkSession, sf: str) -> DataFrame:
+def lineitem_rows(spark: SparkSession, sf: str, busy: bool = False) -> DataFrame:
     """``row_key, features, label, status``; the key is the md5 of the whole row."""
-    li = table(spark, sf, "lineitem")
+    li = (busy_table if busy else table)(spark, sf, "lineitem")
 
     def cents(c: str) -> Column:
         return F.round(F.col(c) * 100).cast("bigint")
@@ -88,7 +93,7 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     Even documents get a count question, odd ones an output question; labelled
     documents are the labelled pool, the others the test items.
     """
-    docs = table(spark, sf, "documents")
+    docs = busy_table(spark, sf, "documents")
     labelled = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("labelled"))
     n = F.col("n_chars")
     gate = F.get(F.array(*[F.lit(g) for g in GATES]), (n % 6).cast("int"))
