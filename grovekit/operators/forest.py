@@ -25,11 +25,15 @@ from grovekit.operators.metrics import class_counts
 from grovekit.operators.moments import dense
 from grovekit.operators.sampling import bags, subspaces
 from grovekit.operators.splits import (
+    MAX_RANGES,
+    RANGED_ROWS,
     VALUES_PER_TASK,
     best_split,
     class_table,
     needs_spread,
     threshold_gains,
+    value_ranges,
+    with_range,
 )
 from grovekit.session import BROADCAST_LIMIT_BYTES, local_table, materialize
 
@@ -154,6 +158,12 @@ def grow(
         for tree, maps in oblique.lda_maps(root, params.lda).items():
             bases[tree].maps = maps
 
+    ranges = None
+    largest = max((sum(c) for c in known.values()), default=0)
+    if params.split == "orthogonal" and params.lda is None and largest > RANGED_ROWS:
+        cuts = list(value_ranges(rows, largest).items())
+        table = local_table(spark, cuts, "axis int, cuts array<double>")
+        ranges = _small(table, len(cuts), 8 * MAX_RANGES)
     nodes: list[tuple] = []
 
     def leaf(tree: int, node: int, c: list[int]) -> None:
@@ -180,7 +190,7 @@ def grow(
         alive = _small(totals, len(active), 16 + 8 * k)
         here = here.join(alive.select("tree_id", "node_id"), ["tree_id", "node_id"])
         best, as_axis = _split_level(
-            here, alive, columns, work, bases, classes, params, active
+            here, alive, columns, work, bases, classes, params, active, ranges
         )
         found = {(r["tree_id"], r["node_id"]): r for r in best.collect()}  # one row per node
         following = {}
@@ -214,7 +224,7 @@ def _tree_columns(spark: SparkSession, spaces: dict[int, list[int]], trees: int)
     return _small(table, trees, 16 + 4 * width)
 
 
-def _split_level(here, totals, columns, work, bases, classes, params, active):
+def _split_level(here, totals, columns, work, bases, classes, params, active, ranges):
     """Best split per active node, and whether its axis is a raw feature."""
     group = ["tree_id", "node_id"]
     spark = here.sparkSession
@@ -228,12 +238,18 @@ def _split_level(here, totals, columns, work, bases, classes, params, active):
             .withColumn("value", F.get("features", F.col("axis")))
             .drop("features")
         )
-        spread = large and needs_spread(projected, [*group, "axis"])
-        table = class_table(projected, [*group, "axis"], classes, "weight")
+        keys = [*group, "axis"]
+        table = class_table(projected, keys, classes, "weight")
+        if ranges is not None:
+            gains = threshold_gains(
+                with_range(table, "axis", ranges), keys, len(classes), params.gain,
+                params.candidates, False, totals, group, "_range",
+            )
+            return best_split(gains, [*keys, "_range"], group, len(classes)), True
         gains = threshold_gains(
-            table, [*group, "axis"], len(classes), params.gain, params.candidates, spread, totals, group
+            table, keys, len(classes), params.gain, params.candidates, False, totals, group
         )
-        return best_split(gains, [*group, "axis"], group, len(classes)), True
+        return best_split(gains, keys, group, len(classes)), True
 
     working = here.join(columns, "tree_id").withColumn("work", work)
     if params.lda is not None:

@@ -152,6 +152,7 @@ def running_totals(
     following: str | None = None,
     grand: str | None = None,
     spread: bool = False,
+    part: str | None = None,
 ) -> DataFrame:
     """Running sums of ``totals`` inside ``groups`` in the order of ``order``.
 
@@ -159,10 +160,11 @@ def running_totals(
     a prefix for columns with the group's full sums.  With ``spread`` the
     groups may be of any size: rows are range-sorted by (groups, order),
     written once, summed inside each sorted partition and shifted by the
-    totals of the group's earlier partitions.
+    totals of the group's earlier partitions.  ``part`` names a column that
+    already cuts each group in consecutive parts; then nothing is written.
     """
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if not spread:
+    if not spread and part is None:
         w = Window.partitionBy(*groups).orderBy(order)
         cols = {name: F.sum(c).over(w.rowsBetween(*upto)) for name, c in totals.items()}
         if grand:
@@ -172,20 +174,20 @@ def running_totals(
             cols[following] = F.lead(order).over(w)
         return df.withColumns(cols)
 
-    parts = materialize(
-        df.withColumns({f"_v_{n}": c for n, c in totals.items()})
-        .orderBy(*groups, order)
-        .withColumn("_part", F.spark_partition_id())
-    )
-    per_part = parts.groupBy(*groups, "_part").agg(
+    parts = df.withColumns({f"_v_{n}": c for n, c in totals.items()})
+    if part is None:
+        part = "_part"
+        placed = parts.orderBy(*groups, order).withColumn(part, F.spark_partition_id())
+        parts = materialize(placed)
+    per_part = parts.groupBy(*groups, part).agg(
         F.min(order).alias("_first"),
         *[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in totals],
     )
-    across = Window.partitionBy(*groups).orderBy("_part")
+    across = Window.partitionBy(*groups).orderBy(part)
     whole = Window.partitionBy(*groups)
     shifts = per_part.select(
         *groups,
-        "_part",
+        part,
         *[F.sum(f"_s_{n}").over(whole).alias(grand + n) for n in totals if grand],
         F.lead("_first").over(across).alias("_next_first"),
         *[
@@ -195,8 +197,8 @@ def running_totals(
             for n in totals
         ],
     )
-    w = Window.partitionBy(*groups, "_part").orderBy(order)
-    joined = parts.join(shifts, [*groups, "_part"])
+    w = Window.partitionBy(*groups, part).orderBy(order)
+    joined = parts.join(shifts, [*groups, part])
     cols = {n: F.sum(f"_v_{n}").over(w.rowsBetween(*upto)) + F.col(f"_b_{n}") for n in totals}
     if following:
         cols[following] = F.coalesce(F.lead(order).over(w), F.col("_next_first"))
@@ -204,12 +206,6 @@ def running_totals(
     return joined.withColumns(cols).drop(*helpers)
 
 
-def top_by(df: DataFrame, keys: Sequence[str], order: Column, keep: Sequence[str]) -> DataFrame:
-    """The row of least ``order`` per key, as a partial aggregate (no sort, no window)."""
-    best = F.min_by(F.struct(*keep), order)
-    return df.groupBy(*keys).agg(best.alias("_best")).select(*keys, "_best.*")
-
-
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Keep the record of greatest ``order`` per key."""
     rest = [c for c in df.columns if c not in keys]

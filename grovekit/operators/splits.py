@@ -20,6 +20,11 @@ from grovekit.operators.ranking import running_totals
 # Distinct values of one projection that a single task sorts; above it the
 # projection is sorted across tasks.
 VALUES_PER_TASK = 2_000_000
+# Rows from which features are cut in value ranges, how many rows a range
+# should hold, and the most ranges of a feature.
+RANGED_ROWS = 400_000
+ROWS_PER_RANGE = 100_000
+MAX_RANGES = 1024
 
 CANDIDATES = ("midpoint", "value")
 GAIN_PLACES = 12
@@ -46,13 +51,14 @@ def threshold_gains(
     spread: bool = False,
     totals: DataFrame | None = None,
     totals_on: Sequence[str] = (),
+    part: str | None = None,
 ) -> DataFrame:
     """``keys…, value, th, gain, l0…, n0…`` for every valid candidate threshold.
 
     l* are the class counts at or below the threshold, n* those of the whole
     group.  The largest value is no candidate, since nothing lies above it.
     ``totals`` (``totals_on…, n0…``) gives the n* where they are known, which
-    saves a pass over each group.
+    saves a pass over each group.  ``part`` names a column of value ranges.
     """
     if candidates not in CANDIDATES:
         raise ValueError(f"unknown candidates {candidates!r}")
@@ -65,6 +71,7 @@ def threshold_gains(
         following="_next",
         grand=None if totals is not None else "n_",
         spread=spread,
+        part=part,
     ).filter(F.col("_next").isNotNull())
     if totals is not None:
         summed = summed.join(totals, list(totals_on))
@@ -79,6 +86,7 @@ def threshold_gains(
     th = F.col("value") if candidates == "value" else (F.col("value") + F.col("_next")) / 2.0
     return staged.select(
         *keys,
+        *([part] if part else []),
         "value",
         th.alias("th"),
         measured.alias("gain"),
@@ -108,6 +116,25 @@ def best_split(gains: DataFrame, keys: Sequence[str], group: Sequence[str], n_cl
     return rising.groupBy(*group).agg(F.min_by(kept, order).alias("_b")).select(*group, "_b.*")
 
 
+def value_ranges(rows: DataFrame, n_rows: int) -> dict[int, list[float]]:
+    """Cut points per feature that deal its rows into ranges of similar size.
+
+    One job with a mergeable sketch; what comes back is bounded by the number
+    of features times MAX_RANGES.  Any cut points give the same splits.
+    """
+    n = min(MAX_RANGES, max(2, -(-n_rows // ROWS_PER_RANGE)))
+    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
+    long = rows.select(F.posexplode("features").alias("feature", "value"))
+    cuts = long.groupBy("feature").agg(F.percentile_approx("value", shares, 10 * n).alias("cuts"))
+    return {r["feature"]: sorted(set(r["cuts"])) for r in cuts.collect()}
+
+
+def with_range(table: DataFrame, axis: str, cuts: DataFrame, out: str = "_range") -> DataFrame:
+    """Adds the number of cut points below a row's value; ``cuts`` has axis, cuts."""
+    below = F.size(F.filter("cuts", lambda c: c < F.col("value")))
+    return table.join(cuts, axis).withColumn(out, below).drop("cuts")
+
+
 def needs_spread(projected: DataFrame, keys: Sequence[str]) -> bool:
     """True when some projection has more distinct values than one task should sort.
 

@@ -72,6 +72,15 @@ def test_spread_totals_equal_window(spark):
     assert sorted(map(tuple, near.collect()), key=str) == sorted(map(tuple, far.collect()), key=str)
 
 
+def test_value_ranges_change_no_split(spark, monkeypatch):
+    rows, _, _ = blobs(spark, n=240, spread=4.0)
+    params = fo.ForestParams(trees=2, max_depth=3, gain="entropy", features_per_tree=3, samples_per_tree=200)
+    plain = fo.fit_forest(rows, "row_key", 4, params).rows
+    monkeypatch.setattr(fo, "RANGED_ROWS", 10)
+    monkeypatch.setattr(splits, "ROWS_PER_RANGE", 30)
+    assert fo.fit_forest(rows, "row_key", 4, params).rows == plain
+
+
 def test_hash_rank_is_a_global_row_number(spark):
     df = spark.range(500).select("id", (F.col("id") % 3 == 0).alias("g"), F.md5(F.col("id").cast("string")).alias("h"))
     df = df.withColumn("g", F.when(F.col("id") % 7 > 0, F.col("g")))  # a NULL group keeps its rows
