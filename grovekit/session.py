@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -31,20 +33,27 @@ def local_session(app: str = "grovekit", cores: str = "8", shuffle: str = "8") -
     )
 
 
+# Folders of local sessions that were given none, by application; removed when Python ends.
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder; on a cluster a
-    machine-local path would be lost with the machine.
+    Only a local session may go without: it gets a temporary folder, which is
+    removed at exit.  On a cluster a machine-local path would be lost with the
+    machine, so there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="grovekit-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="grovekit-")
+        atexit.register(shutil.rmtree, _local_folders[app], ignore_errors=True)
+    return _local_folders[app]
 
 
 def materialize(df: DataFrame) -> DataFrame:
