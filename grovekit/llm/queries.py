@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from grovekit.llm import quality
+from grovekit.llm import lines, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +36,33 @@ def quality_rules(spark, sf_dir):
     judged = quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *counts, "base_failed", "kept", "anomaly")
+
+
+LINES_SQL = r"""lines AS (
+  SELECT doc_id, unnest(range(len(ls))) AS i, unnest(ls) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {docs})),
+worded AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j FROM lines
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+pairs AS (
+  SELECT doc_id, j, line, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM worded),
+later AS (
+  SELECT doc_id, j FROM (
+    SELECT *, row_number() OVER (PARTITION BY line, after ORDER BY doc_id, j) AS copy
+    FROM pairs WHERE after IS NOT NULL) WHERE copy > 1),
+gone AS (
+  SELECT DISTINCT doc_id, i FROM worded SEMI JOIN (SELECT * FROM later UNION SELECT doc_id, j + 1 FROM later)
+  USING (doc_id, j)),
+left_over AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (g IS NULL), '') AS text,
+    count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) AS n_lines, count(g) AS n_removed
+  FROM lines LEFT JOIN (SELECT doc_id, i, true AS g FROM gone) USING (doc_id, i) GROUP BY doc_id)"""
+
+
+@query(
+    "op7_line_dedup",
+    f"WITH {LINES_SQL.format(docs='documents')} SELECT doc_id, n_lines, n_removed, sha256(text) AS kept_sha256 FROM left_over",
+)
+def line_dedup(spark, sf_dir):
+    kept = lines.dedup_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
