@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import lines, quality
+from grovekit.llm import lines, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -66,3 +66,28 @@ left_over AS (
 def line_dedup(spark, sf_dir):
     kept = lines.dedup_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op5_substring_dedup",
+    r"""WITH docs AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+    wins AS (
+      SELECT doc_id, i, list_slice(ws, i, i + 34) AS win
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM docs)),
+    often AS (SELECT md5(array_to_string(win, ' ')) AS w FROM wins GROUP BY w HAVING count(*) > 1),
+    gone AS (
+      SELECT DISTINCT doc_id, i + d AS i FROM (
+        SELECT doc_id, i FROM wins SEMI JOIN often ON md5(array_to_string(win, ' ')) = w), range(35) AS r(d)),
+    words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM docs),
+    kept AS (
+      SELECT doc_id, count(*) AS n_words, count(g) AS n_removed,
+        string_agg(word, ' ' ORDER BY i) FILTER (g IS NULL) AS left_over
+      FROM words LEFT JOIN (SELECT doc_id, i, true AS g FROM gone) USING (doc_id, i) GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+      sha256(coalesce(left_over, '')) AS kept_sha256
+    FROM documents LEFT JOIN kept USING (doc_id)""",
+)
+def substring_dedup(spark, sf_dir):
+    kept = substrings.dedup_substrings(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
