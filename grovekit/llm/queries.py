@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import lines, quality, substrings
+from grovekit.llm import jaccard, lines, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -91,3 +91,8 @@ def line_dedup(spark, sf_dir):
 def substring_dedup(spark, sf_dir):
     kept = substrings.dedup_substrings(documents(spark, sf_dir))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op2_ngram_jaccard_join")
+def ngram_jaccard_join(spark, sf_dir):
+    return jaccard.join_documents(documents(spark, sf_dir)).drop("f")
