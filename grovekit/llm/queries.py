@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import jaccard, lines, quality, substrings
+from grovekit.llm import jaccard, lines, packing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -96,3 +97,9 @@ def substring_dedup(spark, sf_dir):
 @query("op2_ngram_jaccard_join")
 def ngram_jaccard_join(spark, sf_dir):
     return jaccard.join_documents(documents(spark, sf_dir)).drop("f")
+
+
+@query("op6_packing")
+def packing_query(spark, sf_dir):
+    pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
+    return pieces.drop("ids")
