@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import jaccard, lines, packing, quality, substrings
+from grovekit.llm import huffman, jaccard, lines, packing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -103,3 +103,8 @@ def ngram_jaccard_join(spark, sf_dir):
 def packing_query(spark, sf_dir):
     pieces = packing.pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), keep_ids=False)
     return pieces.drop("ids")
+
+
+@query("op3_token_files")
+def token_files(spark, sf_dir):
+    return huffman.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2).drop("ids")
