@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import huffman, jaccard, lines, packing, quality, substrings
+from grovekit.llm import contamination, huffman, jaccard, lines, packing, quality, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -108,3 +108,9 @@ def packing_query(spark, sf_dir):
 @query("op3_token_files")
 def token_files(spark, sf_dir):
     return huffman.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2).drop("ids")
+
+
+@query("op4_benchmark_decontamination")
+def benchmark_decontamination(spark, sf_dir):
+    """One row for each passage of a benchmark item found in a document."""
+    return contamination.find_passages(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("f")
