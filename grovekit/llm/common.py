@@ -51,6 +51,13 @@ def on_key(left: DataFrame, right: DataFrame, how: str, *names: str) -> DataFram
     return left.join(right, match, how).drop(*spare.values())
 
 
+def rows_by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose ``doc_id, f`` is (``left_semi``) or is not (``left_anti``) in ``keys``."""
+    key = [docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("f")]
+    rows = docs.select(*key, F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    return on_key(rows, keys.select("doc_id", "f").distinct(), how).select("row.*")
+
+
 def parts(df: DataFrame, rows: int, per_part: int) -> int:
     """How many partitions hold ``rows`` at ``per_part`` each, and keep every core busy."""
     return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_part))

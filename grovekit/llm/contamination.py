@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.llm.common import Ids, keyed, on_key, windows
+from grovekit.llm.common import Ids, keyed, rows_by_key, windows
 
 MATCHES = "doc_id long, f long, item_id long, start int, n_words int, distance int"
 EDGES = b"\"'()[]{}<>.,;:!?-*_`"
@@ -286,8 +286,4 @@ def find_passages(
 
 def decontaminate(docs: DataFrame, items: DataFrame, params: LshParams = LshParams()) -> DataFrame:
     """The rows of ``docs`` without a passage of an item, with all their columns."""
-    found = find_passages(docs, items, params).select("doc_id", "f").distinct()
-    gone = found.withColumnsRenamed({"doc_id": "gone_id", "f": "gone_f"})
-    match = docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"])
-    match &= F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["gone_f"]
-    return docs.join(gone, match, "left_anti")
+    return rows_by_key(docs, find_passages(docs, items, params), "left_anti")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.llm.common import Ids, keyed, mix, on_key, signed, windows, written
+from grovekit.llm.common import Ids, keyed, mix, on_key, rows_by_key, signed, windows, written
 from grovekit.llm.components import components
 
 BUCKETS, SLICE = 1 << 20, 1 << 12
@@ -227,7 +227,11 @@ def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 
 def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, f, n_shingles, component_id`` of every row; the component's id is its lowest ``doc_id``."""
+    """``doc_id, f, n_shingles, component_id, root`` of every row.
+
+    The component's id is its lowest ``doc_id``; ``root`` tells components apart, also where ids are null, and is null
+    for an empty set.
+    """
     ids, sketch = set_ids(docs, size)
     classes = written(
         ids.filter("n > 0")
@@ -256,10 +260,19 @@ def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
         "c", "c2", "low", F.coalesce("root", "c").alias("root")
     )
     least = whole.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = whole.join(least, "root").select("c", "c2", "component_id")
+    named = whole.join(least, "root").select("c", "c2", "component_id", "root")
     return ids.join(named, ["c", "c2"], "left").select(
         "doc_id",
         "f",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "root",
     )
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that come first (by id) in their component; all without words stay."""
+    placed = written(join_documents(docs, size, percent))
+    first = placed.filter("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "f")).alias("first"))
+    alone = placed.filter("root is null").select("doc_id", "f")
+    return rows_by_key(docs, first.select("first.*").union(alone), "left_semi")

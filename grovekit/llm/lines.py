@@ -79,27 +79,30 @@ def later_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """``doc_id, f, text, n_lines, n_removed, runs``: what is left of every row, and the deleted runs in order."""
+    """``row, doc_id, f, text, n_lines, n_removed, runs``: what is left of every row, and the deleted runs in order.
+
+    ``row`` holds the columns of ``docs``.
+    """
     run = F.struct(F.col("start").cast("int").alias("start"), F.col("length").cast("int").alias("length"))
     runs = later_lines(docs, min_lines).groupBy("doc_id", "f").agg(F.sort_array(F.collect_list(run)).alias("runs"))
-    rows = on_key(keyed(docs), runs, "left")
+    text = F.coalesce(docs["text"], F.lit(""))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        docs["doc_id"].cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("f"),
+        text.alias("text"),
+    )
+    rows = on_key(rows, runs, "left")
     # One flag for each line up to the last deleted one, so that looking a line up costs the same in any text.
-    flags = F.flatten(
-        F.transform(
-            "runs",
-            lambda r, k: F.concat(
-                F.array_repeat(
-                    F.lit(False),
-                    r["start"]
-                    - F.when(k > 0, F.get("runs", k - 1)["start"] + F.get("runs", k - 1)["length"]).otherwise(0),
-                ),
-                F.array_repeat(F.lit(True), r["length"]),
-            ),
-        )
+    before = lambda k: F.when(k > 0, F.get("runs", k - 1)["start"] + F.get("runs", k - 1)["length"]).otherwise(0)
+    flags = F.transform(
+        "runs",
+        lambda r, k: F.concat(F.array_repeat(F.lit(False), r["start"] - before(k)), F.array_repeat(F.lit(True), r["length"])),
     )
-    rows = rows.withColumns({"lines": F.split("text", "\n"), "gone": flags})
+    rows = rows.withColumns({"lines": F.split("text", "\n"), "gone": F.flatten(flags)})
     kept = F.filter("lines", lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
     return rows.select(
+        "row",
         "doc_id",
         "f",
         F.when(F.col("runs").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
@@ -107,3 +110,15 @@ def dedup_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
         F.coalesce(F.aggregate("runs", F.lit(0).cast("long"), lambda n, r: n + r["length"]), F.lit(0)).alias("n_removed"),
         "runs",
     )
+
+
+def delete_later_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+    """``docs`` with all their columns, ``text`` without later copies (``n_chars`` follows, where there is one).
+
+    Rows of which no line with a word is left go; rows that had none stay as they are.
+    """
+    left = dedup_lines(docs, min_lines).filter("n_removed = 0 or n_removed < n_lines")
+    text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("text"))
+    new = {"text": text, "n_chars": F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("text"))} if "n_chars" in docs.columns else {"text": text}
+    types = dict(docs.dtypes)
+    return left.select(*[new[c].cast(types[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns])

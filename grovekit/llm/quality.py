@@ -23,11 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from grovekit.llm.common import rows_of, written
+from grovekit.llm.common import keyed, rows_by_key, written
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 FEATURES = ("word_length", "root_symbol_share", "dup_line_share", "repeat_share")
-STATS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+STATS = "doc_id long, f long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 SCHEMA = STATS + ", features array<double>"
 
 
@@ -82,22 +82,23 @@ def measure(text: str) -> tuple[list[int], list[float]]:
 
 
 def rule_stats(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, features`` of every row."""
+    """``doc_id, f, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, features`` of every row."""
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            found = [measure(t) for t in part.column(1).to_pylist()]
+            found = [measure(t) for t in part.column(2).to_pylist()]
             counts = np.array([x[0] for x in found], np.int64).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0),
+                    part.column(1),
                     *[pa.array(counts[:, i]) for i in range(5)],
                     pa.array([x[1] for x in found], pa.list_(pa.float64())),
                 ],
-                ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "features"],
+                ["doc_id", "f", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "features"],
             )
 
-    return rows_of(docs).mapInArrow(count, SCHEMA)
+    return keyed(docs).mapInArrow(count, SCHEMA)
 
 
 def base_rule() -> Column:
@@ -231,3 +232,8 @@ def judge(docs: DataFrame, labels: DataFrame, params: ForestParams = ForestParam
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("anomaly") <= limit))
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, params: ForestParams = ForestParams()) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns."""
+    return rows_by_key(docs, judge(docs, labels, params).filter("kept"), "left_semi")

@@ -96,7 +96,7 @@ def substring_dedup(spark, sf_dir):
 
 @query("op2_ngram_jaccard_join")
 def ngram_jaccard_join(spark, sf_dir):
-    return jaccard.join_documents(documents(spark, sf_dir)).drop("f")
+    return jaccard.join_documents(documents(spark, sf_dir)).drop("f", "root")
 
 
 @query("op6_packing")

@@ -23,7 +23,7 @@ from grovekit.llm.common import Ids, covered, keyed, on_key, parts, runs, signed
 from grovekit.llm.superkmers import shared_segments
 
 PACKED = "h long, p long, times int, payload binary, at int, w1 long, w2 long"
-PER_TASK = 100_000
+PER_TASK = 20_000
 
 
 def packed_strings(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
