@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import contamination, huffman, jaccard, lines, packing, quality, substrings
+from grovekit.llm import contamination, huffman, jaccard, lines, packing, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -114,3 +114,8 @@ def token_files(spark, sf_dir):
 def benchmark_decontamination(spark, sf_dir):
     """One row for each passage of a benchmark item found in a document."""
     return contamination.find_passages(documents(spark, sf_dir), table(spark, sf_dir, "benchmark")).drop("f")
+
+
+@query("op8_toxicity")
+def toxicity_query(spark, sf_dir):
+    return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("spans")
