@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import contamination, huffman, jaccard, lines, packing, quality, substrings, toxicity
+from grovekit.llm import contamination, huffman, jaccard, licenses, lines, packing, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -119,3 +119,31 @@ def benchmark_decontamination(spark, sf_dir):
 @query("op8_toxicity")
 def toxicity_query(spark, sf_dir):
     return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels")).drop("spans")
+
+
+def _licenses_sql() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    values = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in licenses.TEMPLATES.items())
+    return f"""WITH t(license, text) AS (VALUES {values}),
+    tw AS (SELECT license, regexp_extract_all(lower(text), '[a-z0-9]+') AS ws FROM t),
+    ts AS (
+      SELECT DISTINCT license, array_to_string(list_slice(ws, i, i + 4), ' ') AS sh
+      FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM tw)),
+    tm AS (
+      SELECT license, count(*) AS n, CAST(2 ** ceil(log2(count(*))) AS BIGINT) AS step FROM ts GROUP BY license),
+    dw AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS ws FROM documents),
+    ds AS (
+      SELECT doc_id, i - 1 AS i, array_to_string(list_slice(ws, i, i + 4), ' ') AS sh
+      FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM dw)),
+    hits AS (SELECT doc_id, license, i, sh, n, step FROM ds JOIN ts USING (sh) JOIN tm USING (license)),
+    wins AS (
+      SELECT doc_id, license, n, k * step AS start, count(DISTINCT sh) AS common
+      FROM (SELECT *, i // step - d AS k FROM hits, range(2) AS r(d)) WHERE k >= 0
+      GROUP BY doc_id, license, n, k, step HAVING 100 * count(DISTINCT sh) >= 80 * n)
+    SELECT doc_id, license, n AS n_shingles, max(common) AS n_common, min(start) AS first_window, count(*) AS n_windows
+    FROM wins GROUP BY doc_id, license, n"""
+
+
+@query("op10_license_scan", _licenses_sql())
+def license_scan(spark, sf_dir):
+    return licenses.find_licenses(documents(spark, sf_dir)).drop("f")
