@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import contamination, huffman, jaccard, licenses, lines, packing, quality, substrings, toxicity
+from grovekit.llm import contamination, huffman, jaccard, licenses, lines, packing, quality, substrings, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -147,3 +147,9 @@ def _licenses_sql() -> str:
 @query("op10_license_scan", _licenses_sql())
 def license_scan(spark, sf_dir):
     return licenses.find_licenses(documents(spark, sf_dir)).drop("f")
+
+
+@query("op1_suffix_array_dedup")
+def suffix_array_dedup(spark, sf_dir):
+    kept = suffixes.dedup_suffixes(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

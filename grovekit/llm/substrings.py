@@ -12,7 +12,7 @@ no windows.  Repeated rows are copies of each other, also with one id; null ids
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,30 +20,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovekit.llm.common import Ids, covered, keyed, on_key, parts, runs, signed, windows, written
-from grovekit.llm.superkmers import shared_segments
+from grovekit.llm.superkmers import BYTE_IDS, shared_segments
 
 PACKED = "h long, p long, times int, payload binary, at int, w1 long, w2 long"
 PER_TASK = 20_000
 
 
-def packed_strings(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """The text of the ``wanted`` super-k-mers: packed for a bucket, or window by window where ``hot``."""
+def packed_strings(docs: DataFrame, wanted: DataFrame, k: int, by_words: bool) -> DataFrame:
+    """The text of the ``wanted`` runs of windows: packed for a bucket, or window by window where ``hot``."""
     at = F.struct("start", "n", "h", "p", "times", "hot")
     lists = wanted.groupBy("doc_id", "f").agg(F.collect_list(at).alias("wanted"))
     rows = on_key(keyed(docs), lists, "inner").select("text", "wanted")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fingerprint = Ids()
+        ids_of = packed_ids(by_words)
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
             for text, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = text.encode().split()
+                whole = text.encode().split() if by_words else text.encode()
                 for a in asked:
-                    piece = words[a["start"] : a["start"] + a["n"] + k - 1]
+                    piece = whole[a["start"] : a["start"] + a["n"] + k - 1]
+                    piece = b" ".join(piece) if by_words else piece
                     if not a["hot"]:
-                        rows = [(b" ".join(piece), 0, 0, 0)]
+                        rows = [(piece, 0, 0, 0)]
                     else:
-                        ids = fingerprint(piece)
+                        ids = ids_of(piece)
                         w1, w2 = signed(windows(ids, k, 2)), signed(windows(ids, k, 3))
                         rows = [(None, i, x, y) for i, (x, y) in enumerate(zip(w1.tolist(), w2.tolist()))]
                     for r in rows:
@@ -58,14 +59,20 @@ def packed_strings(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     return rows.mapInArrow(cut, PACKED)
 
 
-def count_in_buckets(packed: DataFrame, k: int, buckets: int) -> DataFrame:
-    """``h, p, at``: windows of single super-k-mers that sorting finds again in their bucket."""
+def packed_ids(by_words: bool) -> Callable[[bytes], np.ndarray]:
+    """Fingerprints of the words, or bytes, of a packed string."""
+    words = Ids()
+    return (lambda raw: words(raw.split())) if by_words else (lambda raw: BYTE_IDS[np.frombuffer(raw, np.uint8)])
+
+
+def count_in_buckets(packed: DataFrame, k: int, buckets: int, by_words: bool) -> DataFrame:
+    """``h, p, at``: windows of single packed strings that sorting finds again in their bucket."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fingerprint, w1, w2, owner, place, h, p, times = Ids(), [], [], [], [], [], [], []
+        ids_of, w1, w2, owner, place, h, p, times = packed_ids(by_words), [], [], [], [], [], [], []
         for batch in batches:
             for payload in batch.column(3).to_pylist():
-                ids = fingerprint(payload.split())
+                ids = ids_of(payload)
                 w1.append(windows(ids, k, 2))
                 w2.append(windows(ids, k, 3))
                 place.append(np.arange(len(w1[-1]), dtype=np.int32))
@@ -88,9 +95,12 @@ def count_in_buckets(packed: DataFrame, k: int, buckets: int) -> DataFrame:
     return packed.repartition(buckets, "h").mapInArrow(count, "h long, p long, at int")
 
 
-def repeated_windows(docs: DataFrame, k: int, m: int, hot: int) -> DataFrame:
-    """``doc_id, f, first, last``: ranges of window starts whose windows begin elsewhere too."""
-    shared = shared_segments(docs, True, k, m)
+def buckets_of(docs: DataFrame, shared: DataFrame, k: int, hot: int, by_words: bool) -> DataFrame:
+    """``doc_id, f, first, last``: ranges of window starts whose windows begin elsewhere too.
+
+    ``shared`` has runs of windows ``h, p, doc_id, f, start, n, inner``: equal windows have the same bucket ``h``, equal runs
+    the same ``p``; ``inner`` tells that a run repeats one of its own windows.
+    """
     kinds = written(
         shared.groupBy("h", "p").agg(
             F.count("*").alias("times"),
@@ -98,7 +108,7 @@ def repeated_windows(docs: DataFrame, k: int, m: int, hot: int) -> DataFrame:
             F.min(F.struct("doc_id", "f", "start", "n")).alias("one"),
         )
     )
-    # Under a minimiser whose super-k-mers all come twice or more, nothing is left to ask.
+    # In a bucket whose runs all come twice or more, nothing is left to ask.
     asked = (
         kinds.groupBy("h")
         .agg(F.count("*").alias("kinds"), F.min("times").alias("least"), F.max("inner").alias("inner"))
@@ -108,12 +118,12 @@ def repeated_windows(docs: DataFrame, k: int, m: int, hot: int) -> DataFrame:
     wanted = kinds.join(asked, "h").select(
         "h", "p", F.least("times", F.lit(2)).cast("int").alias("times"), "hot", "one.*"
     )
-    packed = written(packed_strings(docs, wanted, k))
+    packed = written(packed_strings(docs, wanted, k, by_words))
     cold, split = packed.filter("payload is not null"), packed.filter("payload is null")
-    found = count_in_buckets(cold, k, parts(docs, cold.count(), PER_TASK))
+    found = count_in_buckets(cold, k, parts(docs, cold.count(), PER_TASK), by_words)
     often = split.groupBy("w1", "w2").agg(F.sum("times").alias("total")).filter("total > 1").select("w1", "w2")
     found = found.union(split.filter("times = 1").join(often, ["w1", "w2"]).select("h", "p", "at"))
-    # A super-k-mer that is found once is the one that stands for it; of the others all windows are repeated.
+    # A run that is found once stands for itself; of the others all windows are repeated.
     single = found.groupBy("h", "p").agg(F.sort_array(F.collect_set("at")).alias("at"))
     single = single.join(kinds.filter("times = 1"), ["h", "p"]).select("one.*", F.explode("at").alias("at"))
     single = single.select("doc_id", "f", (F.col("start") + F.col("at")).alias("first"))
@@ -125,7 +135,7 @@ def repeated_windows(docs: DataFrame, k: int, m: int, hot: int) -> DataFrame:
 
 def dedup_substrings(docs: DataFrame, k: int = 35, m: int = 12, hot: int = 20_000) -> DataFrame:
     """``doc_id, text, n_words, n_removed, spans``: kept words of every row, joined by one space, and removed word runs."""
-    ranges = repeated_windows(docs, k, m, hot)
+    ranges = buckets_of(docs, shared_segments(docs, True, k, m), k, hot, True)
     lists = ranges.groupBy("doc_id", "f").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     rows = on_key(keyed(docs), lists, "left").select("doc_id", "text", "ranges")
 
