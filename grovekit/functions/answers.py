@@ -46,7 +46,8 @@ YES_WORDS = {"yes": "True", "no": "False", "ye\u017f": "False"}
 WORD = r"\p{L}\p{N}_"
 SPACE = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 LINE_END = r"\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}"
-NOT_AFTER_WORD = rf"(?<![{WORD}])"
+# Java looks one UTF-16 unit back unless the class names a character beyond U+FFFF; this one is a digit anyway.
+NOT_AFTER_WORD = f"(?<![{WORD}\U0001d7d8])"
 NOT_BEFORE_WORD = rf"(?![{WORD}])"
 
 ASSIGNMENT = (
@@ -59,11 +60,7 @@ FIRST_LINE = rf"^[^{LINE_END}]*"
 @lru_cache(maxsize=1)
 def _decimal_digits() -> tuple[str, str]:
     """Every non-ASCII decimal digit and the ASCII digit of its value."""
-    chars = [
-        chr(c)
-        for c in range(128, sys.maxunicode + 1)
-        if unicodedata.category(chr(c)) == "Nd" and c < 0x10000
-    ]
+    chars = [chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"]
     return "".join(chars), "".join(str(unicodedata.decimal(c)) for c in chars)
 
 

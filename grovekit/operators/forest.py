@@ -22,7 +22,7 @@ from grovekit.functions.vectors import dot
 from grovekit.operators import oblique
 from grovekit.operators.kernels import KernelMap, apply_kernel_map, fit_kernel_map
 from grovekit.operators.metrics import class_counts
-from grovekit.operators.moments import dense
+from grovekit.operators.moments import complete, dense
 from grovekit.operators.sampling import bags, subspaces
 from grovekit.operators.splits import (
     MAX_RANGES,
@@ -53,6 +53,7 @@ class ForestParams:
     split: str = "orthogonal"
     c: int = 5
     penalty: float = 1.0
+    svm_steps: int = 100
     kernel: str = "linear"
     gain: str = "gini"
     lda: int | None = None
@@ -271,7 +272,7 @@ def _split_level(here, totals, columns, work, bases, classes, params, active, ra
         if params.split == "PCA":
             directions, per_node = oblique.pca_directions(working, bases, params.c), params.c
         else:
-            directions = oblique.svm_directions(working, bases, classes, params.penalty)
+            directions = oblique.svm_directions(working, bases, classes, params.penalty, params.svm_steps)
             per_node = max(1, 2 ** (len(classes) - 1) - 1)
         # One vector per node and axis: collected once, used by the scan and the model.
         found = [tuple(r) for r in directions.collect()]
@@ -299,8 +300,12 @@ def fit_forest(
     classes: Sequence[int] | None = None,
     n_rows: int | None = None,
 ) -> Forest:
-    """Fit on ``key, features, label``.  Runs jobs; see ``grow``."""
+    """Fit on ``key, features, label``.  Runs jobs; see ``grow``.
+
+    Rows without a complete vector are left out; ``n_rows`` counts the others.
+    """
     spark = rows.sparkSession
+    rows = rows.filter(complete())
     if classes is None or n_rows is None:
         counted = class_counts(rows).collect()  # one row per class
         classes = sorted(r["label"] for r in counted)
@@ -340,7 +345,11 @@ def fit_forest(
 
 
 def tree_predictions(forest: Forest, rows: DataFrame, key: str) -> DataFrame:
-    """``key, tree_id, predicted, class_counts``: every tree's leaf for every row."""
+    """``key, tree_id, predicted, class_counts``: every tree's leaf for every row.
+
+    A row without a complete vector has no leaf: ``predicted`` and the counts are NULL.
+    """
+    rows = rows.withColumn("features", F.when(complete(), F.col("features")))
     if forest.kernel_map is not None:
         rows = apply_kernel_map(rows.select(key, "features"), forest.kernel_map)
     trees = sorted({n[0] for n in forest.rows})
@@ -356,7 +365,9 @@ def tree_predictions(forest: Forest, rows: DataFrame, key: str) -> DataFrame:
         forest.spark, leaves, "tree_id int, node_id bigint, predicted int, class_counts array<bigint>"
     )
     joined = at.join(_small(table, len(leaves), 32 + 8 * len(forest.classes)), ["tree_id", "node_id"])
-    return joined.select(key, "tree_id", "node_id", "predicted", "class_counts")
+    known = F.col("features").isNotNull()
+    answer = [F.when(known, F.col(c)).alias(c) for c in ("predicted", "class_counts")]
+    return joined.select(key, "tree_id", "node_id", *answer)
 
 
 def vote(predictions: DataFrame, key: str, classes: Sequence[int], out: str = "predicted") -> DataFrame:
@@ -418,7 +429,7 @@ def _tree_votes(tree: dict[str, np.ndarray], x: np.ndarray, depth: int) -> np.nd
 
 
 def predict_forest(forest: Forest, rows: DataFrame, key: str, out: str = "predicted") -> DataFrame:
-    """Voted prediction per row; ties go to the smallest label.
+    """Voted prediction per row; ties go to the smallest label, and a row without a complete vector gets NULL.
 
     All trees of a row are walked and counted where the row is, so nothing is
     shuffled.  A model too large to send to every task takes the join path.
@@ -436,16 +447,19 @@ def predict_forest(forest: Forest, rows: DataFrame, key: str, out: str = "predic
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = dense(batch.column("features"))
+            known = batch.column("features").is_valid()
+            x = dense(batch.column("features").filter(known))
             votes = np.zeros((len(x), len(classes)), dtype=np.int32)
             rows_at = np.arange(len(x))
             for tree in shared.value:
                 votes[rows_at, _tree_votes(tree, x, depth)] += 1
-            label = pa.array(classes[votes.argmax(axis=1)])
+            at = np.cumsum(known.to_numpy(zero_copy_only=False)) - 1
+            label = pa.array(classes[votes.argmax(axis=1)]).take(pa.array(at, mask=~known.to_numpy(zero_copy_only=False)))
             yield pa.RecordBatch.from_arrays([batch.column(key), label], names=[key, out])
 
     schema = T.StructType([rows.schema[key], T.StructField(out, T.IntegerType())])
-    return rows.select(key, "features").mapInArrow(task, schema)
+    usable = F.when(complete(), F.col("features")).alias("features")
+    return rows.select(key, usable).mapInArrow(task, schema)
 
 
 def predict_tree(forest: Forest, rows: DataFrame, key: str, out: str = "predicted") -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -21,10 +21,26 @@ from pyspark.sql.pandas.types import to_arrow_schema
 FLUSH_DOUBLES = 4_000_000
 
 
+def complete(features: str = "features") -> Column:
+    """Whether a vector can be computed with: it is there, and so are all its elements.
+
+    The one rule for all models: rows without a complete vector are left out of fits, and get NULL where a row needs
+    an answer.
+    """
+    return F.col(features).isNotNull() & ~F.exists(features, lambda v: v.isNull())
+
+
 def dense(column: pa.ListArray) -> np.ndarray:
-    """The rows of an array column of equal lengths as one matrix."""
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False)
-    return values.reshape(len(column), -1)
+    """The rows of an array column of complete vectors of one length as one matrix."""
+    if column.null_count:
+        raise ValueError(f"{column.null_count} of {len(column)} vectors are NULL")
+    lengths = np.diff(column.offsets.to_numpy())
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError(f"vectors of {lengths.min()} to {lengths.max()} elements in one column")
+    flat = column.flatten()
+    if flat.null_count:
+        raise ValueError(f"{flat.null_count} elements of vectors are NULL")
+    return flat.to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(len(column), -1)
 
 
 def _groups(batch: pa.RecordBatch, keys: Sequence[str]) -> list[tuple[tuple, object]]:
@@ -42,9 +58,10 @@ def moments(
     """``keys…, i, j, s`` with the sums of w·z_i·z_j for i <= j, z = (1, x).
 
     (0, 0) is the (weighted) row count and (0, j) the sum of feature j - 1.
+    Rows without a complete vector are left out; vectors of two lengths fail.
     """
     kept = [*keys, features] + ([weight] if weight else [])
-    source = df.select(*kept)
+    source = df.filter(complete(features)).select(*kept)
     key_fields = [source.schema[k] for k in keys]
     schema = T.StructType(
         [*key_fields, T.StructField("partial", T.ArrayType(T.DoubleType()))]

@@ -7,7 +7,7 @@ of the raw features, so that a node is always ``w·x <= th``.
 
 from __future__ import annotations
 
-from itertools import combinations
+import warnings
 
 import numpy as np
 import pandas as pd
@@ -21,20 +21,9 @@ DIRECTIONS = "tree_id int, node_id bigint, axis int, w array<double>"
 RANK_TOLERANCE = 1e-10
 
 
-def class_bipartitions(classes: list[int]) -> list[list[int]]:
-    """Every unordered split of the classes in two groups, by its smaller group.
-
-    2**(k - 1) - 1 of them, small groups first; of two equal halves the one
-    with the first class counts.
-    """
-    k = len(classes)
-    found = []
-    for size in range(1, k // 2 + 1):
-        for group in combinations(classes, size):
-            if 2 * size == k and classes[0] not in group:
-                continue
-            found.append(list(group))
-    return found
+def bipartition_masks(k: int) -> range:
+    """Bit masks over ``k`` classes, one for each split in two groups: the side without the last class."""
+    return range(1, 1 << max(0, k - 1))
 
 
 def bipartition_table(labels: DataFrame, label: str = "label") -> DataFrame:
@@ -144,7 +133,7 @@ def lda_maps(rows: DataFrame, components: int) -> dict[int, np.ndarray]:
 
 
 def svm_directions(
-    rows: DataFrame, bases: dict[int, Basis], classes: list[int], C: float, max_iter: int = 10
+    rows: DataFrame, bases: dict[int, Basis], classes: list[int], C: float, max_iter: int = 100
 ) -> DataFrame:
     """One linear squared-hinge SVM per node and class bipartition.
 
@@ -152,10 +141,11 @@ def svm_directions(
     the quadratic piece is a linear system in their moments.  One pass per
     step serves every node and bipartition of the level.  Features are
     standardised per node (constant ones keep scale 1) and the intercept is
-    penalised like a weight.
+    penalised like a weight.  Steps end when no weight moves by more than 1e-9
+    of the largest; a warning tells how many still moved after ``max_iter``.
     """
     spark = rows.sparkSession
-    groups = class_bipartitions(classes)
+    groups = [[c for i, c in enumerate(classes) if mask >> i & 1] for mask in bipartition_masks(len(classes))]
     sides = F.array(
         *[
             F.struct(
@@ -231,9 +221,12 @@ def svm_directions(
         )
         new = step.groupBy(*keys).applyInPandas(solve, state_schema).toPandas()
         merged = live.merge(new[keys], on=keys, how="left", indicator=True)
-        finished.append(live[(merged["_merge"] == "left_only").to_numpy()])  # no row inside: optimum
+        # No row is inside the margin: only the penalty is left, and the step before has paid for it.
+        finished.append(live[(merged["_merge"] == "left_only").to_numpy()])
         finished.append(new[new["moved"] <= 1e-9])
         live = new[new["moved"] > 1e-9]
+    if not live.empty:
+        warnings.warn(f"{len(live)} of {len(state)} separations still moved after {max_iter} steps", stacklevel=2)
     done = pd.concat([*finished, live]) if finished else live
     directions = [
         (int(r.tree_id), int(r.node_id), int(r.part), bases[int(r.tree_id)].to_raw(np.array(r.a[1:])))

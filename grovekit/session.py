@@ -60,12 +60,23 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and return it as a scan.
 
     Cuts lineage so that a lost executor re-reads files instead of replaying a
-    whole loop, and keeps parquet's pruning and size statistics.
+    whole loop, and keeps parquet's pruning and size statistics.  ``discard``
+    removes the files when nothing reads them any more.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/grovekit/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``materialize`` wrote; they cannot be read again."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:

@@ -16,11 +16,14 @@ def parse_numbers(line: Column) -> Column:
 def parse_matrix(lines: DataFrame, width: int, labelled: bool, line: str = "value") -> DataFrame:
     """``features`` and, if ``labelled``, ``label`` from the last column.
 
-    Lines of another width (headers, blank lines) are no rows of the matrix.
+    Blank lines are no rows.  A line of any other width, or with a word that is no number, fails the job.
     """
-    parsed = lines.withColumn("_n", parse_numbers(F.when(strip(F.col(line)) != "", F.col(line))))
-    rows = parsed.filter(F.size("_n") == width)
     others = [c for c in lines.columns if c != line]
+    parsed = lines.filter(strip(F.col(line)) != "").select(*others, line, parse_numbers(F.col(line)).alias("_n"))
+    wrong = F.concat(F.lit(f"not {width} numbers: "), F.substring(line, 1, 80))
+    right = (F.size("_n") == width) & ~F.exists("_n", lambda v: v.isNull())
+    numbers = F.when(right, F.col("_n")).otherwise(F.raise_error(wrong).cast("array<double>"))
+    rows = parsed.select(*others, numbers.alias("_n"))
     if not labelled:
         return rows.select(*others, F.col("_n").alias("features"))
     return rows.select(
@@ -30,8 +33,23 @@ def parse_matrix(lines: DataFrame, width: int, labelled: bool, line: str = "valu
     )
 
 
-def read_matrix(spark: SparkSession, path: str, width: int, labelled: bool = False) -> DataFrame:
-    return parse_matrix(spark.read.text(path), width, labelled)
+def read_matrix(
+    spark: SparkSession, path: str, width: int, labelled: bool = False, header_lines: int = 0
+) -> DataFrame:
+    """A matrix from text files, without the first ``header_lines`` lines of each, whatever they hold."""
+    lines = spark.read.text(path)
+    if header_lines:
+        placed = lines.select(
+            "value",
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_at"),
+        )
+        # Line ids rise within a file's first block, so the header is what comes first there.
+        first = placed.filter("_block = 0").groupBy("_file").agg(F.min("_at").alias("_first"))
+        in_header = (F.col("_block") == 0) & (F.col("_at") < F.col("_first") + header_lines)
+        lines = placed.join(first, "_file", "left").filter(~F.coalesce(in_header, F.lit(False))).select("value")
+    return parse_matrix(lines, width, labelled)
 
 
 def write_matrix(df: DataFrame, path: str, features: str = "features", label: str | None = None) -> None:

@@ -176,8 +176,7 @@ def test_svm_newton_reaches_the_optimum(spark):
 
 
 def test_bipartitions(spark):
-    assert len(oblique.class_bipartitions([0, 1, 2, 3, 4])) == 15
-    assert oblique.class_bipartitions([0, 1, 2, 3]) == [[0], [1], [2], [3], [0, 1], [0, 2], [0, 3]]
+    assert [len(oblique.bipartition_masks(k)) for k in (0, 1, 2, 3, 4, 5)] == [0, 0, 1, 3, 7, 15]
     rows = spark.createDataFrame([(c,) for c in (0, 1, 2, 3, 2)], "label int")
     table = oblique.bipartition_table(rows).collect()
     assert len({frozenset(r["members"]) for r in table}) == 7

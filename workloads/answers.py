@@ -522,6 +522,33 @@ def checkpoint_scan(spark, sf):
     return records.read_checkpoint(spark, path, RUN).select("index", "batch_id", "answer")
 
 
+@query(
+    "appended_checkpoint",
+    f"""WITH {ITEMS}, s AS (SELECT "index", answer, 0 AS side FROM items UNION ALL
+      SELECT "index", 'again', 1 FROM items WHERE "index" % 3 = 0)
+    SELECT "index", arg_max(answer, side) AS answer FROM s GROUP BY "index" """,
+)
+def appended_checkpoint(spark, sf):
+    """Two runs in one folder, without batch numbers: the file written later counts, whatever it is called."""
+    path = _path(spark, "appended")
+    rows = items(spark, sf).select("index", "answer")
+    rows.write.json(path)
+    rows.filter("index % 3 = 0").withColumn("answer", F.lit("again")).write.mode("append").json(path)
+    return records.read_checkpoint(spark, path, RUN).select("index", "answer")
+
+
+@query(
+    "wide_digits",
+    f"""WITH {ITEMS} SELECT "index", CAST(n_chars % 1000 AS VARCHAR) AS as_count FROM items""",
+)
+def wide_digits(spark, sf):
+    """Counts written in decimal digits beyond the first 65,536 characters."""
+    double_struck = "".join(chr(0x1D7D8 + d) for d in range(10))
+    written = F.translate((F.col("n_chars") % 1000).cast("string"), "0123456789", double_struck)
+    text = F.concat(F.lit("There are "), written, F.lit(" gates."))
+    return items(spark, sf).select("index", answers.extract_count(text).alias("as_count"))
+
+
 @query(
     "csv_predictions",
     f"""{WITH} SELECT "index", coalesce(trim(answer), '') AS answer FROM latest""",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -9,15 +10,17 @@ from pyspark.sql import functions as F
 from grovekit.functions import hashing, vectors
 from grovekit.operators import linear, metrics, moments, neighbors, oblique, ranking, sampling, sets, stats
 from grovekit.sources import matrix, results
-from grovekit.session import shared_folder
+from grovekit.session import local_table, shared_folder
 from workloads.inputs import (
     EMB,
     EMB_LONG,
     LI,
+    LI_COMPLETE,
     LI_LONG,
     embedding_rows,
     lineitem_rows,
     table,
+    with_holes,
 )
 from workloads.registry import query
 
@@ -253,6 +256,18 @@ def covariance_matrix(spark, sf):
     return c.select("i", "j", F.round("gram", 5).alias("gram"), F.round("cov", 6).alias("cov"))
 
 
+@query(
+    "incomplete_vectors_covariance",
+    f"""WITH {LI_COMPLETE}, {LI_LONG} SELECT a.feature AS i, b.feature AS j,
+      round(covar_pop(a.value, b.value), 5) AS cov FROM long a JOIN long b
+      ON a.row_key = b.row_key AND a.feature <= b.feature GROUP BY ALL""",
+)
+def incomplete_vectors_covariance(spark, sf):
+    """Rows with a NULL vector or element are left out."""
+    c = moments.covariance(with_holes(lineitem_rows(spark, sf)))
+    return c.select("i", "j", F.round("cov", 5).alias("cov"))
+
+
 # Leakage --------------------------------------------------------------------
 
 OVERLAP = f"""WITH {LI}, seen AS (SELECT DISTINCT f0, f1, f2 FROM li WHERE status = 'F')
@@ -562,13 +577,25 @@ def _least_squares(spark, sf):
 )
 def least_squares_weights(spark, sf):
     _, model = _least_squares(spark, sf)
-    from grovekit.session import local_table
-
     return local_table(
         spark, [(i, round(float(w), 6)) for i, w in enumerate(model.weights)], "feature int, weight double"
     )
 
 
+@query(
+    "incomplete_vectors_least_squares",
+    OLS.replace(LI, LI_COMPLETE)
+    + """ SELECT 0 AS feature, round(w0, 6) AS weight FROM w UNION ALL SELECT 1, round(w1, 6) FROM w""",
+)
+def incomplete_vectors_least_squares(spark, sf):
+    """Rows with a NULL vector or element are left out."""
+    rows = lineitem_rows(spark, sf).withColumn("y", F.get("features", F.lit(3)))
+    rows = with_holes(rows).withColumn("features", F.slice("features", 1, 2))
+    model = linear.fit_least_squares(rows, "y")
+    weights = [(i, round(float(w), 6)) for i, w in enumerate(model.weights)]
+    return local_table(spark, weights, "feature int, weight double")
+
+
 @query(
     "least_squares_predictions",
     OLS + """ SELECT row_key, round(my + sy * (w0 * (f0 - m0) / s0 + w1 * (f1 - m1) / s1), 6) AS y_hat,
@@ -647,8 +674,6 @@ def pca_order_violations(spark, sf):
     f"WITH {LI} SELECT f0, f1, f2, label, count(*) AS n FROM li GROUP BY ALL",
 )
 def numeric_text_scan(spark, sf):
-    import uuid
-
     path = f"{shared_folder(spark)}/matrix-{uuid.uuid4().hex}"
     rows = lineitem_rows(spark, sf).withColumn("features", F.slice("features", 1, 3))
     matrix.write_matrix(rows, path, label="label")
@@ -657,14 +682,28 @@ def numeric_text_scan(spark, sf):
     return back.groupBy(*cols, "label").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "headed_text_scan",
+    f"WITH {LI} SELECT f0, f1, f2, label, count(*) AS n FROM li GROUP BY ALL",
+)
+def headed_text_scan(spark, sf):
+    """Each file begins with a line that looks like a row of the matrix."""
+    path = f"{shared_folder(spark)}/matrix-{uuid.uuid4().hex}"
+    rows = lineitem_rows(spark, sf)
+    numbers = F.concat_ws(" ", *[F.get("features", F.lit(i)).cast("string") for i in range(3)], F.col("label").cast("string"))
+    plain = {"header": True, "quote": "", "sep": "|"}
+    rows.select(numbers.alias("7 3 1 2")).write.options(**plain).csv(path)
+    back = matrix.read_matrix(spark, path, 4, labelled=True, header_lines=1)
+    cols = [F.get("features", F.lit(i)).alias(f"f{i}") for i in range(3)]
+    return back.groupBy(*cols, "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "feature_bundle",
     f"""WITH {LI} SELECT 'train' AS part, count(*) AS n, round(avg(f0), 6) AS mean FROM li WHERE status = 'F'
     UNION ALL SELECT 'test', count(*), round(avg(f0), 6) FROM li WHERE status = 'O'""",
 )
 def feature_bundle(spark, sf):
-    import uuid
-
     path = f"{shared_folder(spark)}/bundle-{uuid.uuid4().hex}"
     split = F.when(F.col("status") == "F", "train").otherwise("test")
     matrix.write_bundle(lineitem_rows(spark, sf).select("row_key", "features", "label", split.alias("split")), path)

@@ -55,6 +55,13 @@ def lineitem_rows(spark: SparkSession, sf: str, busy: bool = False) -> DataFrame
     )
 
 
+def with_holes(rows: DataFrame) -> DataFrame:
+    """Lineitem rows of which the sixth line has a NULL element and the seventh no vector."""
+    holed = F.transform("features", lambda v, i: F.when(i != 1, v))
+    features = F.when(F.col("line") == 7, F.lit(None)).when(F.col("line") == 6, holed).otherwise(F.col("features"))
+    return rows.withColumn("features", features)
+
+
 LI = """li AS (
   SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
       CAST(round(l_quantity * 100) AS BIGINT), CAST(round(l_extendedprice * 100) AS BIGINT),
@@ -65,6 +72,8 @@ LI = """li AS (
     l_linestatus AS status, l_linenumber AS line
   FROM lineitem)"""
 
+LI_COMPLETE = LI.replace("FROM lineitem)", "FROM lineitem WHERE l_linenumber < 6)")
+
 LI_LONG = """long AS (
   SELECT row_key, label, status, 0 AS feature, f0 AS value FROM li UNION ALL
   SELECT row_key, label, status, 1, f1 FROM li UNION ALL

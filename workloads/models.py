@@ -8,7 +8,7 @@ from grovekit.operators import forest as fo
 from grovekit.operators import metrics, sampling, splits
 from grovekit.session import materialize
 from workloads.features import BAG, SUB
-from workloads.inputs import CLASSES, LI, LI_LONG, lineitem_rows
+from workloads.inputs import CLASSES, LI, LI_LONG, lineitem_rows, with_holes
 from workloads.registry import query
 from workloads.sqltext import forest_ctes, gains, walk
 
@@ -118,6 +118,27 @@ def forest_predictions(spark, sf):
     return fo.predict_forest(model, rows, "row_key")
 
 
+@query(
+    "incomplete_vectors_predictions",
+    f"""{FOREST_SQL}, src AS (SELECT t.tree_id, li.* FROM li, (SELECT unnest(range(3))::INT AS tree_id) t),
+    {walk('src', 2)},
+    voted AS (SELECT row_key, arg_min(predicted, (-n, predicted)) AS predicted
+      FROM (SELECT row_key, predicted, count(*) AS n FROM leafs GROUP BY ALL) GROUP BY row_key)
+    SELECT row_key, path, CASE WHEN line < 6 THEN predicted END AS predicted
+    FROM li JOIN voted USING (row_key), (SELECT unnest(['sent', 'joined']) AS path)""",
+)
+def incomplete_vectors_predictions(spark, sf):
+    """Rows with a NULL vector or element get NULL, by the sent model and by the joined one."""
+    rows, model = _fitted(spark, sf)
+    rows = with_holes(rows)
+    joined = fo.vote(fo.tree_predictions(model, rows, "row_key"), "row_key", model.classes)
+    return (
+        fo.predict_forest(model, rows, "row_key").withColumn("path", F.lit("sent"))
+        .union(joined.withColumn("path", F.lit("joined")))
+        .select("row_key", "path", "predicted")
+    )
+
+
 @query(
     "forest_vote",
     f"""WITH {LI}, v AS (SELECT row_key, unnest([label, line % 3, CASE WHEN f0 > 25 THEN 2 ELSE 0 END]) AS p FROM li)
