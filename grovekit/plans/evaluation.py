@@ -13,11 +13,25 @@ from grovekit.operators.ranking import last_per_key
 
 KINDS = (COUNT, OUTPUT)
 ORDER = ("batch_id", "seq")
+# Distinct answers of all kinds that may be broadcast: short strings, a few MB.
+BROADCAST_ROWS = 100_000
 
 
-def latest(predictions: DataFrame, keys: Sequence[str] = ("index",)) -> DataFrame:
-    """The last record per key, by the explicit ``batch_id, seq`` of the run table."""
+def latest(
+    predictions: DataFrame, keys: Sequence[str] = ("index",), columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The last record per key, by the explicit ``batch_id, seq`` of the run table.
+
+    Name the ``columns`` you need: whatever a record holds is sorted and shuffled with it.  Those that
+    ``predictions`` lacks are left out.
+    """
     order = [c for c in ORDER if c in predictions.columns]
+    if columns is not None:
+        wanted = list(dict.fromkeys([*keys, *columns]))
+        held = [c for c in dict.fromkeys([*wanted, *order]) if c in predictions.columns]
+        narrow = predictions.select(*held)
+        last = last_per_key(narrow, list(keys), order) if order else narrow
+        return last.select(*[c for c in wanted if c in held])
     return last_per_key(predictions, list(keys), order) if order else predictions
 
 
@@ -51,9 +65,13 @@ def with_majority(df: DataFrame, majority: DataFrame) -> DataFrame:
 def clamp(predictions: DataFrame, support: DataFrame, majority: DataFrame) -> DataFrame:
     """Answers never seen for their kind, and missing ones, become the majority.
 
-    Adds ``original``.  ``predictions`` has kind and answer.
+    Adds ``original``.  ``predictions`` has kind and answer.  Runs a job: a support of up to ``BROADCAST_ROWS``
+    different answers is sent to the predictions, which then need no shuffle by their few hot answers; a larger one is
+    joined, and no longer concentrated on a few keys.
     """
-    seen = support.select("kind", "answer", F.lit(True).alias("_seen"))
+    seen = support.select("kind", "answer", F.lit(True).alias("_seen")).distinct()
+    small = seen.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    seen = F.broadcast(seen) if small else seen
     joined = with_majority(predictions.join(seen, ["kind", "answer"], "left"), majority)
     return (
         joined.withColumn("original", F.col("answer"))
@@ -78,7 +96,7 @@ def score(predictions: DataFrame, references: DataFrame, by: Sequence[str] = ())
     The join is reduced to one row per (run, kind) before anything else.
     """
     by = list(by)
-    preds = latest(predictions, [*by, "index"])
+    preds = latest(predictions, [*by, "index"], ["answer", "elapsed_s"])
     has_time = "elapsed_s" in preds.columns
     preds = preds.select(
         *by,
@@ -258,7 +276,7 @@ def compare_experiments(predictions: DataFrame, references: DataFrame, by=("expe
         *[pick("accuracy", k).alias(f"accuracy_{k}") for k in KINDS],
         pick("avg_s", None).alias("s_per_item"),
     )
-    tokens = token_totals(latest(predictions, [*by, "index"]), by)
+    tokens = token_totals(latest(predictions, [*by, "index"], ["new_tokens"]), by)
     return wide.join(tokens.select(*by, "tokens_per_item"), by, "left")
 
 
@@ -275,7 +293,7 @@ def submission_report(
     ``incomplete``, one with blank answers ``blank``, else ``written``.  All
     runs are checked by the same job; answers outside the test are ignored.
     """
-    runs = latest(predictions, ["experiment", "index"])
+    runs = latest(predictions, ["experiment", "index"], ["answer", "backend"])
     joined = runs.join(
         expected.select("index", "kind", F.lit(True).alias("_in")), "index", "left"
     )

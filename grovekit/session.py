@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -17,9 +18,24 @@ from pyspark.sql.types import StructType
 BROADCAST_LIMIT_BYTES = 128 * 1024 * 1024
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for sessions that were started elsewhere.
+
+    Not needed where the package is installed on all machines or given with ``--py-files``.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        folder = tempfile.mkdtemp(prefix="grovekit-code-")
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = shutil.make_archive(f"{folder}/grovekit", "zip", root, "grovekit")
+        spark.sparkContext.addPyFile(archive)
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _shipped.add(app)
+
+
 def local_session(app: str = "grovekit", cores: str = "8", shuffle: str = "8") -> SparkSession:
     """A single-machine session for tests and the bench."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", shuffle)
@@ -31,8 +47,11 @@ def local_session(app: str = "grovekit", cores: str = "8", shuffle: str = "8") -
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
     )
+    ship(spark)
+    return spark
 
 
+_shipped: set[str] = set()
 # Folders of local sessions that were given none, by application; removed when Python ends.
 _local_folders: dict[str, str] = {}
 

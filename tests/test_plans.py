@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -40,10 +41,26 @@ def test_strict_scan_raises(spark, tmp_path):
         records.read_jsonl(spark, str(tmp_path / "bad.jsonl")).collect()
 
 
-def test_matrix_skips_header(spark, tmp_path):
-    (tmp_path / "m.txt").write_text("2 3\n 1  2\t0 \n\n3 4.5 1\n")
-    got = matrix.read_matrix(spark, str(tmp_path / "m.txt"), 3, labelled=True).collect()
+def test_matrix_header_by_position(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("2 3 9\n 1  2\t0 \n\n3 4.5 1\n")
+    got = matrix.read_matrix(spark, str(tmp_path / "m.txt"), 3, labelled=True, header_lines=1).collect()
     assert [(r["features"], r["label"]) for r in got] == [([1.0, 2.0], 0), ([3.0, 4.5], 1)]
+    assert matrix.read_matrix(spark, str(tmp_path / "m.txt"), 3).count() == 3
+
+
+@pytest.mark.parametrize("line", ["1 2", "1 2 3 4", "1 2 x"])
+def test_matrix_refuses_other_lines(spark, tmp_path, line):
+    (tmp_path / "m.txt").write_text(f"1 2 3\n{line}\n")
+    with pytest.raises(Exception, match="not 3 numbers|CAST_INVALID"):
+        matrix.read_matrix(spark, str(tmp_path / "m.txt"), 3).collect()
+
+
+def test_later_file_wins(spark, tmp_path):
+    for name, answer, at in (("z", "old", 1_000_000), ("a", "new", 2_000_000)):
+        file = tmp_path / f"part-{name}.json"
+        file.write_text(json.dumps({"index": 1, "answer": answer}) + "\n")
+        os.utime(file, (at, at))
+    assert records.read_checkpoint(spark, str(tmp_path)).first()["answer"] == "new"
 
 
 def test_submission_refuses_blanks(spark, tmp_path):

@@ -265,7 +265,8 @@ CLAMPED = """clamped AS (SELECT l.*, CASE WHEN s.answer IS NOT NULL THEN l.answe
 )
 def clamped_answers(spark, sf):
     _, _, majority, support = _parts(spark, sf)
-    done = evaluation.clamp(evaluation.latest(predictions(spark, sf)), support, majority)
+    run = evaluation.latest(predictions(spark, sf), columns=["kind", "answer"])
+    done = evaluation.clamp(run, support, majority)
     return done.select("index", "answer", "original")
 
 
@@ -308,7 +309,7 @@ def score_lines(spark, sf):
 def predicted_subset(spark, sf):
     """References restricted to the predicted items."""
     refs = items(spark, sf).select("index", F.col("answer").alias("want"))
-    joined = refs.join(evaluation.latest(predictions(spark, sf)), "index")
+    joined = refs.join(evaluation.latest(predictions(spark, sf), columns=["answer"]), "index")
     hit = F.coalesce(F.col("answer") == F.col("want"), F.lit(False))
     return joined.agg(F.count(F.lit(1)).alias("n"), F.sum(hit.cast("bigint")).alias("correct"))
 
@@ -318,7 +319,7 @@ def predicted_subset(spark, sf):
     f"""{WITH} SELECT "index", batch_id, answer FROM latest""",
 )
 def last_record_wins(spark, sf):
-    return evaluation.latest(predictions(spark, sf)).select("index", "batch_id", "answer")
+    return evaluation.latest(predictions(spark, sf), columns=["batch_id", "answer"])
 
 
 REPARSED = f"""refs AS (SELECT "index", majority FROM latest JOIN maj USING (kind)),
@@ -386,7 +387,8 @@ def sample_votes(spark, sf):
     round(coalesce(sum(new_tokens), 0) / count(*), 6) AS tokens_per_item FROM latest GROUP BY experiment""",
 )
 def token_totals(spark, sf):
-    t = evaluation.token_totals(evaluation.latest(predictions(spark, sf)), ["experiment"])
+    run = evaluation.latest(predictions(spark, sf), columns=["experiment", "new_tokens"])
+    t = evaluation.token_totals(run, ["experiment"])
     return t.withColumn("tokens_per_item", F.round("tokens_per_item", 6))
 
 
@@ -395,7 +397,7 @@ def token_totals(spark, sf):
     f"{WITH} SELECT DISTINCT backend FROM latest WHERE backend IS NOT NULL AND backend <> 'nf4'",
 )
 def other_backends(spark, sf):
-    return evaluation.other_backends(evaluation.latest(predictions(spark, sf)), "nf4")
+    return evaluation.other_backends(evaluation.latest(predictions(spark, sf), columns=["backend"]), "nf4")
 
 
 @query(

@@ -16,6 +16,8 @@ from grovekit.sources.tables import read_table
 
 FEATURE_NAMES = ("l_quantity", "l_discount", "l_tax", "price_k")
 CLASSES = (0, 1, 2)
+# Fixed value: where the items name their pictures.
+IMAGE_PREFIX = "kaggle_dataset/images/circuit_"
 GATES = ("and", "or", "nand", "nor", "xor", "xnor")
 
 
@@ -121,7 +123,7 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
         F.when(even, count_q).otherwise(output_q).alias("question"),
         F.when(even, F.lit(COUNT)).otherwise(F.lit(OUTPUT)).alias("kind"),
         F.when(even, (n % 8).cast("string")).otherwise(bit(n)).alias("answer"),
-        F.concat(F.lit("kaggle_dataset/images/circuit_"), F.col("doc_id").cast("string"), F.lit(".png")).alias("image"),
+        F.concat(F.lit(IMAGE_PREFIX), F.col("doc_id").cast("string"), F.lit(".png")).alias("image"),
         "text",
         "lang",
         "source",
@@ -130,7 +132,7 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-ITEMS = """items AS (
+ITEMS = f"""items AS (
   SELECT d.doc_id AS "index",
     CASE WHEN d.doc_id % 2 = 0
       THEN 'How many ' || ['and','or','nand','nor','xor','xnor'][n_chars % 6 + 1]
@@ -142,7 +144,7 @@ ITEMS = """items AS (
     CASE WHEN d.doc_id % 2 = 0 THEN 'count' ELSE 'output' END AS kind,
     CASE WHEN d.doc_id % 2 = 0 THEN CAST(n_chars % 8 AS VARCHAR)
       WHEN n_chars % 2 = 0 THEN 'True' ELSE 'False' END AS answer,
-    'kaggle_dataset/images/circuit_' || d.doc_id || '.png' AS image,
+    '{IMAGE_PREFIX}' || d.doc_id || '.png' AS image,
     text, lang, source, n_chars,
     EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) AS labelled
   FROM documents d)"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from grovekit.functions import prompts
 from workloads.inputs import CLASSES
 
 W = r"\p{L}\p{N}_"
@@ -76,19 +77,14 @@ def stand_in_value(user: str, salt: str | None = None) -> str:
     )
 
 
-REASONING = (
-    "'Looking at the diagram, gate 1 is an OR and gate 2 is a NAND.' || chr(10) || "
-    "'Node x3 evaluates to True, node 7 evaluates to False.' || chr(10) || 'Final Answer: '"
-)
-STEPWISE = (
-    "|| chr(10) || 'Analyze the circuit logic step-by-step. "
-    "Conclude your reasoning with ''Final Answer: [your answer]''.'"
-)
-REVIEW = (
-    "'Double-check the circuit diagram carefully. Are there any false logic gate recognitions or "
-    "miscounted inputs/outputs? Provide a corrected breakdown and finish with "
-    "''Final Answer: [your final answer]''.'"
-)
+def literal(text: str) -> str:
+    """A SQL string; line breaks are written as chr(10)."""
+    return " || chr(10) || ".join("'" + part.replace("'", "''") + "'" for part in text.split("\n"))
+
+
+REASONING = literal(prompts.STAND_IN_REASONING)
+STEPWISE = f"|| {literal(prompts.STEPWISE_SUFFIX)}"
+REVIEW = literal(prompts.REVIEW_REQUEST)
 
 
 def stand_in_text(user: str, salt: str | None = None) -> str:
