@@ -645,6 +645,77 @@ def pca_scores(spark, sf):
     )
 
 
+PLANE = f"""WITH {LI}, c AS (SELECT avg(f0) AS m0, avg(f3) AS m3, var_pop(f0) AS a, var_pop(f3) AS d,
+  covar_pop(f0, f3) AS b FROM li),
+e AS (SELECT *, (a + d) / 2 + sqrt((a - d) * (a - d) / 4 + b * b) AS top FROM c),
+v AS (SELECT *, b / sqrt(b * b + (top - a) * (top - a)) AS u, (top - a) / sqrt(b * b + (top - a) * (top - a)) AS w FROM e),
+s AS (SELECT *, CASE WHEN (CASE WHEN abs(u) >= abs(w) THEN u ELSE w END) < 0 THEN -1 ELSE 1 END AS s1,
+  CASE WHEN (CASE WHEN abs(w) >= abs(u) THEN -w ELSE u END) < 0 THEN -1 ELSE 1 END AS s2 FROM v)"""
+
+
+def _plane(spark, sf):
+    rows = lineitem_rows(spark, sf)
+    return rows.withColumn("features", F.array(F.get("features", F.lit(0)), F.get("features", F.lit(3))))
+
+
+@query(
+    "pca_scores_plane",
+    PLANE + """ SELECT row_key, round(s1 * (u * (f0 - m0) + w * (f3 - m3)), 5) AS s0,
+      round(s2 * (u * (f3 - m3) - w * (f0 - m0)), 5) AS s1 FROM li, s""",
+)
+def pca_scores_plane(spark, sf):
+    """Scores on both axes of two features, against the closed form."""
+    rows = _plane(spark, sf)
+    scores = linear.fit_pca(rows).project(F.col("features"), 2)
+    return rows.select("row_key", scores.alias("s")).select(
+        "row_key", *[F.round(F.get("s", F.lit(i)), 5).alias(f"s{i}") for i in range(2)]
+    )
+
+
+@query(
+    "pca_score_moments",
+    f"""WITH {LI}, {LI_LONG}, v AS (SELECT sum(var) AS total FROM (
+      SELECT feature, var_pop(value) AS var FROM long GROUP BY feature))
+    SELECT round(total, 4) AS variance, 0.0::DOUBLE AS covariance, 0.0::DOUBLE AS mean FROM v""",
+)
+def pca_score_moments(spark, sf):
+    """Scores on all axes keep the total variance, do not vary together and have mean zero."""
+    rows = lineitem_rows(spark, sf)
+    pca = linear.fit_pca(rows)
+    scores = rows.select(pca.project(F.col("features"), len(pca.axes)).alias("features"))
+    c = moments.covariance(scores)
+    means = stats.feature_stats(scores).agg(F.max(F.abs("mean")).alias("mean"))
+    return c.agg(
+        F.round(F.sum(F.when(F.col("i") == F.col("j"), F.col("cov"))), 4).alias("variance"),
+        F.round(F.max(F.when(F.col("i") != F.col("j"), F.abs("cov"))), 6).alias("covariance"),
+    ).crossJoin(F.broadcast(means.select(F.round("mean", 6).alias("mean"))))  # one row each
+
+
+@query(
+    "lda_direction",
+    f"""WITH {LI}, t AS (SELECT f0, f3, status = 'O' AS o FROM li),
+    g AS (SELECT o, count(*) AS n, avg(f0) AS m0, avg(f3) AS m3, var_pop(f0) AS a, var_pop(f3) AS d,
+      covar_pop(f0, f3) AS b FROM t GROUP BY o),
+    w AS (SELECT sum(n * a) / sum(n) AS a, sum(n * d) / sum(n) AS d, sum(n * b) / sum(n) AS b,
+      sum(CASE WHEN o THEN m0 ELSE -m0 END) AS x, sum(CASE WHEN o THEN m3 ELSE -m3 END) AS y FROM g),
+    r AS (SELECT (d * x - b * y) AS p, (a * y - b * x) AS q FROM w)
+    SELECT round(abs(p) / sqrt(p * p + q * q), 6) AS first, round(abs(q) / sqrt(p * p + q * q), 6) AS second,
+      p * q > 0 AS same_sign FROM r""",
+)
+def lda_direction(spark, sf):
+    """The discriminant of two classes and two features, up to scale and sign, against the closed form."""
+    rows = _plane(spark, sf).select(
+        F.lit(0).alias("tree_id"),
+        (F.col("status") == "O").cast("int").alias("label"),
+        F.lit(1.0).alias("weight"),
+        F.col("features").alias("work"),
+    )
+    w = oblique.lda_maps(rows, 1)[0][0]
+    w = w / (w @ w) ** 0.5
+    row = (round(abs(float(w[0])), 6), round(abs(float(w[1])), 6), bool(w[0] * w[1] > 0))
+    return local_table(spark, [row], "first double, second double, same_sign boolean")
+
+
 @query(
     "order_violations",
     f"""WITH {EMB}, p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.features, b.features) AS d,
