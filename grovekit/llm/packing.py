@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 from grovekit.llm.common import rows_of
 from grovekit.llm.tokens import before_spaces, encoder
 
+#: What ends a sentence, or a line.
+STOPS = (b".", b"!", b"?", b'."', b'!"', b'?"', b".)", b"!)", b"?)", b"\n")
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 )
@@ -76,6 +78,10 @@ def with_bridges(places: np.ndarray, cost: np.ndarray, size: int, penalty: float
     return places[order], cost[order]
 
 
+def ends_sentence(piece: bytes) -> bool:
+    return piece.endswith(STOPS)
+
+
 class Packer:
     """Packs the documents of one partition; ``add`` and ``close`` return finished pieces."""
 
@@ -147,7 +153,7 @@ def pack_documents(
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, before_spaces)
+        encode = encoder(path, before_spaces, ends_sentence)
         first = TaskContext.get().partitionId() << 40
         packer = Packer(first, size, sentence_cost, inner_cost, stretch)
 

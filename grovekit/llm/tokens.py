@@ -9,13 +9,11 @@ learned serves its later tasks too.
 from __future__ import annotations
 
 import os
-import re
+from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
-SENTENCE_END = re.compile(rb"[.!?][\"')\]]*\s*$|\n\s*$")
-
-
 def at_white_space(raw: bytes) -> list[bytes]:
     """For tokenizers that drop white space."""
     return raw.split()
@@ -24,80 +22,103 @@ def at_white_space(raw: bytes) -> list[bytes]:
 def before_spaces(raw: bytes) -> list[bytes]:
     """For byte-level tokenizers, which keep one space with the visible characters that follow it.
 
-    A cut needs a visible character on both sides of the space: ASCII, or Latin letters of two bytes.
+    Cuts are before a space, and on both sides of a line break, that has a visible character on either side: ASCII, or
+    Latin letters of two bytes.
     """
     b = np.frombuffer(raw, np.uint8)
-    at = np.flatnonzero(b[1:-1] == 32) + 1 if len(b) > 2 else np.empty(0, np.int64)
+    at = np.flatnonzero((b[1:-1] == 32) | (b[1:-1] == 10)) + 1 if len(b) > 2 else np.empty(0, np.int64)
     after, before, lead = b[at + 1], b[at - 1], b[np.maximum(at - 2, 0)]
     visible = ((after > 32) & (after < 127)) | ((after >= 0xC3) & (after <= 0xC9))
     visible &= ((before > 32) & (before < 127)) | ((before >= 0x80) & (lead >= 0xC3) & (lead <= 0xC9))
-    cuts = [0, *at[visible].tolist(), len(raw)]
+    at = at[visible]
+    cuts = [0, *np.sort(np.concatenate((at, at[b[at] == 10] + 1))).tolist(), len(raw)]
     return [raw[i:j] for i, j in zip(cuts, cuts[1:]) if j > i]
 
 
+class Numbers(dict):
+    """Pieces by number; one that is met for the first time gets the next number and waits to be encoded."""
+
+    def __init__(self):
+        self.waiting: list[bytes] = []
+
+    def __missing__(self, piece: bytes) -> int:
+        number = self[piece] = len(self)
+        self.waiting.append(piece)
+        return number
+
+
 class Encoder:
-    """Ids of texts.  The first ``limit`` pieces are remembered, rarer ones only for the texts of one call."""
+    """Ids of texts.  The first ``limit`` pieces are remembered, rarer ones only for the texts of one call.
+
+    ``flag`` tells pieces behind which a place is wanted.
+    """
 
-    def __init__(self, path: str, cut, limit: int = 1_000_000):
+    def __init__(self, path: str, cut: Callable[[bytes], list[bytes]], flag: Callable[[bytes], bool] | None = None, limit: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut, self.limit = cut, limit
-        self.number: dict[bytes, int] = {}
+        self.cut, self.flag, self.limit = cut, flag, limit
+        self.numbers = Numbers()
         self.pool = np.empty(1 << 16, np.int32)
         self.used = 0
         self.starts, self.sizes = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
-        self.ends = np.empty(1 << 14, bool)
-
-    def learn(self, pieces: list[bytes]) -> None:
-        """Encode pieces that are not known."""
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int32, len(found))
-        total, first = int(sizes.sum()), len(self.number)
-        last = first + len(pieces)
+        self.flags = np.zeros(1 << 14, bool)
+
+    def learn(self, pieces: list[bytes], first: int) -> None:
+        """Encode pieces that are not known, numbered from ``first``."""
+        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
+        ids = [e.ids for e in found]
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        total, last = int(sizes.sum()), first + len(pieces)
         while self.used + total > len(self.pool):
             self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
         while last > len(self.starts):
-            self.starts, self.sizes, self.ends = (
-                np.concatenate((x, np.empty_like(x))) for x in (self.starts, self.sizes, self.ends)
+            self.starts, self.sizes, self.flags = (
+                np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.sizes, self.flags)
             )
-        self.pool[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.int32, total)
+        self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
         self.sizes[first:last] = sizes
         self.starts[first:last] = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
-        self.ends[first:last] = [SENTENCE_END.search(p) is not None for p in pieces]
-        self.number.update(zip(pieces, range(first, last)))
+        if self.flag:
+            self.flags[first:last] = list(map(self.flag, pieces))
         self.used += total
 
     def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each text its ids, and the places in them after which a sentence ends."""
+        """For each text its ids, and the places in them behind flagged pieces."""
         cut = [self.cut(t.encode()) for t in texts]
-        new = sorted(set().union(*cut).difference(self.number)) if cut else []
-        keep = new[: max(0, self.limit - len(self.number))]
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        new, self.numbers.waiting = self.numbers.waiting, []
+        first = len(self.numbers) - len(new)
+        keep = max(0, min(len(new), self.limit - first))
         if keep:
-            self.learn(keep)
+            self.learn(new[:keep], first)
         used = self.used
-        if len(new) > len(keep):
-            self.learn(new[len(keep) :])
-        out = []
-        for pieces in cut:
-            at = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-            sizes = self.sizes[at]
-            after = np.cumsum(sizes, dtype=np.int64)
-            total = int(after[-1]) if len(after) else 0
-            ids = self.pool[np.arange(total) + np.repeat(self.starts[at] - after + sizes, sizes)]
-            out.append((ids, after[self.ends[at]]))
-        for p in new[len(keep) :]:
-            del self.number[p]
+        if keep < len(new):
+            self.learn(new[keep:], first + keep)
+        sizes = self.sizes[at].astype(np.int64)
+        after = np.cumsum(sizes)
+        total = int(after[-1]) if len(after) else 0
+        ids = self.pool[np.arange(total) + np.repeat(self.starts[at] - after + sizes, sizes)]
+        for p in new[keep:]:
+            del self.numbers[p]
         self.used = used
+        flagged = np.flatnonzero(self.flags[at])
+        out, behind, last = [], np.concatenate((np.zeros(1, np.int64), after)), 0
+        for n in counts.tolist():
+            first, last = last, last + n
+            start = behind[first]
+            mine = flagged[np.searchsorted(flagged, first) : np.searchsorted(flagged, last)]
+            out.append((ids[start : behind[last]], after[mine] - start))
         return out
 
 
 _encoders: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, cut) -> Encoder:
+def encoder(path: str, cut: Callable, flag: Callable | None = None) -> Encoder:
     """The worker's encoder of a file."""
-    if (path, cut) not in _encoders:
-        _encoders[path, cut] = Encoder(path, cut)
-    return _encoders[path, cut]
+    if (path, cut, flag) not in _encoders:
+        _encoders[path, cut, flag] = Encoder(path, cut, flag)
+    return _encoders[path, cut, flag]
