@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -66,22 +66,34 @@ def parts(df: DataFrame, rows: int, per_part: int) -> int:
 # words and fingerprints inside tasks ------------------------------------------------
 
 
+class Memo(dict):
+    """Values of byte strings, made when they are first asked for."""
+
+    def __init__(self, make: Callable[[bytes], int]):
+        self.make = make
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = self.make(word)
+        return value
+
+
 class Ids:
-    """Words (or other byte strings) as 64-bit fingerprints; the memo is dropped when it has grown large."""
+    """Words as 64-bit fingerprints; the memo is dropped when it has grown large."""
 
     def __init__(self, limit: int = 1_000_000):
-        self.memo: dict[bytes, int] = {}
+        self.memo = Memo(self.fingerprint)
         self.limit = limit
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
+    @staticmethod
+    def fingerprint(word: bytes) -> int:
         import xxhash
 
-        memo, digest = self.memo, xxhash.xxh3_64_intdigest
-        if len(memo) > self.limit:
-            memo.clear()
-        for w in set(words).difference(memo):
-            memo[w] = digest(w)
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+        return xxhash.xxh3_64_intdigest(word)
+
+    def __call__(self, words: list[bytes]) -> np.ndarray:
+        if len(self.memo) > self.limit:
+            self.memo.clear()
+        return np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -33,15 +33,12 @@ EDGES = b"\"'()[]{}<>.,;:!?-*_`"
 class Words(Ids):
     """Fingerprints of normalised words; words of punctuation alone count as one like word."""
 
-    def __call__(self, text: str) -> np.ndarray:
-        import xxhash
+    @staticmethod
+    def fingerprint(word: bytes) -> int:
+        return Ids.fingerprint(word.decode().lower().encode().strip(EDGES))
 
-        raw, memo = text.encode().split(), self.memo
-        if len(memo) > self.limit:
-            memo.clear()
-        for w in set(raw).difference(memo):
-            memo[w] = xxhash.xxh3_64_intdigest(w.decode().lower().encode().strip(EDGES))
-        return np.fromiter(map(memo.__getitem__, raw), np.uint64, len(raw))
+    def __call__(self, text: str) -> np.ndarray:
+        return super().__call__(text.encode().split())
 
 
 @dataclass(frozen=True)
@@ -92,7 +89,7 @@ class ItemIndex:
     def __init__(self, ids: list[int], items: list[np.ndarray], params: LshParams):
         self.ids, self.items, self.params = ids, items, params
         self.sizes = np.array([len(x) for x in items], np.int64)
-        self.grams: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        self.grams: dict[int, tuple[np.ndarray, ...]] = {}
         for q in (1, 2, 3):
             own = [(i, windows(x, q)) for i, x in enumerate(items) if gram_size(len(x), params.share) == q]
             if own:
@@ -100,7 +97,9 @@ class ItemIndex:
                 item = np.concatenate([np.full(len(g), i) for i, g in own])
                 offset = np.concatenate([np.arange(len(g)) for _, g in own])
                 order = np.argsort(grams, kind="stable")
-                self.grams[q] = grams[order], item[order], offset[order]
+                table = np.zeros(1 << 20, bool)  # most words of a text are ruled out by a look at this
+                table[grams >> np.uint64(44)] = True
+                self.grams[q] = grams[order], item[order], offset[order], table
         self.walks = Walks(int(self.sizes.max()), params)
         self.tables = self.tables_needed()
         flat = np.concatenate(items)
@@ -140,14 +139,15 @@ class ItemIndex:
     def windows_to_try(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distinct (start, size) of windows that hold a run of words of an item in its place."""
         starts, sizes = [], []
-        for q, (grams, item, offset) in self.grams.items():
+        for q, (grams, item, offset, table) in self.grams.items():
             own = windows(words, q)
-            low = np.searchsorted(grams, own, "left")
-            hit = np.flatnonzero(grams[np.minimum(low, len(grams) - 1)] == own)
+            maybe = np.flatnonzero(table[own >> np.uint64(44)])
+            low = np.searchsorted(grams, own[maybe], "left")
+            found = grams[np.minimum(low, len(grams) - 1)] == own[maybe]
+            hit, low = maybe[found], low[found]
             if len(hit):
-                high = np.searchsorted(grams, own[hit], "right")
-                times = high - low[hit]
-                place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low[hit], times)
+                times = np.searchsorted(grams, own[hit], "right") - low
+                place = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low, times)
                 starts.append(np.repeat(hit, times) - offset[place])
                 sizes.append(self.sizes[item[place]])
         if not starts:
