@@ -68,15 +68,26 @@ def packed_ids(by_words: bool) -> Callable[[bytes], np.ndarray]:
 def count_in_buckets(packed: DataFrame, k: int, buckets: int, by_words: bool) -> DataFrame:
     """``h, p, at``: windows of single packed strings that sorting finds again in their bucket."""
 
+    def counts(payloads: list[bytes]) -> np.ndarray:
+        size = (lambda x: x.count(b" ") + 1) if by_words else len
+        return np.fromiter(map(size, payloads), np.int64, len(payloads))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, w1, w2, owner, place, h, p, times = packed_ids(by_words), [], [], [], [], [], [], []
+        ids_of, w1, w2, owner, place, h, p, times, seen = packed_ids(by_words), [], [], [], [], [], [], [], 0
         for batch in batches:
-            for payload in batch.column(3).to_pylist():
-                ids = ids_of(payload)
-                w1.append(windows(ids, k, 2))
-                w2.append(windows(ids, k, 3))
-                place.append(np.arange(len(w1[-1]), dtype=np.int32))
-                owner.append(np.full(len(w1[-1]), len(owner), np.int32))
+            # The strings of a batch are fingerprinted as one; windows that reach into the next string are left out.
+            payloads = batch.column(3).to_pylist()
+            if not payloads:
+                continue
+            ids, sizes = ids_of(b"".join(payloads) if not by_words else b" ".join(payloads)), counts(payloads)
+            own = np.maximum(sizes - k + 1, 0)
+            at = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+            whole = np.repeat(np.cumsum(sizes) - sizes, own) + at
+            w1.append(windows(ids, k, 2)[whole])
+            w2.append(windows(ids, k, 3)[whole])
+            place.append(at.astype(np.int32))
+            owner.append(np.repeat(np.arange(len(payloads), dtype=np.int32) + seen, own))
+            seen += len(payloads)
             for held, c in ((h, 0), (p, 1), (times, 2)):
                 held.append(batch.column(c).to_numpy())
         if not w1:
