@@ -18,13 +18,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from grovekit.llm.common import written
-from grovekit.session import local_table
+from grovekit.session import discard, local_table
 
 END = -(2**63)  # behind the last symbol of a string; below all symbols
 PLACE = ("sid", "lane", "i")
@@ -60,25 +60,32 @@ def lower_counts(df: DataFrame, keys: list[str], counts: dict[str, str]) -> Data
     return whole.select(*keys, *[(F.col(f"below_{n}") + F.col(f"start_{n}")).alias(n) for n in names])
 
 
-def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
-    """``sid, lane, i, rank`` of every place of ``strings``; runs jobs."""
-    along = Window.partitionBy("sid", "lane").orderBy("i")
-    ahead = lambda c, k, none: F.coalesce(F.lead(c, k).over(along), F.lit(none))
-    triples = written(
-        strings.select(
-            *PLACE,
-            "x",
-            ahead("x", 1, END).alias("x1"),
-            ahead("x", 2, END).alias("x2"),
-            (F.col("len") + ahead("len", 1, 0) + ahead("len", 2, 0)).alias("reach"),
-        )
+def ahead(column: str, k: int, none: int) -> Column:
+    """The value ``k`` places on in the string; its window is one string."""
+    return F.coalesce(F.lead(column, k).over(Window.partitionBy("sid", "lane").orderBy("i")), F.lit(none))
+
+
+def triples_of(strings: DataFrame) -> DataFrame:
+    """``sid, lane, i, x, x1, x2, reach`` of ``strings (sid, lane, i, x, len)``: each symbol with the next two."""
+    return strings.select(
+        *PLACE,
+        "x",
+        ahead("x", 1, END).alias("x1"),
+        ahead("x", 2, END).alias("x2"),
+        (F.col("len") + ahead("len", 1, 0) + ahead("len", 2, 0)).alias("reach"),
     )
+
+
+def suffix_ranks(triples: DataFrame, depth: int) -> DataFrame:
+    """``sid, lane, i, rank`` of every place of the strings that ``triples`` was made of; runs jobs.
+
+    ``triples`` is a written table, which is discarded.
+    """
     cover = triples.filter("i % 3 <> 0")
-    names = written(lower_counts(cover, ["x", "x1", "x2"], {"name": "true"}))
-    named = written(cover.join(names, ["x", "x1", "x2"]).select(*PLACE, "name", "reach"))
+    named = written(cover.join(lower_counts(cover, ["x", "x1", "x2"], {"name": "true"}), ["x", "x1", "x2"]).select(*PLACE, "name", "reach"))
     tied = named.filter(f"reach < {depth}").join(triples.filter(f"x2 <> {END}").select(*PLACE), list(PLACE), "left_semi")
     if tied.groupBy("name").count().filter("count > 1").isEmpty():
-        ranks = named.withColumnRenamed("name", "rank")
+        made, ranks = named, named.withColumnRenamed("name", "rank")
     else:
         shorter = named.select(
             "sid",
@@ -87,16 +94,22 @@ def suffix_ranks(strings: DataFrame, depth: int) -> DataFrame:
             F.col("name").alias("x"),
             F.col("reach").alias("len"),
         )
-        ranks = suffix_ranks(shorter, depth).select(
+        again = written(triples_of(shorter))
+        discard(named)
+        made = suffix_ranks(again, depth)
+        ranks = made.select(
             "sid", F.expr("cast(lane div 2 as int)").alias("lane"), F.expr("cast(3 * i + lane % 2 + 1 as int)").alias("i"), "rank"
         )
     known = triples.drop("x2", "reach").join(ranks.select(*PLACE, F.col("rank").alias("r")), list(PLACE), "left")
     known = written(known.select("*", ahead("r", 1, -1).alias("r1"), ahead("r", 2, -1).alias("r2")))
+    discard(made, triples)
     one = lower_counts(known.filter("i % 3 <> 2"), ["x", "r1"], {"a": "i % 3 = 0", "b": "i % 3 = 1"})
     two = lower_counts(known.filter("i % 3 <> 1"), ["x", "x1", "r2"], {"c": "i % 3 = 0", "d": "i % 3 = 2"})
     merged = known.join(one, ["x", "r1"], "left").join(two, ["x", "x1", "r2"], "left")
     rank = F.when(F.expr("i % 3 = 0"), F.expr("a + b + d")).when(F.expr("i % 3 = 1"), F.expr("r + a")).otherwise(F.expr("r + c"))
-    return written(merged.select(*PLACE, rank.alias("rank")))
+    whole = written(merged.select(*PLACE, rank.alias("rank")))
+    discard(known)
+    return whole
 
 
 def equal_prefixes(ranked: DataFrame) -> DataFrame:

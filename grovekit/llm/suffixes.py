@@ -24,11 +24,15 @@ from pyspark.sql import functions as F
 
 from grovekit.llm.common import covered, keyed, mix, on_key, runs, signed, windows, written
 from grovekit.llm.substrings import buckets_of
-from grovekit.llm.suffix_array import equal_prefixes, suffix_ranks
+from grovekit.llm.suffix_array import END, equal_prefixes, suffix_ranks
 from grovekit.llm.superkmers import bytes_of, shared_segments
+from grovekit.session import discard
 
 GRAM, REACH = 8, 64
-CUTS = "sid long, lane int, i int, x long, len int, prefix long, p long, doc_id long, f long, start int, n int"
+CUTS = (
+    "sid long, lane int, i int, x long, x1 long, x2 long, reach int, prefix long, p long, "
+    "doc_id long, f long, start int, n int, region long"
+)
 
 
 def depth_of(k: int) -> int:
@@ -113,19 +117,23 @@ def cut_regions(docs: DataFrame, shared: DataFrame, k: int) -> DataFrame:
                         continue
                     x, size, prefix, p, start, n = made
                     m = len(x)
+                    symbols = np.concatenate((signed(x) >> 1, [END, END]))
+                    far = np.concatenate((size, [0, 0]))
+                    region = powers(ids[a:b], np.zeros(1, np.int64), np.array([b - a]))
                     none = pa.nulls(m, pa.int64())
                     values = (
                         pa.array(np.full(m, sid)),
                         pa.array(np.zeros(m, np.int32)),
                         pa.array(np.arange(m, dtype=np.int32)),
-                        pa.array(signed(x) >> 1),
-                        pa.array(size.astype(np.int32)),
+                        *[pa.array(symbols[c : m + c]) for c in range(3)],
+                        pa.array((far[:m] + far[1 : m + 1] + far[2 : m + 2]).astype(np.int32)),
                         pa.array(signed(prefix)),
                         pa.array(signed(p)),
                         none if doc_id is None else pa.array(np.full(m, doc_id)),
                         pa.array(np.full(m, f)),
                         pa.array((start + a).astype(np.int32)),
                         pa.array(n.astype(np.int32)),
+                        pa.array(np.full(m, signed(region)[0])),
                     )
                     sid += 1
                     for held, v in zip(out, values):
@@ -138,15 +146,29 @@ def cut_regions(docs: DataFrame, shared: DataFrame, k: int) -> DataFrame:
 
 def repeated_strings(docs: DataFrame, k: int, hot: int) -> DataFrame:
     """``doc_id, f, first, last``: ranges of starts of strings of ``k`` bytes that start elsewhere too."""
-    cuts = cut_regions(docs, shared_segments(docs, False, k, k // 3), k)
-    ranks = suffix_ranks(cuts.select("sid", "lane", "i", "x", "len"), depth_of(k))
-    asked = cuts.filter("n > 0").select("sid", "lane", "i", "prefix")
-    intervals = equal_prefixes(asked.join(ranks, ["sid", "lane", "i"]))
+    shared = shared_segments(docs, False, k, k // 3)
+    cuts = cut_regions(docs, shared, k)
+    discard(shared)
+    # Equal regions are ranked once; a region is known by its bytes and the number of its cuts.
+    sizes = cuts.groupBy("sid", "region").agg(F.max("i").alias("last"))
+    first = sizes.groupBy("region", "last").agg(F.min("sid").alias("first"))
+    regions = written(sizes.join(first, ["region", "last"]).select("sid", "first"))
+    own = regions.filter("sid = first").select("sid")
+    strings = written(
+        cuts.select("sid", "lane", "i", "x", "x1", "x2", "reach").join(own, "sid", "left_semi")
+    )
+    begun = written(cuts.filter("n > 0").select("sid", "lane", "i", "prefix", "p", "doc_id", "f", "start", "n"))
+    discard(cuts)
+    ranks = suffix_ranks(strings, depth_of(k))
+    asked = begun.select("sid", "lane", "i", "prefix").join(ranks, ["sid", "lane", "i"])
+    intervals = equal_prefixes(asked).withColumnRenamed("sid", "first")
     around = written(
-        cuts.filter("n > 0")
-        .join(intervals, ["sid", "lane", "i"])
+        begun.drop("prefix")
+        .join(regions, "sid")
+        .join(intervals, ["first", "lane", "i"])
         .select(F.col("interval").alias("h"), "p", "doc_id", "f", "start", "n", F.lit(False).alias("inner"))
     )
+    discard(begun, regions, ranks)
     return buckets_of(docs, around, k, hot, False)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovekit.llm.common import Ids, keyed, mix, runs, signed, windows, written
+from grovekit.session import discard
 
 SEGMENTS = "h long, p long, doc_id long, f long, start int, n int, inner boolean"
 BYTE_IDS = mix(np.arange(1, 257, dtype=np.uint64))
@@ -96,7 +97,9 @@ def shared_segments(docs: DataFrame, by_words: bool, k: int, m: int) -> DataFram
     """The super-k-mers whose minimiser is found in more than one of them, or that repeat a window of their own text."""
     every = written(all_segments(docs, by_words, k, m))
     shared = every.groupBy("h").agg(F.sum(F.when(F.col("inner"), 2).otherwise(1)).alias("times")).filter("times > 1")
-    return written(every.join(shared.select("h"), "h"))
+    found = written(every.join(shared.select("h"), "h"))
+    discard(every)
+    return found
 
 
 def window_ranges(places: np.ndarray) -> list[tuple[int, int]]:
