@@ -149,10 +149,11 @@ def repeated_strings(docs: DataFrame, k: int, hot: int) -> DataFrame:
     shared = shared_segments(docs, False, k, k // 3)
     cuts = cut_regions(docs, shared, k)
     discard(shared)
-    # Equal regions are ranked once; a region is known by its bytes and the number of its cuts.
-    sizes = cuts.groupBy("sid", "region").agg(F.max("i").alias("last"))
-    first = sizes.groupBy("region", "last").agg(F.min("sid").alias("first"))
-    regions = written(sizes.join(first, ["region", "last"]).select("sid", "first"))
+    # Equal regions are ranked once; a region is known by two fingerprints and the number of its cuts.
+    known = ["region", "last", "again"]
+    sizes = cuts.groupBy("sid", "region").agg(F.max("i").alias("last"), F.bit_xor("prefix").alias("again"))
+    first = sizes.groupBy(*known).agg(F.min("sid").alias("first"))
+    regions = written(sizes.join(first, known).select("sid", "first"))
     own = regions.filter("sid = first").select("sid")
     strings = written(
         cuts.select("sid", "lane", "i", "x", "x1", "x2", "reach").join(own, "sid", "left_semi")
