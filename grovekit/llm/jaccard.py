@@ -3,10 +3,11 @@
 Equal sets are one class.  The shingles of a set are put in one global order, rare ones first; two sets that link share
 one of the first ``n - ceil(t n) + 1`` of them.  Rarity is counted over all documents in a sketch of fixed size: any
 order gives the same links, a good one fewer candidates.  Candidates come in two rounds, since only components are
-asked for.  First every set is compared with one hub of each prefix shingle it shares, so that a group of near copies
-costs as many pairs as it has members.  Then, for shingles whose sets are still in several components, pairs across
-components follow.  Pairs pass the length and positional filter in the join, the suffix filter and the exact count
-once, however many shingles they share.
+asked for.  First every set is compared with one hub of each prefix shingle it shares, the set with the fewest rarer
+shingles: among near copies, the one that has most in common with all.  So a group of near copies costs about as many
+pairs as it has members.  Then, for shingles whose sets are still in several components, pairs across components follow.
+Pairs pass the length and positional filters before, the suffix filter and the exact count once, however many shingles
+they share.
 
 Defined cases: a document without words or text has an empty set and links with nothing, not even with its like.  With
 fewer words than ``size`` the whole sequence is the only shingle.  A null id takes part; it is the component's id only
@@ -54,14 +55,18 @@ def set_ids(docs: DataFrame, size: int) -> tuple[DataFrame, np.ndarray]:
         fingerprint, counts = Ids(), np.zeros(BUCKETS, np.int64)
         names = ["doc_id", "f", "n", "c", "c2", "slice", "counts"]
         for batch in batches:
-            n, c = [], []
+            n, c, waiting, held = [], [], [], 0
             for text in batch.column(2).to_pylist():
                 found = shingle_set(words(fingerprint, text), size)
-                counts += np.bincount(bucket(found), minlength=BUCKETS) if len(found) > 5000 else 0
-                if len(found) <= 5000:
-                    np.add.at(counts, bucket(found), 1)
                 n.append(len(found))
                 c.append(xxhash.xxh3_128_digest(found.tobytes()))
+                waiting.append(found)
+                held += len(found)
+                if held >= BUCKETS:
+                    counts += np.bincount(bucket(np.concatenate(waiting)), minlength=BUCKETS)
+                    waiting, held = [], 0
+            if waiting:
+                counts += np.bincount(bucket(np.concatenate(waiting)), minlength=BUCKETS)
             both = np.frombuffer(b"".join(c), np.int64).reshape(-1, 2)
             none = pa.nulls(len(n))
             yield pa.RecordBatch.from_arrays(
@@ -124,7 +129,7 @@ def shared_prefixes(docs: DataFrame, sketch: np.ndarray, size: int, percent: int
                 )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (t, n, c): the first of a shingle is its hub."""
+        """Rows come sorted by (t, at, n, c): the first of a shingle is its hub."""
         hub, waiting, last = (None, 0, 0, 0), True, None
         names = ["t", "c", "at", "n", "hub", "hub_at", "hub_n"]
         for batch in batches:
@@ -159,7 +164,7 @@ def shared_prefixes(docs: DataFrame, sketch: np.ndarray, size: int, percent: int
     rows = keyed(docs).select("text").mapInArrow(cut, "t long, c long, at int, n int")
     return written(
         rows.repartition("t")
-        .sortWithinPartitions("t", "n", "c")
+        .sortWithinPartitions("t", "at", "n", "c")
         .mapInArrow(meet, "t long, c long, at int, n int, hub long, hub_at int, hub_n int")
     )
 
@@ -169,19 +174,15 @@ def needed(percent: int) -> str:
     return f"ceil({percent} * (n + m) / {100 + percent})"
 
 
-def passing(pairs: DataFrame, percent: int, complete: bool) -> DataFrame:
+def passing(pairs: DataFrame, percent: int) -> DataFrame:
     """``x, y`` of rows ``x, at, n, y, to, m`` that pass the length and positional filters; each pair once.
 
-    ``complete``: a pair has a row for each prefix shingle it shares, so that the first of them bounds what follows.
+    Behind the first shingle that two linked sets share, both have as many as they need in common; a row of which this
+    does not hold is not the first one.
     """
     in_reach = f"100 * least(n, m) >= {percent} * greatest(n, m)"
-    ahead = f"least(at, to) + least(n - at, m - to) >= {needed(percent)}"
-    first = pairs.filter(in_reach).filter(ahead).groupBy("x", "y").agg(
-        F.min("at").alias("at"), F.min("to").alias("to"), F.first("n").alias("n"), F.first("m").alias("m")
-    )
-    if complete:
-        first = first.filter(f"least(n - at, m - to) >= {needed(percent)}")
-    return first.select("x", "y")
+    ahead = f"least(n - at, m - to) >= {needed(percent)}"
+    return pairs.filter(in_reach).filter(ahead).select("x", "y").distinct()
 
 
 def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -202,7 +203,6 @@ def linked(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, per
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["u", "v"])
 
-    pairs = written(pairs)
     asked = pairs.select(F.col("x").alias("c")).union(pairs.select(F.col("y").alias("c"))).distinct()
     one = classes.join(asked, "c").select("c", "one.*")
     tokens = written(on_key(keyed(docs), one, "inner").select("c", "text").mapInArrow(sets, "c long, tokens binary"))
@@ -239,10 +239,18 @@ def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
         .agg(F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "f")).alias("one"))
     )
     shared = shared_prefixes(docs, sketch, size, percent)
+    swap = F.col("c") < F.col("hub")
+    pick = lambda a, b: F.when(swap, F.col(b)).otherwise(F.col(a))
     hubs = shared.filter("c <> hub").select(
-        F.col("c").alias("x"), "at", "n", F.col("hub").alias("y"), F.col("hub_at").alias("to"), F.col("hub_n").alias("m")
+        pick("c", "hub").alias("x"),
+        pick("at", "hub_at").alias("at"),
+        pick("n", "hub_n").alias("n"),
+        pick("hub", "c").alias("y"),
+        pick("hub_at", "at").alias("to"),
+        pick("hub_n", "n").alias("m"),
     )
-    edges = linked(docs, classes, passing(hubs, percent, False), size, percent)
+    done = written(passing(hubs, percent))
+    edges = linked(docs, classes, done, size, percent)
     roots = written(components(edges))
     placed = shared.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
         "t", "c", "at", "n", F.coalesce("root", "c").alias("root")
@@ -251,10 +259,9 @@ def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     placed = written(placed.join(apart, "t"))
     left = placed.select("t", F.col("c").alias("x"), "at", "n", F.col("root").alias("r"))
     right = placed.select("t", F.col("c").alias("y"), F.col("at").alias("to"), F.col("n").alias("m"), F.col("root").alias("s"))
-    across = left.join(right, "t").filter("r <> s and (n > m or (n = m and x > y))")
-    done = hubs.select("x", "y").distinct()
-    pairs = passing(across, percent, True).join(done, ["x", "y"], "left_anti")
-    more = linked(docs, classes, pairs, size, percent)
+    across = left.join(right, "t").filter("r <> s and x > y")
+    pairs = passing(across, percent).join(done, ["x", "y"], "left_anti")
+    more = linked(docs, classes, written(pairs), size, percent)
     roots = written(components(edges.union(more)))
     whole = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").select(
         "c", "c2", "low", F.coalesce("root", "c").alias("root")
