@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.llm.common import Ids, keyed, mix, runs, signed, windows, written
+from grovekit.llm.common import Ids, keyed, mix, signed, windows, written
 from grovekit.session import discard
 
 SEGMENTS = "h long, p long, doc_id long, f long, start int, n int, inner boolean"
@@ -100,12 +100,3 @@ def shared_segments(docs: DataFrame, by_words: bool, k: int, m: int) -> DataFram
     found = written(every.join(shared.select("h"), "h"))
     discard(every)
     return found
-
-
-def window_ranges(places: np.ndarray) -> list[tuple[int, int]]:
-    """Sorted places as ranges (first, past the last)."""
-    if not len(places):
-        return []
-    mask = np.zeros(int(places[-1]) + 1, bool)
-    mask[places] = True
-    return [(int(a), int(b)) for a, b in zip(*runs(mask))]
