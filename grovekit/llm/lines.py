@@ -7,6 +7,11 @@ the last round, equal ranks are the intervals of the suffix array whose common p
 In each interval the first suffix (lowest id, then place) stays; the lines of later ones are deleted.  Runs longer than
 ``min_lines`` are the unions of such windows.
 
+With ``long_words``, a long line counts alone, next to the runs: one of that many words (runs of other than ASCII white
+space), or of 8 bytes for each of them, since some scripts have no spaces.  All but the first of equal long lines are
+deleted, whatever stands around them, also where a document is that one line.  The first copy of a line never lies in a
+later copy of a run, so that one copy of everything stays.
+
 Only DataFrame functions: ranks are row ids of range-sorted tables, hot lines are counted before they are shuffled, and
 a join on them can be split, since the other side has one row for each rank.
 
@@ -24,11 +29,21 @@ from pyspark.sql import functions as F
 from grovekit.llm.common import keyed, on_key, written
 
 WORD = r"[^\x20\x09-\x0D]"
+LONG_WORDS, WORD_BYTES = 50, 8
 SUFFIX = ("doc_id", "f", "j")
 
 
-def word_lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, f, j, i, a, b``: j-th line with a word, its place i among all lines, its id (a, b)."""
+def word_lines(docs: DataFrame, long_words: int | None = None) -> DataFrame:
+    """``doc_id, f, j, i, a, b``: j-th line with a word, its place i among all lines, its id (a, b).
+
+    With ``long_words`` also ``alone``: whether the line is long.
+    """
+    alone = []
+    if long_words is not None:
+        # Words are counted only where the bytes are enough for so many and what parts them.
+        size = F.octet_length("at.line")
+        many = (size >= 2 * long_words - 1) & (F.regexp_count("at.line", F.lit(WORD + "+")) >= long_words)
+        alone = [((size >= WORD_BYTES * long_words) | many).alias("alone")]
     split = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("i"), x.alias("line")))
     lines = keyed(docs).select("doc_id", "f", F.posexplode(F.filter(split, lambda x: x["line"].rlike(WORD))).alias("j", "at"))
     return lines.select(
@@ -38,6 +53,7 @@ def word_lines(docs: DataFrame) -> DataFrame:
         F.col("at.i").alias("i"),
         F.xxhash64("at.line").alias("a"),
         F.xxhash64(F.lit("line"), F.col("at.line")).alias("b"),
+        *alone,
     ).dropDuplicates([*SUFFIX])
 
 
@@ -63,28 +79,32 @@ def repeated_suffixes(lines: DataFrame, min_lines: int) -> DataFrame:
     return ranked
 
 
-def later_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
-    """``doc_id, f, start, length``: runs of lines to delete, by place among all lines of the document."""
-    lines = written(word_lines(docs))
-    ranked = repeated_suffixes(lines, min_lines)
+def later_places(ranked: DataFrame, n_lines: int) -> DataFrame:
+    """``doc_id, f, j``: places of the first ``n_lines`` lines of all but the first suffix of each rank."""
     first = ranked.groupBy("rank").agg(F.min(F.struct(*SUFFIX)).alias("first"))
     later = ranked.join(first, "rank").filter(~F.struct(*SUFFIX).eqNullSafe(F.col("first")))
-    places = later.select(
-        "doc_id", "f", F.explode(F.sequence(F.col("j"), F.col("j") + (min_lines - 1))).alias("j")
-    ).distinct()
-    gone = on_key(lines.select(*SUFFIX, "i"), places, "left_semi", *SUFFIX)
+    return later.select("doc_id", "f", F.explode(F.sequence(F.col("j"), F.col("j") + (n_lines - 1))).alias("j"))
+
+
+def later_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
+    """``doc_id, f, start, length``: runs of lines to delete, by place among all lines of the document."""
+    lines = written(word_lines(docs, long_words))
+    places = later_places(repeated_suffixes(lines, min_lines), min_lines)
+    if long_words is not None:
+        places = places.union(later_places(repeated_suffixes(lines.filter("alone"), 1), 1))
+    gone = on_key(lines.select(*SUFFIX, "i"), places.distinct(), "left_semi", *SUFFIX)
     # Neighbouring places fall into one run; a partition of the window is one document.
     gone = gone.withColumn("run", F.expr("i - row_number() over (partition by doc_id, f order by i)"))
     return gone.groupBy("doc_id", "f", "run").agg(F.min("i").alias("start"), F.count("*").alias("length")).drop("run")
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
     """``row, doc_id, f, text, n_lines, n_removed, runs``: what is left of every row, and the deleted runs in order.
 
     ``row`` holds the columns of ``docs``.
     """
     run = F.struct(F.col("start").cast("int").alias("start"), F.col("length").cast("int").alias("length"))
-    runs = later_lines(docs, min_lines).groupBy("doc_id", "f").agg(F.sort_array(F.collect_list(run)).alias("runs"))
+    runs = later_lines(docs, min_lines, long_words).groupBy("doc_id", "f").agg(F.sort_array(F.collect_list(run)).alias("runs"))
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
@@ -112,12 +132,12 @@ def dedup_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
     )
 
 
-def delete_later_lines(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def delete_later_lines(docs: DataFrame, min_lines: int = 2, long_words: int | None = None) -> DataFrame:
     """``docs`` with all their columns, ``text`` without later copies (``n_chars`` follows, where there is one).
 
     Rows of which no line with a word is left go; rows that had none stay as they are.
     """
-    left = dedup_lines(docs, min_lines).filter("n_removed = 0 or n_removed < n_lines")
+    left = dedup_lines(docs, min_lines, long_words).filter("n_removed = 0 or n_removed < n_lines")
     text = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(F.col("text"))
     new = {"text": text, "n_chars": F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("text"))} if "n_chars" in docs.columns else {"text": text}
     types = dict(docs.dtypes)

@@ -69,6 +69,29 @@ def line_dedup(spark, sf_dir):
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+#: The same with long lines: one of 50 words or 400 bytes counts alone, next to the pairs.
+LONG_LINES_SQL = LINES_SQL.replace(
+    """gone AS (
+  SELECT DISTINCT doc_id, i FROM worded SEMI JOIN (SELECT * FROM later UNION SELECT doc_id, j + 1 FROM later)""",
+    r"""long AS (
+  SELECT doc_id, j FROM (
+    SELECT doc_id, j, row_number() OVER (PARTITION BY line ORDER BY doc_id, j) AS copy FROM worded
+    WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 50 OR strlen(line) >= 400) WHERE copy > 1),
+gone AS (
+  SELECT DISTINCT doc_id, i FROM worded
+  SEMI JOIN (SELECT * FROM later UNION SELECT doc_id, j + 1 FROM later UNION SELECT * FROM long)""",
+)
+
+
+@query(
+    "op7_long_line_dedup",
+    f"WITH {LONG_LINES_SQL.format(docs='documents')} SELECT doc_id, n_lines, n_removed, sha256(text) AS kept_sha256 FROM left_over",
+)
+def long_line_dedup(spark, sf_dir):
+    kept = lines.dedup_lines(documents(spark, sf_dir), long_words=lines.LONG_WORDS)
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query(
     "op5_substring_dedup",
     r"""WITH docs AS (

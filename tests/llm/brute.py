@@ -85,6 +85,21 @@ def later_lines(rows: list[tuple], k: int) -> dict[tuple, list[str]]:
     return {d: [x for i, x in enumerate(lines[d]) if i not in gone[d]] for d in docs}
 
 
+def later_or_long_lines(rows: list[tuple], k: int, words: int, size: int) -> dict[tuple, list[str]]:
+    """As ``later_lines``, and without later copies of lines that have ``words`` words or ``size`` bytes."""
+    left = later_lines(rows, k)
+    out, seen = {}, set()
+    for d in sorted(left, key=key):
+        out[d] = []
+        for x in left[d]:
+            long = WORD.search(x) and (len(WORD.findall(x)) >= words or len(x.encode()) >= size)
+            if not (long and x in seen):
+                out[d].append(x)
+            if long:
+                seen.add(x)
+    return out
+
+
 def shingles(text: str | None, size: int = 5) -> frozenset:
     words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     if len(words) < size:

@@ -80,6 +80,27 @@ def test_lines_keep_columns(spark, rows):
     assert all(r.n_chars in (None, 0) or r.n_chars == len(r.text) for r in got)
 
 
+def test_long_lines_count_alone(spark, rows):
+    """Long lines between differing neighbours, alone in a text, without spaces, at the limits, and in one text twice."""
+    rng = random.Random(7)
+    line = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    long, short, spaceless, tiny = line(50), line(49), "\u8a9e" * 134, " ".join(f"{i % 10}" for i in range(50))
+    texts = [f"{line(3)}\n{x}\n{line(3)}" for x in (long, short, spaceless, tiny, "\u8a9e" * 133) for _ in range(3)]
+    texts += [long, long, short, short, f"{tiny}\n{line(2)}\n\n{tiny}\n{line(2)}"]
+    table = [*rows, *[(1000 + i, t, "x", "y", len(t)) for i, t in enumerate(texts)], (None, long, "x", "y", 0)]
+    left = brute.later_or_long_lines(table, 2, 50, 400)
+    df = brute.frame(spark, table)
+    got = lines.dedup_lines(df, 2, 50).collect()
+    assert len(got) == len(table)
+    for r in got:
+        assert r.text == "\n".join(left[r.doc_id, r.row.text or ""])
+    kept = "\n".join(r.text for r in got).split("\n")
+    assert [kept.count(x) for x in (long, short, spaceless, tiny)] == [1, 5, 1, 1]
+    stay = {(d, t) for (d, t), x in left.items() if any(map(brute.WORD.search, x)) or not brute.WORD.search(t)}
+    docs = lines.delete_later_lines(df, 2, 50).collect()
+    assert len(docs) == sum((r[0], r[1] or "") in stay for r in table)
+
+
 def test_jaccard(spark, rows):
     got = jaccard.join_documents(brute.frame(spark, rows)).collect()
     ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
