@@ -27,8 +27,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the lowest id."""
-    return jaccard.keep_one(docs)
+    """One row of each group of near copies, repeated rows among them: the one with the lowest id."""
+    return jaccard.keep_one(docs, repeats=False)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

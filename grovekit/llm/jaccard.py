@@ -277,9 +277,27 @@ def join_documents(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFra
     )
 
 
-def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that come first (by id) in their component; all without words stay."""
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80, repeats: bool = True) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that come first (by id) in their component; all without words stay.
+
+    Rows that repeat id (or null) and text of the first one stay with it, as one document listed more than once; without
+    ``repeats`` one row of each component stays, of such rows the lowest by its other columns (maps are not looked at).
+    """
     placed = written(join_documents(docs, size, percent))
-    first = placed.filter("root is not null").groupBy("root").agg(F.min(F.struct("doc_id", "f")).alias("first"))
+    worded = placed.filter("root is not null")
+    first = worded.groupBy("root").agg(F.min(F.struct("doc_id", "f")).alias("first")).select("first.*")
     alone = placed.filter("root is null").select("doc_id", "f")
-    return rows_by_key(docs, first.select("first.*").union(alone), "left_semi")
+    if repeats:
+        return rows_by_key(docs, first.union(alone), "left_semi")
+    often = worded.groupBy("doc_id", "f").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id", "f")
+    often = written(on_key(often, first, "left_semi"))
+    if often.isEmpty():
+        return rows_by_key(docs, first.union(alone), "left_semi")
+    # Only rows whose key comes again are aggregated, and map-side before they are dealt out.
+    keys = on_key(first.union(alone).distinct(), often.withColumn("again", F.lit(True)), "left")
+    key = [docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("f")]
+    rows = docs.select(*key, F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    found = written(on_key(rows, keys, "inner").select("doc_id", "f", "again", "row"))
+    order = F.struct(*[F.col("row")[c] for c, kind in docs.dtypes if "map<" not in kind and c not in ("doc_id", "text")], F.lit(0))
+    one = found.filter("again").groupBy("doc_id", "f").agg(F.min_by("row", order).alias("row"))
+    return found.filter("again is null").select("row.*").union(one.select("row.*"))

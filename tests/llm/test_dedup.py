@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from grovekit.llm import jaccard, lines, substrings, suffixes
 from tests.llm import brute
 
@@ -136,6 +137,29 @@ def test_jaccard_keeps_one(spark, rows):
     assert len(got) == sum((r[0], r[1] or "") in stay for r in rows)
 
 
+def test_jaccard_keeps_one_row(spark, rows):
+    """Rows that repeat id and text, also under a null id, leave one row, and the same one however they are dealt out."""
+    text = " ".join(f"r{i}" for i in range(40))
+    table = rows + [(5000, text, "en", f"s{i}", 0) for i in range(300)] + [(None, text + " end", None, f"n{i}", 0) for i in range(200)]
+    table += [(None, "null twice", None, None, i) for i in (3, 2)] + [(5001, text, "en", "a", 0), (5002, None, None, None, 0)]
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    found = []
+    for n in (2, 5):
+        df = brute.frame(spark, table).repartition(n)
+        kept = stage(spark, df, "")
+        assert kept.columns == df.columns
+        found.append(kept.collect())
+    ordered = sorted(table, key=brute.key)
+    sets = [brute.shingles(r[1]) for r in ordered]
+    first = brute.components(sets)
+    want = [(r[0], r[1] or "") for i, r in enumerate(ordered) if first[i] == i or not sets[i]]
+    for got in found:
+        assert sorted((r.doc_id, r.text or "") for r in got if r.doc_id is not None) == sorted(x for x in want if x[0] is not None)
+        assert sorted(r.text or "" for r in got if r.doc_id is None) == sorted(t for d, t in want if d is None)
+        assert {r.n_chars for r in got if r.text == "null twice"} == {2}
+    assert sorted(map(repr, found[0])) == sorted(map(repr, found[1]))
+
+
 @pytest.mark.parametrize("run", [
     suffixes.dedup_suffixes, substrings.dedup_substrings, lines.dedup_lines, lines.delete_later_lines,
     jaccard.join_documents, jaccard.keep_one,
