@@ -1,7 +1,9 @@
 """License scans (10): templates found in overlapping text windows by MinHash bands and exact containment.
 
 A template of up to ``step`` shingles (a power of two) is looked for in windows of ``2 * step`` shingles that begin every
-``step``, so that an occurrence lies within one window.  If ``percent`` per cent of a template lie in a window, the two have
+``step``, so that an occurrence of up to ``step + 1`` shingles lies within one window, wherever it begins.  A longer one
+may not: of ISC (30 shingles, step 32) with 12 words put in in its middle, 26 shingles are left in the text, but of those that
+begin 25 to 29 past a window's start no window holds the 24 that are needed.  If ``percent`` per cent of a template lie in a window, the two have
 a Jaccard similarity of at least 0.19 (at 80 per cent); one-row bands are taken, as many as make a miss rarer than ``miss``
 at the lowest such similarity.  What collides is verified by counting common shingles.
 
