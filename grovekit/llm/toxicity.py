@@ -34,8 +34,11 @@ BITS = 18
 
 @dataclass(frozen=True)
 class CrfParams:
+    """``calm_share``: of sentences without a toxic word, one in so many enters the fit of the field."""
+
     max_fit_docs: int = 12_000
     max_fit_words: int = 300_000
+    calm_share: int = 8
     least_precision: float = 0.9
     epochs: int = 6
     rate: float = 0.5
@@ -248,23 +251,36 @@ def evidence(sample: DataFrame, params: CrfParams) -> set[bytes]:
     return {bytes(r["part"]) for r in varied.filter(strong).select("part").collect()}
 
 
+def fit_sample(train: DataFrame, max_docs: int, seed: int) -> DataFrame | None:
+    """``doc_id, text, toxic`` of ``max_docs`` labelled rows at most, by hashed id, then text; None if there are none."""
+    drawn = train.filter("text is not null and toxic is not null").select(
+        "doc_id", "text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id", F.lit(seed)).alias("at")
+    )
+    drawn = drawn.withColumn("tie", F.xxhash64("text", "toxic"))
+    lowest = drawn.select("at", "tie").orderBy("at", "tie").limit(max_docs + 1).groupBy("at", "tie").agg(F.count("*").alias("n"))
+    top, total = lowest.agg(F.max(F.struct("at", "tie", "n")), F.sum("n")).first()
+    if total is None:
+        return None
+    sample = drawn
+    if total > max_docs:
+        at, tie = F.lit(top["at"]), F.lit(top["tie"])
+        sample = drawn.filter((F.col("at") < at) | ((F.col("at") == at) & (F.col("tie") < tie)))
+        if top["n"] > 1:  # rows that are equal in all columns: as many of them as there is room for
+            sample = sample.union(drawn.filter((F.col("at") == at) & (F.col("tie") == tie)).limit(top["n"] - 1))
+    return written(sample.drop("at", "tie"))
+
+
 def fit(train: DataFrame, params: CrfParams = CrfParams()) -> Model:
     """Model for ``train (doc_id, text, toxic)``; only a bounded sample is read in full."""
-    drawn = (
-        train.filter("text is not null and toxic is not null")
-        .select("doc_id", "text", F.col("toxic").cast("int").alias("toxic"), F.xxhash64("doc_id", F.lit(params.seed)).alias("at"))
-    )
-    chosen = drawn.select("at", "doc_id").orderBy("at").limit(params.max_fit_docs).agg(F.max("at"))
-    limit = chosen.first()[0]
-    if limit is None:
+    sample = fit_sample(train, params.max_fit_docs, params.seed)
+    if sample is None:
         return Model()
-    sample = written(drawn.filter(F.col("at") <= limit).drop("at"))
     known = evidence(sample, params)
     if not known:
         return Model()
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sentences with a toxic word, and one in eight of the others."""
+        """Sentences with a toxic word, and one in ``calm_share`` of the others."""
         memo: dict[bytes, tuple[bytes, bool]] = {}
         for batch in batches:
             out: list[dict] = []
@@ -277,7 +293,7 @@ def fit(train: DataFrame, params: CrfParams = CrfParams()) -> Model:
                         memo[raw] = w, any(p in known for p in parts_of(w))
                     sentence.append(memo[raw])
                     if raw.endswith(ENDS) or i == len(words) - 1:
-                        if any(t for _, t in sentence) or hash_of(sentence) % 8 == 0:
+                        if any(t for _, t in sentence) or hash_of(sentence) % params.calm_share == 0:
                             out.append({"words": [w for w, _ in sentence], "toxic": [int(t) for _, t in sentence]})
                         sentence = []
             schema = pa.schema([("words", pa.list_(pa.binary())), ("toxic", pa.list_(pa.int32()))])

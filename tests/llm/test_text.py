@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -266,6 +267,18 @@ def test_toxicity_on_held_out_rows(spark, rows):
     assert scores(again) == scores(got)
 
 
+def test_toxicity_sample_is_bounded(spark):
+    """One id with many texts and one row many times do not exceed the bound; without ties it is the lowest hashed ids."""
+    schema = "doc_id long, text string, toxic int"
+    table = [(1, f"text {i}", i % 2) for i in range(200)] + [(2, "same", 1)] * 200 + [(i, f"own {i}", 0) for i in range(3, 40)]
+    df = spark.createDataFrame([*table, (None, None, 1), (50, "unlabelled", None)], schema).repartition(3)
+    for most in (1, 20, 150, 300, 430):
+        got = [tuple(r) for r in toxicity.fit_sample(df, most, 8).collect()]
+        assert len(got) == most and not Counter(got) - Counter(table)
+    assert Counter(map(tuple, toxicity.fit_sample(df, 1000, 8).collect())) == Counter(table)
+    assert toxicity.CrfParams().calm_share == 8
+
+
 def test_toxicity_without_labels(spark, rows):
     got = toxicity.score_documents(brute.frame(spark, rows), spark.createDataFrame([], "doc_id long, toxic int")).collect()
     assert len(got) == len(rows) and {r.score for r in got} == {0.0}
