@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm import contamination, huffman, jaccard, licenses, lines, packing, quality, substrings, suffixes, toxicity
+from grovekit.llm import (
+    contamination,
+    divergence,
+    huffman,
+    jaccard,
+    licenses,
+    lines,
+    packing,
+    periodic,
+    quality,
+    shards,
+    substrings,
+    suffixes,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -176,3 +190,140 @@ def license_scan(spark, sf_dir):
 def suffix_array_dedup(spark, sf_dir):
     kept = suffixes.dedup_suffixes(documents(spark, sf_dir))
     return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: CRC-32 of bytes b[1..n] by the table of the reflected polynomial, as a list fold.
+CRC_TABLE_SQL = """crc_table AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda c, x: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS v
+    FROM range(256) AS r(i)))"""
+
+
+def _crc32_sql(text: str) -> str:
+    code = f"hex(encode({text}))"
+    each = f"list_transform(regexp_extract_all({code}, '..'), lambda s: ('0x' || s)::BIGINT)"
+    fold = f"list_reduce(list_prepend(4294967295::BIGINT, {each}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))"
+    return f"xor({fold}, 4294967295)"
+
+
+@query(
+    "op12_sharding",
+    f"""WITH {CRC_TABLE_SQL},
+    rows AS (
+      SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, {_crc32_sql("coalesce(text, '')")} AS text_crc32
+      FROM documents, crc_table),
+    sums AS (
+      SELECT *, row_number() OVER w - 1 AS pos, sum(size) OVER (w ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total
+      FROM rows WINDOW w AS (ORDER BY doc_id NULLS FIRST, size, text_crc32)),
+    cut AS (SELECT *, CAST(least(8 * (2 * upto - size) // (2 * total), 7) AS INTEGER) AS shard FROM sums)
+    SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+      pos - min(pos) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+    FROM cut""",
+)
+def sharding(spark, sf_dir):
+    rows = shards.shard_rows(documents(spark, sf_dir), 8)
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return rows.select("doc_id", "size", "text_crc32", F.lit(shards.LAW).alias("law"), "shard", "slot", grown)
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: with checksum h of the id, every tenth document with words repeats itself from word h / 10 % n on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when((h % 10 == 0) & F.col("text").isNotNull(), F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    # The words are a column of their own, so that they are cut once and not for each of them.
+    cut = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    cut = cut.select("*", F.size("words").alias("n")).select("*", (F.col("g") % F.nullif("n", F.lit(0))).alias("a"))
+    cut = cut.withColumn("p", F.lit(1) + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    again = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get("words", place(i).cast("int")))
+    return cut.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+#: Equal words at two places are matches of a gap; a run of gap q is a stretch of matches with consecutive places.
+PERIODIC_SQL = rf"""WITH {CRC_TABLE_SQL},
+    hashed AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws, {_crc32_sql("doc_id::VARCHAR")} AS h
+      FROM documents, crc_table),
+    cut AS (
+      SELECT *, len(ws) AS n, h // 10 AS g, (h // 10) % nullif(len(ws), 0) AS a FROM hashed),
+    placed AS (
+      SELECT doc_id, n, unnest(range(n)) AS i, ws, h, a, 1 + (n - a) // (3 + g % 8) AS p FROM cut),
+    words AS (
+      SELECT doc_id, n, i, ws[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS w FROM placed),
+    matches AS (
+      SELECT x.doc_id, y.i - x.i AS q, x.i AS i FROM words x JOIN words y
+      ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+    stretches AS (
+      SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+      FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS s FROM matches)
+      GROUP BY doc_id, q, s HAVING count(*) + q >= greatest(6, 4 * q)),
+    runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY ALL),
+    gone AS (
+      SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+    kept AS (
+      SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+    listed AS (
+      SELECT doc_id, count(*) AS n_runs, max_by(start, (length, -start, -period)) AS start, max(length) AS length,
+        max_by(period, (length, -start, -period)) AS period,
+        string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+      FROM runs GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+      sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+    FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op11_periodic_runs", PERIODIC_SQL)
+def periodic_runs(spark, sf_dir):
+    found = periodic.find_runs(repeating(documents(spark, sf_dir).select(F.col("doc_id").cast("long"), "text")))
+    order = F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.select("doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), F.array_max(order).alias("best"), "collapsed", F.array_join(lines, "").alias("lines"))
+    return best.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.s")).alias("start"),
+        "best.length",
+        (-F.col("best.p")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query(
+    "op13_source_divergence",
+    r"""WITH docs AS (
+      SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+      FROM documents),
+    occ AS (
+      SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+    kept AS (SELECT lang, term, count(*) AS n FROM occ GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+    langs AS (SELECT lang, count(*) AS v, sum(n) AS size FROM kept GROUP BY lang),
+    groups AS (SELECT DISTINCT lang, source FROM docs),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM occ SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    sizes AS (
+      SELECT lang, source, coalesce(sum(n), 0) AS size FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+    shares AS (
+      SELECT lang, source, term, c.n AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 2)::HUGEINT) // (s.size + 2 * l.v) AS p,
+        1 + (1000000000 * (k.n + 2)::HUGEINT) // (l.size + 2 * l.v) AS q
+      FROM sizes s JOIN langs l USING (lang) JOIN (SELECT lang, term, n FROM kept) k USING (lang)
+      LEFT JOIN (SELECT lang, source, term, n FROM counts) c USING (lang, source, term)),
+    pairs AS (
+      SELECT a.lang, a.source, b.source AS item, coalesce(sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)), 0) AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+      LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+      GROUP BY ALL),
+    terms AS (
+      SELECT lang, source, term AS item, ((p - q) * (p - q)) // (p + q) AS value FROM shares WHERE n > 0 AND p > q),
+    ranked AS (
+      SELECT *, 'pair' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS r FROM pairs
+      UNION ALL
+      SELECT *, 'term' AS part, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS r FROM terms)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+    FROM ranked WHERE part = 'pair' OR r <= 10""",
+)
+def source_divergence(spark, sf_dir):
+    return divergence.audit_sources(documents(spark, sf_dir))
