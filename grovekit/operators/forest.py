@@ -1,9 +1,9 @@
-"""Decision trees and oblique forests grown level by level.
+"""Decision trees and oblique forests: parameters, fits and predictions.
 
-All nodes of a depth, in all trees, are split by one job.  Rows are stored
-once with the list of trees that drew them; a row's node is not stored but
-found again by joining the (small) levels above, so there is no state to lose
-and no row is ever shuffled.
+All nodes of a depth, in all trees, are split together (``growth``).  Rows are
+stored once with the list of bags that drew them; a row's node is not stored
+but found again inside the task by walking the levels above, so there is no
+state to lose and no row is ever shuffled.
 """
 
 from __future__ import annotations
@@ -19,29 +19,18 @@ from pyspark.sql import types as T
 
 from grovekit.functions.impurity import GAIN_METHODS
 from grovekit.functions.vectors import dot
-from grovekit.operators import oblique
+from grovekit.operators.growth import grow
 from grovekit.operators.kernels import KernelMap, apply_kernel_map, fit_kernel_map
 from grovekit.operators.metrics import class_counts
 from grovekit.operators.moments import complete, dense
 from grovekit.operators.sampling import bags, subspaces
-from grovekit.operators.splits import (
-    MAX_RANGES,
-    RANGED_ROWS,
-    VALUES_PER_TASK,
-    best_split,
-    class_table,
-    needs_spread,
-    threshold_gains,
-    value_ranges,
-    with_range,
-)
+from grovekit.operators.scan import SPLIT_TYPES, TreePlan
 from grovekit.session import BROADCAST_LIMIT_BYTES, local_table, materialize
 
 NODE_SCHEMA = (
     "tree_id int, node_id bigint, kind string, feature int, w array<double>, th double, "
     "gain double, label int, class_counts array<bigint>"
 )
-SPLIT_TYPES = ("orthogonal", "PCA", "SVM")
 
 
 @dataclass(frozen=True)
@@ -129,169 +118,6 @@ def _descend(df: DataFrame, nodes: Sequence[tuple], depth: int, keep_leaves: boo
     return joined.withColumn("node_id", moved.cast("bigint")).drop("_kind", "_feature", "_w", "_th")
 
 
-def grow(
-    rows: DataFrame,
-    n_features: int,
-    classes: Sequence[int],
-    params: ForestParams,
-    spaces: dict[int, list[int]],
-) -> list[tuple]:
-    """Node rows of all trees; ``rows`` has features, label, bag.
-
-    Runs one job per level (a few more for oblique splits).
-    """
-    spark = rows.sparkSession
-    classes = sorted(int(c) for c in classes)
-    k = len(classes)
-    drawn = rows.select("features", "label", F.explode("bag").alias("_b")).select(
-        "features", "label", "_b.tree_id", "_b.weight"
-    )
-    counts = class_table(drawn.withColumn("value", F.lit(0)), ["tree_id"], classes, "weight")
-    known = {
-        (r["tree_id"], 1): [r[f"c{i}"] for i in range(k)] for r in counts.collect()
-    }  # trees x classes numbers
-
-    columns = _tree_columns(spark, spaces, len(known))
-    bases = {t: oblique.Basis(n_features, cols) for t, cols in spaces.items()}
-    work = F.transform(F.col("cols"), lambda i: F.get(F.col("features"), i))
-    if params.lda is not None:
-        root = drawn.join(columns, "tree_id").withColumn("work", work)
-        for tree, maps in oblique.lda_maps(root, params.lda).items():
-            bases[tree].maps = maps
-
-    ranges = None
-    largest = max((sum(c) for c in known.values()), default=0)
-    if params.split == "orthogonal" and params.lda is None and largest > RANGED_ROWS:
-        cuts = list(value_ranges(rows, largest).items())
-        table = local_table(spark, cuts, "axis int, cuts array<double>")
-        ranges = _small(table, len(cuts), 8 * MAX_RANGES)
-    nodes: list[tuple] = []
-
-    def leaf(tree: int, node: int, c: list[int]) -> None:
-        nodes.append((tree, node, "leaf", None, None, None, None, classes[int(np.argmax(c))], c))
-
-    active = {}
-    for key, c in known.items():
-        if params.max_depth == 0 or sum(v > 0 for v in c) <= 1:
-            leaf(*key, c)
-        else:
-            active[key] = c
-
-    for depth in range(params.max_depth):
-        if not active:
-            break
-        here = drawn.withColumn("node_id", F.lit(1).cast("bigint"))
-        for above in range(depth):
-            here = _descend(here, nodes, above, keep_leaves=False)
-        totals = local_table(
-            spark,
-            [(*key, *c) for key, c in active.items()],
-            "tree_id int, node_id bigint, " + ", ".join(f"n{i} bigint" for i in range(k)),
-        )
-        alive = _small(totals, len(active), 16 + 8 * k)
-        here = here.join(alive.select("tree_id", "node_id"), ["tree_id", "node_id"])
-        best, as_axis = _split_level(
-            here, alive, columns, work, bases, classes, params, active, ranges
-        )
-        found = {(r["tree_id"], r["node_id"]): r for r in best.collect()}  # one row per node
-        following = {}
-        for (tree, node), c in active.items():
-            r = found.get((tree, node))
-            if r is None:  # no threshold separates the node's rows
-                leaf(tree, node, c)
-                continue
-            if as_axis:
-                split = ("axis", r["axis"], None)
-            else:
-                split = ("oblique", None, list(r["w"]))
-            nodes.append((tree, node, *split, r["th"], r["gain"], None, c))
-            left = [r[f"l{i}"] for i in range(k)]
-            right = [r[f"n{i}"] - r[f"l{i}"] for i in range(k)]
-            for child, cc in ((2 * node, left), (2 * node + 1, right)):
-                if depth + 1 == params.max_depth or sum(v > 0 for v in cc) <= 1:
-                    leaf(tree, child, cc)
-                else:
-                    following[(tree, child)] = cc
-        active = following
-    return sorted(nodes, key=lambda n: n[:2])
-
-
-def _tree_columns(spark: SparkSession, spaces: dict[int, list[int]], trees: int) -> DataFrame:
-    table = local_table(
-        spark,
-        [(t, list(cols)) for t, cols in spaces.items()], "tree_id int, cols array<int>"
-    )
-    width = max((len(c) for c in spaces.values()), default=0)
-    return _small(table, trees, 16 + 4 * width)
-
-
-def _split_level(here, totals, columns, work, bases, classes, params, active, ranges):
-    """Best split per active node, and whether its axis is a raw feature."""
-    group = ["tree_id", "node_id"]
-    spark = here.sparkSession
-    # A node's row count bounds the distinct values of its projections, so most
-    # levels need no look at the data to know that a task can sort them.
-    large = max(sum(c) for c in active.values()) > VALUES_PER_TASK
-    if params.split == "orthogonal" and params.lda is None:
-        projected = (
-            here.join(columns, "tree_id")
-            .select(*group, "label", "weight", "features", F.explode("cols").alias("axis"))
-            .withColumn("value", F.get("features", F.col("axis")))
-            .drop("features")
-        )
-        keys = [*group, "axis"]
-        table = class_table(projected, keys, classes, "weight")
-        if ranges is not None:
-            gains = threshold_gains(
-                with_range(table, "axis", ranges), keys, len(classes), params.gain,
-                params.candidates, False, totals, group, "_range",
-            )
-            return best_split(gains, [*keys, "_range"], group, len(classes)), True
-        gains = threshold_gains(
-            table, keys, len(classes), params.gain, params.candidates, False, totals, group
-        )
-        return best_split(gains, keys, group, len(classes)), True
-
-    working = here.join(columns, "tree_id").withColumn("work", work)
-    if params.lda is not None:
-        maps = local_table(
-            spark,
-            [(t, b.maps.tolist()) for t, b in bases.items() if b.maps is not None],
-            "tree_id int, maps array<array<double>>",
-        )
-        size = sum(b.maps.size for b in bases.values() if b.maps is not None)
-        working = working.join(_small(maps, 1, 8 * size), "tree_id").withColumn(
-            "work", F.transform("maps", lambda m: dot(F.col("work"), m))
-        )
-    working = working.select(*group, "label", "weight", "work")
-    if params.split == "orthogonal":
-        rows = [(t, a, w) for t, b in bases.items() for a, w in enumerate(b.own_axes())]
-        directions = local_table(spark, rows, "tree_id int, axis int, w array<double>")
-        on, count = ["tree_id"], len(rows)
-    else:
-        if params.split == "PCA":
-            directions, per_node = oblique.pca_directions(working, bases, params.c), params.c
-        else:
-            directions = oblique.svm_directions(working, bases, classes, params.penalty, params.svm_steps)
-            per_node = max(1, 2 ** (len(classes) - 1) - 1)
-        # One vector per node and axis: collected once, used by the scan and the model.
-        found = [tuple(r) for r in directions.collect()]
-        directions = local_table(spark, found, oblique.DIRECTIONS)
-        on, count = group, len(active) * per_node
-    width = next(iter(bases.values())).n_features
-    directions = _small(directions, count, 32 + 8 * width)
-    projected = here.join(directions, on).select(
-        *group, "label", "weight", "axis", dot(F.col("features"), F.col("w")).alias("value")
-    )
-    spread = large and needs_spread(projected, [*group, "axis"])
-    table = class_table(projected, [*group, "axis"], classes, "weight")
-    gains = threshold_gains(
-        table, [*group, "axis"], len(classes), params.gain, params.candidates, spread, totals, group
-    )
-    best = best_split(gains, [*group, "axis"], group, len(classes))
-    return best.join(directions, [*on, "axis"]), False
-
-
 def fit_forest(
     rows: DataFrame,
     key: str,
@@ -306,42 +132,50 @@ def fit_forest(
     """
     spark = rows.sparkSession
     rows = rows.filter(complete())
+    counts = None
     if classes is None or n_rows is None:
-        counted = class_counts(rows).collect()  # one row per class
-        classes = sorted(r["label"] for r in counted)
-        n_rows = sum(r["n"] for r in counted)
-    mapping = None
+        counted = {r["label"]: r["n"] for r in class_counts(rows).collect()}  # one row per class
+        classes = sorted(counted)
+        n_rows = sum(counted.values())
+        if not params.bagging:
+            counts = {0: np.array([counted[c] for c in classes], dtype=np.int64)}
     rows = rows.select(key, "features", "label")
+    views = []
     if params.split == "SVM" and params.kernel != "linear":
-        mapping = fit_kernel_map(rows, key, params.kernel, params.landmarks, seed=params.seed)
-        rows = apply_kernel_map(rows, mapping)
+        views = [fit_kernel_map(rows, key, params.kernel, params.landmarks, seed=params.seed)]
+    if params.bagging:
+        samples = n_rows if params.samples_per_tree is None else params.samples_per_tree
+        bagged = bags(rows, key, params.trees, samples, n_rows, params.replace, f"{params.seed}|bag")
+    else:
+        whole = F.array(F.struct(F.lit(0).alias("tree_id"), F.lit(1).cast("bigint").alias("weight")))
+        bagged = rows.withColumn("bag", whole)
+    if params.max_depth > 1 or params.split == "SVM":  # several passes: only what they read is kept for them
+        bagged = materialize(bagged.select("features", "label", "bag"))
+    plans = tree_plans(spark, params, n_features, views[0] if views else None)
+    grown = grow(bagged, plans, classes, views, counts)
+    return Forest(spark, [n for nodes in grown for n in nodes], sorted(classes), params.max_depth, *views)
+
+
+def tree_plans(
+    spark: SparkSession, params: ForestParams, n_features: int, mapping: KernelMap | None = None, view: int = 0, first_bag: int = 0
+) -> list[TreePlan]:
+    """The plans of a forest's trees; their bags are numbered from ``first_bag`` on.  Runs a job."""
+    per_tree = n_features if params.features_per_tree is None else params.features_per_tree
+    if mapping is not None:
         # A subspace of kernel features plays the part of a subspace of features.
-        share = (params.features_per_tree or n_features) / n_features
+        per_tree = max(1, round(per_tree / n_features * mapping.width))
         n_features = mapping.width
-        per_tree = max(1, round(share * n_features))
-    else:
-        per_tree = n_features if params.features_per_tree is None else params.features_per_tree
     drawn = subspaces(spark, params.trees, n_features, per_tree, f"{params.seed}|space")
     spaces: dict[int, list[int]] = {}
     for r in drawn.orderBy("tree_id", "pos").collect():  # trees x features numbers
         spaces.setdefault(r["tree_id"], []).append(r["feature"])
-    if params.bagging:
-        samples = n_rows if params.samples_per_tree is None else params.samples_per_tree
-        bagged = bags(
-            rows, key, params.trees, samples, n_rows, params.replace, f"{params.seed}|bag"
-        )
-    else:
-        everywhere = F.array(
-            *[
-                F.struct(F.lit(t).alias("tree_id"), F.lit(1).cast("bigint").alias("weight"))
-                for t in range(params.trees)
-            ]
+    return [
+        TreePlan(
+            first_bag + (t if params.bagging else 0), tuple(spaces[t]), n_features, params.max_depth, params.split, params.gain,
+            params.candidates, params.c, params.penalty, params.svm_steps, params.lda, view if mapping is not None else None,
         )
-        bagged = rows.withColumn("bag", everywhere)
-    if params.max_depth > 1 and params.bagging:
-        bagged = materialize(bagged.select("features", "label", "bag"))
-    grown = grow(bagged, n_features, classes, params, spaces)
-    return Forest(spark, grown, sorted(classes), params.max_depth, mapping)
+        for t in range(params.trees)
+    ]
 
 
 def tree_predictions(forest: Forest, rows: DataFrame, key: str) -> DataFrame:

@@ -92,7 +92,11 @@ def moments(
         if held:
             yield emit()
 
-    partials = source.mapInArrow(reduce_task, schema)
+    return summed(source.mapInArrow(reduce_task, schema), keys)
+
+
+def summed(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``keys…, i, j, s``: sums of the flattened upper triangles ``partial`` of the tasks."""
     # Position p of the flattened upper triangle back to (i, j): rows have
     # size, size - 1, … entries, so i counts the row starts that p has passed.
     size = ((F.sqrt(8.0 * F.size("partial") + 1) - 1) / 2).cast("int")

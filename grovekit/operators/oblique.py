@@ -8,16 +8,18 @@ of the raw features, so that a node is always ``w·x <= th``.
 from __future__ import annotations
 
 import warnings
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.operators.moments import moments, symmetric
-from grovekit.session import local_table
+from grovekit.operators.moments import FLUSH_DOUBLES, summed, symmetric
+from grovekit.operators.scan import WalkedTree, blocks
 
-DIRECTIONS = "tree_id int, node_id bigint, axis int, w array<double>"
 RANK_TOLERANCE = 1e-10
 
 
@@ -82,155 +84,201 @@ class Basis:
         return [self.to_raw(row) for row in np.eye(size)]
 
 
-def pca_directions(rows: DataFrame, bases: dict[int, Basis], c: int) -> DataFrame:
-    """Principal axes of every node; ``rows`` has tree_id, node_id, weight, work."""
+    def work(self, x: np.ndarray) -> np.ndarray:
+        """The working features of raw rows."""
+        own = x[:, self.columns]
+        return own if self.maps is None else own @ self.maps.T
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree, node = int(pdf["tree_id"].iloc[0]), int(pdf["node_id"].iloc[0])
-        _, _, cov = _centered(symmetric(pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["s"].to_numpy()))
-        _, axes = principal_axes(cov, c)
-        return pd.DataFrame(
-            [(tree, node, a, bases[tree].to_raw(v)) for a, v in enumerate(axes)],
-            columns=["tree_id", "node_id", "axis", "w"],
-        )
 
-    table = moments(rows, ["tree_id", "node_id"], "work", "weight")
-    return table.groupBy("tree_id", "node_id").applyInPandas(solve, DIRECTIONS)
+Reduced = Callable[[int, np.ndarray, np.ndarray, np.ndarray], Iterator[tuple[int, np.ndarray]]]
 
 
-def lda_maps(rows: DataFrame, components: int) -> dict[int, np.ndarray]:
-    """Discriminant directions per tree; ``rows`` has tree_id, label, weight, work.
+def node_moments(rows: DataFrame, trees: Sequence[WalkedTree], classes: np.ndarray, views, reduced: Reduced) -> DataFrame:
+    """``slot, part, i, j, s``: sums over the table of the matrices that ``reduced`` makes of a node's rows.
 
-    Runs a job.  Classes are told apart by between-class scatter in the space
-    whitened by the pooled within-class scatter.
+    ``reduced(slot, x, labels, weights)`` gives (part, symmetric matrix) pairs for some rows of the node.  Tasks add up
+    their matrices; rows are neither copied nor shuffled.
     """
+    shared = rows.sparkSession.sparkContext.broadcast((trees, classes, views))
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        parts = [
-            _centered(symmetric(g["i"].to_numpy(), g["j"].to_numpy(), g["s"].to_numpy()))
-            for _, g in pdf.groupby("label")
-        ]
-        n = sum(p[0] for p in parts)
-        within = sum(p[0] / n * p[2] for p in parts)
-        mean = sum(p[0] / n * p[1] for p in parts)
-        between = sum(p[0] / n * np.outer(p[1] - mean, p[1] - mean) for p in parts)
-        values, axes = principal_axes(within, len(within))
-        whiten = axes / np.sqrt(values)[:, None]
-        wanted = min(components, len(parts) - 1)
-        _, inner = principal_axes(whiten @ between @ whiten.T, wanted)
-        maps = inner @ whiten
-        return pd.DataFrame(
-            [(int(pdf["tree_id"].iloc[0]), k, row.tolist()) for k, row in enumerate(maps)],
-            columns=["tree_id", "k", "w"],
-        )
-
-    table = moments(rows, ["tree_id", "label"], "work", "weight")
-    solved = table.groupBy("tree_id").applyInPandas(solve, "tree_id int, k int, w array<double>")
-    found: dict[int, list] = {}
-    for r in solved.orderBy("tree_id", "k").collect():  # trees x components rows of the model
-        found.setdefault(r["tree_id"], []).append(r["w"])
-    return {t: np.array(w) for t, w in found.items()}
-
-
-def svm_directions(
-    rows: DataFrame, bases: dict[int, Basis], classes: list[int], C: float, max_iter: int = 100
-) -> DataFrame:
-    """One linear squared-hinge SVM per node and class bipartition.
-
-    Finite Newton steps: with the rows inside the margin known, the optimum of
-    the quadratic piece is a linear system in their moments.  One pass per
-    step serves every node and bipartition of the level.  Features are
-    standardised per node (constant ones keep scale 1) and the intercept is
-    penalised like a weight.  Steps end when no weight moves by more than 1e-9
-    of the largest; a warning tells how many still moved after ``max_iter``.
-    """
-    spark = rows.sparkSession
-    groups = [[c for i, c in enumerate(classes) if mask >> i & 1] for mask in bipartition_masks(len(classes))]
-    sides = F.array(
-        *[
-            F.struct(
-                F.lit(p).alias("part"),
-                F.when(F.col("label").isin(*g), F.lit(-1.0)).otherwise(F.lit(1.0)).alias("y"),
-            )
-            for p, g in enumerate(groups)
-        ]
-    )
-    problems = rows.select("tree_id", "node_id", "weight", "work", F.explode(sides).alias("_s")).select(
-        "tree_id", "node_id", "weight", "work", "_s.part", "_s.y"
-    )
-    keys = ["tree_id", "node_id", "part"]
-    state_schema = (
-        "tree_id int, node_id bigint, part int, a array<double>, mean array<double>, "
-        "scale array<double>, moved double"
-    )
+    def reduce_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, classes, views = shared.value
+        held: dict[tuple[int, int], np.ndarray] = {}
+
+        def emit() -> pa.RecordBatch:
+            upper = [m[np.triu_indices(len(m))] for m in held.values()]
+            ends = np.cumsum([0, *map(len, upper)])
+            flat = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(upper)))
+            keys = [pa.array([k[i] for k in held], pa.int32()) for i in range(2)]
+            return pa.RecordBatch.from_arrays([*keys, flat], ["slot", "part", "partial"])
+
+        for block in blocks(batches, classes, views):
+            for tree in trees:
+                for slot, x, labels, weights in block.at_nodes(tree):
+                    for part, matrix in reduced(slot, x, labels, weights):
+                        held[slot, part] = held.get((slot, part), 0.0) + matrix
+                if sum(m.size for m in held.values()) > FLUSH_DOUBLES:
+                    yield emit()
+                    held.clear()
+        if held:
+            yield emit()
+
+    partials = rows.select("features", "label", "bag").mapInArrow(reduce_task, "slot int, part int, partial array<double>")
+    return summed(partials, ["slot", "part"])
+
+
+def weighted_products(z: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return (z * weights[:, None]).T @ z
+
+
+def with_one(x: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    return np.column_stack([np.ones(len(x)), x, *more])
+
+
+Vectors = dict[tuple[int, int], np.ndarray]
+
+
+def pca_axes(rows: DataFrame, trees, classes, views, bases: Sequence[Basis], counts: Sequence[int]) -> Vectors:
+    """Principal axes of each node by (slot, axis), ``counts`` of them at most, in working features.  Runs a job."""
+
+    def reduced(slot, x, labels, weights):
+        yield 0, weighted_products(with_one(bases[slot].work(x)), weights)
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
-        m = symmetric(pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["s"].to_numpy())
-        if first["a"] is None:  # first step: every row is inside the margin
-            _, mean, cov = _centered(m[:-1, :-1])
-            std = np.sqrt(np.clip(np.diag(cov), 0, None))
-            scale = np.where(std > 1e-12, std, 1.0)
-            old = None
-            share = m[0, -1] / m[0, 0]
-            if abs(abs(share) - 1) < 1e-12:  # only one side present at this node
-                return pd.DataFrame(columns=[*keys, "a", "mean", "scale", "moved"])
-        else:
-            mean, scale, old = np.array(first["mean"]), np.array(first["scale"]), np.array(first["a"])
-        size = len(mean) + 1
-        to_scaled = np.zeros((size, size))  # scaled (1, x) = to_scaled @ raw (1, x)
-        to_scaled[0, 0] = 1.0
-        to_scaled[1:, 0] = -mean / scale
-        to_scaled[1:, 1:] = np.diag(1.0 / scale)
-        gram = to_scaled @ m[:-1, :-1] @ to_scaled.T
-        rhs = to_scaled @ m[:-1, -1]
-        solved = np.linalg.solve(np.eye(size) + 2 * C * gram, 2 * C * rhs)
-        a = solved @ to_scaled
-        moved = 1.0 if old is None else float(np.abs(a - old).max() / (np.abs(a).max() + 1e-300))
-        row = (int(first["tree_id"]), int(first["node_id"]), int(first["part"]))
-        return pd.DataFrame(
-            [(*row, a.tolist(), mean.tolist(), scale.tolist(), moved)],
-            columns=[*keys, "a", "mean", "scale", "moved"],
-        )
-
-    carried = problems.withColumn("z", F.concat("work", F.array("y")))
-    table = moments(carried, keys, "z", "weight").select(
-        "*",
-        F.lit(None).cast("array<double>").alias("a"),
-        F.lit(None).cast("array<double>").alias("mean"),
-        F.lit(None).cast("array<double>").alias("scale"),
-    )
-    # The state is the model: one vector per node and bipartition.
-    state = table.groupBy(*keys).applyInPandas(solve, state_schema).toPandas()
-    live, finished = state, []
-    for _ in range(max_iter):
-        if live.empty:
-            break
-        model = local_table(spark, list(live.itertuples(index=False, name=None)), state_schema)
-        inside = problems.join(F.broadcast(model), keys).withColumn(
-            "z", F.concat(F.array(F.lit(1.0)), "work")
-        )
-        score = F.aggregate(
-            F.zip_with("z", "a", lambda x, a: x * a), F.lit(0.0), lambda s, v: s + v
-        )
-        active = inside.filter(F.col("y") * score < 1).select(
-            *keys, "weight", F.concat("work", F.array("y")).alias("z")
-        )
-        step = moments(active, keys, "z", "weight").join(
-            F.broadcast(model.select(*keys, "a", "mean", "scale")), keys
-        )
-        new = step.groupBy(*keys).applyInPandas(solve, state_schema).toPandas()
-        merged = live.merge(new[keys], on=keys, how="left", indicator=True)
-        # No row is inside the margin: only the penalty is left, and the step before has paid for it.
-        finished.append(live[(merged["_merge"] == "left_only").to_numpy()])
-        finished.append(new[new["moved"] <= 1e-9])
-        live = new[new["moved"] > 1e-9]
-    if not live.empty:
-        warnings.warn(f"{len(live)} of {len(state)} separations still moved after {max_iter} steps", stacklevel=2)
-    done = pd.concat([*finished, live]) if finished else live
-    directions = [
-        (int(r.tree_id), int(r.node_id), int(r.part), bases[int(r.tree_id)].to_raw(np.array(r.a[1:])))
-        for r in done.itertuples()
-        if np.abs(np.array(r.a[1:])).max() > 0
-    ]
-    return local_table(spark, directions, DIRECTIONS)
+        slot = int(pdf["slot"].iloc[0])
+        _, _, cov = _centered(symmetric(pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["s"].to_numpy()))
+        _, axes = principal_axes(cov, counts[slot])
+        return pd.DataFrame([(slot, a, v.tolist()) for a, v in enumerate(axes)], columns=["slot", "axis", "w"])
+
+    table = node_moments(rows, trees, classes, views, reduced)
+    solved = table.groupBy("slot").applyInPandas(solve, "slot int, axis int, w array<double>")
+    return {(r["slot"], r["axis"]): np.array(r["w"]) for r in solved.collect()}  # vectors of the model
+
+
+def discriminants(parts: Sequence[np.ndarray], components: int) -> np.ndarray:
+    """Discriminant directions from the moment matrices of the classes.
+
+    Classes are told apart by between-class scatter in the space whitened by the pooled within-class scatter.
+    """
+    centered = [_centered(m) for m in parts]
+    n = sum(p[0] for p in centered)
+    within = sum(p[0] / n * p[2] for p in centered)
+    mean = sum(p[0] / n * p[1] for p in centered)
+    between = sum(p[0] / n * np.outer(p[1] - mean, p[1] - mean) for p in centered)
+    values, axes = principal_axes(within, len(within))
+    whiten = axes / np.sqrt(values)[:, None]
+    _, inner = principal_axes(whiten @ between @ whiten.T, min(components, len(parts) - 1))
+    return inner @ whiten
+
+
+def class_matrices(rows: DataFrame, trees, classes, views) -> dict[int, list[np.ndarray]]:
+    """Moment matrices of the raw features by slot, one for each class with rows.  Runs a job."""
+
+    def reduced(slot, x, labels, weights):
+        for c in np.unique(labels).tolist():
+            at = labels == c
+            yield c, weighted_products(with_one(x[at]), weights[at])
+
+    found: dict[int, list[np.ndarray]] = {}
+    table = node_moments(rows, trees, classes, views, reduced).toPandas()  # bags x classes matrices
+    for (slot, _), g in table.groupby(["slot", "part"]):
+        found.setdefault(slot, []).append(symmetric(g["i"].to_numpy(), g["j"].to_numpy(), g["s"].to_numpy()))
+    return found
+
+
+@dataclass
+class Separation:
+    """A squared-hinge problem on its way: accepted and tried weights (intercept first), in working features."""
+
+    slot: int
+    mask: int
+    penalty: float
+    tried: np.ndarray | None = None
+    kept: np.ndarray | None = None
+    objective: float = np.inf
+    gradient: float = np.inf
+    mean: np.ndarray | None = None
+    scale: np.ndarray | None = None
+    following: np.ndarray | None = None
+
+
+SOLVED = "slot int, part int, objective double, gradient double, following array<double>, mean array<double>, scale array<double>"
+
+
+def separate(
+    rows: DataFrame, trees, classes: np.ndarray, views, bases: Sequence[Basis], problems: Sequence[Separation],
+    steps: int, tolerance: float = 1e-8,
+) -> None:
+    """Linear squared-hinge separations of nodes' rows by class masks, solved in place.  Runs one job for each step.
+
+    Finite Newton steps with a line search.  The rows inside the margin at the tried weights give the objective, its
+    gradient and the next Newton point from one moment matrix.  Where the objective has risen, the step is halved.  One
+    pass serves every node and mask: sides come from the labels inside the task, so that no row is copied.  Features are
+    standardised per node (constant ones keep scale 1), and the intercept is penalised like a weight.  Steps end when
+    the gradient is ``tolerance`` of the penalty's and the loss's together.
+    """
+    live = list(problems)
+    for _ in range(steps):
+        if not live:
+            return
+        here: dict[int, list[Separation]] = {}
+        for p in live:
+            here.setdefault(p.slot, []).append(p)
+
+        def reduced(slot, x, labels, weights):
+            z = with_one(bases[slot].work(x)) if slot in here else None
+            for p in here.get(slot, ()):
+                y = np.where(p.mask >> labels & 1, -1.0, 1.0)
+                inside = slice(None) if p.tried is None else y * (z @ p.tried) < 1
+                yield p.mask, weighted_products(np.column_stack([z[inside], y[inside]]), weights[inside])
+
+        def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+            slot, part = int(pdf["slot"].iloc[0]), int(pdf["part"].iloc[0])
+            p = next(p for p in here[slot] if p.mask == part)
+            m = symmetric(pdf["i"].to_numpy(), pdf["j"].to_numpy(), pdf["s"].to_numpy())
+            mean, scale, u = p.mean, p.scale, np.zeros(len(m) - 1)
+            if p.tried is None:  # every row is inside the margin
+                _, mean, cov = _centered(m[:-1, :-1])
+                std = np.sqrt(np.clip(np.diag(cov), 0, None))
+                scale = np.where(std > 1e-12, std, 1.0)
+            else:
+                u = np.append(p.tried[0] + p.tried[1:] @ mean, p.tried[1:] * scale)
+            to_scaled = np.zeros((len(u), len(u)))  # scaled (1, x) = to_scaled @ raw (1, x)
+            to_scaled[0, 0] = 1.0
+            to_scaled[1:, 0] = -mean / scale
+            to_scaled[1:, 1:] = np.diag(1.0 / scale)
+            gram, rhs = to_scaled @ m[:-1, :-1] @ to_scaled.T, to_scaled @ m[:-1, -1]
+            objective = u @ u / 2 + p.penalty * (m[-1, -1] - 2 * u @ rhs + u @ gram @ u)
+            slope = 2 * p.penalty * (gram @ u - rhs)
+            gradient = np.abs(u + slope).max() / max(np.abs(u).max(), np.abs(slope).max(), 1e-300)
+            following = np.linalg.solve(np.eye(len(u)) + 2 * p.penalty * gram, 2 * p.penalty * rhs) @ to_scaled
+            row = (slot, part, objective, gradient, following.tolist(), mean.tolist(), scale.tolist())
+            return pd.DataFrame([row], columns=["slot", "part", "objective", "gradient", "following", "mean", "scale"])
+
+        table = node_moments(rows, trees, classes, views, reduced)
+        found = {(r["slot"], r["part"]): r for r in table.groupBy("slot", "part").applyInPandas(solve, SOLVED).collect()}
+        waiting = []
+        for p in live:
+            r = found.get((p.slot, p.mask))
+            if r is None and p.tried is None:
+                continue  # a node without rows
+            if r is None:  # no row inside the margin: only the penalty is left
+                u = np.append(p.tried[0] + p.tried[1:] @ p.mean, p.tried[1:] * p.scale)
+                objective, gradient, following = float(u @ u / 2), 1.0, np.zeros(len(u))
+            else:
+                objective, gradient, following = r["objective"], r["gradient"], np.array(r["following"])
+                p.mean, p.scale = np.array(r["mean"]), np.array(r["scale"])
+            tried = np.zeros(len(following)) if p.tried is None else p.tried
+            if objective <= p.objective * (1 + 1e-12):
+                p.kept, p.objective, p.gradient, p.following = tried, objective, gradient, following
+                if gradient <= tolerance:
+                    continue
+                p.tried = following
+            else:
+                p.tried = (p.kept + tried) / 2
+            moved = np.abs(p.tried - p.kept).max() / max(np.abs(p.kept).max(), np.abs(p.tried).max(), 1e-300)
+            if moved > 1e-12:
+                waiting.append(p)
+        live = waiting
+    if live:
+        warnings.warn(f"{len(live)} of {len(problems)} separations still moved after {steps} steps", stacklevel=2)

@@ -1,33 +1,24 @@
-"""Best threshold of many projections at once (one job per tree level).
+"""Gains of all thresholds as a table, and the best threshold of every feature.
 
-Candidates are scored from class counts per distinct value: counts are
-combined map-side, then summed along the sorted values.  The cost is that of a
-sort, not of one scan per candidate.
+The table is scored from class counts per distinct value: counts are combined
+map-side, then summed along the sorted values.  Where only the best threshold
+is asked for, ``histograms`` finds it without sorting all values.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovekit.functions.impurity import gain as gain_of
 from grovekit.functions.impurity import total
+from grovekit.operators.histograms import root_splits
 from grovekit.operators.ranking import running_totals
-
-# Distinct values of one projection that a single task sorts; above it the
-# projection is sorted across tasks.
-VALUES_PER_TASK = 2_000_000
-# Rows from which features are cut in value ranges, how many rows a range
-# should hold, and the most ranges of a feature.
-RANGED_ROWS = 400_000
-ROWS_PER_RANGE = 100_000
-MAX_RANGES = 1024
+from grovekit.session import local_table
 
 CANDIDATES = ("midpoint", "value")
-GAIN_PLACES = 12
 
 
 def class_table(
@@ -49,16 +40,12 @@ def threshold_gains(
     gain: str = "entropy",
     candidates: str = "midpoint",
     spread: bool = False,
-    totals: DataFrame | None = None,
-    totals_on: Sequence[str] = (),
-    part: str | None = None,
 ) -> DataFrame:
     """``keys…, value, th, gain, l0…, n0…`` for every valid candidate threshold.
 
     l* are the class counts at or below the threshold, n* those of the whole
     group.  The largest value is no candidate, since nothing lies above it.
-    ``totals`` (``totals_on…, n0…``) gives the n* where they are known, which
-    saves a pass over each group.  ``part`` names a column of value ranges.
+    ``spread`` sorts groups of any size across tasks.
     """
     if candidates not in CANDIDATES:
         raise ValueError(f"unknown candidates {candidates!r}")
@@ -69,14 +56,10 @@ def threshold_gains(
         "value",
         {f"l{i}": F.col(f"c{i}") for i in ids},
         following="_next",
-        grand=None if totals is not None else "n_",
+        grand="n_",
         spread=spread,
-        part=part,
     ).filter(F.col("_next").isNotNull())
-    if totals is not None:
-        summed = summed.join(totals, list(totals_on))
-    else:
-        summed = summed.withColumnsRenamed({f"n_l{i}": f"n{i}" for i in ids})
+    summed = summed.withColumnsRenamed({f"n_l{i}": f"n{i}" for i in ids})
     left, right, whole = ([F.col(f"{p}{i}") for i in ids] for p in ("l", "_r", "n"))
     staged = summed.withColumns(
         {f"_r{i}": F.col(f"n{i}") - F.col(f"l{i}") for i in ids}
@@ -86,7 +69,6 @@ def threshold_gains(
     th = F.col("value") if candidates == "value" else (F.col("value") + F.col("_next")) / 2.0
     return staged.select(
         *keys,
-        *([part] if part else []),
         "value",
         th.alias("th"),
         measured.alias("gain"),
@@ -95,76 +77,19 @@ def threshold_gains(
     )
 
 
-def best_split(gains: DataFrame, keys: Sequence[str], group: Sequence[str], n_classes: int) -> DataFrame:
-    """First maximum per group: greatest gain, then lowest axis, then lowest threshold.
-
-    ``keys`` are those of the candidates: ``group`` and, perhaps, an axis.  The
-    candidates of a key already lie together and in order, so a running maximum
-    leaves a handful of them; only these are compared and shuffled.
-    """
-    axis = [k for k in keys if k not in group]
-    before = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    # Whole units of the last place: decimal rounding of every candidate costs
-    # more than the rest of the search.
-    rounded = gains.withColumn("_g", F.floor(F.col("gain") * 10.0**GAIN_PLACES + 0.5))
-    rising = rounded.withColumn("_top", F.max("_g").over(before)).filter(
-        F.col("_top").isNull() | (F.col("_g") > F.col("_top"))
-    )
-    counts = [f"{p}{i}" for i in range(n_classes) for p in "ln"]
-    order = F.struct(-F.col("_g"), *[F.col(a) for a in axis], F.col("th"))
-    kept = F.struct(*axis, "th", "gain", *counts)
-    return rising.groupBy(*group).agg(F.min_by(kept, order).alias("_b")).select(*group, "_b.*")
-
-
-def value_ranges(rows: DataFrame, n_rows: int) -> dict[int, list[float]]:
-    """Cut points per feature that deal its rows into ranges of similar size.
-
-    One job with a mergeable sketch; what comes back is bounded by the number
-    of features times MAX_RANGES.  Any cut points give the same splits.
-    """
-    n = min(MAX_RANGES, max(2, -(-n_rows // ROWS_PER_RANGE)))
-    shares = F.array(*[F.lit(i / n) for i in range(1, n)])
-    long = rows.select(F.posexplode("features").alias("feature", "value"))
-    cuts = long.groupBy("feature").agg(F.percentile_approx("value", shares, 10 * n).alias("cuts"))
-    return {r["feature"]: sorted(set(r["cuts"])) for r in cuts.collect()}
-
-
-def with_range(table: DataFrame, axis: str, cuts: DataFrame, out: str = "_range") -> DataFrame:
-    """Adds the number of cut points below a row's value; ``cuts`` has axis, cuts."""
-    below = F.size(F.filter("cuts", lambda c: c < F.col("value")))
-    return table.join(cuts, axis).withColumn(out, below).drop("cuts")
-
-
-def needs_spread(projected: DataFrame, keys: Sequence[str]) -> bool:
-    """True when some projection has more distinct values than one task should sort.
-
-    Runs one job that returns a single number.
-    """
-    widest = (
-        projected.groupBy(*keys)
-        .agg(F.approx_count_distinct("value").alias("d"))
-        .agg(F.max("d").alias("d"))
-        .first()
-    )
-    return (widest["d"] or 0) > VALUES_PER_TASK
-
-
 def root_split(
     rows: DataFrame,
     classes: Sequence[int],
     gain: str = "entropy",
     candidates: str = "midpoint",
-    spread: bool | None = None,
+    exact_rows: int | None = None,
 ) -> DataFrame:
-    """Best threshold of every feature: ``feature, th, gain, n_left, n_right``."""
-    long = rows.select("label", F.posexplode("features").alias("feature", "value"))
-    if spread is None:
-        spread = needs_spread(long, ["feature"])
-    table = class_table(long, ["feature"], classes)
-    gains = threshold_gains(table, ["feature"], len(classes), gain, candidates, spread)
-    best = best_split(gains, ["feature"], ["feature"], len(classes))
-    n_left = reduce(lambda a, b: a + b, [F.col(f"l{i}") for i in range(len(classes))])
-    n_all = reduce(lambda a, b: a + b, [F.col(f"n{i}") for i in range(len(classes))])
-    return best.select(
-        "feature", "th", "gain", n_left.alias("n_left"), (n_all - n_left).alias("n_right")
-    )
+    """Best threshold of every feature: ``feature, th, gain, n_left, n_right``.  Runs jobs.
+
+    ``exact_rows`` are the rows of an axis that one task sorts; ranges with more are cut further.
+    """
+    if candidates not in CANDIDATES:
+        raise ValueError(f"unknown candidates {candidates!r}")
+    found, n = root_splits(rows, classes, gain, candidates, exact_rows)
+    best = [(f, s.th, s.gain, sum(s.left), n - sum(s.left)) for f, s in enumerate(found) if s is not None]
+    return local_table(rows.sparkSession, best, "feature int, th double, gain double, n_left long, n_right long")

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from grovekit.operators import (
     forest as fo,
+    histograms,
     kernels,
     linear,
     metrics,
@@ -12,6 +13,7 @@ from grovekit.operators import (
     oblique,
     ranking,
     sampling,
+    scan,
     splits,
     stats,
 )
@@ -72,13 +74,70 @@ def test_spread_totals_equal_window(spark):
     assert sorted(map(tuple, near.collect()), key=str) == sorted(map(tuple, far.collect()), key=str)
 
 
-def test_value_ranges_change_no_split(spark, monkeypatch):
-    rows, _, _ = blobs(spark, n=240, spread=4.0)
-    params = fo.ForestParams(trees=2, max_depth=3, gain="entropy", features_per_tree=3, samples_per_tree=200)
-    plain = fo.fit_forest(rows, "row_key", 4, params).rows
-    monkeypatch.setattr(fo, "RANGED_ROWS", 10)
-    monkeypatch.setattr(splits, "ROWS_PER_RANGE", 30)
-    assert fo.fit_forest(rows, "row_key", 4, params).rows == plain
+def plain_split(x, y, w, k, method, midpoint):
+    """Best (axis, threshold, left counts): greatest gain, then lowest axis, then lowest threshold."""
+    best = None
+    whole = np.bincount(y, w, k)
+    for a in range(x.shape[1]):
+        values = np.unique(x[:, a])
+        for v, after in zip(values, values[1:]):
+            left = np.bincount(y[x[:, a] <= v], w[x[:, a] <= v], k)
+            g = histograms.units(histograms.gains(left, whole, method))
+            if best is None or g > best[0]:
+                best = (g, a, (v + after) / 2 if midpoint else v, left.astype(int).tolist())
+    return best and best[1:]
+
+
+@pytest.mark.parametrize("k", [2, 3, 10])
+@pytest.mark.parametrize("ranges", [2, 16])
+def test_ranges_and_narrowing_find_the_plain_split(spark, monkeypatch, k, ranges):
+    monkeypatch.setattr(histograms, "RANGES", ranges)
+    monkeypatch.setattr(histograms, "PASS_COUNTERS", 500)
+    rng = np.random.default_rng(k)
+    n, y = 300, rng.integers(0, k, 300)
+    x = np.column_stack([rng.normal(size=n) + y * 0.4, rng.integers(-3, 3, n), np.zeros(n), np.exp(5 * rng.normal(size=n))])
+    x[:5, 0] = -0.0
+    bags = [[(0, 1 + i % 3)] + ([(1, 2)] if i % 2 else []) for i in range(n)]
+    rows = spark.createDataFrame(
+        [(x[i].tolist(), int(y[i]), bags[i]) for i in range(n)],
+        "features array<double>, label int, bag array<struct<tree_id: int, weight: bigint>>",
+    ).repartition(3)
+    weights = {0: np.array([1 + i % 3 for i in range(n)]), 1: np.array([2 * (i % 2) for i in range(n)])}
+    sample = scan.sampled(rows, n, 100, np.arange(k), ())
+    problems, want = [], []
+    for bag, method, candidates in ((0, "gini", "midpoint"), (1, "entropy", "value"), (1, "gini", "midpoint")):
+        problems.append(histograms.Problem(0, 1, np.bincount(y, weights[bag], k).astype(int), method, candidates, [0, 1, 2, 3]))
+        at = weights[bag] > 0
+        want.append(plain_split(x[at], y[at], weights[bag][at], k, method, candidates == "midpoint"))
+
+    def walked(numbers):
+        return [scan.WalkedTree((0, 1, 1)[i], None, [], {1: slot}) for slot, i in enumerate(numbers)]
+
+    for exact_rows in (3, 40, 10_000):
+        found = histograms.best_splits(rows, problems, walked, np.arange(k), (), sample, exact_rows)
+        got = [(s.axis, s.th, s.left) for s in found]
+        assert [(a, pytest.approx(t), c) for a, t, c in want] == got
+
+
+def test_bounds_hold_for_every_threshold():
+    rng = np.random.default_rng(0)
+    for method in ("gini", "entropy"):
+        for k in (2, 3, 9):
+            whole = rng.integers(1, 30, k)
+            before = rng.integers(0, whole + 1)
+            inside = rng.integers(0, whole - before + 1)
+            top = histograms.bounds(before[None], inside[None], whole, method)[0]
+            for _ in range(200):
+                left = before + rng.integers(0, inside + 1)
+                if 0 < left.sum() < whole.sum():
+                    assert histograms.gains(left, whole, method) <= top + 1e-12
+
+
+def test_no_split_where_all_values_are_equal(spark):
+    rows = spark.createDataFrame([(str(i), [1.0, 2.0], i % 2) for i in range(9)], SCHEMA)
+    assert splits.root_split(rows, [0, 1]).count() == 0
+    model = fo.fit_forest(rows, "row_key", 2, fo.ForestParams(max_depth=3, bagging=False))
+    assert [n[2] for n in model.rows] == ["leaf"]
 
 
 def test_hash_rank_is_a_global_row_number(spark):
@@ -159,20 +218,21 @@ def test_bagged_forest_draws_exactly(spark):
         fo.ForestParams(gain="other")
 
 
-def test_svm_newton_reaches_the_optimum(spark):
-    rows, x, y = blobs(spark, n=80, m=3, k=2, spread=3.0)
-    here = rows.select(
-        F.lit(0).alias("tree_id"), F.lit(1).cast("bigint").alias("node_id"), "label",
-        F.lit(1).cast("bigint").alias("weight"), F.col("features").alias("work"),
-    )
-    w = np.array(oblique.svm_directions(here, {0: oblique.Basis(3, [0, 1, 2])}, [0, 1], 0.5).first()["w"])
-    z = np.column_stack([(x - x.mean(0)) / x.std(0), np.ones(len(x))])
-    s = np.where(y == 0, -1.0, 1.0)
-    best = np.zeros(4)
-    for _ in range(200):
-        a = s * (z @ best) < 1
-        best = np.linalg.solve(np.eye(4) + 2 * 0.5 * z[a].T @ z[a], 2 * 0.5 * z[a].T @ s[a])
-    assert np.allclose(w, best[:3] / x.std(0), atol=1e-6)
+@pytest.mark.parametrize("penalty", [0.5, 100.0])
+def test_svm_newton_reaches_the_optimum(spark, penalty):
+    rows, x, y = blobs(spark, n=80, m=3, k=3, spread=3.0)
+    bag = F.array(F.struct(F.lit(0).alias("tree_id"), F.lit(1).cast("bigint").alias("weight")))
+    rows = rows.select("features", "label", bag.alias("bag"))
+    problems = [oblique.Separation(0, mask, penalty) for mask in oblique.bipartition_masks(3)]
+    trees, bases = [scan.WalkedTree(0, None, [], {1: 0})], [oblique.Basis(3, [0, 1, 2])]
+    oblique.separate(rows, trees, np.arange(3), (), bases, problems, 100)
+    z = np.column_stack([np.ones(len(x)), (x - x.mean(0)) / x.std(0)])
+    for p in problems:
+        s = np.where(p.mask >> y & 1, -1.0, 1.0)
+        u = np.append(p.kept[0] + p.kept[1:] @ x.mean(0), p.kept[1:] * x.std(0))
+        inside = s * (z @ u) < 1
+        slope = u + 2 * penalty * (z[inside].T @ (z[inside] @ u - s[inside]))
+        assert np.abs(slope).max() < 1e-5 and p.gradient < 1e-8
 
 
 def test_bipartitions(spark):

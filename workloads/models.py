@@ -19,7 +19,7 @@ NODES = """SELECT tree_id, node_id, kind, feature, round(th, 6) AS th, label, c0
 
 
 def _long(spark, sf):
-    return lineitem_rows(spark, sf).select("label", F.posexplode("features").alias("feature", "value"))
+    return lineitem_rows(spark, sf, busy=True).select("label", F.posexplode("features").alias("feature", "value"))
 
 
 @query(
@@ -47,18 +47,18 @@ def _rounded(best):
 
 @query("best_thresholds", _best("entropy", True))
 def best_thresholds(spark, sf):
-    return _rounded(splits.root_split(lineitem_rows(spark, sf), CLASSES))
+    return _rounded(splits.root_split(lineitem_rows(spark, sf, busy=True), CLASSES))
 
 
 @query("best_thresholds_by_value", _best("gini", False))
 def best_thresholds_by_value(spark, sf):
-    return _rounded(splits.root_split(lineitem_rows(spark, sf), CLASSES, "gini", "value"))
+    return _rounded(splits.root_split(lineitem_rows(spark, sf, busy=True), CLASSES, "gini", "value"))
 
 
 @query("best_thresholds_spread", _best("entropy", True))
 def best_thresholds_spread(spark, sf):
-    """The same through the range-sorted running totals that large tables take."""
-    return _rounded(splits.root_split(lineitem_rows(spark, sf), CLASSES, spread=True))
+    """The same with ranges cut again until few rows are left in them, as in large tables."""
+    return _rounded(splits.root_split(lineitem_rows(spark, sf, busy=True), CLASSES, exact_rows=1000))
 
 
 def _nodes(forest):
@@ -72,7 +72,7 @@ SINGLE = fo.ForestParams(trees=1, max_depth=3, gain="entropy", bagging=False)
 
 @query("decision_tree", f"WITH {LI}, {ALL_ROWS}, {forest_ctes(3, 'entropy')} {NODES}")
 def decision_tree(spark, sf):
-    return _nodes(fo.fit_forest(lineitem_rows(spark, sf), "row_key", M, SINGLE))
+    return _nodes(fo.fit_forest(lineitem_rows(spark, sf, busy=True), "row_key", M, SINGLE))
 
 
 @query(
@@ -82,7 +82,7 @@ def decision_tree(spark, sf):
     SELECT row_key, node_id, predicted FROM leafs""",
 )
 def tree_predictions(spark, sf):
-    rows = lineitem_rows(spark, sf)
+    rows = lineitem_rows(spark, sf, busy=True)
     params = fo.ForestParams(trees=1, max_depth=2, gain="gini", bagging=False, candidates="value")
     model = fo.fit_forest(rows, "row_key", M, params)
     return fo.tree_predictions(model, rows, "row_key").select("row_key", "node_id", "predicted")
@@ -147,7 +147,7 @@ def incomplete_vectors_predictions(spark, sf):
 )
 def forest_vote(spark, sf):
     third = F.when(F.get("features", F.lit(0)) > 25, 2).otherwise(0)
-    votes = lineitem_rows(spark, sf).select(
+    votes = lineitem_rows(spark, sf, busy=True).select(
         "row_key", F.explode(F.array("label", F.col("line") % 3, third)).alias("predicted")
     )
     return fo.vote(votes, "row_key", CLASSES)
@@ -155,7 +155,7 @@ def forest_vote(spark, sf):
 
 def _accuracy(spark, sf, params):
     """Fit on the training part of a stratified holdout, measure on the rest."""
-    rows = materialize(sampling.stratified_holdout(lineitem_rows(spark, sf), "row_key"))
+    rows = materialize(sampling.stratified_holdout(lineitem_rows(spark, sf, busy=True), "row_key"))
     train = rows.filter("split = 'train'").select("row_key", "features", "label")
     test = rows.filter("split = 'test'").select("row_key", "features", "label")
     model = fo.fit_forest(train, "row_key", M, params)
@@ -193,7 +193,7 @@ def kernel_svm_forest(spark, sf):
     SELECT label, round(c / n, 6) AS probability, sum(n)::BIGINT AS n FROM p GROUP BY ALL""",
 )
 def class_probabilities(spark, sf):
-    rows = lineitem_rows(spark, sf)
+    rows = lineitem_rows(spark, sf, busy=True)
     model = fo.fit_forest(rows, "row_key", M, fo.ForestParams(max_depth=2, bagging=False))
     p = fo.class_probabilities(model, rows, "row_key")
     return p.groupBy("label", F.round("probability", 6).alias("probability")).agg(F.count(F.lit(1)).alias("n"))
@@ -217,7 +217,7 @@ src AS (SELECT 0 AS tree_id, i || ':' || j AS row_key, x0 + i * 0.05::DOUBLE AS
 )
 def decision_grid(spark, sf):
     """Predicted class over the plane of two features, margins included."""
-    rows = lineitem_rows(spark, sf).withColumn(
+    rows = lineitem_rows(spark, sf, busy=True).withColumn(
         "features", F.array(F.get("features", F.lit(0)) / 10, F.get("features", F.lit(3)) / 20)
     )
     model = fo.fit_forest(rows, "row_key", 2, fo.ForestParams(max_depth=3, gain="entropy", bagging=False))
