@@ -7,6 +7,7 @@ cluster, after any retry, and in any SQL engine with md5.
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 from pyspark.sql import Column
@@ -20,6 +21,11 @@ def digest(seed: int | str, *parts: Column) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[p.cast("string") for p in parts]))
 
 
+def digest_of(seed: int | str, *parts: int | str) -> str:
+    """The same digest of values at the driver."""
+    return hashlib.md5("|".join(map(str, (seed, *parts))).encode()).hexdigest()
+
+
 def draw(seed: int | str, *parts: Column) -> Column:
     """Uniform integer in [0, 16**12)."""
     return F.conv(F.substring(digest(seed, *parts), 1, HEX_DIGITS), 16, 10).cast("bigint")

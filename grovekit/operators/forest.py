@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +24,9 @@ from grovekit.operators.growth import grow
 from grovekit.operators.kernels import KernelMap, apply_kernel_map, fit_kernel_map
 from grovekit.operators.metrics import class_counts
 from grovekit.operators.moments import complete, dense
-from grovekit.operators.sampling import bags, subspaces
+from grovekit.operators.sampling import bags, subspace_lists
 from grovekit.operators.scan import SPLIT_TYPES, TreePlan
-from grovekit.session import BROADCAST_LIMIT_BYTES, local_table, materialize
+from grovekit.session import BROADCAST_LIMIT_BYTES, discard, local_table, materialize
 
 NODE_SCHEMA = (
     "tree_id int, node_id bigint, kind string, feature int, w array<double>, th double, "
@@ -151,24 +152,21 @@ def fit_forest(
         bagged = rows.withColumn("bag", whole)
     if params.max_depth > 1 or params.split == "SVM":  # several passes: only what they read is kept for them
         bagged = materialize(bagged.select("features", "label", "bag"))
-    plans = tree_plans(spark, params, n_features, views[0] if views else None)
+    plans = tree_plans(params, n_features, views[0] if views else None)
     grown = grow(bagged, plans, classes, views, counts)
     return Forest(spark, [n for nodes in grown for n in nodes], sorted(classes), params.max_depth, *views)
 
 
 def tree_plans(
-    spark: SparkSession, params: ForestParams, n_features: int, mapping: KernelMap | None = None, view: int = 0, first_bag: int = 0
+    params: ForestParams, n_features: int, mapping: KernelMap | None = None, view: int = 0, first_bag: int = 0
 ) -> list[TreePlan]:
-    """The plans of a forest's trees; their bags are numbered from ``first_bag`` on.  Runs a job."""
+    """The plans of a forest's trees; their bags are numbered from ``first_bag`` on."""
     per_tree = n_features if params.features_per_tree is None else params.features_per_tree
     if mapping is not None:
         # A subspace of kernel features plays the part of a subspace of features.
         per_tree = max(1, round(per_tree / n_features * mapping.width))
         n_features = mapping.width
-    drawn = subspaces(spark, params.trees, n_features, per_tree, f"{params.seed}|space")
-    spaces: dict[int, list[int]] = {}
-    for r in drawn.orderBy("tree_id", "pos").collect():  # trees x features numbers
-        spaces.setdefault(r["tree_id"], []).append(r["feature"])
+    spaces = subspace_lists(params.trees, n_features, per_tree, f"{params.seed}|space")
     return [
         TreePlan(
             first_bag + (t if params.bagging else 0), tuple(spaces[t]), n_features, params.max_depth, params.split, params.gain,
@@ -178,6 +176,135 @@ def tree_plans(
     ]
 
 
+@dataclass(frozen=True)
+class Fit:
+    """One model to fit: its parameters and the part of the rows that it must not see (None: it sees all)."""
+
+    params: ForestParams
+    without: int | None = None
+
+
+def shared_bags(rows: DataFrame, key: str, fits: Sequence[Fit], sizes: dict[int | None, int]) -> tuple[DataFrame, list[int]]:
+    """``features, label, bag`` with the bags of all fits, and the first bag of each fit.
+
+    Fits that draw alike from the same rows share their bags.  Only keys and bags are put together; rows move once.
+    """
+    wanted: dict[tuple, int] = {}
+    for f in fits:
+        draw = _draw(f, sizes)
+        wanted[draw] = max(wanted.get(draw, 0), f.params.trees if f.params.bagging else 1)
+    first, parts, done = {}, [], 0
+    for draw, trees in wanted.items():
+        without, samples, replace, seed = draw
+        part = rows.select(key) if without is None else rows.filter(F.col("fold") != without).select(key)
+        if samples is None:
+            drawn = part.withColumn("bag", F.array(F.struct(F.lit(0).alias("tree_id"), F.lit(1).cast("bigint").alias("weight"))))
+        else:
+            drawn = bags(part, key, trees, samples, sizes[without], replace, f"{seed}|bag")
+        parts.append(drawn.select(key, _renumbered(done).alias("bag")))
+        first[draw], done = done, done + trees
+    union = reduce(DataFrame.union, parts).groupBy(key).agg(F.flatten(F.collect_list("bag")).alias("bag"))
+    table = rows.select(key, "features", "label").join(union, key).select("features", "label", "bag")
+    return table, [first[_draw(f, sizes)] for f in fits]
+
+
+def _renumbered(by: int) -> Column:
+    return F.transform("bag", lambda b: F.struct((b["tree_id"] + by).alias("tree_id"), b["weight"].alias("weight")))
+
+
+def _draw(fit: Fit, sizes: dict[int | None, int]) -> tuple:
+    p = fit.params
+    samples = None if not p.bagging else p.samples_per_tree or sizes[fit.without]
+    return fit.without, samples, p.replace, p.seed
+
+
+def fit_forests(rows: DataFrame, key: str, n_features: int, fits: Sequence[Fit]) -> list[Forest]:
+    """Many models in shared jobs, on ``key, features, label`` (and ``fold``, where fits leave one out).
+
+    Trees of all models grow together, so that the number of jobs follows the deepest tree and not the models.  Each
+    model is the one that ``fit_forest`` fits on its rows alone.
+    """
+    spark, rows = rows.sparkSession, rows.filter(complete())
+    by = ["fold"] if "fold" in rows.columns else []
+    counted = class_counts(rows, by=by).collect()  # folds x classes numbers
+    outs = {f.without for f in fits}
+    inside = {o: [r for r in counted if o is None or r["fold"] != o] for o in outs}
+    sizes = {o: sum(r["n"] for r in c) for o, c in inside.items()}
+    classes = sorted({r["label"] for r in counted})
+    views: list[KernelMap] = []
+    numbers: dict[tuple, int] = {}
+    for f in fits:
+        p, kernel = f.params, (f.without, f.params.kernel, f.params.landmarks, f.params.seed)
+        if p.split == "SVM" and p.kernel != "linear" and kernel not in numbers:
+            part = rows if f.without is None else rows.filter(F.col("fold") != f.without)
+            numbers[kernel] = len(views)
+            views.append(fit_kernel_map(part.select(key, "features"), key, p.kernel, p.landmarks, seed=p.seed))
+    table, first = shared_bags(rows, key, fits, sizes)
+    table, plans, owner = materialize(table), [], []
+    for i, (f, bag) in enumerate(zip(fits, first)):
+        view = numbers.get((f.without, f.params.kernel, f.params.landmarks, f.params.seed), -1) if f.params.split == "SVM" else -1
+        own = tree_plans(f.params, n_features, views[view] if view >= 0 else None, max(view, 0), bag)
+        plans += own
+        owner += [i] * len(own)
+    grown: list[list] = [[] for _ in fits]
+    start = [owner.index(i) for i in range(len(fits))]
+    for t, nodes in enumerate(grow(table, plans, classes, views)):
+        grown[owner[t]] += [(n[0] - start[owner[t]], *n[1:]) for n in nodes]
+    discard(table)
+    models = []
+    for f, nodes in zip(fits, grown):
+        view = numbers.get((f.without, f.params.kernel, f.params.landmarks, f.params.seed)) if f.params.split == "SVM" else None
+        seen = sorted({r["label"] for r in inside[f.without]})
+        models.append(Forest(spark, _only(nodes, classes, seen), seen, f.params.max_depth, None if view is None else views[view]))
+    return models
+
+
+def _only(nodes: list[tuple], classes: list[int], seen: list[int]) -> list[tuple]:
+    """Node rows with the counts of the ``seen`` classes alone."""
+    at = [classes.index(c) for c in seen]
+    return nodes if len(at) == len(classes) else [(*n[:8], [n[8][i] for i in at]) for n in nodes]
+
+
+def right_answers(models: Sequence[Forest], parts: Sequence[int | None], rows: DataFrame) -> list[tuple[int, int]]:
+    """(right, all) votes of each model on its part of ``rows`` (features, label, fold), in one job.
+
+    Rows without a complete vector get no answer and count as wrong.  ``parts`` are the folds; None takes all rows.
+    """
+    spark = rows.sparkSession
+    packed = [(_model_arrays(m), np.array(m.classes), m.depth, m.kernel_map, part) for m, part in zip(models, parts)]
+    shared = spark.sparkContext.broadcast(packed)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = shared.value
+        right, asked = np.zeros(len(models), np.int64), np.zeros(len(models), np.int64)
+        for batch in batches:
+            known = batch.column("usable").to_numpy(zero_copy_only=False).astype(bool)
+            x = dense(batch.column("features").filter(pa.array(known))) if known.any() else None
+            labels, folds = batch.column("label").to_numpy(), batch.column("fold").to_numpy()
+            mapped: dict[int, np.ndarray] = {}
+            for i, (trees, classes, depth, mapping, part) in enumerate(models):
+                mine = np.ones(len(labels), bool) if part is None else folds == part
+                asked[i] += mine.sum()
+                own = mine[known]
+                if x is None or not own.any():
+                    continue
+                if mapping is not None and id(mapping) not in mapped:
+                    mapped[id(mapping)] = mapping(x)
+                xs = (x if mapping is None else mapped[id(mapping)])[own]
+                votes, at = np.zeros((len(xs), len(classes)), np.int32), np.arange(len(xs))
+                for tree in trees:
+                    votes[at, _tree_votes(tree, xs, depth)] += 1
+                right[i] += (classes[votes.argmax(axis=1)] == labels[known][own]).sum()
+        numbers = pa.array(np.arange(len(right)), pa.int32())
+        yield pa.RecordBatch.from_arrays([numbers, pa.array(right), pa.array(asked)], ["model", "right", "asked"])
+
+    fold = F.col("fold").cast("int") if "fold" in rows.columns else F.lit(-1)
+    source = rows.select("features", "label", fold.alias("fold"), F.coalesce(complete(), F.lit(False)).alias("usable"))
+    counts = source.mapInArrow(task, "model int, right long, asked long").groupBy("model").agg(F.sum("right"), F.sum("asked"))
+    found = {r[0]: (r[1], r[2]) for r in counts.collect()}  # one row per model
+    return [found.get(i, (0, 0)) for i in range(len(models))]
+
+
 def tree_predictions(forest: Forest, rows: DataFrame, key: str) -> DataFrame:
     """``key, tree_id, predicted, class_counts``: every tree's leaf for every row.
 

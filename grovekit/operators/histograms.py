@@ -20,15 +20,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.operators.metrics import class_counts
 from grovekit.operators.moments import complete
 from grovekit.operators.scan import Block, WalkedTree, blocks, project, sampled
+from grovekit.session import discard, materialize
 
 GAIN_PLACES = 12
 #: Ranges of an axis, at least so many sampled rows in each, and sampled rows altogether.
 RANGES, SAMPLED_PER_RANGE, SAMPLE_ROWS = 256, 4, 16_384
-#: Rows in the open ranges of an axis that one task sorts; parts into which larger ranges are cut.
-EXACT_ROWS, FINER = 2_000_000, 64
+#: Rows in the open ranges of an axis that one task sorts; parts into which larger ranges are cut, down to how many rows.
+EXACT_ROWS, FINER, SMALL_RANGE = 2_000_000, 32, 64
+#: Cutting again for all axes together goes on while open rows fall below this share.
+GOOD_PART = 0.7
 #: Counters that a task holds, and that nodes searched in one pass have together.
 PASS_COUNTERS = 8_000_000
 #: With more classes, the bound takes each class's end on its own instead of all corners.
@@ -219,16 +221,18 @@ def double(n: int) -> float:
     return float(np.int64(n).view(np.float64)) if n >= 0 else -float(np.int64(-n).view(np.float64))
 
 
-def finer(cuts: np.ndarray, ranges: Sequence[int]) -> np.ndarray:
-    """More cuts inside the given ranges, evenly by value and in the order of doubles; unchanged where a range is one double."""
+def finer(cuts: np.ndarray, ranges: Sequence[int], parts: int) -> np.ndarray:
+    """More cuts inside the given ranges, evenly by value; unchanged where a range is one double."""
     more: list[float] = []
     for r in ranges:
         low = cuts[r - 1] if r > 0 else -np.inf
         high = cuts[r] if r < len(cuts) else np.inf
         a, b = number(low), number(high)
-        more += [double(a + (b - a) * i // FINER) for i in range(1, FINER)]
         if np.isfinite(high - low):
-            more += np.linspace(low, high, FINER).tolist()
+            # The middle in the order of doubles comes along, so that lopsided values are parted as well.
+            more += [*np.linspace(low, high, parts + 1).tolist(), double(a + (b - a) // 2)]
+        else:
+            more += [double(a + (b - a) * i // parts) for i in range(1, parts)]
     return np.unique(np.concatenate((cuts, more)))
 
 
@@ -240,25 +244,33 @@ def narrowed(rows: DataFrame, problems: Sequence[Problem], trees: Sequence[Walke
 
     Runs a job, more where ranges are too large.
     """
-    k, context = len(classes), rows.sparkSession.sparkContext
+    k, context, before = len(classes), rows.sparkSession.sparkContext, np.inf
     while True:
         uncut = [s for s, p in enumerate(problems) if not any(map(len, p.cuts))]
         found: Opened = {(s, a): (np.zeros(1, int), np.zeros((1, k), int)) for s in uncut for a in range(problems[s].axes)}
-        large = {(s, a): [0] for s, a in found if problems[s].counts.sum() > most}
+        held = {(s, a): np.array([problems[s].counts.sum()]) for s, a in found}
         if len(uncut) < len(problems):
             shared = context.broadcast((problems, trees, classes, views))
             for r in open_ranges(count_ranges(rows, shared, k), shared, k).collect():  # one row per node
-                axis, rng, held = np.array(r["axis"]), np.array(r["rng"]), np.array(r["held"])
+                axis, rng, rows_in = np.array(r["axis"]), np.array(r["rng"]), np.array(r["held"])
                 base = np.array(r["base"], int).reshape(-1, k)
                 for a in np.unique(axis).tolist():
                     at = axis == a
-                    found[r["slot"], a] = rng[at], base[at]
-                    if held[at].sum() > most:
-                        large[r["slot"], a] = rng[at][held[at] > most // at.sum()].tolist()
+                    found[r["slot"], a], held[r["slot"], a] = (rng[at], base[at]), rows_in[at]
             shared.unpersist()
+        # Where much is open in all axes together, they are cut as long as that closes a good part of it.
+        total = sum(int(h.sum()) for h in held.values())
+        again = total > most and total < GOOD_PART * before
+        cut = {}
+        for at, h in held.items():
+            if h.sum() > most or again:
+                least = most // len(h) if h.sum() > most else SMALL_RANGE
+                cut[at] = found[at][0][h > max(1, least)].tolist()
+        before = total
+        parts = int(np.clip(PASS_COUNTERS // (4 * (k + 1) * max(1, sum(map(len, cut.values())))), 2, FINER))
         grown = False
-        for (s, a), ranges in large.items():
-            cuts = finer(problems[s].cuts[a], ranges)
+        for (s, a), ranges in cut.items():
+            cuts = finer(problems[s].cuts[a], ranges, parts)
             grown |= len(cuts) > len(problems[s].cuts[a])
             problems[s].cuts[a] = cuts
         if not grown:
@@ -361,13 +373,16 @@ def root_splits(rows: DataFrame, classes: Sequence[int], gain: str, candidates:
 
     Each feature is the only axis of a problem of its own.  Rows without a complete vector are left out.
     """
-    classes, rows = np.array(sorted(classes)), rows.filter(complete())
-    counted = {r["label"]: r["n"] for r in class_counts(rows).collect()}  # one row per class
-    counts = np.array([counted.get(c, 0) for c in classes.tolist()], dtype=np.int64)
-    width = rows.select(F.max(F.size("features"))).first()[0] or 0
+    classes = np.array(sorted(classes))
     bag = F.array(F.struct(F.lit(0).alias("tree_id"), F.lit(1).cast("bigint").alias("weight")))
-    drawn = rows.select("features", "label", bag.alias("bag"))
+    drawn = materialize(rows.filter(complete()).select("features", "label", bag.alias("bag")))
+    counted = drawn.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("features")).alias("width")).collect()
+    width = max((r["width"] for r in counted), default=0)
+    per_class = {r["label"]: r["n"] for r in counted}  # one row per class
+    counts = np.array([per_class.get(c, 0) for c in classes.tolist()], dtype=np.int64)
     sample = sampled(drawn, int(counts.sum()), SAMPLE_ROWS, classes, ())
     problems = [Problem(f, 1, counts, gain, candidates, [f]) for f in range(width)]
     walked = lambda numbers: [WalkedTree(0, None, [], {1: i}) for i, _ in enumerate(numbers)]
-    return best_splits(drawn, problems, walked, classes, (), sample, exact_rows), int(counts.sum())
+    found = best_splits(drawn, problems, walked, classes, (), sample, exact_rows)
+    discard(drawn)
+    return found, int(counts.sum())

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.functions.hashing import digest, draw
+from grovekit.functions.hashing import digest_of, digest, draw
 from grovekit.operators.ranking import hash_cuts, hash_rank, with_cuts
 
 
@@ -165,6 +165,14 @@ def subspaces(spark, trees: int, n_features: int, per_tree: int, seed) -> DataFr
     )
 
 
+def subspace_lists(trees: int, n_features: int, per_tree: int, seed) -> list[list[int]]:
+    """The rows of ``subspaces`` as lists, one per tree: parameters of a model, drawn without a job."""
+    if not 0 < per_tree <= n_features:
+        raise ValueError("features per tree must be in 1..n_features")
+    order = lambda t: sorted(range(n_features), key=lambda f: (digest_of(seed, t, f), f))
+    return [sorted(order(t)[:per_tree]) for t in range(trees)]
+
+
 def sample_params(trials: DataFrame, number: str, n_features: int, seed=42) -> DataFrame:
     """Search parameters drawn per trial; conditional ones are NULL where unused."""
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from statistics import fmean, pstdev
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from grovekit.functions.labels import config_key, lda_from_text, split_from_label, split_label
-from grovekit.operators.forest import ForestParams, fit_forest, predict_forest
-from grovekit.operators.metrics import accuracy
+from grovekit.operators.forest import Fit, ForestParams, fit_forest, fit_forests, predict_forest, right_answers
 from grovekit.operators.ranking import running_totals
 from grovekit.operators.sampling import (
     random_subset,
@@ -253,53 +253,55 @@ def folds_of(rows: DataFrame, key: str, k: int, seed=42, holdout_fraction: float
     return divided.withColumn("fold", F.when(F.col("split") == "test", 0).otherwise(-1)).drop("split")
 
 
-def evaluate_fold(config, folded: DataFrame, fold: int, key: str, n_features: int, seed=42) -> dict:
-    """Fit on the other folds, measure on this one.  Returns one result row."""
-    train = folded.filter(F.col("fold") != fold)
-    valid = folded.filter(F.col("fold") == fold)
-    n_train = train.count()
-    started = time.perf_counter()
-    forest = fit_forest(train, key, n_features, forest_params(config, n_train, seed))
-    fit_s = time.perf_counter() - started
+def evaluate_folds(
+    configs: Sequence, folded: DataFrame, folds: Sequence[int], key: str, n_features: int, seed=42
+) -> list[list[dict]]:
+    """For each configuration, one result row per fold: fitted on the other folds, measured on this one.
+
+    All models of all configurations and folds grow in shared jobs, and one job measures them.  Seconds are those of
+    the shared jobs, divided by the number of models.
+    """
+    sizes = {r["fold"]: r["n"] for r in folded.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_all = sum(sizes.values())
     started = time.perf_counter()
-    predicted = predict_forest(forest, valid, key)
-    measured = accuracy(
-        valid.select(key, F.col("label").alias("actual")).join(predicted, key, "left")
-    ).first()
-    return {
-        "fold": fold,
-        "acc": measured["accuracy"],
-        "fit_s": fit_s,
-        "pred_s": time.perf_counter() - started,
-    }
+    fits = [Fit(forest_params(c, n_all - sizes.get(f, 0), seed), f) for c in configs for f in folds]
+    models = fit_forests(folded, key, n_features, fits)
+    fitted = time.perf_counter()
+    parts = [f.without for f in fits]
+    measured = right_answers(models, parts, folded)
+    fit_s, pred_s = ((b - a) / len(fits) for a, b in ((started, fitted), (fitted, time.perf_counter())))
+    rows = [
+        {"fold": part, "acc": right / asked if asked else None, "fit_s": fit_s, "pred_s": pred_s}
+        for part, (right, asked) in zip(parts, measured)
+    ]
+    return [rows[i : i + len(folds)] for i in range(0, len(rows), len(folds))]
+
+
+def evaluate_configs(configs: Sequence, rows: DataFrame, key: str, n_features: int, k: int = 3, seed=42) -> list[list[dict]]:
+    """Cross-validation of many configurations at once; one list of fold results for each."""
+    folded = materialize(folds_of(rows.select(key, "features", "label"), key, k, seed))
+    return evaluate_folds(configs, folded, range(max(1, k)), key, n_features, seed)
 
 
 def evaluate_config(config, rows: DataFrame, key: str, n_features: int, k: int = 3, seed=42) -> list[dict]:
-    folded = materialize(folds_of(rows.select(key, "features", "label"), key, k, seed))
-    return [evaluate_fold(config, folded, f, key, n_features, seed) for f in range(max(1, k))]
+    return evaluate_configs([config], rows, key, n_features, k, seed)[0]
 
 
 def result_row(config, folds: list[dict], k: int, total_s: float, status: str) -> dict:
     """One appended row; an error keeps the configuration and its status."""
-    spark = SparkSession.getActiveSession()
     row = {n: config[n] for n in (
         "config_key", "gain", "max_depth", "lda", "tree_count", "features_per_tree",
         "samples_fraction", "repeated_sampling",
     )}
     row |= {"cv_folds": k, "total_s": round(total_s, 1), "status": status}
     if folds:
-        table = local_table(
-            spark,
-            [(f["fold"], f["acc"], f["fit_s"], f["pred_s"]) for f in folds],
-            "fold int, acc double, fit_s double, pred_s double",
-        )
-        s = fold_summary(table, []).first()
+        accuracies = [f["acc"] for f in sorted(folds, key=lambda f: f["fold"])]
         row |= {
-            "acc_mean": round(s["acc_mean"], 4),
-            "acc_std": round(s["acc_std"], 4),
-            "acc_folds": [round(a, 4) for a in s["acc_folds"]],
-            "fit_s_mean": round(s["fit_s_mean"], 1),
-            "pred_s_mean": round(s["pred_s_mean"], 1),
+            "acc_mean": round(fmean(accuracies), 4),
+            "acc_std": round(pstdev(accuracies), 4),
+            "acc_folds": [round(a, 4) for a in accuracies],
+            "fit_s_mean": round(fmean(f["fit_s"] for f in folds), 1),
+            "pred_s_mean": round(fmean(f["pred_s"] for f in folds), 1),
         }
     return row
 
@@ -315,37 +317,57 @@ def run_search(
     k: int = 3,
     budget_s: float | None = None,
     seed=42,
-    objective: Callable[..., list[dict]] = evaluate_config,
+    objective: Callable[..., list[dict]] | None = None,
     callback: Callable[[dict], None] | None = None,
+    together: int = 16,
 ) -> DataFrame:
     """Evaluate the configurations that ``path`` lacks; append a row for each.
 
-    The driver only holds the list of configurations.  Each evaluation is a
-    set of Spark jobs over the whole table.  A failing one leaves a row whose
-    status tells why; no new one starts after the budget.
+    The driver only holds the list of configurations.  ``together`` of them
+    are fitted in shared jobs, or one at a time by an ``objective`` of the
+    caller's.  Where shared jobs fail, their configurations are tried one by
+    one; a failing one leaves a row whose status tells why.  No new ones start
+    after the budget.
     """
     spark = rows.sparkSession
     chosen = select_configs(space, mode, max_trials, seed)
     todo = pending_configs(chosen, read_results(spark, path))
     labelled = todo.withColumn("_label", split_label(F.col("split"))).orderBy("config_key")
     started = time.perf_counter()
-    for config in labelled.collect():  # parameters only
+    waiting = labelled.collect()  # parameters only
+    size = together if objective is None else 1
+    for at in range(0, len(waiting), size):
         if budget_s is not None and time.perf_counter() - started > budget_s:
             break
+        group = waiting[at : at + size]
         begun = time.perf_counter()
-        folds, status = [], "ok"
+        results = _tried(group, objective, rows, key, n_features, k, seed)
+        took = (time.perf_counter() - begun) / len(group)
+        flat = []
+        for config, (folds, status) in zip(group, results):
+            row = result_row(config, folds, k, took, status)
+            row["split"] = config["_label"]
+            flat.append(tuple(row.get(f.name) for f in RESULT))
+            if callback:
+                callback(row)
+        append_results(local_table(spark, flat, RESULT).withColumn("timestamp", F.current_timestamp()), path)
+    return read_results(spark, path)
+
+
+def _tried(group: Sequence, objective, rows: DataFrame, key: str, n_features: int, k: int, seed) -> list[tuple[list[dict], str]]:
+    """Fold results and status of each configuration."""
+    if objective is None and len(group) > 1:
+        try:
+            return [(folds, "ok") for folds in evaluate_configs(group, rows, key, n_features, k, seed)]
+        except Exception:  # noqa: BLE001 - which of them fails is found below
+            pass
+    out = []
+    for config in group:
         try:
-            folds = objective(config, rows, key, n_features, k, seed)
+            out.append(((objective or evaluate_config)(config, rows, key, n_features, k, seed), "ok"))
         except Exception as error:  # noqa: BLE001 - a failed trial must not end the search
-            status = f"erro: {error}"
-        row = result_row(config, folds, k, time.perf_counter() - begun, status)
-        row["split"] = config["_label"]
-        flat = [tuple(row.get(f.name) for f in RESULT)]
-        stamped = local_table(spark, flat, RESULT).withColumn("timestamp", F.current_timestamp())
-        append_results(stamped, path)
-        if callback:
-            callback(row)
-    return read_results(spark, path)
+            out.append(([], f"erro: {error}"))
+    return out
 
 
 def run_pruned(
@@ -358,7 +380,7 @@ def run_pruned(
     warmup: int = 0,
     seed=42,
 ) -> DataFrame:
-    """Fold by fold over all live trials, cutting those below the median.
+    """Fold by fold over all live trials together, cutting those below the median.
 
     ``configs`` has number and the configuration columns.  Returns the steps
     ``number, step, acc, running_mean, state``.
@@ -370,9 +392,8 @@ def run_pruned(
     schema = "number bigint, step int, acc double"
     cut: set[int] = set()
     for fold in range(k):
-        for number, config in live.items():
-            measured = evaluate_fold(config, folded, fold, key, n_features, seed)
-            steps.append((number, fold, measured["acc"]))
+        measured = evaluate_folds(list(live.values()), folded, [fold], key, n_features, seed)
+        steps += [(number, fold, rows[0]["acc"]) for number, rows in zip(live, measured)]
         table = running_mean(local_table(spark, steps, schema)).withColumn(
             "state", F.when(F.col("number").isin(list(live)), "COMPLETE").otherwise("PRUNED")
         )
@@ -408,12 +429,10 @@ def sweep(base: dict, axis: str, values: Sequence) -> list[dict]:
 def run_sweep(
     rows: DataFrame, key: str, n_features: int, base: dict, axis: str, values: Sequence, seed=42
 ) -> DataFrame:
-    """``value, acc, fit_s, pred_s`` of a stratified holdout along one axis."""
+    """``value, acc, fit_s, pred_s`` of a stratified holdout along one axis, all values in shared jobs."""
     folded = materialize(folds_of(rows.select(key, "features", "label"), key, 1, seed))
-    out = []
-    for value, config in zip(values, sweep(base, axis, values)):
-        r = evaluate_fold(config, folded, 0, key, n_features, seed)
-        out.append((str(value), r["acc"], r["fit_s"], r["pred_s"]))
+    found = evaluate_folds(sweep(base, axis, values), folded, [0], key, n_features, seed)
+    out = [(str(v), r["acc"], r["fit_s"], r["pred_s"]) for v, (r,) in zip(values, found)]
     return local_table(
         rows.sparkSession, out, "value string, acc double, fit_s double, pred_s double"
     )

@@ -2,8 +2,10 @@ import json
 import os
 
 import pytest
+import numpy as np
 from pyspark.sql import functions as F
 
+from grovekit.operators import forest
 from grovekit.functions.answers import question_kind
 from grovekit.plans import dataset, evaluation, experiments, search
 from grovekit.session import local_table
@@ -260,3 +262,52 @@ def test_report_statuses(spark):
     got = {r["experiment"]: (r["status"], r["missing"], r["extra"]) for r in report.collect()}
     assert got == {"a_test": ("written", 0, 1), "b_test": ("incomplete", 1, 0), "c_test": ("blank", 0, 0)}
     assert out.count() == 2
+
+
+def test_shared_fits_equal_single_fits(spark):
+    rng = np.random.default_rng(4)
+    n = 150
+    x, y = rng.normal(size=(n, 4)), np.arange(n) % 3
+    x[:, 0] += y
+    rows = spark.createDataFrame(
+        [(f"r{i:04d}", x[i].tolist(), int(y[i])) for i in range(n)] + [("none", None, 1)],
+        "row_key string, features array<double>, label int",
+    )
+    folded = search.folds_of(rows, "row_key", 2, 1)
+    kinds = [
+        dict(trees=2, max_depth=2, features_per_tree=2, samples_per_tree=40),
+        dict(trees=1, max_depth=2, split="PCA", c=2, samples_per_tree=40, gain="entropy"),
+        dict(trees=1, max_depth=1, split="SVM", bagging=False),
+        dict(trees=2, max_depth=2, lda=1, replace=False, samples_per_tree=30),
+    ]
+    fits = [forest.Fit(forest.ForestParams(**k), f) for k in kinds for f in (0, 1, None)]
+    models = forest.fit_forests(folded, "row_key", 4, fits)
+    for fit, model in list(zip(fits, models))[::7]:
+        part = folded if fit.without is None else folded.filter(F.col("fold") != fit.without)
+        alone = forest.fit_forest(part, "row_key", 4, fit.params)
+        assert [n[:4] + n[7:] for n in alone.rows] == [n[:4] + n[7:] for n in model.rows]
+    measured = forest.right_answers(models, [f.without for f in fits], folded)
+    for fit, model, (right, asked) in list(zip(fits, models, measured))[::5]:
+        part = folded if fit.without is None else folded.filter(F.col("fold") == fit.without)
+        joined = part.join(forest.predict_forest(model, part, "row_key"), "row_key")
+        assert asked == part.count() and right == joined.filter("label = predicted").count()
+
+
+def test_failing_configurations_leave_their_rows(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame(
+        [(f"r{i:03d}", [float(i % 7), float(i)], i % 2) for i in range(60)], "row_key string, features array<double>, label int"
+    )
+    axes = {"gain": (("gini",), "string"), "max_depth": ((1, 2), "int"), "lda": ((None,), "int"), "tree_count": ((1,), "int"),
+            "features_per_tree": ((2,), "int"), "samples_fraction": ((1.0,), "double"), "repeated_sampling": ((False,), "boolean")}
+    width = rows.agg(F.max(F.size("features")).alias("m"))
+    space = search.search_space(width, F.col("m"), search.STOCK_SPLITS[:1], axes).drop("m")
+    whole = search.evaluate_folds
+
+    def fails_at_two(configs, *args):
+        if any(c["max_depth"] == 2 for c in configs):
+            raise RuntimeError("too deep")
+        return whole(configs, *args)
+
+    monkeypatch.setattr(search, "evaluate_folds", fails_at_two)
+    done = search.run_search(rows, "row_key", 2, space, str(tmp_path / "r"), mode="grid", k=2).collect()
+    assert {r["max_depth"]: r["status"] for r in done} == {1: "ok", 2: "erro: too deep"}

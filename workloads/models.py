@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from grovekit.operators import forest as fo
-from grovekit.operators import metrics, sampling, splits
-from grovekit.session import materialize
+from grovekit.operators import metrics, oblique, sampling, scan, splits
+from grovekit.session import local_table, materialize
 from workloads.features import BAG, SUB
 from workloads.inputs import CLASSES, LI, LI_LONG, lineitem_rows, with_holes
 from workloads.registry import query
@@ -167,25 +168,43 @@ def _accuracy(spark, sf, params):
 
 @query("pca_forest")
 def pca_forest(spark, sf):
-    return _accuracy(spark, sf, fo.ForestParams(trees=2, max_depth=2, split="PCA", c=2, bagging=False))
+    return _accuracy(spark, sf, fo.ForestParams(trees=20, max_depth=4, split="PCA", c=2, features_per_tree=3))
 
 
 @query("lda_forest")
 def lda_forest(spark, sf):
-    return _accuracy(spark, sf, fo.ForestParams(trees=2, max_depth=2, lda=2, features_per_tree=3))
+    return _accuracy(spark, sf, fo.ForestParams(trees=20, max_depth=4, lda=2, features_per_tree=3))
 
 
 @query("svm_forest")
 def svm_forest(spark, sf):
-    return _accuracy(spark, sf, fo.ForestParams(trees=1, max_depth=1, split="SVM", bagging=False))
+    return _accuracy(spark, sf, fo.ForestParams(trees=10, max_depth=3, split="SVM", features_per_tree=3))
 
 
 @query("kernel_svm_forest")
 def kernel_svm_forest(spark, sf):
-    params = fo.ForestParams(trees=1, max_depth=1, split="SVM", kernel="rbf", landmarks=8, bagging=False)
+    params = fo.ForestParams(trees=5, max_depth=2, split="SVM", kernel="rbf", landmarks=8)
     return _accuracy(spark, sf, params)
 
 
+@query(
+    "svm_gradients",
+    """SELECT m::INT AS mask, p::DOUBLE AS penalty, 0.0::DOUBLE AS gradient
+    FROM (SELECT unnest([1, 2, 3]) AS m), (SELECT unnest([0.1, 1.0, 100.0]) AS p)""",
+)
+def svm_gradients(spark, sf):
+    """Slope of the squared-hinge objective where the separations of all class masks end, as a share of its parts."""
+    whole = F.array(F.struct(F.lit(0).alias("tree_id"), F.lit(1).cast("bigint").alias("weight")))
+    rows = lineitem_rows(spark, sf, busy=True).select("features", "label", whole.alias("bag"))
+    penalties, basis = (0.1, 1.0, 100.0), oblique.Basis(M, list(range(M)))
+    trees = [scan.WalkedTree(0, None, [], {1: slot}) for slot in range(len(penalties))]
+    asked = [oblique.Separation(s, m, c) for s, c in enumerate(penalties) for m in oblique.bipartition_masks(len(CLASSES))]
+    oblique.separate(rows, trees, np.array(CLASSES), (), [basis] * len(trees), asked, 100)
+    found = [(p.mask, p.penalty, p.gradient) for p in asked]
+    table = local_table(spark, found, "mask int, penalty double, gradient double")
+    return table.withColumn("gradient", F.round("gradient", 6))
+
+
 @query(
     "class_probabilities",
     f"""WITH {LI}, {ALL_ROWS}, {forest_ctes(2, 'gini')},

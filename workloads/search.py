@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grovekit.functions import labels
@@ -12,7 +13,7 @@ from grovekit.plans import search
 from grovekit.session import materialize, shared_folder
 from grovekit.sources import results as files
 from grovekit.sources.schemas import RESULT, TRIAL
-from workloads.features import _rank
+from workloads.features import SUB, _rank
 from workloads.inputs import EMB, FOLDS, LI, RESULTS, embedding_rows, lineitem_rows, results, trial_folds
 from workloads.registry import query
 from workloads.sqltext import forest_ctes, walk
@@ -241,39 +242,83 @@ def exported_trials(spark, sf):
 
 # Searches that really fit ------------------------------------------------------
 
-SMALL_AXES = {
-    "gain": (("gini",), "string"),
-    "max_depth": ((1, 2), "int"),
-    "lda": ((None,), "int"),
-    "tree_count": ((2,), "int"),
-    "features_per_tree": ((2,), "int"),
+SEARCH_AXES = {
+    "gain": (("gini", "entropy"), "string"),
+    "max_depth": ((2, 4), "int"),
+    "lda": ((None, 2), "int"),
+    "tree_count": ((5,), "int"),
+    "features_per_tree": ((3,), "int"),
     "samples_fraction": ((0.5,), "double"),
     "repeated_sampling": ((True,), "boolean"),
 }
+#: Orthogonal forests without discriminants and without repeated draws can be grown in SQL as well.
+PLAIN_AXES = SEARCH_AXES | {
+    "max_depth": ((1, 2), "int"), "lda": ((None,), "int"), "tree_count": ((3,), "int"), "features_per_tree": ((2,), "int"),
+    "samples_fraction": ((1.0,), "double"), "repeated_sampling": ((False,), "boolean"),
+}
 
 
-def _small_space(spark, sf):
+KINDS = {"orthogonal": ("orthogonal", None, None, None), "PCA": ("PCA", 2, None, None), "SVM": ("SVM", None, 1.0, "linear")}
+
+
+def _space(spark, sf, kinds, axes):
     width = lineitem_rows(spark, sf).agg(F.max(F.size("features")).alias("m"))
-    return search.search_space(width, F.col("m"), search.STOCK_SPLITS[:1], SMALL_AXES).drop("m")
+    return search.search_space(width, F.col("m"), [KINDS[k] for k in kinds], axes).drop("m")
+
+
+def _searched(spark, sf, space, k):
+    path = f"{shared_folder(spark)}/search-{uuid.uuid4().hex}"
+    rows = materialize(lineitem_rows(spark, sf, busy=True).select("row_key", "features", "label"))
+    return rows, search.run_search(rows, "row_key", 4, space, path, k=k, mode="grid")
 
 
 @query("model_search")
 def model_search(spark, sf):
-    """Two configurations by two folds, appended, ranked, and the best one refitted."""
-    path = f"{shared_folder(spark)}/search-{uuid.uuid4().hex}"
-    rows = materialize(lineitem_rows(spark, sf).select("row_key", "features", "label"))
-    done = search.run_search(rows, "row_key", 4, _small_space(spark, sf), path, k=2, mode="grid")
-    board = search.leaderboard(done, 15, ("config_key", "acc_mean", "acc_std"))
+    """Orthogonal and PCA forests of five trees with and without discriminants, by two folds; the best one refitted."""
+    rows, done = _searched(spark, sf, _space(spark, sf, ("orthogonal", "PCA"), SEARCH_AXES), 2)
+    board = search.leaderboard(done, 20, ("config_key", "split", "acc_mean", "acc_std"))
     predicted = search.refit_best(done, rows, rows, "row_key", 4)
-    n = predicted.agg(F.count(F.lit(1)).alias("refit_rows"))
+    n = predicted.agg(F.count("predicted").alias("refit_rows"))
     return board.join(F.broadcast(n), F.lit(True))
 
 
+def _folded_accuracy(gain: str, depth: int, fold: int, folds: int) -> str:
+    """Right answers on one fold of a forest of three trees grown on the others, as one row."""
+    return f"""SELECT '{gain}' AS gain, {depth} AS max_depth, {fold} AS fold, (WITH {LI},
+      part AS (SELECT row_key, ({_rank(42, 'row_key', 'label')} - 1) % {folds} AS fold FROM li),
+      bag AS (SELECT t::INT AS tree_id, row_key, 1::BIGINT AS weight FROM part, range(3) r(t) WHERE fold <> {fold}),
+      {SUB.format(trees=3, m=4, k=2, seed='42|space')}, {forest_ctes(depth, gain)},
+      src AS (SELECT t::INT AS tree_id, li.* FROM li JOIN part USING (row_key), range(3) r(t) WHERE fold = {fold}),
+      {walk('src', depth)}, voted AS (SELECT row_key, arg_min(predicted, (-n, predicted)) AS predicted
+        FROM (SELECT row_key, predicted, count(*) AS n FROM leafs GROUP BY ALL) GROUP BY row_key)
+      SELECT avg((predicted = label)::INT) FROM voted JOIN li USING (row_key)) AS acc"""
+
+
+def _folded(folds: int) -> str:
+    return " UNION ALL ".join(
+        _folded_accuracy(g, d, f, folds) for g in SEARCH_AXES["gain"][0] for d in PLAIN_AXES["max_depth"][0] for f in range(folds)
+    )
+
+
+@query(
+    "orthogonal_search",
+    f"""SELECT gain, max_depth, round(avg(acc), 4) AS acc_mean, list(round(acc, 4) ORDER BY fold) AS acc_folds
+    FROM ({_folded(2)}) GROUP BY gain, max_depth""",
+)
+def orthogonal_search(spark, sf):
+    """Four configurations by two folds, grown together, as the results table has them."""
+    _, done = _searched(spark, sf, _space(spark, sf, ("orthogonal",), PLAIN_AXES), 2)
+    return done.select("gain", "max_depth", "acc_mean", "acc_folds")
+
+
 @query("pruned_search")
 def pruned_search(spark, sf):
-    rows = materialize(lineitem_rows(spark, sf).select("row_key", "features", "label"))
-    configs = _small_space(spark, sf).withColumn("number", F.col("max_depth").cast("bigint"))
-    return search.run_pruned(rows, "row_key", 4, configs, k=2, startup=1)
+    """Twelve trials of three kinds by three folds, cut at the median of the running means."""
+    rows = materialize(lineitem_rows(spark, sf, busy=True).select("row_key", "features", "label"))
+    axes = SEARCH_AXES | {"lda": ((None,), "int"), "tree_count": ((2,), "int"), "max_depth": ((2, 3), "int")}
+    configs = _space(spark, sf, KINDS, axes)
+    configs = configs.withColumn("number", F.rank().over(Window.orderBy("config_key")).cast("bigint"))
+    return search.run_pruned(rows, "row_key", 4, configs, k=3, startup=3)
 
 
 def _holdout_accuracy(depth: int) -> str:
