@@ -410,6 +410,21 @@ def held_out(doc_id="doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % 4 == 2
 
 
+def labelled(docs: DataFrame, known: DataFrame, params: CrfParams) -> DataFrame:
+    """``doc_id, text, toxic`` of the labelled documents that the fit may draw; ``known`` has known_id, toxic.
+
+    They are drawn by ids alone.  Only ids up to the last one that a sample of ``max_fit_docs`` can hold are kept, so that
+    what is sent to the texts is bounded by it and no text is shuffled.
+    """
+    at = F.xxhash64("doc_id", F.lit(params.seed))
+    ids = rows_of(docs).select("doc_id").join(known, F.col("doc_id") == F.col("known_id")).select("doc_id", "toxic", at.alias("at"))
+    last = ids.select("at").orderBy("at").limit(params.max_fit_docs + 1).agg(F.max("at")).first()[0]
+    drawn = ids.filter(F.col("at") <= F.lit(last)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    drawn = written(drawn.withColumnRenamed("doc_id", "known_id"))
+    rows = rows_of(docs).filter(at <= F.lit(last))
+    return rows.join(F.broadcast(drawn), F.col("doc_id") == F.col("known_id")).drop("known_id")
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, params: CrfParams = CrfParams()) -> DataFrame:
     """``doc_id, held_out, score, predicted, spans``; learns from the labels of rows that are not held out.
 
@@ -418,8 +433,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, params: CrfParams = CrfP
     known = labels.select(F.col("doc_id").cast("long").alias("known_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter("known_id is not null and toxic is not null").filter(~held_out("known_id"))
     known = known.groupBy("known_id").agg(F.max("toxic").alias("toxic"))
-    train = rows_of(docs).join(known, F.col("doc_id") == F.col("known_id")).drop("known_id")
-    scored = tag(rows_of(docs), fit(train, params))
+    scored = tag(rows_of(docs), fit(labelled(docs, known, params), params))
     return scored.select(
         "doc_id",
         F.coalesce(held_out(), F.lit(False)).alias("held_out"),
