@@ -40,9 +40,17 @@ def choose_cuts(places: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
     ``places`` rise by ``size`` at most; ``cost`` is the penalty of a cut at each of them.
     """
     p, c, n = places.tolist(), cost.tolist(), len(places)
-    index = {x: i for i, x in enumerate(p)}
-    powers = [1 << k for k in range(size.bit_length()) if 1 << k <= size]
-    best, back = [0.0] * n, [0] * n
+    # Windows of a power of two need no padding: the few pairs of places so far apart, by their end.
+    starts, ends = [], []
+    for w in (1 << k for k in range(size.bit_length()) if 1 << k <= size):
+        at = np.searchsorted(places, places - w)
+        hit = np.flatnonzero(places[at] == places - w)
+        starts.append(at[hit])
+        ends.append(hit)
+    starts, ends = np.concatenate(starts), np.concatenate(ends)
+    order = np.argsort(ends, kind="stable")
+    exact, upto = starts[order].tolist(), np.searchsorted(ends[order], np.arange(n), "right").tolist()
+    best, back, seen = [0.0] * n, [0] * n, upto[0]
     queue = deque([0])
     for j in range(1, n):
         at = p[j]
@@ -50,10 +58,10 @@ def choose_cuts(places: np.ndarray, cost: np.ndarray, size: int) -> list[int]:
             queue.popleft()
         i = queue[0]
         least, source = best[i] + p[i] + size - at, i
-        for w in powers:
-            i = index.get(at - w)
-            if i is not None and best[i] < least:
+        for i in exact[seen : upto[j]]:
+            if best[i] < least:
                 least, source = best[i], i
+        seen = upto[j]
         best[j], back[j] = least + c[j], source
         mark = best[j] + at
         while queue and best[queue[-1]] + p[queue[-1]] >= mark:
