@@ -76,7 +76,7 @@ class Memo(dict):
 class Ids:
     """Words as 64-bit fingerprints; the memo is dropped when it has grown large."""
 
-    def __init__(self, limit: int = 1_000_000):
+    def __init__(self, limit: int = 250_000):
         self.memo = Memo(self.fingerprint)
         self.limit = limit
 

@@ -53,7 +53,7 @@ class Encoder:
     ``flag`` tells pieces behind which a place is wanted.
     """
 
-    def __init__(self, path: str, cut: Callable[[bytes], list[bytes]], flag: Callable[[bytes], bool] | None = None, limit: int = 1_000_000):
+    def __init__(self, path: str, cut: Callable[[bytes], list[bytes]], flag: Callable[[bytes], bool] | None = None, limit: int = 250_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
