@@ -145,6 +145,33 @@ def test_contamination(spark, rows):
     )
 
 
+def test_contamination_by_a_very_long_item(spark):
+    rng = random.Random(3)
+    item = [f"b{rng.randrange(10**5)}" for _ in range(5000)]
+    copy = [w for w in item if rng.random() > 0.03]
+    items = spark.createDataFrame([(0, " ".join(item)), (1, "one two three four five six seven")], "item_id long, text string")
+    texts = ["head " * 9 + " ".join(copy) + " tail", " ".join(item[:3000]), "so one two three four five six seven, and on", "x " * 9000]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    found = contamination.find_passages(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in found) == [(0, 0, 5000 - len(copy)), (2, 1, 0)]
+
+
+def test_recall_over_all_items():
+    rng = np.random.default_rng(5)
+    items = [rng.integers(1, 2**63, n).astype(np.uint64) for n in rng.integers(5, 120, 200)]
+    index = contamination.ItemIndex(list(range(200)), items, contamination.LshParams())
+    met = 0
+    for i, x in enumerate(items):  # copies of other draws than those that the tables were counted with
+        y = x.copy()
+        places = rng.choice(len(y), contamination.allowed(len(y), 0.2), replace=False)
+        y[places] = rng.integers(1, 2**63, len(places)).astype(np.uint64)
+        n = np.array([len(y)])
+        met += i in index.candidates(y, np.zeros(1, np.int64), n, n)[:, 1]
+    assert met / 200 >= 0.97
+    with pytest.raises(RuntimeError, match="recall"):
+        contamination.ItemIndex(list(range(200)), items, contamination.LshParams(most_tables=2))
+
+
 def test_contamination_without_items(spark, rows):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert contamination.find_passages(brute.frame(spark, rows), bench).count() == 0
