@@ -30,13 +30,16 @@ def packed_strings(docs: DataFrame, wanted: DataFrame, k: int, by_words: bool) -
     """The text of the ``wanted`` runs of windows: packed for a bucket, or window by window where ``hot``."""
     at = F.struct("start", "n", "h", "p", "times", "hot")
     lists = wanted.groupBy("doc_id", "f").agg(F.collect_list(at).alias("wanted"))
-    rows = on_key(keyed(docs), lists, "inner").select("text", "wanted")
+    rows = on_key(keyed(docs), lists, "inner").select("text", "wanted", "doc_id", "f")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = packed_ids(by_words)
+        ids_of, last = packed_ids(by_words), None
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
-            for text, asked in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for text, asked, *key in zip(*(c.to_pylist() for c in batch.columns)):
+                if key == last:  # a repeated row: its runs are counted as such, one of them is enough
+                    continue
+                last = key
                 whole = text.encode().split() if by_words else text.encode()
                 for a in asked:
                     piece = whole[a["start"] : a["start"] + a["n"] + k - 1]
@@ -147,7 +150,8 @@ def buckets_of(docs: DataFrame, shared: DataFrame, k: int, hot: int, by_words: b
 def dedup_substrings(docs: DataFrame, k: int = 35, m: int = 12, hot: int = 20_000) -> DataFrame:
     """``doc_id, text, n_words, n_removed, spans``: kept words of every row, joined by one space, and removed word runs."""
     ranges = buckets_of(docs, shared_segments(docs, True, k, m), k, hot, True)
-    lists = ranges.groupBy("doc_id", "f").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+    # Repeated rows have found the same ranges, each of them: a set, so that lists do not grow with the rows.
+    lists = ranges.groupBy("doc_id", "f").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
     rows = on_key(keyed(docs), lists, "left").select("doc_id", "text", "ranges")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -97,7 +97,8 @@ def region_cuts(ids: np.ndarray, k: int, powers: Powers) -> tuple[np.ndarray, ..
 
 def cut_regions(docs: DataFrame, shared: DataFrame, k: int) -> DataFrame:
     """The cuts of all regions that may repeat, as strings of phrases."""
-    lists = shared.groupBy("doc_id", "f").agg(F.collect_list(F.struct("start", "n")).alias("found"))
+    # Repeated rows have the same strings, each of them: a set, so that lists do not grow with the rows.
+    lists = shared.groupBy("doc_id", "f").agg(F.collect_set(F.struct("start", "n")).alias("found"))
     rows = on_key(keyed(docs), lists, "inner").select("doc_id", "f", "text", "found")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +179,7 @@ def dedup_suffixes(docs: DataFrame, k: int = 200, hot: int = 20_000) -> DataFram
     if k < 2 * REACH + GRAM:
         raise ValueError(f"strings of fewer than {2 * REACH + GRAM} bytes have no phrase of their own")
     ranges = repeated_strings(docs, k, hot)
-    lists = ranges.groupBy("doc_id", "f").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+    lists = ranges.groupBy("doc_id", "f").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
     rows = on_key(keyed(docs), lists, "left").select("doc_id", "text", "ranges")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

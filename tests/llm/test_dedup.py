@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from grovekit.llm import jaccard, lines, substrings, suffixes
@@ -24,6 +25,17 @@ def test_substrings(spark, rows):
     assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.text, r.n_words, r.n_removed)) for r in kept)
 
 
+@pytest.mark.parametrize("dedup", [substrings.dedup_substrings, suffixes.dedup_suffixes])
+def test_many_repeated_rows(spark, dedup):
+    """Lists stay as long as one row's, however many rows repeat it: thousands under a null id are no square."""
+    text = " ".join(f"word{i}" for i in range(400))
+    docs = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    docs = docs.union(spark.createDataFrame([(1, "alone " * 3 + "here")], "doc_id long, text string"))
+    got = dedup(docs).groupBy("doc_id", "n_removed").count().collect()
+    size = 400 if dedup is substrings.dedup_substrings else len(text)
+    assert sorted((r.doc_id or 0, r.n_removed, r["count"]) for r in got) == [(0, size, 3000), (1, 0, 1)]
+
+
 def test_split_minimisers_give_the_same(spark, rows):
     df = brute.frame(spark, rows)
     found = [sorted(map(repr, substrings.dedup_substrings(df, 7, 3, hot).collect())) for hot in (0, 20_000)]
