@@ -4,7 +4,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 import public_tokenizers
-from grovekit.llm import quality
+from grovekit.llm import lines, quality
 from grovekit.llm.contamination import Words, allowed, nearest_end
 from tests.llm import brute
 
@@ -21,7 +21,7 @@ def test_pipeline(spark, sf):
     judged = quality.judge(table, spark.read.parquet(f"{sf}/labels.parquet")).collect()
     good = {r.doc_id for r in judged if r.kept}
     rows = [(r.doc_id, r.text) for r in table.collect() if r.doc_id in good]
-    left = brute.later_lines(rows, 2)
+    left = brute.later_or_long_lines(rows, 2, lines.LONG_WORDS, lines.LONG_WORDS * lines.WORD_BYTES)
     rows = [(d, "\n".join(left[d, t])) for d, t in rows if any(map(brute.WORD.search, left[d, t]))]
     rows.sort()
     firsts = brute.components([brute.shingles(t) for _, t in rows])
