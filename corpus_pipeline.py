@@ -22,8 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of lines go; a document of which nothing is left goes with them."""
-    return lines.delete_later_lines(docs)
+    """Later copies of repeated runs of lines, and of long lines, go; a document of which nothing is left goes with them."""
+    return lines.delete_later_lines(docs, long_words=lines.LONG_WORDS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
