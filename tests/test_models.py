@@ -324,6 +324,10 @@ def test_order_violations_against_brute_force(spark, rounded):
     want = brute_violations(x, p)
     assert linear.order_violations(df, "id", "projected").first()[0] == want
     assert linear.order_violations(df, "id", "projected", tile_bytes=5 * 4 * 8).first()[0] == want
+    assert linear.order_violations(df, "id", "projected", tile_bytes=9 * 4 * 8).first()[0] == want  # two tiles
+    unknown = spark.createDataFrame([(99, None, [0.0]), (98, [1.0, None, 0.0], [1.0])], df.schema)
+    assert linear.order_violations(df.union(unknown), "id", "projected").first()[0] == want
+    assert linear.order_violations(df.limit(0), "id", "projected").first()[0] == 0
 
 
 @pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": 1, "block_bytes": 800}])

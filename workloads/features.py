@@ -716,18 +716,25 @@ def lda_direction(spark, sf):
     return local_table(spark, [row], "first double, second double, same_sign boolean")
 
 
-@query(
-    "order_violations",
-    f"""WITH {EMB}, p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.features, b.features) AS d,
+ORDER_VIOLATIONS = f"""WITH {EMB}, p AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.features, b.features) AS d,
       list_distance(a.features[1:8], b.features[1:8]) AS dh FROM emb a JOIN emb b ON a.vec_id <> b.vec_id)
     SELECT count(*) AS violations FROM p x JOIN p y ON x.i = y.i AND x.j <> y.j
-    WHERE (x.d < y.d) <> (x.dh < y.dh)""",
-)
+    WHERE (x.d < y.d) <> (x.dh < y.dh)"""
+
+
+@query("order_violations", ORDER_VIOLATIONS)
 def order_violations(spark, sf):
     rows = embedding_rows(spark, sf).withColumn("projected", F.slice("features", 1, 8))
     return linear.order_violations(rows, "vec_id", "projected")
 
 
+@query("order_violations_tiled", ORDER_VIOLATIONS)
+def order_violations_tiled(spark, sf):
+    """The same in tiles of 128 KB, several at every size, so that the sums over pairs of tiles are checked as well."""
+    rows = embedding_rows(spark, sf).withColumn("projected", F.slice("features", 1, 8))
+    return linear.order_violations(rows, "vec_id", "projected", tile_bytes=128 * 1024)
+
+
 @query("pca_order_violations")
 def pca_order_violations(spark, sf):
     rows = embedding_rows(spark, sf)
