@@ -159,18 +159,19 @@ def exact_median(df: DataFrame, group: str, value: str, spread: bool = False) ->
 
 
 def median_pruned(
-    steps: DataFrame, startup: int = 10, warmup: int = 0, trial: str = "number", step: str = "step"
+    steps: DataFrame, startup: int = 10, warmup: int = 0, trial: str = "number", step: str = "step", spread: bool = True
 ) -> DataFrame:
     """Adds ``best_so_far, median, pruned`` to steps with number, step, running_mean, state.
 
     A trial is cut at a step when its best running mean up to there lies below
     the median of the completed trials at that step.  The first ``startup``
-    completed trials and steps up to ``warmup`` never prune.
+    completed trials and steps up to ``warmup`` never prune.  Steps are few and trials may be many: the median of a step is
+    found across tasks (runs a job) unless ``spread`` is off.
     """
     w = Window.partitionBy(trial).orderBy(step).rowsBetween(Window.unboundedPreceding, 0)
     best = steps.withColumn("best_so_far", F.max("running_mean").over(w))
     complete = steps.filter(F.col("state") == "COMPLETE")
-    medians = exact_median(complete, step, "running_mean").withColumnRenamed("n", "_n")
+    medians = exact_median(complete, step, "running_mean", spread).withColumnRenamed("n", "_n")
     cut = (
         (F.col("_n") >= startup)
         & (F.col(step) > warmup)

@@ -227,6 +227,8 @@ def test_median_pruning(spark):
     )
     cut = search.median_pruned(df, startup=10).filter("pruned").select("number", "step").collect()
     assert {(r["number"], r["step"]) for r in cut} == {(t, 1) for t in range(5)}
+    near = search.median_pruned(df, startup=10, spread=False).filter("pruned").select("number", "step").collect()
+    assert sorted(near) == sorted(cut)
     assert search.median_pruned(df, startup=11).filter("pruned").count() == 0
 
 
