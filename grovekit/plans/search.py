@@ -398,7 +398,7 @@ def run_pruned(
         table = running_mean(local_table(spark, steps, schema)).withColumn(
             "state", F.when(F.col("number").isin(list(live)), "COMPLETE").otherwise("PRUNED")
         )
-        judged = median_pruned(table, startup, warmup).filter((F.col("step") == fold) & F.col("pruned"))
+        judged = median_pruned(table, startup, warmup, spread=False).filter((F.col("step") == fold) & F.col("pruned"))
         gone = {r["number"] for r in judged.select("number").collect()}
         if fold < k - 1:
             cut |= gone
