@@ -77,7 +77,7 @@ def hash_cuts(
         "_n",
         F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_below"),
         F.sum("_n").over(per_group).alias("_group"),
-        F.sum("_n").over(Window.partitionBy(F.lit(0))).alias("_total"),
+        counts.agg(F.sum("_n")).scalar().alias("_total"),  # not asked for unless a quota does
     )
     wanted = [q.cast("bigint") for q in quotas(F.col("_group"), F.col("_total"))]
     cuts = sized.select("*", F.posexplode(F.array(*wanted)).alias("_cut", "_quota"))
