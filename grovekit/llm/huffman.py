@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grovekit.llm.common import rows_of, written
-from grovekit.llm.tokens import at_white_space, encoder
+from grovekit.llm.tokens import at_white_space, encoder, slices
 from grovekit.session import local_table, shared_folder
 
 RAW = "part int, block int, n_ids long, doc_ids array<long>, sizes array<int>, ids binary"
@@ -58,8 +58,8 @@ def token_blocks(docs: DataFrame, path: str, end_id: int, block_ids: int) -> Dat
                 continue
             part = batch.column(2)[0].as_py()
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k in range(0, len(texts), 500):
-                for doc_id, (tokens, _) in zip(ids[k : k + 500], encoded(texts[k : k + 500])):
+            for k in slices(texts):
+                for doc_id, (tokens, _) in zip(ids[k], encoded(texts[k])):
                     held.append((doc_id, np.append(tokens, np.int32(end_id))))
                     size += len(tokens) + 1
                     if size >= block_ids:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grovekit.llm.common import rows_of
-from grovekit.llm.tokens import before_spaces, encoder
+from grovekit.llm.tokens import before_spaces, encoder, slices
 
 #: What ends a sentence, or a line.
 STOPS = (b".", b"!", b"?", b'."', b'!"', b'?"', b".)", b"!)", b"?)", b"\n")
@@ -179,9 +179,9 @@ def pack_documents(
 
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for k in range(0, len(texts), 500):
+            for k in slices(texts):
                 out = []
-                for doc_id, (tokens, ends) in zip(ids[k : k + 500], encode(texts[k : k + 500])):
+                for doc_id, (tokens, ends) in zip(ids[k], encode(texts[k])):
                     out += packer.add(doc_id, np.append(tokens, np.int32(end_id)), ends)
                 if out:
                     yield rows(out)

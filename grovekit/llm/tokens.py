@@ -9,30 +9,91 @@ learned serves its later tasks too.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 
-def at_white_space(raw: bytes) -> list[bytes]:
-    """For tokenizers that drop white space."""
-    return raw.split()
+#: ASCII white space, and marks that no special token has and that never follow a letter in one token.
+WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+MARKS = np.isin(np.arange(256), list(b".,;:!?$#*"))
+UPPER = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+LETTERS = UPPER | np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz"))
 
 
-def before_spaces(raw: bytes) -> list[bytes]:
+def after_letters(b: np.ndarray) -> np.ndarray:
+    """Flags of marks right behind a letter: an ASCII one, or a Latin one of two bytes."""
+    out = np.zeros(len(b), bool)
+    at = np.flatnonzero(MARKS[b[1:]]) + 1
+    before, lead = b[at - 1], b[np.maximum(at - 2, 0)]
+    latin = (before >= 0x80) & (lead >= 0xC3) & (lead <= 0xC9) & ~((lead == 0xC3) & ((before == 0x97) | (before == 0xB7)))
+    out[at] = LETTERS[before] | latin
+    return out
+
+
+def at_white_space(b: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For tokenizers that drop white space and lower-case.
+
+    Capitals are lowered here, so that fewer pieces differ; not in pieces that may hold a special token (they have a ``|``)
+    or characters that combine with others (from 0xCC on).
+    """
+    solid = ~WHITE[b]
+    first = after_letters(b)
+    first[1:] |= ~solid[:-1]
+    first[bounds[bounds < len(b)]] = True
+    starts = np.flatnonzero(first & solid)
+    place = np.concatenate((np.zeros(1, np.int64), np.cumsum(solid)))
+    kept, offsets = b[solid], np.append(place[starts], place[-1])
+    lowered = UPPER[kept]
+    special = np.unique(np.searchsorted(offsets, np.flatnonzero((kept == ord("|")) | (kept >= 0xCC)), "right") - 1)
+    as_is = np.zeros(len(starts), bool)
+    as_is[special] = True
+    lowered &= ~np.repeat(as_is, np.diff(offsets))
+    return kept | (lowered * np.uint8(32)), offsets, np.diff(np.searchsorted(starts, bounds))
+
+
+def before_spaces(b: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For byte-level tokenizers, which keep one space with the visible characters that follow it.
 
     Cuts are before a space, and on both sides of a line break, that has a visible character on either side: ASCII, or
-    Latin letters of two bytes.
+    Latin letters of two bytes; and before a mark behind a letter.
     """
-    b = np.frombuffer(raw, np.uint8)
-    at = np.flatnonzero((b[1:-1] == 32) | (b[1:-1] == 10)) + 1 if len(b) > 2 else np.empty(0, np.int64)
+    inner = (b == 32) | (b == 10)
+    inner[bounds[bounds < len(b)]] = False
+    inner[bounds[bounds > 0] - 1] = False
+    at = np.flatnonzero(inner)
     after, before, lead = b[at + 1], b[at - 1], b[np.maximum(at - 2, 0)]
     visible = ((after > 32) & (after < 127)) | ((after >= 0xC3) & (after <= 0xC9))
     visible &= ((before > 32) & (before < 127)) | ((before >= 0x80) & (lead >= 0xC3) & (lead <= 0xC9))
     at = at[visible]
-    cuts = [0, *np.sort(np.concatenate((at, at[b[at] == 10] + 1))).tolist(), len(raw)]
-    return [raw[i:j] for i, j in zip(cuts, cuts[1:]) if j > i]
+    first = after_letters(b)
+    first[at] = True
+    first[at[b[at] == 10] + 1] = True
+    first[bounds[bounds < len(b)]] = True
+    starts = np.flatnonzero(first)
+    return b, np.append(starts, len(b)), np.diff(np.searchsorted(starts, bounds))
+
+
+def byte_strings(found: pa.LargeBinaryArray) -> list[bytes]:
+    """The values of an array that is not a slice of another one."""
+    if not len(found):
+        return []
+    _, offsets, data = found.buffers()
+    data, at = data.to_pybytes(), np.frombuffer(offsets, np.int64)[: len(found) + 1].tolist()
+    return [data[i:j] for i, j in zip(at, at[1:])]
+
+
+def slices(texts: list[str], most: int = 1 << 22) -> Iterator[slice]:
+    """Stretches of texts of about ``most`` characters: whole texts, at least one."""
+    first, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t) + 1
+        if held >= most:
+            yield slice(first, i + 1)
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield slice(first, len(texts))
 
 
 class Numbers(dict):
@@ -50,10 +111,12 @@ class Numbers(dict):
 class Encoder:
     """Ids of texts.  The first ``limit`` pieces are remembered, rarer ones only for the texts of one call.
 
+    ``cut`` gets the bytes of several texts and where each begins (and the last one ends); it returns the bytes of all
+    pieces, where each of them begins (and the last one ends), and the number of pieces of each text.
     ``flag`` tells pieces behind which a place is wanted.
     """
 
-    def __init__(self, path: str, cut: Callable[[bytes], list[bytes]], flag: Callable[[bytes], bool] | None = None, limit: int = 1_000_000):
+    def __init__(self, path: str, cut: Callable, flag: Callable[[bytes], bool] | None = None, limit: int = 1_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -86,9 +149,14 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids, and the places in them behind flagged pieces."""
-        cut = [self.cut(t.encode()) for t in texts]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        raw = [t.encode() for t in texts]
+        bounds = np.concatenate(([0], np.cumsum([len(r) for r in raw], dtype=np.int64))).astype(np.int64)
+        data, offsets, counts = self.cut(np.frombuffer(b"".join(raw), np.uint8), bounds)
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+        cut = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+        distinct = byte_strings(cut.dictionary)
+        known = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+        at = known[cut.indices.to_numpy()]
         new, self.numbers.waiting = self.numbers.waiting, []
         first = len(self.numbers) - len(new)
         keep = max(0, min(len(new), self.limit - first))
