@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,6 +63,54 @@ def parts(df: DataFrame, rows: int, per_part: int) -> int:
 # words and fingerprints inside tasks ------------------------------------------------
 
 
+#: ASCII white space.
+WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+
+
+def slices(texts: list[str], most: int = 1 << 22) -> Iterator[slice]:
+    """Stretches of texts of about ``most`` characters: whole texts, at least one."""
+    first, held = 0, 0
+    for i, t in enumerate(texts):
+        held += len(t) + 1
+        if held >= most:
+            yield slice(first, i + 1)
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
+def joined(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts one after another, and where each begins (and the last one ends)."""
+    raw = [t.encode() for t in texts]
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
+
+
+def distinct_strings(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct ones of the strings that begin at ``offsets`` (whose last one is the end), and which of them each is."""
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
+    found = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+    if not len(found.dictionary):
+        return [], np.empty(0, np.int64)
+    _, places, values = found.dictionary.buffers()
+    values, places = values.to_pybytes(), np.frombuffer(places, np.int64)[: len(found.dictionary) + 1].tolist()
+    return [values[i:j] for i, j in zip(places, places[1:])], found.indices.to_numpy()
+
+
+def distinct_words(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of the texts, which of them each word is, and the number of words of each text."""
+    b, bounds = joined(texts)
+    solid = ~WHITE[b]
+    first = solid.copy()
+    first[1:] &= ~solid[:-1]
+    begins = bounds[bounds < len(b)]
+    first[begins] = solid[begins]
+    starts = np.flatnonzero(first)
+    place = np.concatenate((np.zeros(1, np.int64), np.cumsum(solid)))
+    words, at = distinct_strings(b[solid], np.append(place[starts], place[-1]))
+    return words, at, np.diff(np.searchsorted(starts, bounds))
+
+
 class Memo(dict):
     """Values of byte strings, made when they are first asked for."""
 

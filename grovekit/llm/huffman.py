@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from grovekit.llm.common import rows_of, written
-from grovekit.llm.tokens import at_white_space, encoder, slices
+from grovekit.llm.common import rows_of, slices, written
+from grovekit.llm.tokens import at_white_space, encoder
 from grovekit.session import local_table, shared_folder
 
 RAW = "part int, block int, n_ids long, doc_ids array<long>, sizes array<int>, ids binary"

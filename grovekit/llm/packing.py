@@ -24,8 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.llm.common import rows_of
-from grovekit.llm.tokens import before_spaces, encoder, slices
+from grovekit.llm.common import rows_of, slices
+from grovekit.llm.tokens import before_spaces, encoder
 
 #: What ends a sentence, or a line.
 STOPS = (b".", b"!", b"?", b'."', b'!"', b'?"', b".)", b"!)", b"?)", b"\n")

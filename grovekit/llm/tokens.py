@@ -9,14 +9,14 @@ learned serves its later tasks too.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
-import pyarrow as pa
 
-#: ASCII white space, and marks that no special token has and that never follow a letter in one token.
-WHITE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+from grovekit.llm.common import WHITE, distinct_strings, joined
+
+#: Marks that no special token has and that never follow a letter in one token.
 MARKS = np.isin(np.arange(256), list(b".,;:!?$#*"))
 UPPER = np.isin(np.arange(256), list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 LETTERS = UPPER | np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz"))
@@ -75,27 +75,6 @@ def before_spaces(b: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return b, np.append(starts, len(b)), np.diff(np.searchsorted(starts, bounds))
 
 
-def byte_strings(found: pa.LargeBinaryArray) -> list[bytes]:
-    """The values of an array that is not a slice of another one."""
-    if not len(found):
-        return []
-    _, offsets, data = found.buffers()
-    data, at = data.to_pybytes(), np.frombuffer(offsets, np.int64)[: len(found) + 1].tolist()
-    return [data[i:j] for i, j in zip(at, at[1:])]
-
-
-def slices(texts: list[str], most: int = 1 << 22) -> Iterator[slice]:
-    """Stretches of texts of about ``most`` characters: whole texts, at least one."""
-    first, held = 0, 0
-    for i, t in enumerate(texts):
-        held += len(t) + 1
-        if held >= most:
-            yield slice(first, i + 1)
-            first, held = i + 1, 0
-    if first < len(texts):
-        yield slice(first, len(texts))
-
-
 class Numbers(dict):
     """Pieces by number; one that is met for the first time gets the next number and waits to be encoded."""
 
@@ -116,7 +95,7 @@ class Encoder:
     ``flag`` tells pieces behind which a place is wanted.
     """
 
-    def __init__(self, path: str, cut: Callable, flag: Callable[[bytes], bool] | None = None, limit: int = 1_000_000):
+    def __init__(self, path: str, cut: Callable, flag: Callable[[bytes], bool] | None = None, limit: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
 
@@ -149,14 +128,10 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each text its ids, and the places in them behind flagged pieces."""
-        raw = [t.encode() for t in texts]
-        bounds = np.concatenate(([0], np.cumsum([len(r) for r in raw], dtype=np.int64))).astype(np.int64)
-        data, offsets, counts = self.cut(np.frombuffer(b"".join(raw), np.uint8), bounds)
-        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
-        cut = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
-        distinct = byte_strings(cut.dictionary)
+        data, offsets, counts = self.cut(*joined(texts))
+        distinct, at = distinct_strings(data, offsets)
         known = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
-        at = known[cut.indices.to_numpy()]
+        at = known[at]
         new, self.numbers.waiting = self.numbers.waiting, []
         first = len(self.numbers) - len(new)
         keep = max(0, min(len(new), self.limit - first))

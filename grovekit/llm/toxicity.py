@@ -19,13 +19,14 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.llm.common import rows_of, written
+from grovekit.llm.common import distinct_words, rows_of, slices, written
 
 EDGES = b"\"'()[]{}<>.,;:!?-*_`|"
 ENDS = (b".", b"!", b"?")
@@ -56,7 +57,7 @@ class Model:
 
 
 def plain(word: bytes) -> bytes:
-    return word.decode().lower().encode().strip(EDGES)
+    return (word.lower() if word.isascii() else word.decode().lower().encode()).strip(EDGES)
 
 
 def parts_of(word: bytes) -> list[bytes]:
@@ -65,13 +66,23 @@ def parts_of(word: bytes) -> list[bytes]:
     return [b"w" + word, *(b"p" + text[:n].encode() for n in (4, 5) if len(text) >= n)]
 
 
-def slots(word: bytes) -> list[int]:
-    """Feature slots of a word: 5 of its own, one as a left neighbour, one as a right one."""
+def names(word: bytes) -> list[bytes]:
+    """Features of a word: 5 of its own, one as a left neighbour, one as a right one."""
+    if word.isascii():  # the bytes are the characters
+        begins, end = (word[:3], word[:4], word[:5]), word[-3:]
+    else:
+        text = word.decode()
+        begins, end = [text[:n].encode() for n in (3, 4, 5)], text[-3:].encode()
+    return [b"w" + word, b"p" + begins[0], b"p" + begins[1], b"p" + begins[2], b"s" + end, b"<" + word, b">" + word]
+
+
+def slots(words: list[bytes]) -> np.ndarray:
+    """Feature slots of words, seven for each."""
     import xxhash
 
-    text = word.decode()
-    names = [b"w" + word, *(b"p" + text[:n].encode() for n in (3, 4, 5)), b"s" + text[-3:].encode(), b"<" + word, b">" + word]
-    return [xxhash.xxh3_64_intdigest(x) & ((1 << BITS) - 1) for x in names]
+    hashed = map(xxhash.xxh3_64_intdigest, chain.from_iterable(map(names, words)))
+    found = np.fromiter(hashed, np.uint64, 7 * len(words))
+    return (found & np.uint64((1 << BITS) - 1)).astype(np.int64).reshape(-1, 7)
 
 
 # inference --------------------------------------------------------------------------
@@ -315,7 +326,7 @@ def fit(train: DataFrame, params: CrfParams = CrfParams()) -> Model:
         sizes.append(len(own))
     if not sizes:
         return Model()
-    table = np.array([slots(w) for w in numbers], np.int64)
+    table = slots(list(numbers))
     model = fit_field(table, np.array(words), np.array(toxic), np.array(sizes), params)
     model.curve = np.array([0.0, 1.0, 0.0])
     summed = tag(sample, model, ("toxic int",)).select("toxic", "strongest", "total").toPandas()
@@ -333,32 +344,43 @@ def hash_of(sentence: list[tuple[bytes, bool]]) -> int:
 
 
 class Tagger:
-    """Scores of distinct words, remembered."""
+    """Scores of distinct words, remembered; raw words share those of their plain form."""
 
-    def __init__(self, model: Model, limit: int = 500_000):
+    def __init__(self, model: Model, limit: int = 400_000):
         self.model, self.limit = model, limit
-        self.number: dict[bytes, int] = {}
-        self.rows: list[tuple[float, float, float, bool]] = []
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[bytes, int] = {}  # of raw words; twice the row of the plain form, one more behind a sentence
+        self.row: dict[bytes, int] = {}  # of plain forms
+        self.rows = np.empty((1 << 12, 3))
+
+    def learn(self, raw: list[bytes]) -> None:
+        forms = list(map(plain, raw))
+        first = len(self.row)
+        new = list(set(forms).difference(self.row))
+        self.row.update(zip(new, range(first, first + len(new))))
+        while len(self.row) > len(self.rows):
+            self.rows = np.concatenate((self.rows, np.empty_like(self.rows)))
+        found = self.model.weights[slots(new)]
+        self.rows[first : first + len(new), 0] = found[:, :5].sum(1)
+        self.rows[first : first + len(new), 1:] = found[:, 5:]
+        self.number.update((r, 2 * self.row[f] + r.endswith(ENDS)) for r, f in zip(raw, forms))
 
     def __call__(self, texts: list[str]) -> list[tuple[float, float, list[tuple[int, int]]]]:
         """Strongest marginal, sum of marginals and toxic spans (first word, past the last) of each text."""
         if len(self.number) > self.limit:
-            self.number, self.rows = {}, []
-        cut = [t.encode().split() for t in texts]
-        w = self.model.weights
-        for raw in set().union(*cut).difference(self.number) if cut else ():
-            s = w[slots(plain(raw))]
-            self.number[raw] = len(self.rows)
-            self.rows.append((float(s[:5].sum()), float(s[5]), float(s[6]), raw.endswith(ENDS)))
-        table = np.array(self.rows, float).reshape(-1, 4)
-        lengths = np.array([len(c) for c in cut], np.int64)
-        at = np.fromiter((self.number[x] for c in cut for x in c), np.int64, int(lengths.sum()))
+            self.forget()
+        words, at, lengths = distinct_words(texts)
+        self.learn([w for w in words if w not in self.number])
+        known = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[at]
+        table = self.rows[known >> 1]
         ends = np.cumsum(lengths)
-        last = table[at, 3] > 0
+        last = (known & 1).astype(bool)
         last[ends[lengths > 0] - 1] = True
         sizes = sentence_sizes(last)
         left, right = neighbours(sizes) if len(sizes) else (last, last)
-        score = table[at, 0] + np.where(left, np.roll(table[at, 1], 1), 0) + np.where(right, np.roll(table[at, 2], -1), 0)
+        score = table[:, 0] + np.where(left, np.roll(table[:, 1], 1), 0) + np.where(right, np.roll(table[:, 2], -1), 0)
         p, _ = marginals(score, sizes, self.model.transitions)
         out = []
         hot = np.flatnonzero(p >= 0.5)
@@ -385,9 +407,9 @@ def tag(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                texts = [t or "" for t in part.column(1).to_pylist()]
+            whole = [t or "" for t in batch.column(1).to_pylist()]
+            for k in slices(whole):
+                texts, part = whole[k], batch.slice(k.start, k.stop - k.start)
                 found = tagger(texts) if model.curve is not None else [(0.0, 0.0, [])] * len(texts)
                 strongest, total = np.array([x[0] for x in found]), np.array([x[1] for x in found])
                 if model.curve is None:
