@@ -196,8 +196,8 @@ def write_tokens(docs: DataFrame, path: str, out: str, end_id: int, max_bits: in
     local_table(spark, table, "symbol long, length long").coalesce(1).write.parquet(f"{out}/code")
 
 
-def read_tokens(spark: SparkSession, path: str, every: int = 128) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32, ids`` of every document in the files."""
+def read_tokens(spark: SparkSession, path: str, every: int = 128, keep_ids: bool = True) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32, ids`` of every document in the files; ``ids`` is null unless ``keep_ids``."""
     table = spark.read.schema("symbol long, length long").parquet(f"{path}/code").toPandas()
     code = Code(table["symbol"].to_numpy(), table["length"].to_numpy())
     blocks = spark.read.schema(CODED).parquet(f"{path}/blocks")
@@ -223,7 +223,7 @@ def read_tokens(spark: SparkSession, path: str, every: int = 128) -> DataFrame:
                         pa.array(ends[:-1] + first.as_py()),
                         pa.array(np.diff(ends)),
                         pa.array(crc, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)) if keep_ids else pa.nulls(len(crc), pa.list_(pa.int32())),
                     ],
                     [c.split()[0] for c in schema.split(", ")],
                 )
@@ -232,9 +232,9 @@ def read_tokens(spark: SparkSession, path: str, every: int = 128) -> DataFrame:
     return found.select("n_ids", "doc_ids", "sizes", "offsets", "bits", "first").mapInArrow(unpack, schema)
 
 
-def round_trip(docs: DataFrame, path: str, end_id: int) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, end_id: int, keep_ids: bool = True) -> DataFrame:
     """Write ``docs`` to a new folder in the shared one, and what the files then hold."""
     spark = docs.sparkSession
     out = f"{shared_folder(spark)}/grovekit/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, out, end_id)
-    return read_tokens(spark, out)
+    return read_tokens(spark, out, keep_ids=keep_ids)

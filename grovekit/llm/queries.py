@@ -144,7 +144,7 @@ def packing_query(spark, sf_dir):
 
 @query("op3_token_files")
 def token_files(spark, sf_dir):
-    return huffman.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2).drop("ids")
+    return huffman.round_trip(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), 2, keep_ids=False).drop("ids")
 
 
 @query("op4_benchmark_decontamination")

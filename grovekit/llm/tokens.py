@@ -9,6 +9,7 @@ learned serves its later tasks too.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable
 from itertools import chain
 
@@ -75,6 +76,12 @@ def before_spaces(b: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return b, np.append(starts, len(b)), np.diff(np.searchsorted(starts, bounds))
 
 
+#: Letters that stay one letter each when lower-cased, and never combine with a neighbour.
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
+#: Of either way to cut: pieces that are one unit to the tokenizer, and what goes between them in one text.
+UNITS = {at_white_space: (re.compile(f"[{LATIN}]+"), " "), before_spaces: (re.compile(f" [{LATIN}]+"), "")}
+
+
 class Numbers(dict):
     """Pieces by number; one that is met for the first time gets the next number and waits to be encoded."""
 
@@ -107,19 +114,48 @@ class Encoder:
         self.starts, self.sizes = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int32)
         self.flags = np.zeros(1 << 14, bool)
 
+    def encoded(self, pieces: list[str], run: int = 100) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after another, and how many each has.
+
+        Pieces that are one unit each go in runs, as one text: the tokenizer tells which unit an id is of.
+        """
+        unit, between = UNITS[self.cut]
+        single = np.fromiter((unit.fullmatch(p) is not None for p in pieces), bool, len(pieces))
+        alone, units = np.flatnonzero(~single), np.flatnonzero(single)
+        runs = [units[k : k + run] for k in range(0, len(units), run)]
+        texts = [between.join([pieces[i] for i in r.tolist()]) for r in runs]
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        sizes, parts, kept, alone = np.zeros(len(pieces), np.int32), [], [], [alone]
+        for r, e in zip(runs, found):
+            own = np.bincount(np.array(e.word_ids, np.int64), minlength=len(r))
+            if len(own) == len(r) and own.all():
+                sizes[r] = own
+                parts.append(e.ids)
+                kept.append(r)
+            else:  # a tokenizer that sees other units
+                alone.append(r)
+        alone = np.concatenate(alone)
+        rest = [e.ids for e in self.tokenizer.encode_batch_fast([pieces[i] for i in alone.tolist()], add_special_tokens=False)]
+        sizes[alone] = np.fromiter(map(len, rest), np.int32, len(rest))
+        flat = np.fromiter(chain.from_iterable([*parts, *rest]), np.int32, int(sizes.sum()))
+        order = np.concatenate((*kept, alone))
+        ends = np.cumsum(sizes[order], dtype=np.int64)
+        starts = np.empty(len(pieces), np.int64)
+        starts[order] = ends - sizes[order]
+        behind = np.cumsum(sizes, dtype=np.int64)
+        return flat[np.arange(len(flat)) + np.repeat(starts - behind + sizes, sizes)], sizes
+
     def learn(self, pieces: list[bytes], first: int) -> None:
         """Encode pieces that are not known, numbered from ``first``."""
-        found = self.tokenizer.encode_batch_fast([p.decode() for p in pieces], add_special_tokens=False)
-        ids = [e.ids for e in found]
-        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-        total, last = int(sizes.sum()), first + len(pieces)
+        ids, sizes = self.encoded([p.decode() for p in pieces])
+        total, last = len(ids), first + len(pieces)
         while self.used + total > len(self.pool):
             self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
         while last > len(self.starts):
             self.starts, self.sizes, self.flags = (
                 np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.sizes, self.flags)
             )
-        self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.int32, total)
+        self.pool[self.used : self.used + total] = ids
         self.sizes[first:last] = sizes
         self.starts[first:last] = self.used + np.cumsum(sizes, dtype=np.int64) - sizes
         if self.flag:
