@@ -24,11 +24,12 @@ LETTERS = UPPER | np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyz"))
 
 
 def after_letters(b: np.ndarray) -> np.ndarray:
-    """Flags of marks right behind a letter: an ASCII one, or a Latin one of two bytes."""
+    """Flags of marks right behind a letter: an ASCII one, or a Latin one of two bytes that stays one when lowered."""
     out = np.zeros(len(b), bool)
     at = np.flatnonzero(MARKS[b[1:]]) + 1
     before, lead = b[at - 1], b[np.maximum(at - 2, 0)]
-    latin = (before >= 0x80) & (lead >= 0xC3) & (lead <= 0xC9) & ~((lead == 0xC3) & ((before == 0x97) | (before == 0xB7)))
+    latin = (before >= 0x80) & (lead >= 0xC3) & (lead <= 0xC9)
+    latin &= ~((lead == 0xC3) & ((before == 0x97) | (before == 0xB7)) | (lead == 0xC4) & (before == 0xB0))
     out[at] = LETTERS[before] | latin
     return out
 

@@ -26,6 +26,7 @@ def test_encoder(rows, path, cut):
     texts = [r[1] or "" for r in rows]
     texts += ["a\nb", "a\n\nb", "é\né x\n", "\na", "a\n b", "a \nb", "a\u2028\nb", "end.\nNext 12\n34"]
     texts += ["a  b\n\n c\td  ", "don't  stop. <|endoftext|> z", " x  é é ü", "é Σ ΑΣ", "x　y z", "tab\t x", "é ́y"]
+    texts += ["J\u030c. A\u0301,x É.É İstanbul İ. Ab.C×. a÷. <|ENDOFTEXT|>. x.<|endoftext|>y", "E.g. it's. IT'S, 3.14$ ###a#", "Σ. ΑΣ, ǅ. ŉa. ß.", "", " ", "\x1c.a"]
     encode = Encoder(path, cut, limit=50)
     got = [ids.tolist() for k in range(0, len(texts), 7) for ids, _ in encode(texts[k : k + 7])]
     assert got == [e.ids for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
