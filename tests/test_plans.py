@@ -1,5 +1,7 @@
+import ast
 import json
 import os
+import pathlib
 
 import pytest
 import numpy as np
@@ -313,3 +315,11 @@ def test_failing_configurations_leave_their_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(search, "evaluate_folds", fails_at_two)
     done = search.run_search(rows, "row_key", 2, space, str(tmp_path / "r"), mode="grid", k=2).collect()
     assert {r["max_depth"]: r["status"] for r in done} == {1: "ok", 2: "erro: too deep"}
+
+
+@pytest.mark.parametrize("module", ["answers", "features", "inputs", "models", "search"])
+def test_no_helper_is_defined_twice(module):
+    """A second helper of the same name takes the place of the first one in the queries above it."""
+    path = pathlib.Path(__file__).parent.parent / "workloads" / f"{module}.py"
+    names = [n.name for n in ast.parse(path.read_text()).body if isinstance(n, ast.FunctionDef)]
+    assert len(names) == len(set(names))
