@@ -330,6 +330,27 @@ def test_order_violations_against_brute_force(spark, rounded):
     assert linear.order_violations(df.limit(0), "id", "projected").first()[0] == 0
 
 
+def test_order_violations_of_many_tiles_are_few_tasks(spark, monkeypatch):
+    """Work grows with the square of the rows however small the tiles are, and groups of bounded size add up as well."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(23, 3))
+    rows = [(i, a.tolist(), a[:1].tolist()) for i, a in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, features array<double>, projected array<double>")
+    want, explodes = brute_violations(x, x[:, :1]), []
+    sequence = F.sequence
+    monkeypatch.setattr(F, "sequence", lambda low, high: explodes.append(str(high)) or sequence(low, high))
+    assert linear.order_violations(df, "id", "projected", tile_bytes=32).first()[0] == want  # 23 tiles, 3 groups
+    assert explodes and not any("'22'" in e or "'23'" in e for e in explodes)
+    monkeypatch.setattr(linear, "GROUP_BYTES", 4 * 32)
+    assert linear.order_violations(df, "id", "projected", tile_bytes=32).first()[0] == want  # six groups
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 16, 17, 64, 200])
+def test_inversions_against_all_pairs(n):
+    ranks = np.random.default_rng(n).permutation(n)
+    assert linear._inversions(ranks) == sum(int((ranks[:j] > r).sum()) for j, r in enumerate(ranks))
+
+
 @pytest.mark.parametrize("sizes", [{}, {"broadcast_bytes": 1, "block_bytes": 800}])
 def test_nearest_against_brute_force(spark, sizes):
     rows, x, y = blobs(spark, n=60, spread=4.0)
