@@ -234,6 +234,36 @@ def test_svm_newton_reaches_the_optimum(spark, penalty):
         assert np.abs(slope).max() < 1e-5 and p.gradient < 1e-8
 
 
+def test_packed_rows_are_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(scan, "PACKED_BYTES", 1)  # many packed rows of one block
+    rows, x, y = blobs(spark, n=300)
+    bagged = sampling.bags(rows, "row_key", 3, 150, 300, True, "s")
+    table = scan.packed(bagged, [0, 1, 2])
+    classes = np.arange(3)
+    assert table.count() > 1
+    plain = scan.Block(scan.scanned(bagged).toArrow().to_batches(), classes, ())
+    (back,) = scan.blocks(iter(table.toArrow().to_batches()), classes, ())
+    whole = lambda b: {
+        t: sorted((*b.raw[r], b.labels[r], w) for r, w in zip(*b.bags[t])) for t in b.bags
+    }
+    assert whole(back) == whole(plain)
+    assert len(scan.sampled(table, 300, 60, classes, ()).raw) < len(back.raw)
+
+
+def test_bags_of_many_groups_are_those_of_one(spark, monkeypatch):
+    rows, *_ = blobs(spark, n=300)
+    drawn = lambda: sorted((r["row_key"], r["bag"]) for r in sampling.bags(rows, "row_key", 4, 200, 300, True, "s").collect())
+    one = drawn()
+    monkeypatch.setattr(sampling, "GROUP_ROWS", 70)
+    assert drawn() == one
+    ranked = {r["position"]: r["row_key"] for r in sampling.dense_rows(rows.select("row_key"), "row_key", "s").collect()}
+    want = {}
+    for r in sampling.bag_draws(spark, 4, 200, 300, "s").collect():
+        at = ranked[r["position"]], r["tree_id"]
+        want[at] = want.get(at, 0) + 1
+    assert {(k, b["tree_id"]): b["weight"] for k, bag in one for b in bag} == want
+
+
 def test_bipartitions(spark):
     assert [len(oblique.bipartition_masks(k)) for k in (0, 1, 2, 3, 4, 5)] == [0, 0, 1, 3, 7, 15]
     rows = spark.createDataFrame([(c,) for c in (0, 1, 2, 3, 2)], "label int")
