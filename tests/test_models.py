@@ -118,6 +118,29 @@ def test_ranges_and_narrowing_find_the_plain_split(spark, monkeypatch, k, ranges
         assert [(a, pytest.approx(t), c) for a, t, c in want] == got
 
 
+def test_finder_is_searchsorted():
+    rng = np.random.default_rng(1)
+    even, lopsided = np.linspace(0, 1, 300), np.exp(20 * rng.normal(size=300))
+    far = np.append([-1.7e308, -1e300], np.append(even, 1e308))
+    for cuts in (even, np.unique(lopsided), far, np.array([1.0, 2.0]), np.full(20, 3.0), np.empty(0)):
+        near = np.concatenate([cuts, np.nextafter(cuts, -np.inf), np.nextafter(cuts, np.inf)])
+        values = np.concatenate([near, rng.normal(size=1000), [np.inf, -np.inf, -0.0]])
+        for v in (values, np.append(values, np.nan)):
+            assert (histograms.Finder(cuts)(v) == np.searchsorted(cuts, v, "left")).all()
+
+
+def test_large_nodes_start_with_fine_ranges():
+    rng = np.random.default_rng(2)
+    block = scan.Block.__new__(scan.Block)
+    block.views, block.mapped, block.labels = (), {}, np.zeros(2000, int)
+    block.raw = np.column_stack([rng.normal(size=2000), rng.integers(0, 4, 2000)])
+    block.bags = {0: (np.arange(2000), np.ones(2000))}
+    for rows, fewest in ((2000, 255), (10**8, 4000)):
+        problem = histograms.Problem(0, 1, np.array([rows // 2, rows // 2]), "gini", "midpoint", [0, 1])
+        histograms.sample_cuts([problem], [scan.WalkedTree(0, None, [], {1: 0})], block)
+        assert len(problem.cuts[0]) >= fewest and len(problem.cuts[1]) <= 4
+
+
 def test_bounds_hold_for_every_threshold():
     rng = np.random.default_rng(0)
     for method in ("gini", "entropy"):
@@ -250,6 +273,16 @@ def test_packed_rows_are_the_rows(spark, monkeypatch):
     assert len(scan.sampled(table, 300, 60, classes, ()).raw) < len(back.raw)
 
 
+def test_packed_rows_keep_large_weights_and_many_rows():
+    for n, weight in ((10, 255.0), (10, 70_000.0), (70_000, 3.0)):
+        block = scan.Block.__new__(scan.Block)
+        block.raw, block.labels = np.arange(n, dtype=float)[:, None], np.zeros(n, int)
+        block.bags = {4: (np.arange(n), np.full(n, weight))}
+        back = scan.Block([block.part(np.arange(n))], np.arange(1), ())
+        assert (back.bags[4][0] == np.arange(n)).all() and (back.bags[4][1] == weight).all()
+        assert block.part(np.arange(n)).nbytes < 30 * n + 200 or weight > 255
+
+
 def test_bags_of_many_groups_are_those_of_one(spark, monkeypatch):
     rows, *_ = blobs(spark, n=300)
     drawn = lambda: sorted((r["row_key"], r["bag"]) for r in sampling.bags(rows, "row_key", 4, 200, 300, True, "s").collect())
