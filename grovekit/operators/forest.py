@@ -148,8 +148,7 @@ def fit_forest(
         samples = n_rows if params.samples_per_tree is None else params.samples_per_tree
         bagged = bags(rows, key, params.trees, samples, n_rows, params.replace, f"{params.seed}|bag")
     else:
-        whole = F.array(F.struct(F.lit(0).alias("tree_id"), F.lit(1).cast("bigint").alias("weight")))
-        bagged = rows.withColumn("bag", whole)
+        bagged = rows.select("features", "label")  # one bag has every row once
     if params.max_depth > 1 or params.split == "SVM":  # several passes: only what they read is kept for them
         bagged = packed(bagged, classes)
     plans = tree_plans(params, n_features, views[0] if views else None)
@@ -363,6 +362,7 @@ def _model_arrays(forest: Forest) -> list[dict[str, np.ndarray]]:
                 "th": np.array([np.inf if is_leaf else n[5] for n, is_leaf in zip(nodes, leaf)]),
                 "left": np.array([i if leaf[i] else at[2 * n[1]] for i, n in enumerate(nodes)]),
                 "right": np.array([i if leaf[i] else at[2 * n[1] + 1] for i, n in enumerate(nodes)]),
+                "shares": np.array([np.array(n[8], float) / max(1, sum(n[8])) for n in nodes]),
                 "vote": np.array(
                     [forest.classes.index(n[7]) if is_leaf else 0 for n, is_leaf in zip(nodes, leaf)]
                 ),
@@ -371,8 +371,17 @@ def _model_arrays(forest: Forest) -> list[dict[str, np.ndarray]]:
     return trees
 
 
+def _model_bytes(forest: Forest) -> int:
+    return sum(48 + 8 * len(n[4] or ()) + 8 * len(forest.classes) for n in forest.rows)
+
+
 def _tree_votes(tree: dict[str, np.ndarray], x: np.ndarray, depth: int) -> np.ndarray:
     """Class position each row of ``x`` is given by one tree."""
+    return tree["vote"][_tree_leaves(tree, x, depth)]
+
+
+def _tree_leaves(tree: dict[str, np.ndarray], x: np.ndarray, depth: int) -> np.ndarray:
+    """Place of the leaf of each row of ``x`` among a tree's nodes."""
     at = np.full(len(x), tree["root"])
     rows = np.arange(len(x))
     for _ in range(depth):
@@ -386,7 +395,7 @@ def _tree_votes(tree: dict[str, np.ndarray], x: np.ndarray, depth: int) -> np.nd
                 dot_z = dot_z + xs[:, i] * w[:, i]
             z[skew] = dot_z
         at = np.where(z <= tree["th"][at], tree["left"][at], tree["right"][at])
-    return tree["vote"][at]
+    return at
 
 
 def predict_forest(forest: Forest, rows: DataFrame, key: str, out: str = "predicted") -> DataFrame:
@@ -395,8 +404,7 @@ def predict_forest(forest: Forest, rows: DataFrame, key: str, out: str = "predic
     All trees of a row are walked and counted where the row is, so nothing is
     shuffled.  A model too large to send to every task takes the join path.
     """
-    size = sum(48 + 8 * len(n[4] or ()) for n in forest.rows)
-    if size > BROADCAST_LIMIT_BYTES:
+    if _model_bytes(forest) > BROADCAST_LIMIT_BYTES:
         return vote(tree_predictions(forest, rows, key), key, forest.classes, out)
     if forest.kernel_map is not None:
         rows = apply_kernel_map(rows.select(key, "features"), forest.kernel_map)
@@ -429,7 +437,36 @@ def predict_tree(forest: Forest, rows: DataFrame, key: str, out: str = "predicte
 
 
 def class_probabilities(forest: Forest, rows: DataFrame, key: str) -> DataFrame:
-    """``key, label, probability``: class shares of the leaves, averaged over trees."""
+    """``key, label, probability``: class shares of the leaves, averaged over trees; none for rows without a complete vector.
+
+    All trees of a row are walked where the row is, so nothing is shuffled.  A model too large to send to every task
+    takes the join path.
+    """
+    if _model_bytes(forest) > BROADCAST_LIMIT_BYTES:
+        return _joined_probabilities(forest, rows, key)
+    rows = rows.filter(complete()).select(key, "features")
+    if forest.kernel_map is not None:
+        rows = apply_kernel_map(rows, forest.kernel_map)
+    shared = forest.spark.sparkContext.broadcast(_model_arrays(forest))
+    labels, depth = forest.classes, forest.depth
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, k = dense(batch.column("features")), len(labels)
+            shares = sum(tree["shares"][_tree_leaves(tree, x, depth)] for tree in shared.value) / len(shared.value)
+            keys = batch.column(key).take(pa.array(np.repeat(np.arange(len(x)), k)))
+            arrays = [keys, pa.array(np.tile(np.array(labels, np.int32), len(x))), pa.array(shares.ravel())]
+            yield pa.RecordBatch.from_arrays(arrays, [key, "label", "probability"])
+
+    schema = T.StructType(
+        [rows.schema[key], T.StructField("label", T.IntegerType()), T.StructField("probability", T.DoubleType())]
+    )
+    return rows.mapInArrow(task, schema)
+
+
+def _joined_probabilities(forest: Forest, rows: DataFrame, key: str) -> DataFrame:
     at = tree_predictions(forest, rows, key)
     total = F.aggregate("class_counts", F.lit(0).cast("bigint"), lambda s, v: s + v)
     labels = F.array(*[F.lit(c) for c in forest.classes])

@@ -434,8 +434,7 @@ def root_splits(rows: DataFrame, classes: Sequence[int], gain: str, candidates:
     Each feature is the only axis of a problem of its own.  Rows without a complete vector are left out.
     """
     classes = np.array(sorted(classes))
-    bag = F.array(F.struct(F.lit(0).alias("tree_id"), F.lit(1).cast("bigint").alias("weight")))
-    rows = rows.filter(complete()).select("features", "label", bag.alias("bag"))
+    rows = rows.filter(complete()).select("features", "label")
     drawn = packed(rows, classes)
     counted = rows.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("features")).alias("width")).collect()
     width = max((r["width"] for r in counted), default=0)

@@ -122,6 +122,7 @@ class Block:
     """Some rows: features, class positions, and the bags that drew each row.
 
     ``bags`` has the row numbers and the weights of each bag; rows that several packed blocks hold are put together.
+    Rows without a column ``bag`` all lie once in bag 0.
     """
 
     def __init__(self, batches: Sequence[pa.RecordBatch], classes: np.ndarray, views: Sequence):
@@ -133,6 +134,9 @@ class Block:
         one = lambda c: table.column(c).combine_chunks()
         self.raw = dense(one("features"))
         self.labels = np.searchsorted(classes, one("label").to_numpy())
+        if "bag" not in table.column_names:
+            self.bags = {0: (np.arange(len(self.raw)), np.ones(len(self.raw)))}
+            return
         bag = one("bag")
         drawn = bag.flatten()
         owner = np.repeat(np.arange(len(self.raw)), np.diff(bag.offsets.to_numpy()))
@@ -211,7 +215,8 @@ PACKED = "features binary, labels binary, owners binary, weights binary, bags ar
 
 def scanned(rows: DataFrame) -> DataFrame:
     """What ``blocks`` reads of ``rows``."""
-    return rows.select(*(PACKED_NAMES if "owners" in rows.columns else ("features", "label", "bag")))
+    plain = [c for c in ("features", "label", "bag") if c in rows.columns]
+    return rows.select(*(PACKED_NAMES if "owners" in rows.columns else plain))
 
 
 def packed(rows: DataFrame, classes: Sequence[int]) -> DataFrame:
