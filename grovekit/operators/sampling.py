@@ -6,6 +6,7 @@ cluster and survives the loss of an executor.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from grovekit.functions.hashing import digest_of, digest, draw
+from grovekit.functions.hashing import HEX_DIGITS, digest_of, digest, draw
 from grovekit.operators.ranking import hash_cuts, hash_rank, with_cuts
 
 #: Rows and draws together that one task brings together.
@@ -108,13 +109,30 @@ def dense_rows(df: DataFrame, key: str, seed, prefix: int = 4) -> DataFrame:
     return shuffle_rank(df, key, seed, prefix=prefix).withColumnRenamed("rank", "position")
 
 
+def drawn(ids: np.ndarray, samples: int, n: int, seed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tree, draw and position of the draws of these numbers; the position is ``hashing.draw`` of tree and draw."""
+    tree, nth = np.divmod(ids, samples)
+    digests = []
+    for t in np.unique(tree).tolist():  # numbers ascend
+        start = hashlib.md5(f"{seed}|{t}|".encode(), usedforsecurity=False)
+        for i in nth[slice(*np.searchsorted(tree, (t, t + 1)))].tolist():
+            h = start.copy()
+            h.update(b"%d" % i)
+            digests.append(h.digest())
+    first = np.frombuffer(b"".join(digests), ">u8")[::2] >> (64 - 4 * HEX_DIGITS)
+    return tree, nth, first.astype(np.int64) % n + 1
+
+
 def bag_draws(spark, trees: int, samples: int, n: int, seed) -> DataFrame:
     """Draws with replacement: ``tree_id, draw, position``, exactly ``samples`` per tree."""
-    ids = spark.range(trees * samples)
-    return ids.select(
-        F.floor(F.col("id") / samples).cast("int").alias("tree_id"),
-        (F.col("id") % samples).cast("bigint").alias("draw"),
-    ).withColumn("position", draw(seed, F.col("tree_id"), F.col("draw")) % F.lit(n) + 1)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tree, nth, position = drawn(batch.column("id").to_numpy(), samples, n, seed)
+            arrays = [pa.array(tree.astype(np.int32)), pa.array(nth), pa.array(position)]
+            yield pa.RecordBatch.from_arrays(arrays, ["tree_id", "draw", "position"])
+
+    return spark.range(trees * samples).mapInArrow(task, "tree_id int, draw bigint, position bigint")
 
 
 def _drawn_bags(rows: DataFrame, key: str, trees: int, samples: int, n: int, seed, prefix: int) -> DataFrame:
@@ -138,15 +156,16 @@ def _drawn_bags(rows: DataFrame, key: str, trees: int, samples: int, n: int, see
         """Draws of each group as numbers position * trees + tree inside the group."""
 
         def emit(held: list[np.ndarray]) -> pa.RecordBatch:
-            drawn = np.sort(np.concatenate(held))
-            cuts = np.searchsorted(drawn, bounds)
+            codes = np.sort(np.concatenate(held))
+            cuts = np.searchsorted(codes, bounds)
             full = np.flatnonzero(np.diff(cuts))
-            parts = [(drawn[cuts[g] : cuts[g + 1]] - bounds[g]).astype(code).tobytes() for g in full]
+            parts = [(codes[cuts[g] : cuts[g + 1]] - bounds[g]).astype(code).tobytes() for g in full]
             return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array(parts, pa.binary())], ["_group", "draws"])
 
         held, size = [], 0
         for batch in batches:
-            held.append((batch.column("position").to_numpy() - 1) * trees + batch.column("tree_id").to_numpy())
+            tree, _, position = drawn(batch.column("id").to_numpy(), samples, n, seed)
+            held.append((position - 1) * trees + tree)
             size += batch.num_rows
             if size >= GROUP_ROWS:
                 yield emit(held)
@@ -160,9 +179,9 @@ def _drawn_bags(rows: DataFrame, key: str, trees: int, samples: int, n: int, see
     def meet(members: pa.Table, packed: pa.Table) -> pa.Table:
         if not members.num_rows or not packed.num_rows:
             return arrow_schema.empty_table()
-        drawn = np.concatenate([np.frombuffer(b.as_buffer(), code) for b in packed.column("draws")])
-        drawn, weight = np.unique(drawn, return_counts=True)
-        place, tree = np.divmod(drawn, code(trees))
+        codes = np.concatenate([np.frombuffer(b.as_buffer(), code) for b in packed.column("draws")])
+        codes, weight = np.unique(codes, return_counts=True)
+        place, tree = np.divmod(codes, code(trees))
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
         order = pc.sort_indices(members, sort_keys=[("_order", "ascending"), (key, "ascending")])
         taken = members.take(order.take(pa.array(place[first].astype(np.int64))))
@@ -173,8 +192,7 @@ def _drawn_bags(rows: DataFrame, key: str, trees: int, samples: int, n: int, see
         return pa.table([*[taken.column(f.name) for f in rows_schema], bag], names=arrow_schema.names)
 
     rows_schema = rows.schema
-    draws = bag_draws(rows.sparkSession, trees, samples, n, seed).select("tree_id", "position")
-    draws = draws.mapInArrow(pack, "_group int, draws binary")
+    draws = rows.sparkSession.range(trees * samples).mapInArrow(pack, "_group int, draws binary")
     return keyed.groupBy("_group").cogroup(draws.groupBy("_group")).applyInArrow(meet, schema)
 
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from grovekit.functions.hashing import draw
 from grovekit.operators import (
     forest as fo,
     histograms,
@@ -18,6 +19,7 @@ from grovekit.operators import (
     stats,
 )
 from grovekit.session import local_table
+from workloads.inputs import cents
 
 SCHEMA = "row_key string, features array<double>, label int"
 
@@ -297,6 +299,24 @@ def test_bags_of_many_groups_are_those_of_one(spark, monkeypatch):
     assert {(k, b["tree_id"]): b["weight"] for k, bag in one for b in bag} == want
 
 
+def test_draws_are_those_of_the_columns(spark):
+    ids = np.arange(5, 2 * 1000 + 3)
+    tree, nth, position = sampling.drawn(ids, 1000, 77, "a|b")
+    want = spark.createDataFrame([(int(i),) for i in ids], "id bigint").select(
+        (draw("a|b", F.floor(F.col("id") / 1000).cast("int"), F.col("id") % 1000) % 77 + 1).alias("p")
+    )
+    assert position.tolist() == [r["p"] for r in want.collect()]
+    assert (tree * 1000 + nth == ids).all() and all(len(a) == 0 for a in sampling.drawn(np.empty(0, int), 9, 9, 1))
+
+
+def test_cents_round_as_round_does(spark):
+    values = [0.005, -0.005, 1.115, 2.675, 1e13, None, 0.0] + [i / 800 for i in range(-900, 900)]
+    table = spark.createDataFrame([(v,) for v in values], "x double")
+    plain = F.round(F.col("x") * 100).cast("bigint")
+    assert table.filter((F.col("x") * 100 % 1 == 0.5)).count() > 100
+    assert table.filter(~plain.eqNullSafe(cents("x"))).count() == 0
+
+
 def test_bipartitions(spark):
     assert [len(oblique.bipartition_masks(k)) for k in (0, 1, 2, 3, 4, 5)] == [0, 0, 1, 3, 7, 15]
     rows = spark.createDataFrame([(c,) for c in (0, 1, 2, 3, 2)], "label int")
@@ -323,6 +343,17 @@ def test_grid_and_probabilities(spark):
     assert all(abs(r["s"] - 1) < 1e-12 for r in p.collect())
 
 
+def test_class_probabilities_need_no_shuffle(spark):
+    rows, *_ = blobs(spark, n=60)
+    model = fo.fit_forest(rows, "row_key", 4, fo.ForestParams(trees=3, max_depth=2, features_per_tree=2))
+    holed = rows.union(spark.createDataFrame([("null", None, 0), ("hole", [1.0, None, 0.0, 0.0], 1)], rows.schema))
+    p = fo.class_probabilities(model, holed, "row_key")
+    assert "Exchange" not in p._jdf.queryExecution().executedPlan().toString()
+    order = lambda df: sorted(map(tuple, df.select("row_key", "label", "probability").collect()))
+    want = order(fo._joined_probabilities(model, holed, "row_key"))
+    assert [(k, c, pytest.approx(v)) for k, c, v in want] == order(p) and len(want) == 180
+
+
 def test_moments_and_weights(spark):
     rows, x, labels = blobs(spark, n=50)
     weighted = rows.withColumn("w", F.length("row_key") * 1.0)

@@ -33,13 +33,18 @@ def busy_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 # lineitem ------------------------------------------------------------------
 
 
+def cents(c: str) -> Column:
+    """``round(c * 100)`` with halves away from zero, without the big decimals that Spark's ``round`` makes of doubles."""
+    y = F.col(c) * 100
+    even = F.rint(y)
+    up = F.when(y - even == F.signum(y) * 0.5, F.signum(y)).otherwise(0.0)  # rint went to the even side, towards zero
+    return (even + up).cast("bigint")
+
+
 def lineitem_rows(spark: SparkSession, sf: str, busy: bool = False) -> DataFrame:
     """``row_key, features, label, status``; the key is the md5 of the whole row."""
     li = (busy_table if busy else table)(spark, sf, "lineitem")
 
-    def cents(c: str) -> Column:
-        return F.round(F.col(c) * 100).cast("bigint")
-
     key = F.md5(
         F.concat_ws(
             "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
