@@ -299,6 +299,15 @@ def test_bags_of_many_groups_are_those_of_one(spark, monkeypatch):
     assert {(k, b["tree_id"]): b["weight"] for k, bag in one for b in bag} == want
 
 
+def test_one_draw_needs_no_join_and_whole_bags_no_digests(spark):
+    rows, *_ = blobs(spark, n=60)
+    fits = [fo.Fit(fo.ForestParams(trees=t, replace=False, gain=g)) for t, g in ((1, "gini"), (2, "entropy"))]
+    table, first = fo.shared_bags(rows, "row_key", fits, {None: 60})
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert first == [0, 0] and "Join" not in plan and "Exchange" not in plan and "md5" not in plan
+    assert sorted([(b["tree_id"], b["weight"]) for b in r["bag"]] for r in table.collect()) == [[(0, 1), (1, 1)]] * 60
+
+
 def test_draws_are_those_of_the_columns(spark):
     ids = np.arange(5, 2 * 1000 + 3)
     tree, nth, position = sampling.drawn(ids, 1000, 77, "a|b")
