@@ -285,6 +285,13 @@ def test_packed_rows_keep_large_weights_and_many_rows():
         assert block.part(np.arange(n)).nbytes < 30 * n + 200 or weight > 255
 
 
+def test_bags_of_some_hundred_thousand_rows_take_several_tasks(spark):
+    n = 300_000
+    rows = spark.range(n).select(F.col("id").cast("string").alias("row_key"))
+    spread = sampling.bags(rows, "row_key", 3, n, n, True, "s").groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) > 1 and max(r["count"] for r in spread) < n * 0.8
+
+
 def test_bags_of_many_groups_are_those_of_one(spark, monkeypatch):
     rows, *_ = blobs(spark, n=300)
     drawn = lambda: sorted((r["row_key"], r["bag"]) for r in sampling.bags(rows, "row_key", 4, 200, 300, True, "s").collect())
