@@ -109,11 +109,14 @@ def count_in_buckets(packed: DataFrame, k: int, buckets: int, by_words: bool) ->
     return packed.repartition(buckets, "h").mapInArrow(count, "h long, p long, at int")
 
 
-def buckets_of(docs: DataFrame, shared: DataFrame, k: int, hot: int, by_words: bool) -> DataFrame:
+def buckets_of(
+    docs: DataFrame, shared: DataFrame, k: int, hot: int, by_words: bool, compare: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """``doc_id, f, first, last``: ranges of window starts whose windows begin elsewhere too.
 
     ``shared`` has runs of windows ``h, p, doc_id, f, start, n, inner``: equal windows have the same bucket ``h``, equal runs
-    the same ``p``; ``inner`` tells that a run repeats one of its own windows.
+    the same ``p``; ``inner`` tells that a run repeats one of its own windows.  ``compare`` gets packed strings and returns
+    ``h, p, at``: windows of single ones that are found again in their bucket.
     """
     kinds = written(
         shared.groupBy("h", "p").agg(
@@ -134,7 +137,7 @@ def buckets_of(docs: DataFrame, shared: DataFrame, k: int, hot: int, by_words: b
     )
     packed = written(packed_strings(docs, wanted, k, by_words))
     cold, split = packed.filter("payload is not null"), packed.filter("payload is null")
-    found = count_in_buckets(cold, k, parts(docs, cold.count(), PER_TASK), by_words)
+    found = compare(cold)
     often = split.groupBy("w1", "w2").agg(F.sum("times").alias("total")).filter("total > 1").select("w1", "w2")
     found = found.union(split.filter("times = 1").join(often, ["w1", "w2"]).select("h", "p", "at"))
     # A run that is found once stands for itself; of the others all windows are repeated.
@@ -149,7 +152,8 @@ def buckets_of(docs: DataFrame, shared: DataFrame, k: int, hot: int, by_words: b
 
 def dedup_substrings(docs: DataFrame, k: int = 35, m: int = 12, hot: int = 20_000) -> DataFrame:
     """``doc_id, text, n_words, n_removed, spans``: kept words of every row, joined by one space, and removed word runs."""
-    ranges = buckets_of(docs, shared_segments(docs, True, k, m), k, hot, True)
+    count = lambda packed: count_in_buckets(packed, k, parts(docs, packed.count(), PER_TASK), True)
+    ranges = buckets_of(docs, shared_segments(docs, True, k, m), k, hot, True, count)
     # Repeated rows have found the same ranges, each of them: a set, so that lists do not grow with the rows.
     lists = ranges.groupBy("doc_id", "f").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
     rows = on_key(keyed(docs), lists, "left").select("doc_id", "text", "ranges")

@@ -1,151 +1,51 @@
-"""Suffix ranks of many strings by a difference cover, as Spark jobs.
+"""Suffix arrays of packed strings down to a bounded depth, inside the tasks that hold them.
 
-Strings are tables ``sid, lane, i, x, len``: symbol ``x`` at place ``i``, standing for ``len`` bytes.  The places with
-``i mod 3`` in (1, 2) are the cover: of any two places, one shift by 0, 1 or 2 brings both into it.  Their triples of
-symbols are sorted and named by rank; the names at places 1, 4, 7, ... and 2, 5, 8, ... are strings a third as long, whose
-suffixes are ranked the same way.  With these ranks each remaining suffix compares with any other one by its first symbol,
-or its first two, and a rank: two sorts count what lies below it.
-
-Ranks are numbers of lower suffixes, so equal suffixes share one.  Only the first ``depth`` bytes have to be told apart: the
-recursion ends when all names that still tie stand for as many.  Nothing is ever sorted in one task, and equal keys are
-counted before they are shuffled; the only rows at the driver are one per partition.
+The suffixes that begin the windows of a string are named by their first 8 bytes, in byte order; then triples of names by rank,
+each standing for three times as many bytes, until a name stands for ``k`` bytes.  Names are dense ranks, so no fingerprint
+is asked: neighbours in the array have one name exactly if their first ``k`` bytes are equal.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.window import Window
-
-from grovekit.llm.common import written
-from grovekit.session import discard, local_table
-
-END = -(2**63)  # behind the last symbol of a string; below all symbols
-PLACE = ("sid", "lane", "i")
-
-
-def lower_counts(df: DataFrame, keys: list[str], counts: dict[str, str]) -> DataFrame:
-    """Distinct ``keys`` with, for each name in ``counts``, how many rows with lower keys meet its condition."""
-    names = list(counts)
-    sums = [F.sum(F.expr(f"cast({c} as bigint)")).alias(n) for n, c in counts.items()]
-    distinct = df.groupBy(*keys).agg(*sums).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    schema = T.StructType([*distinct.schema.fields, T.StructField("part", T.IntegerType()), *[T.StructField(f"below_{n}", T.LongType()) for n in names]])
-
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), dict.fromkeys(names, 0)
-        for batch in batches:
-            below = []
-            for n in names:
-                own = batch.column(len(keys) + names.index(n)).to_numpy()
-                ends = np.cumsum(own)
-                below.append(pa.array(before[n] + ends - own))
-                before[n] += int(ends[-1]) if len(ends) else 0
-            parts = pa.array(np.full(batch.num_rows, part, np.int32))
-            yield pa.RecordBatch.from_arrays([*batch.columns, parts, *below], [f.name for f in schema])
-
-    within = written(distinct.mapInArrow(add_up, schema))
-    totals = sorted(within.groupBy("part").agg(*[F.sum(n).alias(n) for n in names]).collect(), key=lambda r: r["part"])
-    starts, sofar = [], [0] * len(names)
-    for r in totals:
-        starts.append((r["part"], *sofar))
-        sofar = [s + r[n] for s, n in zip(sofar, names)]
-    offsets = local_table(df.sparkSession, starts, "part int, " + ", ".join(f"start_{n} long" for n in names))
-    whole = within.join(F.broadcast(offsets), "part")  # one row per partition
-    return whole.select(*keys, *[(F.col(f"below_{n}") + F.col(f"start_{n}")).alias(n) for n in names])
 
+FIRST = 8  # bytes that are read as one number
 
-def ahead(column: str, k: int, none: int) -> Column:
-    """The value ``k`` places on in the string; its window is one string."""
-    return F.coalesce(F.lead(column, k).over(Window.partitionBy("sid", "lane").orderBy("i")), F.lit(none))
 
+def names_of(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """The dense rank of each key, and how many there are."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    new = np.concatenate(([False], ranked[1:] != ranked[:-1]))
+    ranks = np.cumsum(new).astype(np.uint64)
+    names = np.empty(len(keys), np.uint64)
+    names[order] = ranks
+    return names, int(ranks[-1]) + 1 if len(keys) else 0
 
-def triples_of(strings: DataFrame) -> DataFrame:
-    """``sid, lane, i, x, x1, x2, reach`` of ``strings (sid, lane, i, x, len)``: each symbol with the next two."""
-    return strings.select(
-        *PLACE,
-        "x",
-        ahead("x", 1, END).alias("x1"),
-        ahead("x", 2, END).alias("x2"),
-        (F.col("len") + ahead("len", 1, 0) + ahead("len", 2, 0)).alias("reach"),
-    )
 
+def suffix_names(data: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """The rank of ``data[s:s+k]`` for each of ``starts``; equal strings share one.  ``k`` is ``FIRST`` at least.
 
-def suffix_ranks(triples: DataFrame, depth: int) -> DataFrame:
-    """``sid, lane, i, rank`` of every place of the strings that ``triples`` was made of; runs jobs.
-
-    ``triples`` is a written table, which is discarded.
+    Places where ``k`` bytes do not fit may not be asked.
     """
-    cover = triples.filter("i % 3 <> 0")
-    named = written(cover.join(lower_counts(cover, ["x", "x1", "x2"], {"name": "true"}), ["x", "x1", "x2"]).select(*PLACE, "name", "reach"))
-    tied = named.filter(f"reach < {depth}").join(triples.filter(f"x2 <> {END}").select(*PLACE), list(PLACE), "left_semi")
-    if tied.groupBy("name").count().filter("count > 1").isEmpty():
-        made, ranks = named, named.withColumnRenamed("name", "rank")
-    else:
-        shorter = named.select(
-            "sid",
-            F.expr("lane * 2 + i % 3 - 1").alias("lane"),
-            F.expr("cast(i div 3 as int)").alias("i"),
-            F.col("name").alias("x"),
-            F.col("reach").alias("len"),
-        )
-        again = written(triples_of(shorter))
-        discard(named)
-        made = suffix_ranks(again, depth)
-        ranks = made.select(
-            "sid", F.expr("cast(lane div 2 as int)").alias("lane"), F.expr("cast(3 * i + lane % 2 + 1 as int)").alias("i"), "rank"
-        )
-    known = triples.drop("x2", "reach").join(ranks.select(*PLACE, F.col("rank").alias("r")), list(PLACE), "left")
-    known = written(known.select("*", ahead("r", 1, -1).alias("r1"), ahead("r", 2, -1).alias("r2")))
-    discard(made, triples)
-    one = lower_counts(known.filter("i % 3 <> 2"), ["x", "r1"], {"a": "i % 3 = 0", "b": "i % 3 = 1"})
-    two = lower_counts(known.filter("i % 3 <> 1"), ["x", "x1", "r2"], {"c": "i % 3 = 0", "d": "i % 3 = 2"})
-    merged = known.join(one, ["x", "r1"], "left").join(two, ["x", "x1", "r2"], "left")
-    rank = F.when(F.expr("i % 3 = 0"), F.expr("a + b + d")).when(F.expr("i % 3 = 1"), F.expr("r + a")).otherwise(F.expr("r + c"))
-    whole = written(merged.select(*PLACE, rank.alias("rank")))
-    discard(known)
-    return whole
-
-
-def equal_prefixes(ranked: DataFrame) -> DataFrame:
-    """``sid, lane, i, interval`` of rows ``sid, lane, i, rank, prefix``.
-
-    Rows go in the order of their ranks, and adjacent ones with the same prefix are one interval.  An interval that goes on
-    in the next partitions has the number of its first part.
-    """
-    schema = "sid long, lane int, i int, interval long, prefix long"
-    ordered = ranked.select("rank", *PLACE, "prefix").repartitionByRange("rank", *PLACE).sortWithinPartitions("rank", *PLACE)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, last = (TaskContext.get().partitionId() << 33) - 1, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            prefix = batch.column(4).to_numpy()
-            new = np.concatenate(([last is None or prefix[0] != last], prefix[1:] != prefix[:-1]))
-            numbers = number + np.cumsum(new)
-            number, last = int(numbers[-1]), prefix[-1]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:4], pa.array(numbers), batch.column(4)], ["sid", "lane", "i", "interval", "prefix"]
-            )
-
-    rows = written(ordered.mapInArrow(compare, schema))
-    ends = rows.groupBy((F.shiftright("interval", 33)).alias("part")).agg(
-        F.min(F.struct("interval", "prefix")).alias("first"), F.max(F.struct("interval", "prefix")).alias("last")
-    )
-    moved, before = [], None
-    for r in sorted(ends.collect(), key=lambda r: r["part"]):
-        number, prefix = r["first"]
-        if before and before[1] == prefix:
-            moved.append((number, before[0]))
-            if r["last"][0] == number:
-                continue  # the whole partition belongs to the interval of the one before
-        before = tuple(r["last"])
-    goes_on = local_table(ranked.sparkSession, moved, "interval long, begun long")
-    whole = rows.join(F.broadcast(goes_on), "interval", "left")  # at most one row per partition
-    return whole.select(*PLACE, F.coalesce("begun", "interval").alias("interval"))
+    whole = len(data) - FIRST + 1
+    x = np.zeros(whole, np.uint64)
+    for i in range(FIRST):
+        x = (x << np.uint64(8)) | data[i : i + whole]
+    depth = FIRST
+    if depth == k:
+        return names_of(x[starts])[0]
+    x, distinct = names_of(x)
+    while True:
+        second, third, deeper = min(depth, k - depth), min(2 * depth, k - depth), min(3 * depth, k)
+        # Places further back are asked no more; at full depth only the strings that were asked for.
+        at = starts if deeper == k else np.arange(max(len(x) - third, 0))
+        bits = np.uint64(max(distinct - 1, 1).bit_length())
+        if 3 * int(bits) <= 64:
+            x, distinct = names_of((x[at] << (bits + bits)) | (x[at + second] << bits) | x[at + third])
+        else:  # over two million names: two at a time
+            pair, n = names_of((x[at] << bits) | x[at + second])
+            x, distinct = names_of((pair << bits) | x[at + third])
+        depth = deeper
+        if depth == k:
+            return x

@@ -1,15 +1,15 @@
 """Suffix-array dedup (1): bytes covered by a string of ``k`` bytes that starts anywhere else too.
 
-The text is cut into phrases where the text itself says so: at the lowest fingerprint of each ``reach`` neighbouring grams.
-A string of ``k`` bytes has the same cuts wherever it stands, the first within its first ``reach`` bytes, and whole phrases of
-``DEPTH`` bytes or more behind it.  So equal strings begin shortly before suffixes, at cuts, that share such a prefix: the
-suffixes are ranked by a difference cover over the phrases (``suffix_array``), and adjacent ones that agree over ``DEPTH`` bytes
-of whole phrases form an interval.  Within an interval, the strings around each cut are compared byte by byte (128-bit
-fingerprints), as packed strings.
-
-Only regions are ranked whose strings have a minimiser that is found again; the others are unique.  Defined cases: matches
-never cross documents; overlapping ones count; a null or empty text, or a shorter one than ``k``, loses nothing.  Repeated
-rows are copies of each other, also with one id; null ids are kept.  Other columns are not looked at.
+The suffix array is sparse and partitioned.  Each string of ``k`` bytes hands its suffix order to one sample inside it: the
+suffix at the first lowest fingerprint of its runs of ``m`` bytes.  Equal strings have the same sample at the same place, so
+they can only be neighbours in the part of the array whose suffixes begin with the ``m`` bytes of that sample.  Parts with
+one sample have no neighbours; samples whose strings are all equal, in order, stand for each other.  Where different ones
+meet, the text of their strings travels, and the part is sorted: a suffix array to depth ``k`` (``suffix_array``), in which
+neighbours that agree over ``k`` bytes repeat.  A part with more than ``hot`` different samples is counted string by string,
+by 128-bit fingerprints with map-side sums, so that no task holds it.
+
+Defined cases: matches never cross documents; overlapping ones count; a null or empty text, or a shorter one than ``k``,
+loses nothing.  Repeated rows are copies of each other, also with one id; null ids are kept.  Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -18,166 +18,150 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grovekit.llm.common import covered, keyed, mix, on_key, runs, signed, windows, written
+from grovekit.llm.common import covered, joined, keyed, mix, on_key, parts, runs, signed, slices, written
 from grovekit.llm.substrings import buckets_of
-from grovekit.llm.suffix_array import END, equal_prefixes, suffix_ranks
-from grovekit.llm.superkmers import bytes_of, shared_segments
-from grovekit.session import discard
+from grovekit.llm.suffix_array import suffix_names
+from grovekit.llm.superkmers import BYTE_IDS, SEGMENTS, found_again, sliding_min
 
-GRAM, REACH = 8, 64
-CUTS = (
-    "sid long, lane int, i int, x long, x1 long, x2 long, reach int, prefix long, p long, "
-    "doc_id long, f long, start int, n int, region long"
-)
-
-
-def depth_of(k: int) -> int:
-    """Bytes of whole phrases that every string of ``k`` bytes has behind its first cut."""
-    return k - (REACH + GRAM - 1) - REACH + 1
-
-
-def lowest(grams: np.ndarray) -> np.ndarray:
-    """Place of the first lowest of each ``REACH`` neighbouring fingerprints."""
-    value, place, size = grams, np.arange(len(grams)), 1
-    while size < REACH:
-        left = value[:-size] <= value[size:]
-        value, place = np.where(left, value[:-size], value[size:]), np.where(left, place[:-size], place[size:])
-        size *= 2
-    return place
+#: Shorter strings would have samples of so few bytes that most are found by chance.
+LEAST = 136
+PER_TASK = 20_000
+#: Bytes whose suffixes are sorted, or whose samples are drawn, at once.
+AT_ONCE = 1 << 19
+HIGH = np.uint64(0xFFFFFFFF00000000)
 
 
 class Powers:
-    """Fingerprints of any stretch of a text from sums of its prefixes."""
+    """Fingerprints of all runs of ``m`` bytes from sums of prefixes."""
 
     BASE = 0x9E3779B97F4A7C15 | 1
 
     def __init__(self):
-        self.up, self.down = np.ones(1, np.uint64), np.ones(1, np.uint64)
+        self.up, self.down = np.ones(0, np.uint64), np.ones(0, np.uint64)
 
-    def __call__(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        if len(self.up) <= len(ids):
-            n = 2 * len(ids) + 1
+    def __call__(self, data: np.ndarray, m: int) -> np.ndarray:
+        if len(self.up) < len(data):
             for name, base in (("up", self.BASE), ("down", pow(self.BASE, -1, 2**64))):
-                steps = np.full(n, base, np.uint64)
+                steps = np.full(2 * len(data), base, np.uint64)
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps, dtype=np.uint64))
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(ids * self.up[: len(ids)], dtype=np.uint64)))
-        return mix((sums[ends] - sums[starts]) * self.down[starts] + mix((ends - starts).astype(np.uint64)))
+        sums = np.cumsum(BYTE_IDS[data] * self.up[: len(data)], dtype=np.uint64)
+        runs_of_m = sums[m - 1 :].copy()
+        runs_of_m[1:] -= sums[:-m]
+        return mix(runs_of_m * self.down[: len(runs_of_m)])
 
 
-def region_cuts(ids: np.ndarray, k: int, powers: Powers) -> tuple[np.ndarray, ...] | None:
-    """``x, len, prefix, p, start, n`` at the cuts of one region, in order.
+def draw_samples(data: np.ndarray, bounds: np.ndarray, k: int, m: int, powers: Powers) -> tuple[np.ndarray, ...]:
+    """``h, start, n`` of the samples of joined texts, which lie between ``bounds``, in order.
 
-    The strings that begin at ``start``, ``start + 1``, ... (``n`` of them) have this cut as their first one; ``p`` identifies
-    them in order.
+    The strings that begin at ``start``, ``start + 1``, ... (``n`` of them) have this sample; ``h`` identifies its ``m`` bytes.
     """
-    first = lowest(windows(ids, GRAM, 5))
-    cuts = np.unique(first)
-    if len(cuts) < 2:
-        return None
-    ends = cuts[1:]
-    x = powers(ids, cuts[:-1], ends)
-    behind = np.searchsorted(cuts, cuts[:-1] + depth_of(k))
-    prefix = powers(ids, cuts[:-1], cuts[np.minimum(behind, len(cuts) - 1)])
-    whole = windows(ids, k, 6)
-    own = first[: len(whole)]
-    starts = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-    sizes = np.diff(np.concatenate((starts, [len(own)])))
-    place = np.arange(len(own), dtype=np.uint64) - np.repeat(starts, sizes).astype(np.uint64)
-    p = np.add.reduceat(mix(whole + mix(place + np.uint64(1))), starts)
-    at = np.searchsorted(cuts, own[starts])
-    out_p, out_start, out_n = np.zeros(len(x), np.uint64), np.zeros(len(x), np.int64), np.zeros(len(x), np.int64)
-    out_p[at], out_start[at], out_n[at] = p, starts, sizes
-    return x, np.diff(cuts), prefix, out_p, out_start, out_n
-
-
-def cut_regions(docs: DataFrame, shared: DataFrame, k: int) -> DataFrame:
-    """The cuts of all regions that may repeat, as strings of phrases."""
-    # Repeated rows have the same strings, each of them: a set, so that lists do not grow with the rows.
-    lists = shared.groupBy("doc_id", "f").agg(F.collect_set(F.struct("start", "n")).alias("found"))
-    rows = on_key(keyed(docs), lists, "inner").select("doc_id", "f", "text", "found")
+    grams = powers(data, m)
+    # The place in the lower half lets the first of equal ones win, and tells where it is.
+    low = sliding_min((grams & HIGH) | np.arange(len(grams), dtype=np.uint64), k - m + 1) & ~HIGH
+    steps = np.zeros(len(low) + 1, np.int32)
+    ends = bounds[1:]
+    np.add.at(steps, np.minimum(np.maximum(ends - k + 1, bounds[:-1]), len(low)), 1)
+    np.add.at(steps, np.minimum(ends, len(low)), -1)
+    inside = np.cumsum(steps[:-1]) == 0
+    starts = np.flatnonzero(np.concatenate(([True], (low[1:] != low[:-1]) | (inside[1:] != inside[:-1]))))
+    sizes = np.diff(np.concatenate((starts, [len(low)])))
+    own = inside[starts]
+    starts, sizes = starts[own], sizes[own]
+    return grams[low[starts].astype(np.int64)], starts, sizes
+
+
+def samples(docs: DataFrame, k: int, m: int) -> DataFrame:
+    """The samples of every row, without their text, as ``SEGMENTS``: ``p`` identifies the strings of a sample in order."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, sid = Powers(), TaskContext.get().partitionId() << 40
-        names = [c.split()[0] for c in CUTS.split(", ")]
+        powers, names = Powers(), [c.split()[0] for c in SEGMENTS.split(", ")]
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            for part in slices(texts, AT_ONCE):
+                data, bounds = joined(texts[part])
+                if len(data) < k:
+                    continue
+                h, starts, sizes = draw_samples(data, bounds, k, m, powers)
+                raw = memoryview(data)
+                ends = (starts + sizes + k - 1).tolist()
+                p = [xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends)]
+                row = np.searchsorted(bounds, starts, "right") - 1
+                at = pa.array(row + part.start)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(signed(h)),
+                        pa.array(signed(np.array(p, np.uint64))),
+                        batch.column(0).take(at),
+                        batch.column(1).take(at),
+                        pa.array((starts - bounds[row]).astype(np.int32)),
+                        pa.array(sizes.astype(np.int32)),
+                        pa.array(np.zeros(len(row), bool)),
+                    ],
+                    names,
+                )
+
+    return keyed(docs).mapInArrow(cut, SEGMENTS)
+
+
+def sort_parts(packed: DataFrame, k: int) -> DataFrame:
+    """``h, p, at``: strings of samples found once that have an equal neighbour in the suffix array of their part."""
+
+    def again(held: list[tuple]) -> pa.RecordBatch:
+        h, p, times, payloads = zip(*held)
+        data, bounds = joined_bytes(payloads)
+        own = np.diff(bounds) - k + 1
+        at = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        names = suffix_names(data, np.repeat(bounds[:-1], own) + at, k)
+        owner = np.repeat(np.arange(len(held)), own)
+        times = np.array(times)[owner]
+        array = np.argsort(names, kind="stable")
+        equal = names[array[1:]] == names[array[:-1]]
+        twice = times > 1
+        twice[array[1:][equal]] = True
+        twice[array[:-1][equal]] = True
+        twice &= times == 1
+        owner = owner[twice]
+        ids = (pa.array(np.array(x, np.int64)[owner]) for x in (h, p))
+        return pa.RecordBatch.from_arrays([*ids, pa.array(at[twice].astype(np.int32))], ["h", "p", "at"])
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, last = [], 0, None
         for batch in batches:
-            out: list[list] = [[] for _ in names]
-            for doc_id, f, text, found in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = bytes_of(text)
-                mask = np.zeros(len(ids) + 1, np.int32)
-                for r in found:
-                    mask[r["start"]] += 1
-                    mask[r["start"] + r["n"] - 1 + k] -= 1
-                for a, b in zip(*runs(np.cumsum(mask[:-1]) > 0)):
-                    made = region_cuts(ids[a:b], k, powers)
-                    if made is None:
-                        continue
-                    x, size, prefix, p, start, n = made
-                    m = len(x)
-                    symbols = np.concatenate((signed(x) >> 1, [END, END]))
-                    far = np.concatenate((size, [0, 0]))
-                    region = powers(ids[a:b], np.zeros(1, np.int64), np.array([b - a]))
-                    none = pa.nulls(m, pa.int64())
-                    values = (
-                        pa.array(np.full(m, sid)),
-                        pa.array(np.zeros(m, np.int32)),
-                        pa.array(np.arange(m, dtype=np.int32)),
-                        *[pa.array(symbols[c : m + c]) for c in range(3)],
-                        pa.array((far[:m] + far[1 : m + 1] + far[2 : m + 2]).astype(np.int32)),
-                        pa.array(signed(prefix)),
-                        pa.array(signed(p)),
-                        none if doc_id is None else pa.array(np.full(m, doc_id)),
-                        pa.array(np.full(m, f)),
-                        pa.array((start + a).astype(np.int32)),
-                        pa.array(n.astype(np.int32)),
-                        pa.array(np.full(m, signed(region)[0])),
-                    )
-                    sid += 1
-                    for held, v in zip(out, values):
-                        held.append(v)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in out], names)
-
-    return written(rows.mapInArrow(cut, CUTS))
+            for row in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                if size >= AT_ONCE and row[0] != last:  # parts are never torn
+                    yield again(held)
+                    held, size = [], 0
+                last = row[0]
+                held.append(row)
+                size += len(row[3])
+        if held:
+            yield again(held)
+
+    tasks = parts(packed, packed.count(), PER_TASK)
+    return packed.repartition(tasks, "h").sortWithinPartitions("h").mapInArrow(sort, "h long, p long, at int")
+
+
+def joined_bytes(raw: tuple[bytes, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """All strings one after another, and where each begins (and the last one ends)."""
+    sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+    return np.frombuffer(b"".join(raw), np.uint8), np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
 
 
 def repeated_strings(docs: DataFrame, k: int, hot: int) -> DataFrame:
     """``doc_id, f, first, last``: ranges of starts of strings of ``k`` bytes that start elsewhere too."""
-    shared = shared_segments(docs, False, k, k // 3)
-    cuts = cut_regions(docs, shared, k)
-    discard(shared)
-    # Equal regions are ranked once; a region is known by two fingerprints and the number of its cuts.
-    known = ["region", "last", "again"]
-    sizes = cuts.groupBy("sid", "region").agg(F.max("i").alias("last"), F.bit_xor("prefix").alias("again"))
-    first = sizes.groupBy(*known).agg(F.min("sid").alias("first"))
-    regions = written(sizes.join(first, known).select("sid", "first"))
-    own = regions.filter("sid = first").select("sid")
-    strings = written(
-        cuts.select("sid", "lane", "i", "x", "x1", "x2", "reach").join(own, "sid", "left_semi")
-    )
-    begun = written(cuts.filter("n > 0").select("sid", "lane", "i", "prefix", "p", "doc_id", "f", "start", "n"))
-    discard(cuts)
-    ranks = suffix_ranks(strings, depth_of(k))
-    asked = begun.select("sid", "lane", "i", "prefix").join(ranks, ["sid", "lane", "i"])
-    intervals = equal_prefixes(asked).withColumnRenamed("sid", "first")
-    around = written(
-        begun.drop("prefix")
-        .join(regions, "sid")
-        .join(intervals, ["first", "lane", "i"])
-        .select(F.col("interval").alias("h"), "p", "doc_id", "f", "start", "n", F.lit(False).alias("inner"))
-    )
-    discard(begun, regions, ranks)
-    return buckets_of(docs, around, k, hot, False)
+    shared = found_again(samples(docs, k, k // 3))
+    return buckets_of(docs, shared, k, hot, False, lambda packed: sort_parts(packed, k))
 
 
 def dedup_suffixes(docs: DataFrame, k: int = 200, hot: int = 20_000) -> DataFrame:
     """``doc_id, kept, n_bytes, n_removed, spans``: remaining bytes of every row and the removed runs, by place."""
-    if k < 2 * REACH + GRAM:
-        raise ValueError(f"strings of fewer than {2 * REACH + GRAM} bytes have no phrase of their own")
+    if k < LEAST:
+        raise ValueError(f"strings of fewer than {LEAST} bytes are not told apart by samples")
     ranges = repeated_strings(docs, k, hot)
     lists = ranges.groupBy("doc_id", "f").agg(F.collect_set(F.struct("first", "last")).alias("ranges"))
     rows = on_key(keyed(docs), lists, "left").select("doc_id", "text", "ranges")

@@ -95,7 +95,12 @@ def all_segments(docs: DataFrame, by_words: bool, k: int, m: int) -> DataFrame:
 
 def shared_segments(docs: DataFrame, by_words: bool, k: int, m: int) -> DataFrame:
     """The super-k-mers whose minimiser is found in more than one of them, or that repeat a window of their own text."""
-    every = written(all_segments(docs, by_words, k, m))
+    return found_again(all_segments(docs, by_words, k, m))
+
+
+def found_again(segments: DataFrame) -> DataFrame:
+    """Those of ``segments`` whose ``h`` is found in more than one of them, or that are ``inner``."""
+    every = written(segments)
     shared = every.groupBy("h").agg(F.sum(F.when(F.col("inner"), 2).otherwise(1)).alias("times")).filter("times > 1")
     found = written(every.join(shared.select("h"), "h"))
     discard(every)

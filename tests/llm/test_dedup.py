@@ -1,12 +1,14 @@
 """Suffix-array, substring and line dedup, and the Jaccard join, against plain versions."""
 
+import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from grovekit.llm import jaccard, lines, substrings, suffixes
+from grovekit.llm import common, jaccard, lines, substrings, suffixes
 from tests.llm import brute
 
 
@@ -66,6 +68,45 @@ def test_suffixes_of_periodic_and_similar_texts(spark, seed):
         assert kept[i] == bytes(b for b, x in zip(t.encode(), g) if not x), i
 
 
+@pytest.mark.parametrize("k", [8, 20, 24, 72, 136, 200, 217])
+def test_names_are_ranks(k):
+    from grovekit.llm.suffix_array import suffix_names
+
+    rng = random.Random(k)
+    data = bytes(rng.choice(b"a\x00\xff") for _ in range(300)) * 2 + b"ab" * 300 + b"c" * 250
+    starts = np.array(rng.sample(range(len(data) - k + 1), 900))
+    strings = [data[s : s + k] for s in starts]
+    ranks = {x: i for i, x in enumerate(sorted(set(strings)))}
+    assert suffix_names(np.frombuffer(data, np.uint8), starts, k).tolist() == [ranks[x] for x in strings]
+
+
+def test_split_samples_give_the_same(spark, rows):
+    df = brute.frame(spark, rows)
+    found = [sorted(map(repr, suffixes.dedup_suffixes(df, hot=hot).collect())) for hot in (0, 20_000)]
+    assert found[0] == found[1]
+
+
+def test_suffixes_write_less_than_the_text(spark, monkeypatch):
+    """All steps together write fewer bytes than the texts have, so that disk stays within a small multiple."""
+    rng = random.Random(3)
+    line = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = [line(900) for _ in range(60)]
+    texts = ["".join(line(900) + rng.choice(shared) for _ in range(40)) for _ in range(20)]
+    sizes, write = [], common.materialize
+
+    def weighed(df):
+        table = write(df)
+        path = table.written_path.removeprefix("file:")
+        sizes.append(sum(os.path.getsize(f"{d}/{x}") for d, _, names in os.walk(path) for x in names if x.endswith(".parquet")))
+        return table
+
+    monkeypatch.setattr(common, "materialize", weighed)
+    df = brute.frame(spark, [(i, t, "x", "y", 0) for i, t in enumerate(texts)])
+    got = {r.doc_id: r.n_removed for r in suffixes.dedup_suffixes(df).collect()}
+    assert all(got[i] >= 39 * 900 for i in range(len(texts)))
+    assert sum(sizes) < sum(map(len, texts)), sizes
+
+
 def test_suffixes_refuse_short_strings(spark, rows):
     with pytest.raises(ValueError):
         suffixes.dedup_suffixes(brute.frame(spark, rows), k=50)
