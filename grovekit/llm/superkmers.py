@@ -101,7 +101,9 @@ def shared_segments(docs: DataFrame, by_words: bool, k: int, m: int) -> DataFram
 def found_again(segments: DataFrame) -> DataFrame:
     """Those of ``segments`` whose ``h`` is found in more than one of them, or that are ``inner``."""
     every = written(segments)
-    shared = every.groupBy("h").agg(F.sum(F.when(F.col("inner"), 2).otherwise(1)).alias("times")).filter("times > 1")
-    found = written(every.join(shared.select("h"), "h"))
-    discard(every)
+    times = every.groupBy("h").agg(F.sum(F.when(F.col("inner"), 2).otherwise(1)).alias("times"))
+    # Written, so that both sides of the join are plain exchanges: Spark can then split an ``h`` that very many rows have.
+    shared = written(times.filter("times > 1").select("h"))
+    found = written(every.join(shared, "h"))
+    discard(every, shared)
     return found
