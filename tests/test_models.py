@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grovekit.functions.hashing import draw
+from grovekit.functions.hashing import draw, spread_keys
 from grovekit.operators import (
     forest as fo,
     histograms,
@@ -455,6 +455,73 @@ def test_order_violations_of_many_tiles_are_few_tasks(spark, monkeypatch):
     assert linear.order_violations(df, "id", "projected", tile_bytes=32).first()[0] == want  # six groups
 
 
+def test_order_violations_of_two_groups_are_one_pass(spark, monkeypatch):
+    """A table that fits two groups is not counted three times over."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(20, 3))
+    rows = [(i, a.tolist(), a[:1].tolist()) for i, a in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, features array<double>, projected array<double>")
+    explodes, sequence = [], F.sequence
+    monkeypatch.setattr(F, "sequence", lambda low, high: explodes.append(str(high)) or sequence(low, high))
+    monkeypatch.setattr(linear, "TILE_BYTES", 5 * 4 * 8)
+    monkeypatch.setattr(linear, "GROUP_BYTES", 10 * 4 * 8)
+    got = linear.order_violations(df, "id", "projected", tile_bytes=5 * 4 * 8).first()[0]  # four tiles, two groups
+    assert got == brute_violations(x, x[:, :1])
+    assert not any("'2'" in e for e in explodes)
+
+
+@pytest.mark.parametrize("n", [1, 7, 32])
+def test_spread_keys_fill_every_partition_once(spark, n):
+    table = spark.createDataFrame([(k,) for k in spread_keys(n)], "k int").repartition(n, "k")
+    assert [r["k"] for r in table.withColumn("p", F.spark_partition_id()).orderBy("p").collect()] == spread_keys(n)
+    assert table.select(F.spark_partition_id().alias("p")).distinct().count() == n
+
+
+@pytest.mark.parametrize("kind", ["spread", "whole", "copies", "far", "unknown", "close"])
+def test_order_around_a_point_is_that_of_the_summed_distances(kind):
+    """Squares from a matrix product are too coarse where distances are equal or nearly so."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(70, 4))
+    if kind == "whole":
+        x = np.round(x)
+    elif kind == "copies":
+        x[35:] = x[:35]
+    elif kind == "far":
+        x[7] *= 1e9
+    elif kind == "unknown":
+        x[7, 0], x[8, 1] = np.nan, np.inf
+    elif kind == "close":
+        x = x[0] + np.round(x, 1) * 1e-15
+    p = x[:, :2].copy()
+    sides = [linear.Distances(x), linear.Distances(p)]
+    (near, limits), (near_p, limits_p) = (side.squared(v[:3]) for side, v in zip(sides, (x, p)))
+    for i in range(3):
+        with np.errstate(all="ignore"):
+            d, dh = (np.sqrt(sum((v[:, f] - v[i, f]) ** 2 for f in range(v.shape[1]))) for v in (x, p))
+        want = linear.order_violations_of(np.delete(d, i), np.delete(dh, i))
+        pairs = [[np.delete(np.unique(v, return_inverse=True)[1], i) for v in (d, dh)]]
+        brute = sum(int(((a[:, None] < a) != (b[:, None] < b)).sum()) for a, b in pairs)
+        got = linear._anchor_violations(sides, [x[i], p[i]], [near[i], near_p[i]], [limits[i], limits_p[i]], i)
+        assert got == want == brute
+
+
+@pytest.mark.parametrize("n", [3000, 70000])
+def test_inversions_of_many_ranks(n):
+    ranks = np.random.default_rng(n).permutation(n)
+    order, count = np.zeros(n + 1, int), 0  # a Fenwick tree
+    for seen, r in enumerate(ranks.tolist()):
+        i = r + 1
+        count += seen
+        while i:
+            count -= order[i]
+            i -= i & -i
+        i = r + 1
+        while i <= n:
+            order[i] += 1
+            i += i & -i
+    assert linear._inversions(ranks) == count
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 16, 17, 64, 200])
 def test_inversions_against_all_pairs(n):
     ranks = np.random.default_rng(n).permutation(n)
