@@ -1,10 +1,13 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grovekit.functions.hashing import draw, spread_keys
+from grovekit.functions.hashing import draw, md5_heads, spread_keys
 from grovekit.operators import (
     forest as fo,
+    growth,
     histograms,
     kernels,
     linear,
@@ -580,3 +583,35 @@ def test_losses_truncate(spark):
     assert metrics.task_loss(df, "classification").first()[0] == 1
     with pytest.raises(ValueError):
         metrics.task_loss(df, "ranking")
+
+
+@pytest.mark.parametrize("prefix", [b"", b"42|bag|3|", b"x" * 50, b"y" * 60])
+def test_md5_heads_against_hashlib(prefix):
+    numbers = np.concatenate([np.arange(120), 10 ** np.arange(18), 10 ** np.arange(1, 18) - 1, [2**62]])
+    want = [int.from_bytes(hashlib.md5(prefix + b"%d" % i).digest()[:8], "big") for i in numbers.tolist()]
+    assert md5_heads(prefix, numbers).tolist() == want
+    assert len(md5_heads(prefix, numbers[:0])) == 0
+
+
+def test_fits_that_differ_in_depth_alone_grow_once(spark, monkeypatch):
+    rows, _, _ = blobs(spark, n=200, spread=3.0)
+    fits = [fo.Fit(fo.ForestParams(trees=2, max_depth=d, features_per_tree=2)) for d in (1, 3, 0)]
+    asked, best = [], growth.best_splits
+    monkeypatch.setattr(growth, "best_splits", lambda rows, problems, *rest: asked.append(len(problems)) or best(rows, problems, *rest))
+    models = fo.fit_forests(rows, "row_key", 4, fits)
+    assert asked[0] == 2
+    for fit, model in zip(fits, models):
+        assert model.rows == fo.fit_forest(rows, "row_key", 4, fit.params).rows
+
+
+def test_draws_with_replacement_come_packed(spark):
+    rows, _, _ = blobs(spark, n=200, spread=3.0)
+    plain = sampling.bags(rows, "row_key", 3, 150, 200, True, "s")
+    packed = sampling.bags(rows, "row_key", 3, 150, 200, True, "s", kept=["features", "label"], finish=scan.packing([0, 1, 2]))
+    assert packed.columns == scan.PACKED_NAMES and "row_key" in plain.columns
+    found = []
+    for table in (plain.select("features", "label", "bag"), packed):
+        block = scan.Block(table.toArrow().to_batches(), np.arange(3), ())
+        found.append(sorted((b, *block.raw[i], block.labels[i], w) for b, part in block.bags.items() for i, w in zip(*part)))
+    assert found[0] == found[1]
+    assert growth.bag_counts(packed, [0, 1, 2])[1].sum() == 150
